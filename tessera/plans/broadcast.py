@@ -1,0 +1,26 @@
+"""Broadcast only behind a checked size bound.
+
+``broadcast_if_small`` counts the candidate side (it is small by design:
+a lookup, level or calendar table) and hints a broadcast only when the count
+is within ``max_rows``.  Beyond it the join is left to the planner, which
+shuffles both sides (sort-merge) or lets AQE switch to a broadcast at runtime
+once the real size of a shuffle stage is known
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Join ``big`` to a lookup-sized ``small`` table; broadcast only if its size checks out."""
+    return big.join(broadcast_if_small(small, max_rows), on, how)
