@@ -21,6 +21,12 @@ from tessera.sources.tables import BASE_TABLES  # noqa: E402
 from tessera.workloads import load_all  # noqa: E402
 
 
+SPARK_T = {"long": "bigint", "integer": "int", "double": "double", "string": "string", "boolean": "boolean",
+           "date": "date", "timestamp_ntz": "timestamp", "float": "float", "decimal": "decimal", "array": "array"}
+DUCK_T = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+          "DATE": "date", "TIMESTAMP": "timestamp", "FLOAT": "float", "DECIMAL": "decimal", "HUGEINT": "hugeint"}
+
+
 def norm(v):
     if v is None:
         return None
@@ -55,6 +61,7 @@ def main():
         try:
             df = q.run(spark, sf_dir)
             s_cols = df.columns
+            s_types = {f.name: SPARK_T.get(f.dataType.typeName(), f.dataType.typeName()) for f in df.schema.fields}
             s_rows = [tuple(r) for r in df.collect()]
         except Exception as e:  # noqa: BLE001
             bad += 1
@@ -68,6 +75,7 @@ def main():
         try:
             res = con.execute(q.sql)
             d_cols = [c[0] for c in res.description]
+            d_types = {c[0]: DUCK_T.get(str(c[1]).split("(")[0], str(c[1])) for c in res.description}
             d_rows = res.fetchall()
         except Exception as e:  # noqa: BLE001
             bad += 1
@@ -76,6 +84,9 @@ def main():
         msgs = []
         if sorted(s_cols) != sorted(d_cols):
             msgs.append(f"cols spark={s_cols} duck={d_cols}")
+        tdiff = {c: (s_types.get(c), d_types.get(c)) for c in s_types if s_types.get(c) != d_types.get(c)}
+        if tdiff:
+            msgs.append(f"types {tdiff}")
         if len(s_rows) != len(d_rows):
             msgs.append(f"rows spark={len(s_rows)} duck={len(d_rows)}")
         if not msgs:
