@@ -40,14 +40,18 @@ def near(a: Col, b: Col, tol: float = 1.5e-8) -> Column:
     return F.abs(_c(a) - _c(b)) < tol
 
 
+def _v(x) -> Column:
+    return x if isinstance(x, Column) else F.lit(x)
+
+
 def if_else(cond: Col, yes, no, missing=None) -> Column:
     """``if_else(cond, yes, no, missing)``: an NA condition gives ``missing`` (NULL by default).
 
     Plain ``when/otherwise`` would send an NA condition to ``otherwise``.
+    ``yes``/``no``/``missing`` are values; pass ``F.col`` for columns.
     """
     cond = _c(cond)
-    return F.when(cond.isNull(), _c(missing) if missing is not None else F.lit(None)) \
-        .when(cond, _c(yes)).otherwise(_c(no))
+    return F.when(cond.isNull(), _v(missing)).when(cond, _v(yes)).otherwise(_v(no))
 
 
 def case_when(*arms: tuple, default=None) -> Column:
@@ -110,3 +114,11 @@ def flags_any_null(cols: Sequence[str]) -> Column:
     for c in cols:
         expr = expr | F.col(c).isNull()
     return expr
+
+
+def r_divide(a: Col, b: Col) -> Column:
+    """``a / b`` with IEEE results as in R: x/0 = +-Inf, 0/0 = NaN (Spark's ANSI mode raises)."""
+    a, b = _c(a), _c(b)
+    return (F.when(b == 0, F.when((a == 0) | F.isnan(a), F.lit(float("nan")))
+                   .when(a > 0, F.lit(float("inf"))).otherwise(F.lit(float("-inf"))))
+            .otherwise(a / b))

@@ -22,8 +22,14 @@ def intdiv(a: Col, b) -> Column:
 
 
 def r_mod(a: Col, b) -> Column:
-    """``a %% b``: the result takes the divisor's sign (``pmod``)."""
-    return F.pmod(_c(a), _c(b))
+    """``a %% b``: the result takes the divisor's sign; NULL for a zero divisor.
+
+    Spark's ``%`` takes the dividend's sign and ``pmod`` is only right for a
+    positive divisor, so the remainder is shifted by ``b`` when the signs differ.
+    """
+    a, b = _c(a), _c(b)
+    r = F.try_mod(a, b)
+    return F.when((r != 0) & ((r < 0) != (b < 0)), r + b).otherwise(r)
 
 
 def hhmm_hours(t: Col) -> Column:
