@@ -80,6 +80,8 @@ def with_views(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"{v} AS ({VIEW_SQL[v]}\n)" for v in used)
     body = sql.lstrip()
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
