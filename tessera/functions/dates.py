@@ -71,17 +71,18 @@ def nth_weekday(year: Column, month: int, weekday: int, n: int) -> Column:
     return F.date_sub(last, back.cast("int"))
 
 
-def holiday_date(name: str, year: Column) -> Column:
+def holiday_date(name: str, year: Column, easter_col: Column | None = None) -> Column:
     md = lambda m, d: F.make_date(year, F.lit(m), F.lit(d))
+    ea = (lambda _y: easter_col) if easter_col is not None else easter
     rules = {
         "AllSouls": lambda: md(11, 2),
-        "AshWednesday": lambda: F.date_sub(easter(year), 46),
+        "AshWednesday": lambda: F.date_sub(ea(year), 46),
         "ChristmasEve": lambda: md(12, 24),
-        "Easter": lambda: easter(year),
+        "Easter": lambda: ea(year),
         "ChristmasDay": lambda: md(12, 25),
-        "GoodFriday": lambda: F.date_sub(easter(year), 2),
+        "GoodFriday": lambda: F.date_sub(ea(year), 2),
         "NewYearsDay": lambda: md(1, 1),
-        "PalmSunday": lambda: F.date_sub(easter(year), 7),
+        "PalmSunday": lambda: F.date_sub(ea(year), 7),
         "USNewYearsDay": lambda: md(1, 1),
         "USMLKingsBirthday": lambda: nth_weekday(year, 1, 2, 3),
         "USWashingtonsBirthday": lambda: nth_weekday(year, 2, 2, 3),
@@ -96,12 +97,23 @@ def holiday_date(name: str, year: Column) -> Column:
     return rules[name]()
 
 
-def holiday_flags(date_col: str, names=FEASTS, prefix: str | None = None) -> list[Column]:
-    """``step_holiday``: one 0/1 column per holiday, named ``<date>_<holiday>``."""
+def holiday_flags(date_col: str, names=FEASTS, prefix: str | None = None, easter_col: str | None = None) -> list[Column]:
+    """``step_holiday``: one 0/1 column per holiday, named ``<date>_<holiday>``.
+
+    With ``easter_col`` the Easter date of the row's year is read from that
+    column instead of being recomputed for every Easter-based holiday.
+    """
     d = F.col(date_col)
     y = F.year(d)
     prefix = prefix if prefix is not None else f"{date_col}_"
-    return [(d == holiday_date(n, y)).cast("int").alias(f"{prefix}{n}") for n in names]
+    e = F.col(easter_col) if easter_col else None
+    return [(d == holiday_date(n, y, e)).cast("int").alias(f"{prefix}{n}") for n in names]
+
+
+def with_holiday_flags(df, date_col: str, names=FEASTS):
+    """Add holiday flags, computing Easter once per row."""
+    out = df.withColumn("_easter", easter(F.year(F.col(date_col))))
+    return out.select("*", *holiday_flags(date_col, names, easter_col="_easter")).drop("_easter")
 
 
 def date_parts(date_col: str, features=("dow", "month", "year")) -> list[Column]:

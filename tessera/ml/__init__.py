@@ -1,0 +1 @@
+"""Models: splits, feature recipes, Spark ML estimators, tuning, metrics and diagnostics."""
