@@ -96,8 +96,12 @@ class StepZv(Estimator):
     def _fit(self, df: DataFrame) -> StepRm:
         cols = [f.name for f in df.schema.fields if f.name not in self.exclude
                 and isinstance(f.dataType, (*NUMERIC, T.StringType, T.BooleanType))]
-        row = df.agg(*[F.count_distinct(c).alias(c) for c in cols]).first()
-        return StepRm([c for c in cols if row[c] <= 1])
+        # min == max (or all NA) means a single value: one pass of plain min/max, no distinct counting
+        aggs = []
+        for c in cols:
+            aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
+        row = df.agg(*aggs).first()
+        return StepRm([c for c in cols if row[f"lo_{c}"] is None or row[f"lo_{c}"] == row[f"hi_{c}"]])
 
 
 class StepNormalizeModel(Model):
@@ -184,3 +188,32 @@ def feature_names(pipeline_model) -> list[str]:
         if isinstance(st, AssemblePredictors):
             return st.columns
     return []
+
+
+def fit_workflow(stages: list, estimator, train: DataFrame, label: str = "label", features: str = "features"):
+    """Fit the recipe, then the model on persisted (label, features) rows only.
+
+    Iterative estimators (IRLS, L-BFGS, tree growing) pass over their input
+    many times; persisting just the two model columns (spilling to disk when
+    large) keeps each pass from re-running the joins and recipe upstream.
+    """
+    from pyspark import StorageLevel
+    from pyspark.ml import PipelineModel
+
+    prep = Pipeline(stages=stages).fit(train)
+    x = prep.transform(train).select(label, features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = estimator.fit(x)
+    finally:
+        x.unpersist()
+    return PipelineModel(stages=[*prep.stages, model])
+
+
+def fit_prepared(estimator, df: DataFrame, label: str = "label", features: str = "features"):
+    """Fit an estimator on already-prepared rows, persisting only the model columns."""
+    from pyspark import StorageLevel
+    x = df.select(label, features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(x)
+    finally:
+        x.unpersist()

@@ -348,8 +348,7 @@ def _late_fit(t, extra=None, with_recipe=True):
     else:
         stages = [recipe.StepLabel("arr_delay", EVENT), recipe.StepRm(["date", "origin", "dest", "carrier"]),
                   recipe.AssemblePredictors(exclude=["arr_delay", "label", *ids])]
-    wf = recipe.workflow(stages, models.logistic_glm())
-    pm = wf.fit(tr)
+    pm = recipe.fit_workflow(stages, models.logistic_glm(), tr)
     scored = models.augment(pm, te, EVENT, OTHER)
     _MEMO[key] = (pm, scored, recipe.feature_names(pm))
     return _MEMO[key]
@@ -585,7 +584,9 @@ def _doc_sets(t, normalize=True):
         stages.append(recipe.StepNormalize(exclude=["label", "doc_id"]))
     stages.append(recipe.AssemblePredictors(exclude=["label", "doc_id"]))
     prep = Pipeline(stages=stages).fit(tr)
-    out = (prep, prep.transform(tr), prep.transform(va), prep.transform(other), prep.transform(test),
+    keep = ["doc_id", "label", "features"]
+    out = (prep, prep.transform(tr).select(*keep), prep.transform(va).select(*keep), prep.transform(other).select(*keep),
+           prep.transform(test).select(*keep),
            recipe.feature_names(prep), Pipeline(stages=stages))
     _MEMO[key] = out
     return out
@@ -613,7 +614,7 @@ def _rf_tuning(t):
 @query("fit_lasso_logit", section="2.16")
 def fit_lasso_logit(t):
     prep, tr, va, other, te, names, _ = _doc_sets(t)
-    m = models.logistic_lasso(0.001).fit(tr)
+    m = recipe.fit_prepared(models.logistic_lasso(0.001), tr)
     return models.tidy_coefficients(t.spark, m, names)
 
 
@@ -652,14 +653,14 @@ def tune_grid_auto(t):
 @query("fit_rf", section="2.16")
 def fit_rf(t):
     prep, tr, va, other, te, names, _ = _doc_sets(t, normalize=False)
-    m = models.rand_forest(3, 5, 100).fit(tr)
+    m = recipe.fit_prepared(models.rand_forest(3, 5, 100), tr)
     return models.importance_table(t.spark, m, names, top=1000)
 
 
 @query("vip_forest", section="2.18")
 def vip_forest(t):
     prep, tr, va, other, te, names, _ = _doc_sets(t, normalize=False)
-    m = models.rand_forest(3, 5, 100).fit(tr)
+    m = recipe.fit_prepared(models.rand_forest(3, 5, 100), tr)
     return models.importance_table(t.spark, m, names, top=20)
 
 
@@ -668,7 +669,7 @@ def last_fit(t):
     # best forest refit on train + validation, scored once on the test rows
     prep, tr, va, other, te, names, wf = _doc_sets(t, normalize=False)
     best = tune.select_best(_rf_tuning(t)[0]).first()
-    m = models.rand_forest(int(best["mtry"]), int(best["min_n"]), 100).fit(other)
+    m = recipe.fit_prepared(models.rand_forest(int(best["mtry"]), int(best["min_n"]), 100), other)
     p = models.event_probability(m.transform(te)).withColumn(
         "_truth", F.when(F.col("label") == 1.0, "good").otherwise("poor"))
     return metrics.roc_auc(p, "_truth", "pred_event", "good").withColumn("n_test", F.lit(te.count()).cast("bigint"))
@@ -685,7 +686,7 @@ def children_lasso_rf(t):
 
 def _mlp_fit(t, step):
     prep, tr, va, other, te, names, _ = _doc_sets(t)
-    return models.mlp(len(names), 1, step=step).fit(tr), names
+    return recipe.fit_prepared(models.mlp(len(names), 1, step=step), tr), names
 
 
 @query("fit_mlp", section="2.16")
