@@ -40,6 +40,7 @@ def main() -> None:
     times = {}
     for key in only or HEADLINE:
         ml_q._MEMO.clear()
+        spark.catalog.clearCache()
         t0 = time.time()
         df = reg[key].run(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()

@@ -116,15 +116,23 @@ def with_holiday_flags(df, date_col: str, names=FEASTS):
     return out.select("*", *holiday_flags(date_col, names, easter_col="_easter")).drop("_easter")
 
 
+# English day and month abbreviations (Sunday first, as dayofweek counts).
+DOW_ABB = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
+MONTH_ABB = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+
+
 def date_parts(date_col: str, features=("dow", "month", "year")) -> list[Column]:
-    """``step_date``: day of week and month as abbreviated names, year as a number."""
+    """``step_date``: day of week and month as abbreviated names, year as a number.
+
+    Names are looked up from the integer parts (no per-row date formatting).
+    """
     d = F.col(date_col)
     out = []
     for f in features:
         if f == "dow":
-            out.append(F.date_format(d, "E").alias(f"{date_col}_dow"))
+            out.append(F.element_at(F.array(*[F.lit(x) for x in DOW_ABB]), F.dayofweek(d)).alias(f"{date_col}_dow"))
         elif f == "month":
-            out.append(F.date_format(d, "MMM").alias(f"{date_col}_month"))
+            out.append(F.element_at(F.array(*[F.lit(x) for x in MONTH_ABB]), F.month(d)).alias(f"{date_col}_month"))
         elif f == "year":
             out.append(F.year(d).cast("bigint").alias(f"{date_col}_year"))
         elif f == "doy":

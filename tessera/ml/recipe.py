@@ -19,6 +19,22 @@ from tessera.functions.dates import FEASTS, date_parts, with_holiday_flags
 from tessera.operators.verbs import NUMERIC
 
 
+# Whole-stage codegen is switched off for an operator with more than
+# spark.sql.codegen.maxFields (default 100) fields; wide aggregates are split
+# into chunks below that bound.
+AGG_CHUNK = 40
+
+
+def _chunked_agg(df: DataFrame, cols: Sequence[str], make) -> dict:
+    """Run ``make(col) -> [aggregate columns]`` over ``cols`` in codegen-sized chunks; merge the rows."""
+    out: dict = {}
+    for i in range(0, len(cols), AGG_CHUNK):
+        aggs = [a for c in cols[i:i + AGG_CHUNK] for a in make(c)]
+        if aggs:
+            out.update(df.agg(*aggs).first().asDict())
+    return out
+
+
 class StepDate(Transformer):
     """``step_date(col, features)``: calendar parts as new columns."""
 
@@ -97,10 +113,7 @@ class StepZv(Estimator):
         cols = [f.name for f in df.schema.fields if f.name not in self.exclude
                 and isinstance(f.dataType, (*NUMERIC, T.StringType, T.BooleanType))]
         # min == max (or all NA) means a single value: one pass of plain min/max, no distinct counting
-        aggs = []
-        for c in cols:
-            aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
-        row = df.agg(*aggs).first()
+        row = _chunked_agg(df, cols, lambda c: [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")])
         return StepRm([c for c in cols if row[f"lo_{c}"] is None or row[f"lo_{c}"] == row[f"hi_{c}"]])
 
 
@@ -124,10 +137,7 @@ class StepNormalize(Estimator):
     def _fit(self, df: DataFrame) -> StepNormalizeModel:
         cols = self.cols or [f.name for f in df.schema.fields
                              if isinstance(f.dataType, NUMERIC) and f.name not in self.exclude]
-        aggs = []
-        for c in cols:
-            aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}")]
-        row = df.agg(*aggs).first()
+        row = _chunked_agg(df, cols, lambda c: [F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}")])
         return StepNormalizeModel({c: (row[f"m_{c}"], row[f"s_{c}"]) for c in cols if row[f"s_{c}"]})
 
 

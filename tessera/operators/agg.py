@@ -42,6 +42,7 @@ def keep_on_rows(df: DataFrame, by: Sequence[str], summary: DataFrame) -> DataFr
     """
     s = summary.select(*[F.col(b).alias(f"_k_{b}") for b in by],
                        *[c for c in summary.columns if c not in by])
+    s = broadcast_if_small(s)  # one row per group: broadcast when the group count checks out
     cond = None
     for b in by:
         c = df[b].eqNullSafe(s[f"_k_{b}"])

@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tessera.plans.broadcast import broadcast_if_small
 
-# English month abbreviations in calendar order.
-MONTH_ABB = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+from tessera.functions.dates import MONTH_ABB  # noqa: E402,F401
 
 
 def level_table(levels: DataFrame | Sequence[str], spark=None) -> DataFrame:

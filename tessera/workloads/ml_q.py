@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import FEASTS, US_HOLIDAYS, holiday_flags
@@ -340,7 +341,8 @@ def _late_fit(t, extra=None, with_recipe=True):
     data = _flight_data(t)
     if extra is not None:
         data = extra(data)
-    s = splits.initial_split(data, LK, 0.75, seed=222)
+    # the model table is read by every recipe pass, the fit and the scoring: persist it once
+    s = splits.initial_split(data, LK, 0.75, seed=222).persist(StorageLevel.MEMORY_AND_DISK)
     tr, te = s.filter(F.col("split") == "train").drop("split"), s.filter(F.col("split") == "test").drop("split")
     ids = ["flight", "time_hour", *LK]
     if with_recipe:
@@ -349,7 +351,8 @@ def _late_fit(t, extra=None, with_recipe=True):
         stages = [recipe.StepLabel("arr_delay", EVENT), recipe.StepRm(["date", "origin", "dest", "carrier"]),
                   recipe.AssemblePredictors(exclude=["arr_delay", "label", *ids])]
     pm = recipe.fit_workflow(stages, models.logistic_glm(), tr)
-    scored = models.augment(pm, te, EVENT, OTHER)
+    scored = models.augment(pm, te, EVENT, OTHER).select(*LK, "arr_delay", "pred_class", f"pred_{EVENT}")
+    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     _MEMO[key] = (pm, scored, recipe.feature_names(pm))
     return _MEMO[key]
 
