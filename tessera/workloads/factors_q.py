@@ -30,7 +30,8 @@ def fct_new(t):
     return factors.fct_new(o, "month", TYPO_MONTHS).groupBy("month", "month_ord").agg(_n())
 
 
-@query("fct_strict", section="2.11")
+@query("fct_strict", section="2.11", sql="""
+SELECT strftime(o_orderdate, '%b') AS month, CAST(month(o_orderdate) AS BIGINT) AS month_ord, count(*) AS n FROM orders GROUP BY 1, 2""")
 def fct_strict(t):
     # fct(x, levels): an unknown value raises (tested); with complete levels it passes
     o = t.orders.select(F.date_format("o_orderdate", "MMM").alias("month"))

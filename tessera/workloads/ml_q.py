@@ -753,3 +753,20 @@ def stat_smooth_glm(t):
     grid = expand_values(d.agg(F.min("x").alias("lo"), F.max("x").alias("hi")), "i", list(range(50)))
     grid = grid.select((F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("i") / 49).alias("x"))
     return m.transform(va.transform(grid)).select("x", F.col("prediction").alias("pred"))
+
+
+@query("metric_set", section="2.20", sql=f"""
+WITH s AS (SELECT pred_late AS th, count(*) FILTER (WHERE truth = 'late') AS e, count(*) FILTER (WHERE truth <> 'late') AS ne
+           FROM {SCORED_SQL} GROUP BY 1),
+c AS (SELECT *, coalesce(sum(ne) OVER (ORDER BY th ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)
+SELECT 'roc_auc' AS metric, round(sum(e * (below + 0.5 * ne)) / (sum(e) * sum(ne)), 6) AS estimate FROM c
+UNION ALL SELECT 'accuracy', round(avg(CASE WHEN (pred_late > 0.5) = (truth = 'late') THEN 1.0 ELSE 0.0 END), 6) FROM {SCORED_SQL}""")
+def metric_set(t):
+    # metric_set(roc_auc, accuracy): a bundle of metric functions applied to one scored frame
+    s = _scored(t).withColumn("estimate_class", F.when(F.col("pred_late") > 0.5, EVENT).otherwise(OTHER))
+    bundle = {
+        "roc_auc": lambda d: metrics.roc_auc(d, "truth", "pred_late", EVENT).first()[0],
+        "accuracy": lambda d: d.agg(F.avg((F.col("estimate_class") == F.col("truth")).cast("double"))).first()[0],
+    }
+    rows = [(name, round(float(fn(s)), 6)) for name, fn in bundle.items()]
+    return t.spark.createDataFrame(rows, "metric string, estimate double")

@@ -200,3 +200,40 @@ def combine_flags(t):
         "l_orderkey", "l_linenumber", (F.col("x") & ~F.col("y")).alias("x_not_y"),
         (~F.col("x") & F.col("y")).alias("y_not_x"), xor("x", "y").alias("x_xor_y"),
         (F.col("x") | F.col("y")).alias("x_or_y"))
+
+
+@query("filter_group", section="2.2", sql="""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, dest, dep_delay FROM (
+  SELECT *, avg(dep_delay) OVER (PARTITION BY dest) AS m FROM deliveries) WHERE dep_delay > m""")
+def filter_group(t):
+    # grouped filter(x > mean(x)): the group statistic is aggregated and joined back, not windowed
+    from tessera.operators.agg import keep_on_rows
+    d = t.deliveries.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "dest", "dep_delay")
+    d = keep_on_rows(d, ["dest"], d.groupBy("dest").agg(F.avg("dep_delay").alias("_m")))
+    return d.filter(F.col("dep_delay") > F.col("_m")).drop("_m")
+
+
+def _na_count(c):
+    return F.count_if(F.col(c).isNull())
+
+
+def _r6mean(c):
+    return F.round(F.avg(c), 6)
+
+
+@query("across_fn", section="2.20", sql="""
+SELECT origin, round(avg(dep_delay), 6) AS dep_delay_mean, round(avg(arr_delay), 6) AS arr_delay_mean,
+       round(avg(air_time), 6) AS air_time_mean, count(*) FILTER (WHERE dep_delay IS NULL) AS dep_delay_na,
+       count(*) FILTER (WHERE arr_delay IS NULL) AS arr_delay_na, count(*) FILTER (WHERE air_time IS NULL) AS air_time_na
+FROM deliveries GROUP BY origin""")
+def across_fn(t):
+    # across(cols, list(mean = ~ mean(.x, na.rm = TRUE), na = ~ sum(is.na(.x)))): Column -> Column lambdas
+    fns = {"mean": _r6mean, "na": _na_count}
+    cols = ["dep_delay", "arr_delay", "air_time"]
+    return t.deliveries.groupBy("origin").agg(*[f(c).alias(f"{c}_{n}") for n, f in fns.items() for c in cols])
+
+
+@query("where_fn", section="2.20", sql="SELECT carrier, origin, dest FROM deliveries")
+def where_fn(t):
+    # select(where(is.character)): a predicate on the schema field
+    return verbs.select_where(t.deliveries, verbs.is_character)

@@ -275,7 +275,8 @@ def case_when_status(t):
     return t.deliveries.groupBy(delay_status().alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("type_mismatch", section="2.10")
+@query("type_mismatch", section="2.10", sql=f"""
+SELECT {LK_SQL}, CASE WHEN arr_delay IS NULL THEN NULL WHEN arr_delay > 0 THEN 'late' ELSE origin END AS label FROM deliveries""")
 def type_mismatch(t):
     # branch types are checked up front (R raises on if_else(TRUE, "a", 1)); compatible branches pass
     d = t.deliveries

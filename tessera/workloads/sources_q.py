@@ -31,14 +31,17 @@ def scan_parquet_q(t):
     return t.orders
 
 
-@query("read_csv_infer", section="2.1")
+@query("read_csv_infer", section="2.1", sql="""
+SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, CAST(s_nationkey AS INTEGER) AS s_nationkey, s_acctbal FROM supplier""")
 def read_csv_infer(t):
     # hand-typed-looking CSV (padded fields) derived from the supplier table
     path = stage_csv(t.supplier, "supplier", pad=True)
     return read_csv(t.spark, path)
 
 
-@query("read_csv_na", section="2.1")
+@query("read_csv_na", section="2.1", sql="""
+SELECT CAST(CASE WHEN c_custkey = 99 THEN NULL ELSE c_custkey END AS INTEGER) AS c_custkey, CAST(CASE WHEN c_nationkey = 9 THEN NULL ELSE c_nationkey END AS INTEGER) AS nation,
+       CAST(CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey % 10 END AS INTEGER) AS digit FROM customer""")
 def read_csv_na(t):
     # sentinel "99" in every column becomes NA
     src = t.customer.select("c_custkey", F.when(F.col("c_nationkey") == 9, F.lit(99))
@@ -48,7 +51,8 @@ def read_csv_na(t):
     return read_csv(t.spark, stage_csv(src, "na99"), na="99")
 
 
-@query("read_csv_factor", section="2.1")
+@query("read_csv_factor", section="2.1", sql="""
+SELECT strftime(o_orderdate, '%b') AS month, CAST(month(o_orderdate) AS BIGINT) AS month_ord, count(*) AS n FROM orders GROUP BY 1, 2""")
 def read_csv_factor(t):
     # month column typed as a factor with 12 fixed levels; other text -> NA
     from tessera.operators.factors import MONTH_ABB, fct_new
