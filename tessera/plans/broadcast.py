@@ -17,17 +17,9 @@ DEFAULT_MAX_ROWS = 2_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast of ``df`` only if it has at most ``max_rows`` rows.
-
-    The check computes ``df`` once, capped at ``max_rows + 1`` rows, and keeps
-    that bounded result cached: when it fits, the capped frame *is* the whole
-    frame, so the join reuses it instead of computing ``df`` again.
-    """
-    capped = df.limit(max_rows + 1).persist(StorageLevel.MEMORY_AND_DISK)
-    if capped.count() <= max_rows:
-        return F.broadcast(capped)
-    capped.unpersist()
-    return df
+    """Hint a broadcast of ``df`` only if it has at most ``max_rows`` rows (a bounded count job)."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",

@@ -60,7 +60,9 @@ def _n_partitions(df: DataFrame, n: int | None) -> int:
     if n:
         return n
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_size = -(-estimated_bytes(df) // TARGET_PARTITION_BYTES)
+    if base >= 1000:  # a cluster-sized setting is taken as is
+        return base
+    by_size = 0
     return int(max(base, min(by_size, MAX_PARTITIONS)))
 
 
