@@ -39,3 +39,17 @@ def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 2,048 tokens."""
     from tessera.llm.best_fit_pack import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@_register
+def op5_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    from tessera.llm.cross_parsing import identify
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op3_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and their likeness."""
+    from tessera.llm.multiset_hash import compare_edited
+    return compare_edited(table(spark, sf_dir, "documents"))
