@@ -53,3 +53,10 @@ def op3_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and of its edited text, and their likeness."""
     from tessera.llm.multiset_hash import compare_edited
     return compare_edited(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the model of trusted text, and whether it stays."""
+    from tessera.llm.kneser_ney import classify
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
