@@ -60,3 +60,10 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of every document under the model of trusted text, and whether it stays."""
     from tessera.llm.kneser_ney import classify
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_register
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and duplicate class of every document at a similarity of 0.8 on five-word runs."""
+    from tessera.llm.ngram_join import link_counts
+    return link_counts(table(spark, sf_dir, "documents"))
