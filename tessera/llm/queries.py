@@ -67,3 +67,11 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and duplicate class of every document at a similarity of 0.8 on five-word runs."""
     from tessera.llm.ngram_join import link_counts
     return link_counts(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that occur again."""
+    from tessera.llm.suffix_dedup import deduplicate
+    docs = table(spark, sf_dir, "documents")
+    return deduplicate(docs, digests_only=True).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
