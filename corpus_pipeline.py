@@ -5,18 +5,78 @@ model drops documents of unusual perplexity, the n-gram join keeps one document
 of each group of near copies, suffix deduplication removes repeated passages,
 and packing places the rest into training sequences.  Each stage's rows are
 written as Parquet and read again as the next stage's input.
+
+Stages handle null ids, repeated rows, null and empty texts, empty tables and
+further columns as their operators state; a document of a null id stands for
+itself.  All stages but the last return the columns they were given.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from tessera.llm.common import ship
+from tessera.llm.common import materialize, ship
 from tessera.llm.queries import tokenizer_file
 from tessera.session import ensure_checkpoint_dir
 
+#: phrases a letter above which no learned language explains a text (two letters a phrase)
+MOST_PHRASES = 0.5
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with letters that the best language parses in phrases of more than two letters on average."""
+    from tessera.llm.cross_parsing import UNDETERMINED, learn, predict
+    ship(spark)
+    names = ("_lang_pred", "_score", "_phrase_rate")
+    # with nothing to learn from, no document can be judged
+    sample = learn(docs)
+    if not sample:
+        return docs
+    found = predict(docs, sample, names=names)
+    return found.where((F.col(names[0]) != UNDETERMINED) & (F.col(names[2]) <= MOST_PHRASES)).select(*docs.columns)
+
+
+def keep_usual_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity is not above their language's threshold."""
+    from tessera.llm.kneser_ney import classify
+    ship(spark)
+    scores = classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    # an id is rejected as a whole if any of its rows is
+    gone = materialize(scores.where("not keep").select(F.col("doc_id").alias("_gone")).distinct())
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of every class of near copies, once."""
+    from tessera.llm.ngram_join import link_counts
+    ship(spark)
+    classes = link_counts(docs)
+    first = classes.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("class_id").alias("_class"))
+    gone = materialize(first.where("doc_id <> _class").select(F.col("doc_id").alias("_gone")))
+    rest = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    # repeated rows of one id: one of them stays
+    again = materialize(rest.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+                        .select(F.col("doc_id").alias("_again")))
+    if not again.limit(1).count():
+        return rest
+    marked = rest.join(again, rest["doc_id"] == again["_again"], "left")
+    number = F.row_number().over(Window.partitionBy("_again").orderBy(F.xxhash64("text"), "text"))
+    single = marked.where("_again is not null").withColumn("_k", number).where("_k = 1")
+    return single.select(*docs.columns).union(marked.where("_again is null").select(*docs.columns))
+
+
+def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 200 bytes that occur again; ``n_chars`` counts what is left."""
+    from tessera.llm.suffix_dedup import deduplicate
+    ship(spark)
+    left = deduplicate(docs)
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return left.select(*docs.columns)
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing of every kept document; one row per piece."""
@@ -26,6 +86,10 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", keep_known_languages),
+    ("quality classifier", keep_usual_text),
+    ("n-gram Jaccard join", keep_one_of_each_group),
+    ("suffix-array dedup", remove_repeated_passages),
     ("best-fit packing", pack),
 ]
 

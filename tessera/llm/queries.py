@@ -75,3 +75,32 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.suffix_dedup import deduplicate
     docs = table(spark, sf_dir, "documents")
     return deduplicate(docs, digests_only=True).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@_register
+def op1_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without quotations, linked to what it answers, in reply order."""
+    from tessera.llm.quote_threads import reply_order
+    return reply_order(table(spark, sf_dir, "conversations"))
+
+
+@_register
+def op8_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licence of every document's entire text, and the licences its lines state."""
+    from tessera.llm.license_digest import scan
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def _oracles() -> dict[str, str]:
+    from tessera.llm.license_digest import oracle
+    return {"op8_license_digest": oracle()}
+
+
+ORACLES |= _oracles()
+
+
+@_register
+def op4_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and survivor of every vector at a cosine of 0.95."""
+    from tessera.llm.cross_polytope import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
