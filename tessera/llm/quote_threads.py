@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize
-from tessera.plans.ordered import group_positions, running_sum
+from tessera.llm.native_scan import positions, running_total
 
 MARKS = r"^(?:[ \t]*>)+"
 # fixed values: how mail programs introduce a quotation
@@ -133,7 +133,7 @@ def reply_order(conversations: DataFrame) -> DataFrame:
     """
     src = conversations.select(F.col("conv_id").alias("_conv"), "turn", "role", F.col("text").cast("string").alias("text"))
     order = [F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_last(), F.xxhash64("text")]
-    messages = materialize(group_positions(src, ["_conv"], order, name="_pos"))
+    messages = materialize(positions(src, "_conv", order, "_pos"))
     parsed = parse(messages)
     parents, counts = link(parsed)
 
@@ -142,7 +142,7 @@ def reply_order(conversations: DataFrame) -> DataFrame:
         p, F.col("_conv").eqNullSafe(p["c"]) & (F.col("_pos") == p["p"]), "left")
         .select("_conv", "_pos", "turn", F.coalesce("parent", F.when(F.col("_pos") > 1, F.col("_pos") - 1)).alias("parent")))
     branch = F.col("parent").isNull() | (F.col("parent") != F.col("_pos") - 1)
-    numbered = materialize(running_sum(linked.withColumn("_head", branch.cast("bigint")), ["_conv"], ["_pos"], "_head", name="seg"))
+    numbered = materialize(running_total(linked.withColumn("_head", branch.cast("bigint")), "_conv", [F.col("_pos").asc()], "_head", "seg"))
 
     at = numbered.select(F.col("_conv").alias("c"), F.col("_pos").alias("p"), F.col("seg").alias("up"), F.col("turn").alias("reply_to"))
     replies = numbered.join(at, numbered["_conv"].eqNullSafe(at["c"]) & (numbered["parent"] == at["p"]), "left").select(
@@ -155,7 +155,7 @@ def reply_order(conversations: DataFrame) -> DataFrame:
     clean = parsed.select("_conv", "_pos", "turn", "role", "clean")
     rows = clean.join(placed, clean["_conv"].eqNullSafe(placed["c"]) & (clean["_pos"] == placed["p"])).drop("c", "p")
     rows = rows.join(counts, rows["_conv"].eqNullSafe(counts["c"]) & (rows["_pos"] == counts["p"]), "left").drop("c", "p")
-    out = group_positions(rows, ["_conv"], [F.col("path").asc(), F.col("_pos").asc()], name="position")
+    out = positions(rows, "_conv", [F.col("path").asc(), F.col("_pos").asc()], "position")
     return out.select(F.col("_conv").alias("conv_id"), "position", "turn", "role", "reply_to",
                       F.coalesce("n_quoted", F.lit(0)).alias("n_quoted"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
                       F.col("clean").alias("text"))
