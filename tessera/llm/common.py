@@ -100,7 +100,7 @@ class SpanHash:
         key = ("powers", seed)
         have = cls._tables.get(key)
         if have is None or len(have[0]) < n:
-            size = max(n, CHUNK_BYTES + 1)
+            size = max(n, CHUNK_BYTES + 1)  # in one go for all usual chunks
             made = []
             for b in (base, inverse):
                 p = np.full(size, b, np.uint64)
@@ -111,6 +111,15 @@ class SpanHash:
             cls._tables[key] = have = made
         return have
 
+    def rank(self, size: int) -> np.ndarray:
+        """A value for every span of ``size`` bytes, equal for equal spans, whose high bits are well mixed."""
+        n = len(self._sums) - size
+        h = self._sums[size:] - self._sums[:n]
+        h *= self._down[:n]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        return h
+
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         h = self._sums[end] - self._sums[start]
         h *= self._down[start]

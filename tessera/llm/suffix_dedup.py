@@ -40,9 +40,11 @@ SHALLOW = 32
 BIN_BYTES = 6 << 20
 BLOCK_BYTES = 16 << 20
 #: different runs of one anchor that are sorted together at most
-HOT_RUNS = 2000
+HOT_RUNS = 20_000
+#: text in which runs are looked for at once: arrays of this length stay in the processor's cache
+RUN_BYTES = 1 << 16
 #: longer texts are cut into overlapping pieces while anchors are chosen
-PIECE = 1 << 21
+PIECE = 1 << 18
 _POSITION = np.uint64((1 << 22) - 1)
 
 
@@ -54,9 +56,10 @@ def find_runs(buf: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor
         return z, z, z.astype(np.uint64), z.astype(np.uint64)
     sums = SpanHash(buf, seed=7)
     i = np.arange(n - anchor + 1)
-    grams = sums.spans(i, i + anchor)
     reach = length - anchor + 1
-    ranked = (grams & ~_POSITION) | i.astype(np.uint64)
+    ranked = sums.rank(anchor)
+    ranked &= ~_POSITION
+    ranked |= i.astype(np.uint64)
     pad = -len(ranked) % reach
     blocks = np.concatenate([ranked, np.full(pad, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, reach)
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
@@ -71,7 +74,8 @@ def find_runs(buf: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor
     stop = inside.copy()
     stop[:-1] &= ~inside[1:] | (at[1:] != at[:-1])
     windows = np.flatnonzero(stop) + 1 - start
-    return start, windows, grams[at[start]], sums.spans(start, start + windows - 1 + length)
+    anchors = at[start]
+    return start, windows, sums.spans(anchors, anchors + anchor), sums.spans(start, start + windows - 1 + length)
 
 
 def _pieces(buf: np.ndarray, offsets: np.ndarray, length: int):
@@ -90,7 +94,7 @@ def _runs(src: DataFrame, length: int, anchor: int) -> DataFrame:
     """One row per run: anchor and content hash, key of the text, place (start << 32 | windows)."""
     def run(batches):
         for b in batches:
-            for part, buf, offsets in text_chunks(b, "text"):
+            for part, buf, offsets in text_chunks(b, "text", RUN_BYTES):
                 key, digest = part.column(0).to_numpy(), part.column(1).to_numpy()
                 for base, piece, bounds in _pieces(buf, offsets, length):
                     start, windows, h, c = find_runs(piece, bounds, length, anchor)
@@ -246,7 +250,8 @@ def repeated_places(src: DataFrame, blocks: DataFrame, n_blocks: int, length: in
     """``key, digest, place`` of every maximal stretch of repeated windows found in a run."""
     spark = src.sparkSession
     runs = _runs(src, length, anchor)
-    again = runs.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
+    # stored, so that the join reads two plain shuffles and a frequent anchor can be split
+    again = materialize(runs.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h"))
     shared = materialize(runs.join(again, "h"))
     same = materialize(shared.groupBy("h", "c").agg(F.count("*").alias("m"), F.min(F.struct("key", "digest", "place")).alias("one")))
     whole = shared.join(same.where("m > 1").select("h", "c"), ["h", "c"]).select("key", "digest", "place")
@@ -255,45 +260,44 @@ def repeated_places(src: DataFrame, blocks: DataFrame, n_blocks: int, length: in
     total = edges.agg(F.sum(F.col("place").bitwiseAND(0xFFFFFFFF) + length)).first()[0] or 0
     bins = max(shuffle_partitions(spark), -(-total // BIN_BYTES))
     asked = edges.withColumn("_block", _block(F.col("key"), F.col("digest"), n_blocks))
-    hot = bool(edges.where("hot").limit(1).count())
 
-    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Bytes of the edge runs, and digests of the windows of hot ones."""
-        want: dict[tuple[int, int], list[tuple[int, int, bool]]] = {}
-        for h, k, d, p, hot in zip(*(right.column(c).to_pylist() for c in ("h", "key", "digest", "place", "hot"))):
-            want.setdefault((k, d), []).append((h, p, hot))
-        out = {c: [] for c in ("h", "w", "key", "digest", "place", "raw")}
+    def wanted(left: pa.Table, right: pa.Table):
+        """``(anchor, key, digest, place, bytes)`` of every run asked for in a block."""
+        want: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for h, k, d, p in zip(*(right.column(c).to_pylist() for c in ("h", "key", "digest", "place"))):
+            want.setdefault((k, d), []).append((h, p))
         z = left.column("_z")
-        seen = set()
+        opener = zstandard.ZstdDecompressor()
         for i, kd in enumerate(zip(left.column("_key").to_pylist(), left.column("_digest").to_pylist())):
-            if kd not in want or kd in seen:  # repeated rows hold the same text
-                continue
-            seen.add(kd)
-            text = zstandard.ZstdDecompressor().decompress(z[i].as_py())
-            for h, p, is_hot in want[kd]:
-                a, n = p >> 32, p & 0xFFFFFFFF
-                raw = text[a:a + n - 1 + length]
-                if not is_hot:
-                    rows = [(h, 0, *kd, p, raw)]
-                else:
-                    j = np.arange(n)
-                    w = SpanHash(np.frombuffer(raw, np.uint8), seed=9).spans(j, j + length).view(np.int64).tolist()
-                    rows = [(h, x, *kd, ((a + s) << 32) | 1, None) for s, x in enumerate(w)]
-                for r in rows:
-                    for c, v in zip(out, r):
-                        out[c].append(v)
-        kinds = dict.fromkeys(out, pa.int64()) | {"raw": pa.binary()}
-        return pa.table({c: pa.array(v, kinds[c]) for c, v in out.items()})
-
-    strings = (blocks.groupBy("_block").cogroup(asked.groupBy("_block"))
-               .applyInArrow(cut, "h bigint, w bigint, key bigint, digest bigint, place bigint, raw binary"))
-    if hot:
-        strings = materialize(strings)
-    sorted_ = (strings.where("raw is not null").withColumn("bin", F.pmod(F.xxhash64("h"), F.lit(bins)))
-               .groupBy("bin").applyInArrow(_sort_bin(length), "key bigint, digest bigint, place bigint"))
-    out = whole.union(sorted_)
-    if hot:
-        single = strings.where("raw is null")
+            asks = want.pop(kd, None)  # repeated rows hold the same text
+            if asks:
+                text = opener.decompress(z[i].as_py())
+                for h, p in asks:
+                    yield h, *kd, p, text[p >> 32:(p >> 32) + (p & 0xFFFFFFFF) - 1 + length]
+
+    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
+        cols = list(zip(*wanted(left, right))) or [()] * 5
+        return pa.table({"h": pa.array(cols[0], pa.int64()), "key": pa.array(cols[1], pa.int64()), "digest": pa.array(cols[2], pa.int64()),
+                         "place": pa.array(cols[3], pa.int64()), "raw": pa.array(cols[4], pa.binary())})
+
+    def digest_windows(left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = []
+        for h, k, d, p, raw in wanted(left, right):
+            j = np.arange(p & 0xFFFFFFFF)
+            w = SpanHash(np.frombuffer(raw, np.uint8), seed=9).spans(j, j + length).view(np.int64)
+            parts.append(np.stack([np.full(len(j), h), w, np.full(len(j), k), np.full(len(j), d), (((p >> 32) + j) << 32) | 1]))
+        got = np.concatenate(parts, axis=1) if parts else np.zeros((5, 0), np.int64)
+        return pa.table(dict(zip(("h", "w", "key", "digest", "place"), got)))
+
+    by_block = blocks.groupBy("_block")
+    strings = by_block.cogroup(asked.where("not hot").groupBy("_block")).applyInArrow(
+        cut, "h bigint, key bigint, digest bigint, place bigint, raw binary")
+    equal = (strings.withColumn("bin", F.pmod(F.xxhash64("h"), F.lit(bins)))
+             .groupBy("bin").applyInArrow(_sort_bin(length), "key bigint, digest bigint, place bigint"))
+    out = whole.union(equal)
+    if edges.where("hot").limit(1).count():
+        single = by_block.cogroup(asked.where("hot").groupBy("_block")).applyInArrow(
+            digest_windows, "h bigint, w bigint, key bigint, digest bigint, place bigint")
         twice = single.groupBy("h", "w").agg(F.count("*").alias("m")).where("m > 1").select("h", "w")
         out = out.union(single.join(twice, ["h", "w"]).select("key", "digest", "place"))
     return out
