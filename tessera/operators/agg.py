@@ -6,7 +6,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.plans.broadcast import broadcast_if_small
+from tessera.plans.ordered import match_groups
 
 
 def n_distinct(x: str) -> Column:
@@ -23,14 +23,14 @@ def share_na(x: str) -> Column:
 
 
 def count_with_levels(df: DataFrame, col: str, levels: DataFrame, *aggs: Column) -> DataFrame:
-    """``count(f, .drop = FALSE)``: every level appears; unused levels get n = 0.
+    """``count(f, .drop = FALSE)``: every level appears; unused levels get n = 0, NA values their own row.
 
     ``levels`` is a one-column frame of the level domain (one row per level).
     The counts are aggregated first, so the join is between two small tables.
     """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"), *aggs)
-    lv = levels.select(F.col(levels.columns[0]).alias(col)).distinct()
-    out = lv.join(broadcast_if_small(counts), col, "left")
+    lv = levels.select(F.col(levels.columns[0]).alias(col)).where(F.col(col).isNotNull()).distinct()
+    out = lv.join(counts, col, "left").unionByName(counts.where(F.col(col).isNull()))
     return out.withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("bigint"))
 
 
@@ -38,13 +38,10 @@ def keep_on_rows(df: DataFrame, by: Sequence[str], summary: DataFrame) -> DataFr
     """Grouped ``mutate(stat = f(x))``: aggregate once, join the result back on the keys.
 
     Scales better than a window that buffers a whole group in one task; the
-    join is null-safe so an NA key keeps its group's statistic.
+    join is null-safe so an NA key keeps its group's statistic.  It is left to
+    the planner, which broadcasts the summary once its real size is known to be
+    small and splits hot keys otherwise.
     """
     s = summary.select(*[F.col(b).alias(f"_k_{b}") for b in by],
                        *[c for c in summary.columns if c not in by])
-    s = broadcast_if_small(s)  # one row per group: broadcast when the group count checks out
-    cond = None
-    for b in by:
-        c = df[b].eqNullSafe(s[f"_k_{b}"])
-        cond = c if cond is None else cond & c
-    return df.join(s, cond, "left").drop(*[f"_k_{b}" for b in by])
+    return df.join(s, match_groups(df, s, [(b, f"_k_{b}") for b in by]), "left").drop(*[f"_k_{b}" for b in by])

@@ -4,18 +4,18 @@ A factor is not a Spark type (a UDT would block pushdown and codegen).  The
 values stay a plain string column; the level order lives in a small table,
 computed by one aggregation over the data (its size is the number of levels)
 or given as a literal list.  Fixed lists are applied with ``array_position``
-inside codegen; data-derived level tables are joined back behind a size check.
+inside codegen; data-derived level tables of any size are numbered by the
+distributed scan and joined back.
 """
 
 from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.plans.broadcast import broadcast_if_small
-
-from tessera.functions.dates import MONTH_ABB  # noqa: E402,F401
+from tessera.functions.dates import MONTH_ABB  # noqa: F401
+from tessera.plans.ordered import exact_quantiles, group_positions, scan, value_scan
 
 
 def level_table(levels: DataFrame | Sequence[str], spark=None) -> DataFrame:
@@ -50,30 +50,27 @@ def fct_strict(df: DataFrame, col: str, levels: Sequence[str]) -> DataFrame:
 def levels_sorted(df: DataFrame, col: str) -> DataFrame:
     """Default ``factor`` levels: distinct values in sort order."""
     d = df.select(F.col(col).alias("level")).filter(F.col("level").isNotNull()).distinct()
-    return d.withColumn("ord", F.row_number().over(Window.orderBy("level")).cast("bigint"))
+    return group_positions(d, [], ["level"], "ord")
 
 
 def levels_first_seen(df: DataFrame, col: str, order_by: Sequence[str]) -> DataFrame:
     """Default ``fct`` levels: order of first appearance along ``order_by``."""
     first = df.groupBy(F.col(col).alias("level")).agg(F.min(F.struct(*order_by)).alias("_first"))
-    return (first.filter(F.col("level").isNotNull())
-            .withColumn("ord", F.row_number().over(Window.orderBy("_first")).cast("bigint")).drop("_first"))
+    return group_positions(first.filter(F.col("level").isNotNull()), [], ["_first"], "ord").drop("_first")
 
 
 def levels_by(df: DataFrame, col: str, stat: Column, descending: bool = False) -> DataFrame:
     """Levels ordered by a per-level statistic (``fct_reorder`` with ``.fun``), ties by level."""
     s = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("level")).agg(stat.alias("_s"))
     o = F.col("_s").desc_nulls_last() if descending else F.col("_s").asc_nulls_last()
-    return s.withColumn("ord", F.row_number().over(Window.orderBy(o, "level")).cast("bigint")).drop("_s")
+    return group_positions(s, [], [o, "level"], "ord").drop("_s")
 
 
 def fct_reorder_median(df: DataFrame, col: str, x: str) -> DataFrame:
     """``fct_reorder(f, x)``: levels by the exact median of ``x``, ascending."""
-    from tessera.plans.ordered import exact_quantiles
     med = exact_quantiles(df.filter(F.col(col).isNotNull()), x, [0.5], by=[col]).select(
         F.col(col).alias("level"), F.col("q0").alias("_s"))
-    return med.withColumn("ord", F.row_number().over(Window.orderBy(F.col("_s").asc_nulls_last(), "level"))
-                          .cast("bigint")).drop("_s")
+    return group_positions(med, [], [F.col("_s").asc_nulls_last(), "level"], "ord").drop("_s")
 
 
 def fct_reorder2(df: DataFrame, col: str, x: str, y: str) -> DataFrame:
@@ -97,14 +94,14 @@ def fct_relevel(levels: DataFrame, first: Sequence[str]) -> DataFrame:
     """``fct_relevel(f, ...)``: the named levels first, the rest keep their order."""
     pos = F.array_position(F.array(*[F.lit(v) for v in first]), F.col("level"))
     key = F.when(pos > 0, pos - len(first) - 1).otherwise(F.col("ord"))
-    return levels.withColumn("ord", F.row_number().over(Window.orderBy(key)).cast("bigint"))
+    return group_positions(levels.withColumn("_key", key).drop("ord"), [], ["_key"], "ord").drop("_key")
 
 
 def apply_levels(df: DataFrame, col: str, levels: DataFrame, ord_col: str | None = None) -> DataFrame:
-    """Attach the level position of ``col`` from a level table (broadcast after a size check)."""
+    """Attach the level position of ``col`` from a level table ."""
     ord_col = ord_col or f"{col}_ord"
     lv = levels.select(F.col("level").alias(col), F.col("ord").alias(ord_col))
-    return df.join(broadcast_if_small(lv), col, "left")
+    return df.join(lv, col, "left")
 
 
 def fct_recode(col: str | Column, mapping: Mapping[str, str]) -> Column:
@@ -135,14 +132,11 @@ def lump_lowfreq_table(counts: DataFrame, other: str = "Other") -> DataFrame:
     exceeds the sum of all smaller ones; every later level is lumped, so the
     lump stays the smallest level.  The table holds one row per level.
     """
-    w = Window.orderBy(F.desc("n"), "level")
-    c = (counts.withColumn("_i", F.row_number().over(w))
-         .withColumn("_left", F.sum("n").over(w.rowsBetween(1, Window.unboundedFollowing))))
-    c = c.withColumn("_left", F.coalesce("_left", F.lit(0)))
-    cut = F.min(F.when(F.col("n") > F.col("_left"), F.col("_i"))).over(Window.partitionBy())
-    c = c.withColumn("_cut", F.coalesce(cut, F.lit(10 ** 9)))
-    return c.select("level", F.when(F.col("_i") > F.col("_cut"), F.lit(other)).otherwise(F.col("level"))
-                    .alias("new_level"))
+    c = scan(counts, [], [F.desc("n"), "level"], pos="_i", sums=[("n", "_cum")])
+    total = counts.agg(F.sum("n")).scalar()
+    cut = c.agg(F.min(F.when(F.col("n") > total - F.col("_cum"), F.col("_i")))).first()[0]
+    lumped = F.col("_i") > F.lit(cut) if cut is not None else F.lit(False)
+    return c.select("level", F.when(lumped, F.lit(other)).otherwise(F.col("level")).alias("new_level"))
 
 
 def lump_n_table(counts: DataFrame, n: int, other: str = "Other") -> DataFrame:
@@ -151,8 +145,9 @@ def lump_n_table(counts: DataFrame, n: int, other: str = "Other") -> DataFrame:
     Nothing is lumped if only one level would be.  An existing level named
     like the lump merges with it.
     """
-    r = counts.withColumn("_r", F.rank().over(Window.orderBy(F.desc("n"))))
-    n_out = F.sum((F.col("_r") > n).cast("int")).over(Window.partitionBy())
+    sizes = value_scan(counts, [], "n").select(F.col("n").alias("_size"), (F.col("_total") - F.col("_cum") + 1).alias("_r"))
+    r = counts.join(sizes, F.col("n") == F.col("_size"))
+    n_out = r.agg(F.count_if(F.col("_r") > n)).scalar()
     return r.select("level", F.when((F.col("_r") > n) & (n_out > 1), F.lit(other))
                     .otherwise(F.col("level")).alias("new_level"))
 

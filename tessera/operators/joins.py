@@ -1,8 +1,8 @@
 """Joins with the reference's key semantics.
 
 Join strategy is left to Catalyst and AQE (broadcast / shuffle-hash /
-sort-merge, skew splitting).  Lookup-sized sides go through
-``broadcast_if_small`` so a broadcast always has a checked size bound.
+sort-merge, skew splitting): a side is broadcast once its real size, known at
+run time, is small.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.plans.broadcast import broadcast_if_small
-
 
 def natural_keys(left: DataFrame, right: DataFrame) -> list[str]:
     return [c for c in left.columns if c in right.columns]
@@ -30,21 +28,14 @@ def anti_join(left: DataFrame, right: DataFrame, by: Sequence[str] | None = None
     return left.join(r, _null_safe_cond(left, r, keys), "left_anti")
 
 
-def semi_join(left: DataFrame, right: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
-    keys = list(by) if by else natural_keys(left, right)
-    r = right.select(*keys)
-    return left.join(r, _null_safe_cond(left, r, keys), "left_semi")
-
-
 def membership_flag(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str,
                     name: str = "present") -> DataFrame:
     """``mutate(present = key %in% lookup$key)`` as a column (never NA).
 
-    A left join to the *distinct* lookup keys keeps the row count; the key list
-    is broadcast only if its size checks out.
+    A left join to the *distinct* lookup keys keeps the row count.
     """
     keys = lookup.select(F.col(lookup_key).alias("_mk")).distinct().withColumn("_mhit", F.lit(True))
-    j = df.join(broadcast_if_small(keys), df[key] == F.col("_mk"), "left")
+    j = df.join(keys, df[key] == F.col("_mk"), "left")
     return j.withColumn(name, F.coalesce(F.col("_mhit"), F.lit(False))).drop("_mk", "_mhit")
 
 

@@ -65,6 +65,6 @@ def summary_cols(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     base = long.groupBy("skim_variable").agg(F.min("value").alias("min"), F.avg("value").alias("mean"),
                                              F.max("value").alias("max"))
     q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], by=["skim_variable"])
-    out = base.join(q, "skim_variable")
+    out = base.join(q, "skim_variable", "left")
     return out.select(F.col("skim_variable").alias("variable"), "min", F.col("q0").alias("q1"),
                       F.col("q1").alias("median"), "mean", F.col("q2").alias("q3"), "max")

@@ -1,11 +1,9 @@
 """Pivots, completion of key combinations, and filling of missing values.
 
 Completion never uses a cross join: the first key keeps its observed values
-as a distributed frame, and each further key is expanded per row from its
-bounded domain (an array computed once by a scalar subquery or given as a
-literal), which plans as a Generate.  Fill-down uses the distributed running
-sum of ``tessera.plans.ordered`` plus an equi-join, so no group has to fit in
-one task.
+as a distributed frame, and each further key's domain is dealt into chunks of
+bounded size that the frame meets by an equi-join on the chunk number and
+expands in the row.  Fill-down is one distributed ordered scan.
 """
 
 from __future__ import annotations
@@ -14,9 +12,10 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.plans.ordered import running_sum
+from tessera.plans.ordered import match_groups, scan
 
-MAX_DOMAIN = 100_000
+#: values of a key domain that one row expands to at once
+CHUNK = 1000
 
 
 def pivot_wider(df: DataFrame, ids: Sequence[str], names_from: str, values_from: str,
@@ -34,51 +33,43 @@ def pivot_longer(df: DataFrame, ids: Sequence[str], cols: Sequence[str], names_t
     return df.unpivot(list(ids), list(cols), names_to, values_to)
 
 
-def domain(df: DataFrame, col: str) -> Column:
-    """The distinct values of ``col`` as one array (a scalar subquery; bounded domains only)."""
-    n = df.select(col).distinct().limit(MAX_DOMAIN + 1).count()
-    if n > MAX_DOMAIN:
-        raise ValueError(f"domain of {col} has more than {MAX_DOMAIN} values; complete it by a join instead")
-    return df.agg(F.array_sort(F.collect_set(col))).scalar()
+def domain(df: DataFrame, col: str) -> DataFrame:
+    """The distinct values of ``col`` (NA included where it occurs), as a frame of any size."""
+    return df.select(F.col(col).alias("value")).distinct()
 
 
-def complete(df: DataFrame, first: str, others: Mapping[str, Column | Sequence]) -> DataFrame:
+def _expand(frame: DataFrame, key: str, values: DataFrame) -> DataFrame:
+    """Every row of ``frame`` with every value: chunks of the domain are joined by number, then exploded."""
+    chunks = max(1, -(-values.count() // CHUNK))
+    dealt = (values.groupBy(F.pmod(F.xxhash64("value"), F.lit(chunks)).cast("int").alias("_part"))
+             .agg(F.collect_list(F.struct("value")).alias("_values")))
+    rows = frame.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    return rows.join(dealt, "_part").withColumn("_values", F.explode("_values")).withColumn(key, F.col("_values.value")).drop("_part", "_values")
+
+
+def complete(df: DataFrame, first: str, others: Mapping[str, Column | DataFrame | Sequence]) -> DataFrame:
     """``complete(first, other...)``: every combination of observed / given key values.
 
-    ``others`` maps a key to its domain: an array Column (e.g. :func:`domain`)
-    or a literal list (``complete(year = 2019:2021)``).  Missing combinations
-    get NA in the value columns.
+    ``others`` maps a key to its domain: a one-column frame (:func:`domain`), an
+    array Column or a literal list (``complete(year = 2019:2021)``).  Missing
+    combinations get NA in the value columns; rows outside the given domains stay.
     """
     keys = [first] + list(others)
     frame = df.select(F.col(first).alias(f"_c_{first}")).distinct()
     for k, dom in others.items():
-        arr = dom if isinstance(dom, Column) else F.array(*[F.lit(v) for v in dom])
-        frame = frame.withColumn(f"_c_{k}", F.explode(arr))
+        if isinstance(dom, DataFrame):
+            frame = _expand(frame, f"_c_{k}", dom)
+        else:
+            arr = dom if isinstance(dom, Column) else F.array(*[F.lit(v) for v in dom])
+            frame = frame.withColumn(f"_c_{k}", F.explode(arr))
+    frame = frame.withColumn("_in", F.lit(True))
     data = df.select(*[F.col(c).alias(f"_d_{c}") for c in df.columns])
-    cond = None
-    for k in keys:
-        c = F.col(f"_c_{k}").eqNullSafe(F.col(f"_d_{k}"))
-        cond = c if cond is None else cond & c
-    out = frame.join(data, cond, "left")
-    return out.select(*[F.col(f"_c_{k}").alias(k) for k in keys],
+    out = frame.join(data, match_groups(frame, data, [(f"_c_{k}", f"_d_{k}") for k in keys]), "full")
+    return out.select(*[F.when(F.col("_in"), F.col(f"_c_{k}")).otherwise(F.col(f"_d_{k}")).alias(k) for k in keys],
                       *[F.col(f"_d_{c}").alias(c) for c in df.columns if c not in keys])
 
 
 def fill_down(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """``fill(cols)``: last observation carried forward along ``order`` within groups.
-
-    For each column: a running count of non-NA values numbers the runs, and the
-    run's first (non-NA) value is joined back on (group, run number).
-    """
-    out = df
-    for c in cols:
-        out = running_sum(out.withColumn("_seen", F.col(c).isNotNull().cast("long")), by, order, "_seen", "_run")
-        vals = out.filter(F.col(c).isNotNull()).select(*[F.col(b).alias(f"_f_{b}") for b in by],
-                                                       F.col("_run").alias("_frun"), F.col(c).alias("_fval"))
-        cond = out["_run"] == vals["_frun"]
-        for b in by:
-            cond = cond & out[b].eqNullSafe(vals[f"_f_{b}"])
-        out = (out.join(vals, cond, "left")
-               .withColumn(c, F.coalesce(F.col(c), F.col("_fval")))
-               .drop("_seen", "_run", "_frun", "_fval", *[f"_f_{b}" for b in by]))
-    return out
+    """``fill(cols)``: last observation carried forward along ``order`` within groups, all columns in one scan."""
+    filled = scan(df, by, order, fills=[(c, f"_fill_{c}") for c in cols])
+    return filled.select(*[F.col(f"_fill_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])

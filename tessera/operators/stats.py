@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.operators.agg import keep_on_rows
-from tessera.plans.ordered import exact_quantiles, group_positions
+from tessera.plans.ordered import exact_quantiles, match_groups, quantiles_of, value_scan
 
 
 def _n():
@@ -48,15 +48,12 @@ def histogram(df: DataFrame, x: str, width: float, by: Sequence[str] = (), bound
     h = d.groupBy(*by, "_k").agg(_n())
     if fill_empty:
         from tessera.operators.reshape import complete
-        kmin = d.agg(F.min("_k")).scalar()
-        kmax = d.agg(F.max("_k")).scalar()
-        keys = list(by)
-        if keys:
-            g = d.select(*keys).distinct().withColumn("_k", F.explode(F.sequence(kmin, kmax)))
-            h = g.join(h, [*keys, "_k"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
-        else:
-            h = complete(h.withColumn("_one", F.lit(1)), "_one", {"_k": F.sequence(kmin, kmax)}).drop("_one") \
-                .withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
+        ends = h.agg(F.min("_k"), F.max("_k")).first()
+        every = df.sparkSession.range(ends[0] or 0, (ends[1] or 0) + 1).select(F.col("id").alias("value")) if ends[0] is not None \
+            else df.sparkSession.range(0).select(F.col("id").alias("value"))
+        group = F.struct(*by) if by else F.lit(1)
+        h = complete(h.select(group.alias("_group"), "_k", "n"), "_group", {"_k": every})
+        h = h.select(*[F.col("_group")[b].alias(b) for b in by], "_k", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
     tot = h.groupBy(*by).agg(F.sum("n").alias("_tot")) if by else None
     h = keep_on_rows(h, list(by), tot) if by else h.withColumn("_tot", F.lit(d.agg(F.count(F.lit(1))).scalar()))
     return h.select(*by, (F.lit(b) + (F.col("_k") - 1) * width).alias("xmin"),
@@ -78,29 +75,24 @@ def histogram_bins(df: DataFrame, x: str, bins: int = 30, by: Sequence[str] = ()
 
 # ---------------------------------------------------------------- densities
 
-def kde(df: DataFrame, x: str, bw: float, by: Sequence[str] = (), n_grid: int = 512,
-        fine: int = 8, cut: float = 4.0) -> DataFrame:
-    """Gaussian kernel density on a ``n_grid``-point grid over the data range, per group.
+def kde(df: DataFrame, x: str, bw: float | None = None, by: Sequence[str] = (), n_grid: int = 512, fine: int = 8) -> DataFrame:
+    """Gaussian kernel density on a ``n_grid``-point grid over the data range, every grid point of every group.
 
-    Values are first counted in fine bins of width ``bw / fine`` (a bounded
-    table), then each bin contributes to the grid points within ``cut`` * bw
-    of its centre (an explode of a short index range, not a cross join).
+    Values are first counted in fine bins of width ``bw / fine``; every bin then
+    adds to every grid point, summed before the shuffle.  Without ``bw`` it is R's
+    default bandwidth of all values.
     """
+    bw = bw or bw_nrd0(df, x)
     d = df.filter(F.col(x).isNotNull())
     lo, hi = d.agg(F.min(x)).scalar(), d.agg(F.max(x)).scalar()
     step = (hi - lo) / (n_grid - 1)
     h = bw / fine
     binned = d.groupBy(*by, F.floor((F.col(x) - lo) / h).alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
     binned = binned.withColumn("_ctr", F.lit(lo) + (F.col("_b") + 0.5) * h)
-    first = F.greatest(F.ceil((F.col("_ctr") - cut * bw - lo) / step), F.lit(0))
-    last = F.least(F.floor((F.col("_ctr") + cut * bw - lo) / step), F.lit(n_grid - 1))
-    e = binned.withColumn("_g", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
-    gx = F.lit(lo) + F.col("_g") * step
-    z = (gx - F.col("_ctr")) / bw
+    e = binned.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(n_grid - 1))))
+    z = (F.lit(lo) + F.col("_g") * step - F.col("_ctr")) / bw
     contrib = F.col("_c") * F.exp(-0.5 * z * z) / math.sqrt(2 * math.pi)
-    dens = e.groupBy(*by, "_g").agg(F.sum(contrib).alias("_s"))
-    tot = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else None
-    dens = keep_on_rows(dens, list(by), tot) if by else dens.withColumn("_n", F.lit(d.count()))
+    dens = e.groupBy(*by, "_g").agg(F.sum(contrib).alias("_s"), F.sum("_c").alias("_n"))
     return dens.select(*by, "_g", (F.lit(lo) + F.col("_g") * step).alias("x"),
                        (F.col("_s") / (F.col("_n") * bw)).alias("density"))
 
@@ -117,16 +109,28 @@ def bw_nrd0(df: DataFrame, x: str) -> float:
 
 def boxplot_stats(df: DataFrame, x: str, by: Sequence[str], coef: float = 1.5) -> DataFrame:
     """``geom_boxplot``: Q1 / median / Q3 (type 7), whiskers at the extreme values
-    within ``coef`` * IQR of the box, number of outliers, and sqrt(n) width."""
-    d = df.select(*by, x).filter(F.col(x).isNotNull())
-    q = exact_quantiles(d, x, [0.25, 0.5, 0.75], by=by, with_n=True).withColumnRenamed("q0", "lower") \
-        .withColumnRenamed("q1", "middle").withColumnRenamed("q2", "upper")
-    j = keep_on_rows(d, list(by), q)
+    within ``coef`` * IQR of the box, number of outliers, and sqrt(n) width.
+
+    All from one table of distinct values with their counts.  A group of NA only
+    keeps its row, with n = 0.
+    """
+    by = list(by)
+    values = value_scan(df.select(*by, F.col(x).cast("double").alias("_v")), by, "_v")
+    q = quantiles_of(values, "_v", [0.25, 0.5, 0.75], by, with_n=True).withColumnsRenamed({"q0": "lower", "q1": "middle", "q2": "upper"})
     iqr = F.col("upper") - F.col("lower")
-    inside = (F.col(x) >= F.col("lower") - coef * iqr) & (F.col(x) <= F.col("upper") + coef * iqr)
-    w = j.groupBy(*by).agg(F.min(F.when(inside, F.col(x))).alias("ymin"), F.max(F.when(inside, F.col(x))).alias("ymax"),
-                          F.count_if(~inside).alias("n_out"))
-    return q.join(w, list(by)).withColumn("relvarwidth", F.sqrt("n"))
+    inside = (F.col("_v") >= F.col("lower") - coef * iqr) & (F.col("_v") <= F.col("upper") + coef * iqr)
+    w = keep_on_rows(values, by, q.drop("n")).groupBy(*by).agg(
+        F.min(F.when(inside, F.col("_v"))).alias("ymin"), F.max(F.when(inside, F.col("_v"))).alias("ymax"),
+        F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("n_out"))
+    return keep_on_rows(q, by, w).withColumn("relvarwidth", F.sqrt("n"))
+
+
+def boxplot_outliers(df: DataFrame, x: str, by: Sequence[str], coef: float = 1.5) -> DataFrame:
+    """The rows that ``geom_boxplot`` draws as points: beyond ``coef`` * IQR of their group's box."""
+    q = exact_quantiles(df, x, [0.25, 0.75], by=by)
+    j = keep_on_rows(df, list(by), q)
+    iqr = F.col("q1") - F.col("q0")
+    return j.filter((F.col(x) < F.col("q0") - coef * iqr) | (F.col(x) > F.col("q1") + coef * iqr)).drop("q0", "q1")
 
 
 def outlier_na(df: DataFrame, x: str, by: Sequence[str], coef: float = 2.0) -> DataFrame:
@@ -139,34 +143,33 @@ def outlier_na(df: DataFrame, x: str, by: Sequence[str], coef: float = 2.0) -> D
     return j.withColumn(x, F.when(out, F.lit(None)).otherwise(F.col(x))).drop("_q25", "_q75")
 
 
-def letter_values(df: DataFrame, x: str, by: Sequence[str], max_k: int = 20) -> DataFrame:
-    """Letter values (letter-value plot): depth d1 = (1 + n) / 2, d(k+1) = (1 + floor(d(k))) / 2,
-    for k = 1 .. floor(log2 n) - 3 (Tukey's rule, at least 1).  Each letter value
-    averages the order statistics at floor(d) and ceil(d), from below and from above.
+def letter_depths(n: Column) -> Column:
+    """Depths of all letter values of ``n`` observations: d1 = (1 + n) / 2, d(k+1) = (1 + floor(d(k))) / 2,
+    for k = 1 .. floor(log2 n) - 3 (Tukey's rule, at least 1)."""
+    first = F.array(((n + 1) / F.lit(2.0)).cast("double"))
+    more = F.greatest(F.floor(F.log2(n)).cast("int") - 4, F.lit(0))
+    return F.aggregate(F.sequence(F.lit(0), more), F.slice(first, 1, 0),
+                       lambda acc, k: F.concat(acc, F.when(k == 0, first).otherwise(
+                           F.array((F.floor(F.element_at(acc, -1)) + 1) / F.lit(2.0)))))
+
+
+def letter_values(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
+    """Letter values (letter-value plot): each averages the order statistics at floor(d)
+    and ceil(d) of its depth ``d``, from below and from above.
+
+    The order statistics come from the table of distinct values with running
+    counts; the letters follow from the group's size, without a limit.
     """
     by = list(by)
-    d = df.select(*by, x).filter(F.col(x).isNotNull())
-    n = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    # depths per group: a short array built by column arithmetic (no driver loop over data)
-    depth = (F.col("_n") + 1) / 2.0
-    depths = []
-    for _ in range(max_k):
-        depths.append(depth)
-        depth = (F.floor(depth) + 1) / 2.0
-    kmax = F.greatest(F.floor(F.log2("_n")) - 3, F.lit(1)).cast("int")
-    lv = n.select(*by, "_n", F.posexplode(F.array(*depths)).alias("_i", "depth")).filter(F.col("_i") < kmax)
-    lv = lv.withColumn("k", (F.col("_i") + 1).cast("bigint"))
-    pos = group_positions(d, by, [F.col(x).asc()], name="_p")
-    # four order statistics per letter: floor/ceil depth from below and from above
-    want = lv.select(*by, "k", "depth", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), F.floor("depth").cast("bigint").alias("_p")),
-        F.struct(F.lit("lo").alias("side"), F.ceil("depth").cast("bigint").alias("_p")),
-        F.struct(F.lit("hi").alias("side"), (F.col("_n") + 1 - F.floor("depth")).cast("bigint").alias("_p")),
-        F.struct(F.lit("hi").alias("side"), (F.col("_n") + 1 - F.ceil("depth")).cast("bigint").alias("_p")))).alias("w"))
-    want = want.select(*by, "k", "depth", "w.side", "w._p")
-    got = want.join(pos.select(*by, "_p", x), [*by, "_p"])
-    return got.groupBy(*by, "k", "depth").agg(F.avg(F.when(F.col("side") == "lo", F.col(x))).alias("lower"),
-                                             F.avg(F.when(F.col("side") == "hi", F.col(x))).alias("upper"))
+    values = value_scan(df, by, x).filter(F.col(x).isNotNull())
+    n = F.col("_total")
+    wanted = F.flatten(F.transform(letter_depths(n), lambda d, i: F.array(*[
+        F.struct((i + 1).cast("bigint").alias("k"), d.alias("depth"), F.lit(side).alias("side"), pos.cast("bigint").alias("p"))
+        for side, pos in (("lo", F.floor(d)), ("lo", F.ceil(d)), ("hi", n + 1 - F.floor(d)), ("hi", n + 1 - F.ceil(d)))])))
+    # each distinct value keeps the order statistics it covers
+    got = values.select(*by, x, F.explode(F.filter(wanted, lambda w: (w["p"] > F.col("_cum") - F.col("_n")) & (w["p"] <= F.col("_cum")))).alias("w"))
+    return got.groupBy(*by, F.col("w.k").alias("k"), F.col("w.depth").alias("depth")).agg(
+        F.avg(F.when(F.col("w.side") == "lo", F.col(x))).alias("lower"), F.avg(F.when(F.col("w.side") == "hi", F.col(x))).alias("upper"))
 
 
 # ---------------------------------------------------------------- 2-D bins

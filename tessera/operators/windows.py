@@ -1,10 +1,10 @@
 """Ranks, offsets and running values within groups, with R's NA rules.
 
-Ranks and offsets are built on the distributed positions of
-``tessera.plans.ordered`` (range partitioning + a small slice table) plus
-aggregations and joins, so a group that holds a third of the rows is still
-spread over many tasks.  Window functions are used only on aggregated,
-bounded tables (shares within a group, level tables).
+Ranks come from the table of distinct values with running counts, joined back
+on (group, value); offsets and running sums from one distributed ordered scan
+(``tessera.plans.ordered``), so a group that holds a third of the rows is still
+spread over many tasks.  Window functions are used only on aggregated, bounded
+tables (shares within a group).
 """
 
 from __future__ import annotations
@@ -13,33 +13,20 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tessera.plans.ordered import group_positions, running_sum  # noqa: F401
-
-
-def _eq_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    cond = None
-    for a, b in pairs:
-        c = left[a].eqNullSafe(right[b])
-        cond = c if cond is None else cond & c
-    return cond
+from tessera.plans.ordered import group_positions, match_groups, running_sum, scan, value_scan  # noqa: F401
 
 
 def _attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left-join a per-key statistic table back onto the rows (null-safe keys)."""
     s = stats.select(*[F.col(k).alias(f"_w_{k}") for k in keys], *[c for c in stats.columns if c not in keys])
-    return df.join(s, _eq_keys(df, s, [(k, f"_w_{k}") for k in keys]), "left").drop(*[f"_w_{k}" for k in keys])
-
-
-def _order_value(x: str, desc: bool) -> Column:
-    return F.col(x).desc() if desc else F.col(x).asc()
+    return df.join(s, match_groups(df, s, [(k, f"_w_{k}") for k in keys]), "left").drop(*[f"_w_{k}" for k in keys])
 
 
 def min_rank(df: DataFrame, by: Sequence[str], x: str, name: str = "min_rank", desc: bool = False) -> DataFrame:
     """``min_rank(x)``: ties share the lowest rank; NA gets NA and is not counted."""
     by = list(by)
-    nn = df.filter(F.col(x).isNotNull()).select(*by, x)
-    pos = group_positions(nn, by, [_order_value(x, desc)], name="_p")
-    r = pos.groupBy(*by, x).agg(F.min("_p").alias(name))
+    first = F.col("_total") - F.col("_cum") + 1 if desc else F.col("_cum") - F.col("_n") + 1
+    r = value_scan(df, by, x).filter(F.col(x).isNotNull()).select(*by, x, first.cast("bigint").alias(name))
     return _attach(df, r, by + [x])
 
 
@@ -47,7 +34,7 @@ def dense_rank(df: DataFrame, by: Sequence[str], x: str, name: str = "dense_rank
     """``dense_rank(x)``: ranks of the distinct values; NA gets NA."""
     by = list(by)
     d = df.filter(F.col(x).isNotNull()).select(*by, x).distinct()
-    r = group_positions(d, by, [_order_value(x, desc)], name=name)
+    r = group_positions(d, by, [F.col(x).desc() if desc else F.col(x).asc()], name=name)
     return _attach(df, r, by + [x])
 
 
@@ -61,48 +48,26 @@ def row_number(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
     return nn.unionByName(na)
 
 
-def group_counts(df: DataFrame, by: Sequence[str], x: str, name: str = "_n") -> DataFrame:
-    return df.groupBy(*by).agg(F.count(F.col(x)).alias(name))
-
-
 def percent_rank(df: DataFrame, by: Sequence[str], x: str, name: str = "percent_rank") -> DataFrame:
     """``percent_rank(x)`` = (min_rank - 1) / (number of non-NA - 1)."""
     by = list(by)
-    r = min_rank(df, by, x, name="_mr")
-    r = _attach(r, group_counts(df, by, x), by) if by else r.withColumn("_n", F.lit(df.agg(F.count(x)).scalar()))
-    return r.withColumn(name, F.try_divide(F.col("_mr") - 1, (F.col("_n") - 1).cast("double"))).drop("_mr", "_n")
+    rank0 = F.try_divide(F.col("_cum") - F.col("_n"), (F.col("_total") - 1).cast("double"))
+    r = value_scan(df, by, x).filter(F.col(x).isNotNull()).select(*by, x, rank0.alias(name))
+    return _attach(df, r, by + [x])
 
 
 def cume_dist(df: DataFrame, by: Sequence[str], x: str, name: str = "cume_dist") -> DataFrame:
     """``cume_dist(x)``: share of non-NA values <= x."""
     by = list(by)
-    nn = df.filter(F.col(x).isNotNull()).select(*by, x)
-    pos = group_positions(nn, by, [F.col(x).asc()], name="_p")
-    le = pos.groupBy(*by, x).agg(F.max("_p").alias("_le"))
-    n = group_counts(df, by, x)
-    le = _attach(le, n, by) if by else le.withColumn("_n", F.lit(df.agg(F.count(x)).scalar()))
-    le = le.select(*by, x, (F.col("_le") / F.col("_n")).alias(name))
-    return _attach(df, le, by + [x])
+    r = value_scan(df, by, x).filter(F.col(x).isNotNull()).select(*by, x, (F.col("_cum") / F.col("_total")).alias(name))
+    return _attach(df, r, by + [x])
 
 
 def lag(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], x: str, n: int = 1,
         name: str | None = None, pos_name: str = "_pos", keep_pos: bool = False) -> DataFrame:
-    """``lag(x, n)`` along a total ``order`` within groups (``n < 0`` gives ``lead``).
-
-    Positions come from the distributed scan; the value ``n`` rows back is
-    fetched by an equi-join on (group, position), which has unique keys and so
-    no skew.
-    """
-    by = list(by)
+    """``lag(x, n)`` along a total ``order`` within groups (``n < 0`` gives ``lead``)."""
     name = name or (f"lag_{x}" if n > 0 else f"lead_{x}")
-    p = group_positions(df, by, order, name=pos_name) if pos_name not in df.columns else df
-    prev = p.select(*[F.col(b).alias(f"_l_{b}") for b in by], (F.col(pos_name) + n).alias("_lp"),
-                    F.col(x).alias(name))
-    cond = p[pos_name] == prev["_lp"]
-    for b in by:
-        cond = cond & p[b].eqNullSafe(prev[f"_l_{b}"])
-    out = p.join(prev, cond, "left").drop("_lp", *[f"_l_{b}" for b in by])
-    return out if keep_pos else out.drop(pos_name)
+    return scan(df, by, order, pos=pos_name if keep_pos else None, lags=[(x, n, name)])
 
 
 def share_within(n: str, by: Sequence[str], name: str = "prop") -> Column:

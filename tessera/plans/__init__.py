@@ -1 +1 @@
-"""Physical-plan helpers: checked broadcast, distributed ordered scans, lineage cuts."""
+"""Physical-plan helpers: the distributed ordered scan."""

@@ -1,144 +1,305 @@
 """Ordered computations that never hold a whole group in one task.
 
-Exact quantiles, positions (``row_number``), ``nth`` values and running sums
-over a group ordering would, written as a window or an exact ``percentile``,
+A ``row_number``, running sum, lag or exact quantile written as a window would
 put every row of a group into one task: a key that holds a third of the data
-would make one task read a third of the data.  Here the rows are instead
-range-partitioned on ``(group..., order...)``, so a hot group spreads over
-many partitions of bounded size, and each partition is sorted locally:
-
-1. ``repartitionByRange`` + ``sortWithinPartitions``; every row gets the
-   partition id and a row id that increases along the sort
-   (``monotonically_increasing_id``).  The result is checkpointed to the
-   shared checkpoint folder, which pins the ids for both later passes and
-   cuts the lineage (a lost executor re-reads files, not a re-sampled range
-   shuffle).
-2. A small *slice* table, one row per (partition, group): row count, first
-   row id, and the count of the group's rows in earlier partitions (a window
-   over the slice table, whose size is bounded by partitions + groups).
-3. Positions are ``offset + (row id - first row id)``; the slice table is
-   joined back behind a size check.
-
-This is the two-level prefix scan.  Quantiles only fetch the 2 rows per
-probability and group that the type-7 formula needs.
+would make one task read a third of the data.  :func:`scan` does it in one
+range shuffle:
+
+1. Rows are range-partitioned on ``(group..., order..., tie-break)`` and sorted,
+   so a hot group, and a hot run of equal values, spreads over partitions.
+2. One Arrow pass over each sorted partition computes positions, running sums,
+   offsets and last-seen values inside the partition, in bounded batches.
+3. The rows are checkpointed to the shared checkpoint folder: that fixes the
+   partitions for what follows and cuts the lineage.
+4. Only a partition's *first* group can have rows in earlier partitions.  So
+   what each partition must add to it is one row per partition (``n`` rows for an
+   offset by ``n``); these are combined in partition order and broadcast, bounded
+   by the number of partitions.
+
+Ranks and quantiles scan the table of distinct values with their counts
+(:func:`value_scan`), so ties are one row and rows themselves are not ordered.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tessera.plans.broadcast import broadcast_if_small
 from tessera.session import ensure_checkpoint_dir
 
-
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_PARTITIONS = 200_000
+#: rows of columnar files take about this many times their size in a shuffle
+EXPANSION = 4
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Input volume of a plan: the largest leaf relation's size, times a decompression allowance.
+def n_partitions(df: DataFrame) -> int:
+    """Range partitions for ``df``: by the bytes of the files below it, at least the shuffle setting.
 
-    Join estimates without table statistics multiply sizes and are useless
-    here, so only the leaves (file scans, cached relations) are read.
+    AQE does not resize an explicit ``repartitionByRange(n)``.  Sizes come from the
+    plan's file listing; a leaf without files (checkpointed rows) counts by its
+    partitions.
     """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-        return 3 * max(sizes) if sizes else 0
-    except Exception:  # noqa: BLE001 - no estimate: fall back to the configured partition count
-        return 0
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size, parts = 0, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        kind = leaf.getClass().getSimpleName()
+        if kind == "LogicalRelation":
+            size += int(str(leaf.stats().sizeInBytes()))
+        elif kind == "LogicalRDD":
+            parts = max(parts, leaf.rdd().getNumPartitions())
+    return max(parts, -(-EXPANSION * size // TARGET_PARTITION_BYTES))
 
 
-def _n_partitions(df: DataFrame, n: int | None) -> int:
-    """Number of range partitions: at least the shuffle setting, and enough for ~128 MB each.
+def _order_cols(order: Sequence[str | Column]) -> list[Column]:
+    return [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
 
-    An explicit ``repartitionByRange(n)`` is not resized by AQE, so the count
-    is derived from the input size instead of a fixed setting.
-    """
-    if n:
-        return n
-    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if base >= 1000:  # a cluster-sized setting is taken as is
-        return base
-    by_size = 0
-    return int(max(base, min(by_size, MAX_PARTITIONS)))
 
+def _pass(sums, lags, fills, names):
+    """The pass over one partition; all it needs is inside, so that it travels to executors by value."""
+    class _Local:
+        """The state of one partition's pass: what the next batch needs from those before."""
 
-def _order_cols(order: Sequence[str | Column]) -> list[Column]:
-    return [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
+        def __init__(self, sums, lags, fills):
+            self.sums, self.lags, self.fills = sums, lags, fills
+            self.back = max([n for _, n, _ in lags if n > 0], default=0)
+            self.ahead = max([-n for _, n, _ in lags if n < 0], default=0)
+            self.at = 0  # rows of the partition before the batch
+            self.group = None  # group of the last row seen
+            self.first = None  # group of the partition's first row
+            self.pos = 0
+            self.total = [0 for _ in sums]
+            self.nulls = [0 for _ in sums]
+            self.seen = [None for _ in fills]
 
+        def columns(self, t: pa.RecordBatch) -> list[pa.Array]:
+            """Index, whether in the first group, position, sums with null counts, last-seen values."""
+            g = t.column("_g").to_numpy()
+            n = len(g)
+            if self.first is None:
+                self.first = g[0]
+            new = np.ones(n, bool)
+            new[1:] = g[1:] != g[:-1]
+            new[0] = self.group is None or g[0] != self.group
+            i = np.arange(n)
+            start = np.maximum.accumulate(np.where(new, i, -1))  # -1: the group began before
+            pos = np.where(start >= 0, i - start + 1, self.pos + i + 1)
+            out = [pa.array(self.at + i), pa.array(g == self.first), pa.array(pos)]
+            for k, (col, _) in enumerate(self.sums):
+                v = t.column(col)
+                null = v.is_null().to_numpy(zero_copy_only=False)
+                v = pc.fill_null(v, 0).to_numpy()
+                for values, kept in ((v, self.total), (null.astype(np.int64), self.nulls)):
+                    c = np.cumsum(values)
+                    base = np.where(start > 0, c[np.maximum(start, 1) - 1], 0)
+                    r = np.where(start >= 0, c - base, c + kept[k])
+                    kept[k] = r[-1]
+                    out.append(pa.array(r))
+            for k, (col, _) in enumerate(self.fills):
+                v = t.column(col)
+                last = np.maximum.accumulate(np.where(v.is_valid().to_numpy(zero_copy_only=False), i, -1))
+                own = last >= np.maximum(start, 0)
+                old = self.seen[k] if self.seen[k] is not None else pa.nulls(1, v.type)
+                both = pa.concat_arrays([old, v])
+                take = np.where(own, last + 1, np.where(start < 0, 0, -1))
+                got = both.take(pa.array(np.maximum(take, 0), mask=take < 0))
+                self.seen[k] = got.slice(n - 1, 1)
+                out.append(got)
+            self.at, self.group, self.pos = self.at + n, g[-1], int(pos[-1])
+            return out
 
-def ranked(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
-           num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Range-partition and locally sort; return (rows with _pid/_rid, slice table).
+        def offsets(self, t: pa.RecordBatch, lo: int, hi: int) -> list[pa.Array]:
+            """Values ``n`` rows back (ahead, where negative) of rows lo..hi; null outside the batch or the group."""
+            g = t.column("_g").to_numpy()
+            i = np.arange(lo, hi)
+            out = []
+            for col, n, _ in self.lags:
+                j = i - n
+                ok = (j >= 0) & (j < len(g))
+                ok[ok] = g[j[ok]] == g[i[ok]]
+                out.append(t.column(col).take(pa.array(np.where(ok, j, 0), mask=~ok)) if len(g) else t.column(col))
+            return out
 
-    The slice table has ``by..., _pid, _n, _r0, _off`` where ``_off`` is the
-    number of the group's rows in earlier partitions.
+    def run(batches):
+        s = _Local(sums, lags, fills)
+        held = None  # rows before the next ones to emit (context), then rows not emitted yet
+        done = 0  # how many of the held rows are context
+        for b in batches:
+            if not b.num_rows:
+                continue
+            b = pa.RecordBatch.from_arrays([*b.columns, *s.columns(b)], [*b.schema.names, *names])
+            if held is not None:
+                b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+            hi = max(done, b.num_rows - s.ahead)
+            if hi > done:
+                out = b.slice(done, hi - done)
+                yield pa.RecordBatch.from_arrays([*out.columns, *s.offsets(b, done, hi)], [*b.schema.names, *[x for *_, x in lags]])
+            keep = max(0, hi - s.back)
+            held, done = b.slice(keep), hi - keep
+        if held is not None and held.num_rows > done:
+            out = held.slice(done)
+            yield pa.RecordBatch.from_arrays([*out.columns, *s.offsets(held, done, held.num_rows)],
+                                             [*held.schema.names, *[x for *_, x in lags]])
+
+    return run
+
+
+def scan(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], *, pos: str | None = None,
+         sums: Sequence[tuple[str, str]] = (), lags: Sequence[tuple[str, int, str]] = (),
+         fills: Sequence[tuple[str, str]] = (), num_partitions: int | None = None) -> DataFrame:
+    """Add, along ``order`` inside each group of ``by``:
+
+    * ``pos``: the row's number from 1;
+    * ``sums`` ``(column, name)``: the running sum, NA from the first NA on;
+    * ``lags`` ``(column, n, name)``: the value ``n`` rows before (after, if negative);
+    * ``fills`` ``(column, name)``: the last value that is not NA, up to this row.
+
+    Rows that ``order`` does not tell apart come in any order.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    keys = [F.col(b).asc_nulls_last() for b in by] + _order_cols(order)
-    n = _n_partitions(df, num_partitions)
-    rows = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-            .withColumn("_pid", F.spark_partition_id())
-            .withColumn("_rid", F.monotonically_increasing_id())
-            .checkpoint(eager=True))
-    slices = rows.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_n"), F.min("_rid").alias("_r0"))
-    w = Window.partitionBy(*by).orderBy("_pid")
-    slices = slices.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return rows, slices
-
-
-def _join_slices(rows: DataFrame, slices: DataFrame, by: Sequence[str]) -> DataFrame:
-    s = slices.select("_pid", *[F.col(b).alias(f"_s_{b}") for b in by], "_off", "_r0")
-    cond = rows["_pid"] == s["_pid"]
-    for b in by:
-        cond = cond & rows[b].eqNullSafe(s[f"_s_{b}"])
-    j = rows.join(broadcast_if_small(s), cond).drop(s["_pid"])
-    return j.drop(*[f"_s_{b}" for b in by])
+    spark = df.sparkSession
+    group = F.xxhash64(*by) if by else F.lit(0).cast("bigint")
+    # sums: whole numbers and decimals exactly, as long; anything else as double
+    prep, undo, plan = df, {}, []
+    for k, (col, name) in enumerate(sums):
+        kind = df.schema[col].dataType
+        if isinstance(kind, T.DecimalType):
+            prep = prep.withColumn(f"_v{k}", (F.col(col) * F.lit(10 ** kind.scale)).cast("bigint"))
+            undo[name] = lambda c, kind=kind: (c / F.lit(10 ** kind.scale)).cast(T.DecimalType(38, kind.scale))
+        elif isinstance(kind, T.IntegralType):
+            prep = prep.withColumn(f"_v{k}", F.col(col).cast("bigint"))
+        else:
+            prep = prep.withColumn(f"_v{k}", F.col(col).cast("double"))
+        plan.append((f"_v{k}", name))
+    prep = prep.withColumn("_g", group).withColumn("_tie", F.monotonically_increasing_id())
+    keys = [F.col(b).asc_nulls_last() for b in by] + _order_cols(order) + [F.col("_tie")]
+    rows = prep.repartitionByRange(num_partitions or n_partitions(df), *keys).sortWithinPartitions(*keys).drop("_tie")
+
+    extra = [("_rid", T.LongType()), ("_head", T.BooleanType()), ("_pos", T.LongType())]
+    for k, (col, _) in enumerate(plan):
+        extra += [(f"_s{k}", prep.schema[col].dataType), (f"_z{k}", T.LongType())]
+    extra += [(f"_f{k}", df.schema[col].dataType) for k, (col, _) in enumerate(fills)]
+    offset = [(f"_l{k}", df.schema[col].dataType) for k, (col, *_) in enumerate(lags)]
+    inner = [(col, n, f"_l{k}") for k, (col, n, _) in enumerate(lags)]
+    schema = T.StructType([*rows.schema.fields, *[T.StructField(a, b) for a, b in extra + offset]])
+    local = rows.mapInArrow(_pass(plan, inner, fills, [a for a, _ in extra]), schema)
+    local = local.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+
+    out = _add_carries(local, plan, fills) if pos or sums or fills else local
+    if lags:
+        out = _add_offsets(local, out, inner)
+    new = [F.col("_pos").alias(pos)] if pos else []
+    for k, (_, name) in enumerate(sums):
+        value = F.when(F.col(f"_z{k}") == 0, F.col(f"_s{k}"))
+        new.append((undo[name](value) if name in undo else value).alias(name))
+    new += [F.col(f"_l{k}").alias(name) for k, (*_, name) in enumerate(lags)]
+    new += [F.col(f"_f{k}").alias(name) for k, (_, name) in enumerate(fills)]
+    made = {*([pos] if pos else []), *[x[-1] for x in (*sums, *lags, *fills)]}
+    return out.select(*[c for c in df.columns if c not in made], *new)
+
+
+def _add_carries(local: DataFrame, sums, fills) -> DataFrame:
+    """Add to each partition's first group what it has in earlier partitions (one row per partition)."""
+    names = ["_g", "_head", "_pos", *[f"_s{k}" for k in range(len(sums))], *[f"_z{k}" for k in range(len(sums))],
+             *[f"_f{k}" for k in range(len(fills))]]
+    ends = (local.groupBy("_pid").agg(F.min_by("_g", "_rid").alias("first"), F.max_by(F.struct(*names), "_rid").alias("last"))
+            .orderBy("_pid").collect())
+    n_add = 1 + 2 * len(sums)
+    carry, group, held = [], None, None
+    for r in ends:
+        last = list(r["last"])
+        if group is not None and r["first"] == group:
+            carry.append((r["_pid"], *held))
+            if last[1]:  # the whole partition is this group: the carry goes on
+                last[2:2 + n_add] = [a + b for a, b in zip(last[2:2 + n_add], held[:n_add])]
+                last[2 + n_add:] = [a if a is not None else b for a, b in zip(last[2 + n_add:], held[n_add:])]
+        group, held = last[0], last[2:]
+    if not carry:
+        return local
+    fields = [T.StructField("_cp", T.IntegerType())] + [T.StructField("_c" + c, local.schema[c].dataType) for c in names[2:]]
+    table = F.broadcast(local.sparkSession.createDataFrame(carry, T.StructType(fields)))
+    out = local.join(table, (local["_pid"] == table["_cp"]) & local["_head"], "left")
+    values = {c: F.col(c) + F.coalesce(F.col("_c" + c), F.lit(0)) for c in names[2:2 + n_add]}
+    values |= {c: F.coalesce(c, "_c" + c) for c in names[2 + n_add:]}
+    return out.withColumns(values).drop("_cp", *["_c" + c for c in names[2:]])
+
+
+def _add_offsets(local: DataFrame, out: DataFrame, lags) -> DataFrame:
+    """Fill offsets that reach into neighbouring partitions (n rows at each end of a partition)."""
+    most = max(abs(n) for _, n, _ in lags)
+    size = F.broadcast(local.groupBy("_pid").agg(F.count("*").alias("_size")).withColumnRenamed("_pid", "_sp"))
+    cols = list(dict.fromkeys(c for c, *_ in lags))
+    edge = (local.join(size, local["_pid"] == F.col("_sp"))
+            .where((F.col("_rid") < most) | (F.col("_rid") >= F.col("_size") - most))
+            .select("_pid", "_rid", "_g", "_size", *cols).orderBy("_pid", "_rid").collect())
+    # edges in order; between the two edges of a larger partition lie rows that no offset across can reach
+    line: list = []
+    for k, r in enumerate(edge):
+        if line and r["_pid"] == edge[k - 1]["_pid"] and r["_rid"] != edge[k - 1]["_rid"] + 1:
+            line += [None] * most
+        line.append(r)
+    found = []
+    for i, r in enumerate(line):
+        if r is None:
+            continue
+        values = []
+        for col, n, _ in lags:
+            j = i - n
+            other = line[j] if 0 <= j < len(line) else None
+            values.append(other[col] if other is not None and other["_pid"] != r["_pid"] and other["_g"] == r["_g"] else None)
+        if any(v is not None for v in values):
+            found.append((r["_pid"], r["_rid"], *values))
+    if not found:
+        return out
+    fields = [T.StructField("_ep", T.IntegerType()), T.StructField("_er", T.LongType())]
+    fields += [T.StructField("_e" + name, local.schema[col].dataType) for col, _, name in lags]
+    table = F.broadcast(local.sparkSession.createDataFrame(found, T.StructType(fields)))
+    joined = out.join(table, (out["_pid"] == table["_ep"]) & (out["_rid"] == table["_er"]), "left")
+    return joined.withColumns({name: F.coalesce(name, "_e" + name) for *_, name in lags}).drop("_ep", "_er", *["_e" + x for *_, x in lags])
 
 
 def group_positions(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
                     name: str = "pos", num_partitions: int | None = None) -> DataFrame:
-    """``row_number()`` within each group along a total ``order``, without a per-group task."""
-    rows, slices = ranked(df, by, order, num_partitions)
-    j = _join_slices(rows, slices, by)
-    return (j.withColumn(name, (F.col("_off") + F.col("_rid") - F.col("_r0") + 1).cast("bigint"))
-            .drop("_pid", "_rid", "_off", "_r0"))
+    """``row_number()`` within each group along ``order``, without a per-group task."""
+    return scan(df, by, order, pos=name, num_partitions=num_partitions)
 
 
 def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], value: str,
                 name: str = "cum", num_partitions: int | None = None) -> DataFrame:
-    """``cumsum(value)`` within each group along a total ``order``; an NA poisons the rest.
+    """``cumsum(value)`` within each group along ``order``; an NA poisons the rest."""
+    return scan(df, by, order, sums=[(value, name)], num_partitions=num_partitions)
+
+
+def match_groups(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Null-safe equality of key columns: an NA key is a group like any other."""
+    cond = F.lit(True)
+    for a, b in pairs:
+        cond = cond & left[a].eqNullSafe(right[b])
+    return cond
+
 
-    Local running sums are computed per (partition, group) slice, and the sums
-    of earlier slices of the group are added from the small slice table.
+def value_scan(df: DataFrame, by: Sequence[str], x: str, num_partitions: int | None = None) -> DataFrame:
+    """One row per group and distinct value that is not NA: ``by..., x, _n, _cum, _total``.
+
+    ``_n`` rows have the value, ``_cum`` have it or a smaller one, ``_total`` have any.
+    A group whose values are all NA has one row with NA in ``x``, ``_n`` and ``_cum`` and
+    0 in ``_total``.
     """
-    keys = [F.col(b).asc_nulls_last() for b in by] + _order_cols(order)
-    n = _n_partitions(df, num_partitions)
-    ensure_checkpoint_dir(df.sparkSession)
-    rows = (df.withColumn("_isna", F.col(value).isNull().cast("int"))
-            .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-            .withColumn("_pid", F.spark_partition_id())
-            .withColumn("_rid", F.monotonically_increasing_id())
-            .checkpoint(eager=True))
-    lw = Window.partitionBy("_pid", *by).orderBy("_rid").rowsBetween(Window.unboundedPreceding, 0)
-    local = (rows.withColumn("_ls", F.sum(value).over(lw))
-             .withColumn("_lna", F.sum("_isna").over(lw)))
-    slices = rows.groupBy("_pid", *by).agg(F.sum(value).alias("_ss"), F.sum("_isna").alias("_sna"))
-    w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (slices.withColumn("_poff", F.coalesce(F.sum("_ss").over(w), F.lit(0)))
-              .withColumn("_pna", F.coalesce(F.sum("_sna").over(w), F.lit(0)))
-              .select("_pid", *[F.col(b).alias(f"_s_{b}") for b in by], "_poff", "_pna"))
-    cond = local["_pid"] == slices["_pid"]
-    for b in by:
-        cond = cond & local[b].eqNullSafe(slices[f"_s_{b}"])
-    j = local.join(broadcast_if_small(slices), cond)
-    total = F.when((F.col("_lna") + F.col("_pna")) == 0, F.col("_ls") + F.col("_poff"))
-    return (j.withColumn(name, total)
-            .drop("_pid", "_rid", "_ls", "_lna", "_poff", "_pna", "_isna", *[f"_s_{b}" for b in by]))
+    by = list(by)
+    value = F.when(~F.isnan(x), F.col(x)) if isinstance(df.schema[x].dataType, (T.DoubleType, T.FloatType)) else F.col(x)
+    counts = df.select(*by, value.alias(x)).groupBy(*by, x).agg(F.count(F.lit(1)).alias("_n"))
+    known = scan(counts.where(F.col(x).isNotNull()), by, [F.col(x).asc()], sums=[("_n", "_cum")], num_partitions=num_partitions)
+    totals = counts.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col(x).isNotNull(), F.col("_n"))), F.lit(0)).alias("_total"))
+    t = totals.select(*[F.col(b).alias(f"_t_{b}") for b in by], "_total")
+    if not by:
+        total = t.first()["_total"]
+        return known.withColumn("_total", F.lit(total).cast("bigint"))
+    joined = t.join(known, match_groups(known, t, [(b, f"_t_{b}") for b in by]), "left")
+    return joined.select(*[F.col(f"_t_{b}").alias(b) for b in by], x, "_n", "_cum", "_total")
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
@@ -148,37 +309,27 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
 
     Returns ``by..., q0, q1, ...`` (one column per probability, in order),
     plus ``n`` with ``with_n``.  Matches R ``quantile(type = 7)``, Spark
-    ``percentile`` and DuckDB ``quantile_cont``, but no task ever holds more
-    than one range partition of values.
+    ``percentile`` and DuckDB ``quantile_cont``; a group of NA only has NA.
     """
     by = list(by)
-    v = F.col(value).cast("double")
-    d = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan(F.col("_v")))
-    rows, slices = ranked(d, by, ["_v"], num_partitions)
-    gw = Window.partitionBy(*by)
-    slices = slices.withColumn("_ng", F.sum("_n").over(gw))
-    # every target 0-based position (lo and hi per probability) that falls in a slice
-    targets = []
+    v = df.select(*by, F.col(value).cast("double").alias("_v"))
+    scanned = value_scan(v, by, "_v", num_partitions)
+    return quantiles_of(scanned, "_v", probs, by, prefix, with_n)
+
+
+def quantiles_of(scanned: DataFrame, x: str, probs: Sequence[float], by: Sequence[str], prefix: str = "q",
+                 with_n: bool = False) -> DataFrame:
+    """Type-7 quantiles from the result of :func:`value_scan`: one aggregate, a pair of order statistics a probability."""
+    def at(p: Column) -> Column:
+        return F.max(F.when((F.col("_cum") - F.col("_n") < p) & (p <= F.col("_cum")), F.col(x).cast("double")))
+
+    aggs = [F.max("_total").alias("_total")]
+    for k, p in enumerate(probs):
+        h = (F.col("_total") - 1) * F.lit(float(p)) + 1
+        aggs += [at(F.floor(h)).alias(f"_lo{k}"), at(F.least(F.floor(h) + 1, F.col("_total"))).alias(f"_hi{k}")]
+    g = scanned.groupBy(*by).agg(*aggs)
+    out = []
     for k, p in enumerate(probs):
-        h = (F.col("_ng") - 1) * F.lit(float(p))
-        lo = F.floor(h)
-        hi = F.least(lo + 1, F.col("_ng") - 1)
-        for which, pos in ((0, lo), (1, hi)):
-            targets.append(F.struct(F.lit(k).alias("k"), F.lit(which).alias("which"),
-                                    pos.cast("bigint").alias("pos"), (h - lo).alias("frac")))
-    t = (slices.select(*by, "_off", "_n", "_r0", "_ng", F.explode(F.array(*targets)).alias("t"))
-         .select(*by, "_off", "_n", "_r0", "_ng", "t.*")
-         .filter((F.col("pos") >= F.col("_off")) & (F.col("pos") < F.col("_off") + F.col("_n")))
-         .select(*[F.col(b).alias(f"_t_{b}") for b in by], "k", "which", "frac", "_ng",
-                 (F.col("_r0") + F.col("pos") - F.col("_off")).alias("_rid")))
-    got = rows.join(broadcast_if_small(t), "_rid")
-    per = got.groupBy(*[f"_t_{b}" for b in by], "k").agg(
-        F.max(F.when(F.col("which") == 0, F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("which") == 1, F.col("_v"))).alias("_hi"),
-        F.max("frac").alias("_f"), F.max("_ng").alias("_ng"))
-    per = per.withColumn("_q", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))
-    aggs = [F.max(F.when(F.col("k") == k, F.col("_q"))).alias(f"{prefix}{k}") for k in range(len(probs))]
-    if with_n:
-        aggs.append(F.max("_ng").alias("n"))
-    out = per.groupBy(*[F.col(f"_t_{b}").alias(b) for b in by]).agg(*aggs)
-    return out
+        h = (F.col("_total") - 1) * F.lit(float(p)) + 1
+        out.append((F.col(f"_lo{k}") + (F.col(f"_hi{k}") - F.col(f"_lo{k}")) * (h - F.floor(h))).alias(f"{prefix}{k}"))
+    return g.select(*by, *out, *([F.col("_total").alias("n")] if with_n else []))

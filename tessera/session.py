@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a checkpoint's files go when nothing refers to it any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -34,8 +36,9 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> Spar
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this names shared storage and is left alone.  Only when it is
-    unset (a bare local test) is a scratch folder chosen.
+    On a cluster this names shared storage and is left alone.  Only where it is
+    unset on a local master (a bare test) is a scratch folder chosen: elsewhere a
+    folder of one machine would not be seen by the others, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()

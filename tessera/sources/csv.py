@@ -11,7 +11,7 @@ from tessera.session import ensure_checkpoint_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint directory (never a machine-local temp)."""
+    """A fresh folder under the checkpoint directory, which is shared except on a local master."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tessera-{name}-{uuid.uuid4().hex[:12]}"
 
@@ -36,13 +36,26 @@ def read_csv(spark: SparkSession, path: str, na: Sequence[str] | str | None = No
     ``na`` marks sentinel text read as NA in every column.  With ``schema`` the
     types are fixed up front (no inference pass), as a production job should.
     """
+    sentinels = [] if na is None else [na] if isinstance(na, str) else list(na)
     r = (spark.read.option("header", True)
          .option("ignoreLeadingWhiteSpace", True)
          .option("ignoreTrailingWhiteSpace", True))
-    if na is not None:
-        r = r.option("nullValue", na if isinstance(na, str) else na[0])
-    if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", True)
-    return r.csv(path)
+    if len(sentinels) <= 1:
+        r = r.option("nullValue", sentinels[0]) if sentinels else r
+        return (r.schema(schema) if schema is not None else r.option("inferSchema", True)).csv(path)
+    # several sentinels: read as text, blank every one of them, then give the columns their types
+    text = r.csv(path)
+    text = text.select(*[F.when(~F.col(c).isin(sentinels), F.col(c)).alias(c) for c in text.columns])
+    if schema is None:
+        schema = T.StructType([T.StructField(c, k) for c, k in _kinds(text).items()])
+    fields = schema.fields if isinstance(schema, T.StructType) else T._parse_datatype_string(schema).fields
+    return text.select(*[F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(text.columns, fields)])
+
+
+def _kinds(text: DataFrame) -> dict[str, T.DataType]:
+    """The narrowest type that all values of each text column have, found in one pass."""
+    order = [T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.DateType(), T.TimestampType()]
+    aggs = [F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(k).isNull()).alias(f"{i}_{j}")
+            for i, c in enumerate(text.columns) for j, k in enumerate(order)]
+    row = text.agg(*aggs).first()
+    return {c: next((k for j, k in enumerate(order) if row[f"{i}_{j}"] == 0), T.StringType()) for i, c in enumerate(text.columns)}

@@ -8,7 +8,6 @@ from tessera.functions import scalars
 from tessera.operators import factors, reshape, verbs, windows
 from tessera.operators.agg import keep_on_rows, n_distinct
 from tessera.operators.joins import membership_flag
-from tessera.plans.broadcast import broadcast_if_small
 from tessera.plans.ordered import exact_quantiles
 from tessera.workloads import query
 
@@ -97,7 +96,7 @@ def fast_outliers(t):
     flagged = keep_on_rows(d, ["origin", "dest"], q).withColumn(
         "fast", F.col("air_time") < F.col("q0") - 2 * (F.col("q2") - F.col("q0")))
     cnt = flagged.groupBy("origin", "dest").agg(F.count_if("fast").alias("n_fast"))
-    return q.join(cnt, ["origin", "dest"]).select(
+    return keep_on_rows(q, ["origin", "dest"], cnt).select(
         "origin", "dest", F.round("q0", 6).alias("at_q25"), F.round("q1", 6).alias("at_q50"),
         F.round("q2", 6).alias("at_q75"), "n_fast")
 
@@ -184,7 +183,7 @@ def absent_by_carrier(t):
 
 @query("month_dest_heat", section="2.21", sql="""
 WITH s AS (SELECT month, dest, CASE WHEN count(*) > 5 THEN round(avg(dep_delay), 6) END AS dep_delay FROM deliveries
-           WHERE dep_delay > 1400 GROUP BY month, dest),
+           GROUP BY month, dest),
 c AS (SELECT m.month, d.dest, s.dep_delay FROM (SELECT DISTINCT month FROM s) m CROSS JOIN (SELECT DISTINCT dest FROM s) d
       LEFT JOIN s ON s.month = m.month AND s.dest = d.dest),
 k AS (SELECT * FROM c WHERE dest NOT IN (SELECT dest FROM c GROUP BY dest HAVING bool_or(dep_delay IS NULL)))
@@ -192,7 +191,7 @@ SELECT month, k.dest, dep_delay, dest_ord FROM k JOIN (SELECT dest, row_number()
   FROM k GROUP BY dest) o ON k.dest = o.dest""")
 def month_dest_heat(t):
     # suppress small cells -> complete(month, dest) -> drop destinations with a gap -> reorder by mean
-    s = (t.deliveries.filter(F.col("dep_delay") > 1400).groupBy("month", "dest")
+    s = (t.deliveries.groupBy("month", "dest")
          .agg(F.when(F.count(F.lit(1)) > 5, F.round(F.avg("dep_delay"), 6)).alias("dep_delay")))
     c = reshape.complete(s, "dest", {"month": reshape.domain(s, "month")})
     gap = c.groupBy("dest").agg(F.bool_or(F.col("dep_delay").isNull()).alias("_gap"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import factors
-from tessera.plans.broadcast import broadcast_if_small
 from tessera.workloads import query
 
 TYPO_MONTHS = ["Jam"] + factors.MONTH_ABB[1:]
@@ -110,7 +109,7 @@ def fct_lump_lowfreq(t):
     s = t.survey
     counts = s.groupBy(F.col("relig").alias("level")).agg(_n())
     m = factors.lump_lowfreq_table(counts)
-    return (s.join(broadcast_if_small(m), s.relig == m.level)  # one row per level
+    return (s.join(m, s.relig == m.level)  # one row per level
             .groupBy(F.col("new_level").alias("relig")).agg(_n()))
 
 
@@ -124,7 +123,7 @@ def fct_lump_n(t):
     s = t.survey
     counts = s.groupBy(F.col("relig").alias("level")).agg(_n())
     m = factors.lump_n_table(counts, 3)
-    return s.join(broadcast_if_small(m), s.relig == m.level).groupBy(F.col("new_level").alias("relig")).agg(_n())
+    return s.join(m, s.relig == m.level).groupBy(F.col("new_level").alias("relig")).agg(_n())
 
 
 @query("fct_interaction", section="2.11", sql="""

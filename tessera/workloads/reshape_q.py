@@ -42,19 +42,26 @@ def pivot_roundtrip(t):
 
 
 @query("complete_keys", section="2.8", sql="""
-SELECT c.cust, y.year, q.qtr, s.price FROM (SELECT DISTINCT cust FROM stocks_q) c
-CROSS JOIN (SELECT DISTINCT year FROM stocks_q) y CROSS JOIN (SELECT DISTINCT qtr FROM stocks_q) q
-LEFT JOIN stocks_q s ON s.cust = c.cust AND s.year = y.year AND s.qtr = q.qtr""")
+WITH f AS (SELECT c.cust, y.year, q.qtr, TRUE AS hit FROM (SELECT DISTINCT cust FROM stocks_q) c
+CROSS JOIN (SELECT DISTINCT year FROM stocks_q) y CROSS JOIN (SELECT DISTINCT qtr FROM stocks_q) q)
+SELECT CASE WHEN f.hit THEN f.cust ELSE s.cust END AS cust, CASE WHEN f.hit THEN f.year ELSE s.year END AS year,
+       CASE WHEN f.hit THEN f.qtr ELSE s.qtr END AS qtr, s.price
+FROM f FULL JOIN stocks_q s ON s.cust IS NOT DISTINCT FROM f.cust AND s.year IS NOT DISTINCT FROM f.year
+  AND s.qtr IS NOT DISTINCT FROM f.qtr""")
 def complete_keys(t):
     s = t.stocks_q
     return reshape.complete(s, "cust", {"year": reshape.domain(s, "year"), "qtr": reshape.domain(s, "qtr")})
 
 
 @query("complete_range", section="2.8", sql="""
-SELECT c.cust, y.year, q.qtr, s.price FROM (SELECT DISTINCT cust FROM stocks_q) c
-CROSS JOIN (SELECT * FROM range(1994, 2003) r(year)) y CROSS JOIN (SELECT DISTINCT qtr FROM stocks_q) q
-LEFT JOIN stocks_q s ON s.cust = c.cust AND s.year = y.year AND s.qtr = q.qtr""")
+WITH f AS (SELECT c.cust, y.year, q.qtr, TRUE AS hit FROM (SELECT DISTINCT cust FROM stocks_q) c
+CROSS JOIN (SELECT * FROM range(1994, 2003) r(year)) y CROSS JOIN (SELECT DISTINCT qtr FROM stocks_q) q)
+SELECT CASE WHEN f.hit THEN f.cust ELSE s.cust END AS cust, CASE WHEN f.hit THEN f.year ELSE s.year END AS year,
+       CASE WHEN f.hit THEN f.qtr ELSE s.qtr END AS qtr, s.price
+FROM f FULL JOIN stocks_q s ON s.cust IS NOT DISTINCT FROM f.cust AND s.year IS NOT DISTINCT FROM f.year
+  AND s.qtr IS NOT DISTINCT FROM f.qtr""")
 def complete_range(t):
+    # complete(year = 1994:2002) adds the years of the range; rows of other years stay
     s = t.stocks_q
     years = F.sequence(F.lit(1994).cast("bigint"), F.lit(2002).cast("bigint"))
     return reshape.complete(s, "cust", {"year": years, "qtr": reshape.domain(s, "qtr")})
@@ -89,16 +96,13 @@ def na_if(t):
 
 
 @query("drop_incomplete_groups", section="2.8", sql="""
-SELECT dest, month, n, mean_delay FROM (
-  SELECT dest, month, count(*) AS n, CASE WHEN count(*) > 5 THEN round(avg(dep_delay), 6) END AS mean_delay
-  FROM deliveries WHERE dep_delay > 1400 GROUP BY dest, month)
-WHERE dest NOT IN (SELECT dest FROM (SELECT dest, month, count(*) AS n FROM deliveries WHERE dep_delay > 1400
-  GROUP BY dest, month) GROUP BY dest HAVING bool_or(n <= 5))""")
+WITH g AS (SELECT dest, day, count(*) AS n, CASE WHEN count(*) > 35 THEN round(avg(dep_delay), 6) END AS mean_delay
+           FROM deliveries GROUP BY dest, day)
+SELECT dest, day, n, mean_delay FROM g WHERE dest NOT IN (SELECT dest FROM g GROUP BY dest HAVING bool_or(mean_delay IS NULL))""")
 def drop_incomplete_groups(t):
-    # mutate(any_na = any(is.na(mean)), .by = dest) |> filter(!any_na)
-    g = (t.deliveries.filter(F.col("dep_delay") > 1400).groupBy("dest", "month")
-         .agg(F.count(F.lit(1)).alias("n"),
-              F.when(F.count(F.lit(1)) > 5, F.round(F.avg("dep_delay"), 6)).alias("mean_delay")))
+    # mutate(any_na = any(is.na(mean)), .by = dest) |> filter(!any_na): small cells have no mean
+    g = t.deliveries.groupBy("dest", "day").agg(
+        F.count(F.lit(1)).alias("n"), F.when(F.count(F.lit(1)) > 35, F.round(F.avg("dep_delay"), 6)).alias("mean_delay"))
     flag = g.groupBy("dest").agg(F.bool_or(F.col("mean_delay").isNull()).alias("any_na"))
     return keep_on_rows(g, ["dest"], flag).filter(~F.col("any_na")).drop("any_na")
 

@@ -295,15 +295,18 @@ def week_label(t):
 
 
 @query("holiday_label", section="2.10", sql="""
-SELECT CASE WHEN month = 1 AND day = 1 THEN 'New Year' WHEN month = 7 AND day = 4 THEN '4th of July'
-  WHEN month = 12 AND day = 25 OR month = 12 AND day = 24 THEN 'Christmas' END AS holiday, count(*) AS n
-FROM deliveries WHERE month = 1 AND day = 1 OR month = 7 AND day = 4 OR month = 12 AND day IN (24, 25) GROUP BY 1""")
+SELECT holiday IS NOT NULL AS is_holiday, holiday, count(*) AS n FROM (
+  SELECT CASE WHEN month = 1 AND day = 1 THEN 'New Year' WHEN month = 7 AND day = 4 THEN '4th of July'
+    WHEN month = 11 AND day BETWEEN 22 AND 28 AND dayname(date) = 'Thursday' THEN 'Thanksgiving'
+    WHEN month = 12 AND day IN (24, 25) THEN 'Christmas' END AS holiday FROM deliveries) GROUP BY 1, 2""")
 def holiday_label(t):
+    # count(is_holiday, holiday) over all rows: ordinary days are counted too
     m, dd = F.col("month"), F.col("day")
-    flag = (m == 1) & (dd == 1) | (m == 7) & (dd == 4) | (m == 12) & dd.isin(24, 25)
-    lab = logic.case_when((((m == 1) & (dd == 1)), F.lit("New Year")), (((m == 7) & (dd == 4)), F.lit("4th of July")),
-                          ((m == 12) & (dd == 25) | (m == 12) & (dd == 24), F.lit("Christmas")))
-    return t.deliveries.filter(flag).groupBy(lab.alias("holiday")).agg(F.count(F.lit(1)).alias("n"))
+    thanks = (m == 11) & dd.between(22, 28) & (F.date_format("date", "EEEE") == "Thursday")
+    lab = logic.case_when(((m == 1) & (dd == 1), F.lit("New Year")), ((m == 7) & (dd == 4), F.lit("4th of July")),
+                          (thanks, F.lit("Thanksgiving")), ((m == 12) & dd.isin(24, 25), F.lit("Christmas")))
+    d = t.deliveries.select(lab.alias("holiday"))
+    return d.groupBy(F.col("holiday").isNotNull().alias("is_holiday"), "holiday").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("as_date", section="2.12", sql=f"SELECT {LK_SQL}, CAST(time_hour AS DATE) AS date_only FROM deliveries")

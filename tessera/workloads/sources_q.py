@@ -41,14 +41,16 @@ def read_csv_infer(t):
 
 @query("read_csv_na", section="2.1", sql="""
 SELECT CAST(CASE WHEN c_custkey = 99 THEN NULL ELSE c_custkey END AS INTEGER) AS c_custkey, CAST(CASE WHEN c_nationkey = 9 THEN NULL ELSE c_nationkey END AS INTEGER) AS nation,
-       CAST(CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey % 10 END AS INTEGER) AS digit FROM customer""")
+       CAST(CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey % 10 END AS INTEGER) AS digit,
+       CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE round(c_acctbal, 2) END AS balance FROM customer""")
 def read_csv_na(t):
-    # sentinel "99" in every column becomes NA
+    # the sentinels "99" and "unknown" become NA in every column
     src = t.customer.select("c_custkey", F.when(F.col("c_nationkey") == 9, F.lit(99))
                             .otherwise(F.col("c_nationkey")).alias("nation"),
                             F.when((F.col("c_custkey") % 10) == 0, F.lit(99)).otherwise(F.col("c_custkey") % 10)
-                            .alias("digit"))
-    return read_csv(t.spark, stage_csv(src, "na99"), na="99")
+                            .alias("digit"),
+                            F.when((F.col("c_custkey") % 4) == 0, F.lit("unknown")).otherwise(F.round("c_acctbal", 2).cast("string")).alias("balance"))
+    return read_csv(t.spark, stage_csv(src, "na99"), na=["99", "unknown"])
 
 
 @query("read_csv_factor", section="2.1", sql="""

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tessera.functions import scalars
 from tessera.operators import stats
 from tessera.operators.agg import count_with_levels
-from tessera.operators.sorting import hash_key, hash_key_sql
 from tessera.sources.views import CUT_LEVELS
 from tessera.workloads import query
 
@@ -126,8 +125,7 @@ r AS (SELECT min(v) AS lo, (max(v) - min(v)) / 511 AS step FROM d),
 b AS (SELECT cut, floor((v - r.lo) / {KDE_BW / 8}) AS bi, count(*) AS c FROM d, r GROUP BY cut, bi),
 e AS (SELECT cut, c, r.lo + (bi + 0.5) * {KDE_BW / 8} AS ctr, r.lo, r.step FROM b, r),
 g AS (SELECT cut, CAST(s.g AS INTEGER) AS g, sum(c * exp(-0.5 * pow(((e.lo + s.g * e.step) - ctr) / {KDE_BW}, 2)) / sqrt(2 * pi())) AS s
-      FROM e, range(CAST(greatest(ceil((ctr - {4 * KDE_BW} - e.lo) / e.step), 0) AS BIGINT),
-                    CAST(least(floor((ctr + {4 * KDE_BW} - e.lo) / e.step), 511) AS BIGINT) + 1) s(g) GROUP BY cut, s.g),
+      FROM e, range(0, 512) s(g) GROUP BY cut, s.g),
 n AS (SELECT cut, count(*) AS n FROM d GROUP BY cut)
 SELECT g.cut, CAST(g.g AS INTEGER) AS _g, round((SELECT lo FROM r) + g.g * (SELECT step FROM r), 6) AS x,
        round(s / (n.n * {KDE_BW}), 6) AS density FROM g JOIN n ON g.cut = n.cut""")
@@ -260,9 +258,41 @@ def pairs_matrix(t):
     return wide.selectExpr(f"stack({len(pairs)}, {stack}) AS (var1, var2, r)")
 
 
-@query("point_sample", section="2.13", sql=f"""
-SELECT carat, price FROM gems ORDER BY {hash_key_sql(42, ['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber'])} LIMIT 1000""")
+@query("point_sample", section="2.13", sql="SELECT carat, price FROM gems")
 def point_sample(t):
-    # overplotting control re-aimed: a bounded, reproducible sample of points (top-k by hash)
-    g = t.gems
-    return g.orderBy(hash_key(42, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])).limit(1000).select("carat", "price")
+    # geom_point draws every row; jitter and transparency are layout
+    return t.gems.select("carat", "price")
+
+
+@query("stat_histogram_default", section="2.13", sql="""
+WITH r AS (SELECT min(carat) AS lo, (max(carat) - min(carat)) / 29 AS w FROM gems),
+b AS (SELECT CAST(greatest(ceil((carat - (r.lo - r.w / 2)) / r.w), 1) AS BIGINT) AS k FROM gems, r)
+SELECT round((SELECT lo - w / 2 FROM r) + (k - 0.5) * (SELECT w FROM r), 6) AS x, count(*) AS n FROM b GROUP BY k""")
+def stat_histogram_default(t):
+    # geom_histogram() without a bin width: 30 bins
+    return stats.histogram_bins(t.gems, "carat").select(F.round("x", 6).alias("x"), "n")
+
+
+@query("stat_density_default", section="2.13", sql="""
+WITH d AS (SELECT log10(price) AS v FROM gems),
+p AS (SELECT 0.9 * least(stddev_samp(v), (quantile_cont(v, 0.75) - quantile_cont(v, 0.25)) / 1.34) * count(*) ^ (-0.2) AS bw,
+             min(v) AS lo, (max(v) - min(v)) / 511 AS step, count(*) AS n FROM d),
+b AS (SELECT floor((v - p.lo) / (p.bw / 8)) AS bi, count(*) AS c FROM d, p GROUP BY bi)
+SELECT round(p.lo + s.g * p.step, 6) AS x,
+       round(sum(c * exp(-0.5 * pow((p.lo + s.g * p.step - (p.lo + (bi + 0.5) * p.bw / 8)) / p.bw, 2)) / sqrt(2 * pi())) / (any_value(p.n) * any_value(p.bw)), 5) AS density
+FROM b, p, range(0, 512) s(g) GROUP BY p.lo, p.step, s.g""")
+def stat_density_default(t):
+    # geom_density() with the default bandwidth
+    k = stats.kde(t.gems.select(F.log10("price").alias("v")), "v")
+    return k.select(F.round("x", 6).alias("x"), F.round("density", 5).alias("density"))
+
+
+@query("boxplot_outliers", section="2.13", sql="""
+WITH q AS (SELECT cut, quantile_cont(price, 0.25) AS lo, quantile_cont(price, 0.75) AS hi FROM gems GROUP BY cut)
+SELECT g.cut, g.l_orderkey, g.l_linenumber, g.l_partkey, g.l_suppkey, round(g.price, 6) AS price FROM gems g JOIN q ON g.cut = q.cut
+WHERE price < lo - 0.5 * (hi - lo) OR price > hi + 0.5 * (hi - lo)""")
+def boxplot_outliers(t):
+    # the points beyond the whiskers, here at half an inter-quartile range
+    g = t.gems.select("cut", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "price")
+    o = stats.boxplot_outliers(g, "price", ["cut"], 0.5)
+    return o.withColumn("price", F.round("price", 6))

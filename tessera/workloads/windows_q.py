@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions.random import hash_uniform, hash_uniform_sql
 from tessera.operators import sorting, windows
 from tessera.operators.agg import keep_on_rows, n_distinct
-from tessera.plans.ordered import exact_quantiles
+from tessera.plans.ordered import exact_quantiles, scan
 from tessera.workloads import query
 
 KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"]
@@ -74,8 +74,7 @@ SELECT {KEY_SQL}, tailnum, dep_delay,
 FROM deliveries WINDOW w AS (PARTITION BY tailnum ORDER BY {ORDER_SQL})""")
 def lag_lead(t):
     d = _d(t, "date", "tailnum", "dep_delay")
-    d = windows.lag(d, ["tailnum"], ORDER, "dep_delay", 1, keep_pos=True)
-    d = windows.lag(d, ["tailnum"], ORDER, "dep_delay", -1, keep_pos=True)
+    d = scan(d, ["tailnum"], ORDER, pos="_pos", lags=[("dep_delay", 1, "lag_dep_delay"), ("dep_delay", -1, "lead_dep_delay")])
     # lag(x, default = first(x)): the default fills only the group's first row
     d = d.withColumn("lag_default", F.when(F.col("_pos") == 1, F.col("dep_delay")).otherwise(F.col("lag_dep_delay")))
     return d.drop("_pos", "date")
@@ -96,8 +95,7 @@ SELECT {KEY_SQL}, carrier, round(sum(distance) OVER w, 2) AS cum_distance,
 FROM deliveries WINDOW w AS (PARTITION BY carrier ORDER BY {ORDER_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def cumsum_col(t):
     d = _d(t, "date", "carrier", "distance", "dep_delay")
-    d = windows.running_sum(d, ["carrier"], ORDER, "distance", "cum_distance")
-    d = windows.running_sum(d, ["carrier"], ORDER, "dep_delay", "cum_delay")
+    d = scan(d, ["carrier"], ORDER, sums=[("distance", "cum_distance"), ("dep_delay", "cum_delay")])
     return d.select(*KEY, "carrier", F.round("cum_distance", 2).alias("cum_distance"), "cum_delay")
 
 
@@ -151,7 +149,7 @@ def group_stat_mutate(t):
     d = _d(t, "dest", "distance", "carrier")
     q = exact_quantiles(d, "distance", [0.9], by=["dest"]).select("dest", F.round("q0", 6).alias("q90"))
     s = d.groupBy("dest").agg(F.min("distance").alias("min_dist"), n_distinct("carrier").alias("n_carriers"))
-    return keep_on_rows(d, ["dest"], s.join(q, "dest")).drop("carrier")
+    return keep_on_rows(d, ["dest"], keep_on_rows(s, ["dest"], q)).drop("carrier")
 
 
 @query("rel_to_group_min", section="2.5", sql=f"""
@@ -224,13 +222,16 @@ def sort_factor(t):
     return apply_levels(s, "relig", levels_sorted(s, "relig")).orderBy("relig_ord", "id")
 
 
+SAMPLE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
 @query("sample_n", section="2.6", sql=f"""
-SELECT {KEY_SQL}, carat, price FROM gems_k ORDER BY {sorting.hash_key_sql(1984, ['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber'])} LIMIT 1000"""
-       .replace("gems_k", "gems JOIN lineitem USING (l_orderkey, l_partkey, l_suppkey, l_linenumber)"))
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, carat, price FROM gems
+ORDER BY {sorting.hash_key_sql(1984, SAMPLE_KEY)}, carat, price LIMIT 1000""")
 def sample_n(t):
-    g = t.gems.join(t.lineitem.select(*KEY), ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
-    s = sorting.sample_n(g, 1000, 1984, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
-    return s.select(*KEY, "carat", "price")
+    # equal rows have equal hashes: which of them is drawn makes no difference
+    g = t.gems.select(*SAMPLE_KEY, "carat", "price")
+    return g.orderBy(sorting.hash_key(1984, SAMPLE_KEY), "carat", "price").limit(1000)
 
 
 @query("sample_n_by", section="2.6", sql=f"""
