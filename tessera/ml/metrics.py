@@ -11,7 +11,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.plans.ordered import running_sum
+from tessera.plans.ordered import scan
 
 
 def rsq(df: DataFrame, truth: str, estimate: str) -> DataFrame:
@@ -71,8 +71,7 @@ def roc_curve(df: DataFrame, truth: str, score: str, event: str) -> DataFrame:
     share of non-events scoring < s.
     """
     s = _score_counts(df, truth, score, event)
-    s = running_sum(s, [], ["threshold"], "_e", "_ce")
-    s = running_sum(s, [], ["threshold"], "_ne", "_cne")
+    s = scan(s, [], ["threshold"], sums=[("_e", "_ce"), ("_ne", "_cne")])
     tot = df.agg(F.count_if(F.col(truth) == event).alias("n1"), F.count_if(F.col(truth) != event).alias("n0")).first()
     n1, n0 = float(tot["n1"]) or float("nan"), float(tot["n0"]) or float("nan")
     body = s.select(F.col("threshold").cast("double").alias("threshold"),
@@ -85,8 +84,14 @@ def roc_curve(df: DataFrame, truth: str, score: str, event: str) -> DataFrame:
 
 def roc_auc(df: DataFrame, truth: str, score: str, event: str) -> DataFrame:
     """``roc_auc``: Mann-Whitney statistic with ties counted half (= trapezoid area)."""
-    s = _score_counts(df, truth, score, event)
-    s = running_sum(s, [], ["threshold"], "_ne", "_cne")
+    return roc_auc_by(df, [], truth, score, event)
+
+
+def roc_auc_by(df: DataFrame, by: Sequence[str], truth: str, score: str, event: str) -> DataFrame:
+    """One AUC per group (per tuning candidate, say), all groups in one scan of the distinct scores."""
+    counts = df.groupBy(*by, F.col(score).alias("threshold")).agg(
+        F.count_if(F.col(truth) == event).alias("_e"), F.count_if(F.col(truth) != event).alias("_ne"))
+    s = scan(counts, by, ["threshold"], sums=[("_ne", "_cne")])
     below = F.col("_cne") - F.col("_ne")
-    return s.agg(F.try_divide(F.sum(F.col("_e") * (below + 0.5 * F.col("_ne"))),
-                              F.sum("_e") * F.sum("_ne")).cast("double").alias("roc_auc"))
+    return s.groupBy(*by).agg(F.try_divide(F.sum(F.col("_e") * (below + 0.5 * F.col("_ne"))),
+                                           F.sum("_e") * F.sum("_ne")).cast("double").alias("roc_auc"))

@@ -9,13 +9,14 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
+    DecisionTreeClassifier, LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.ml.distributions import norm_cdf, t_sf2
+from tessera.ml.distributions import norm_cdf
+from tessera.plans.ordered import exact_quantiles
 
 
 def linear_reg(**kw) -> LinearRegression:
@@ -34,23 +35,21 @@ def logistic_lasso(penalty: float, mixture: float = 1.0, **kw) -> LogisticRegres
                               tol=1e-6, **kw)
 
 
-def rand_forest(mtry: int, min_n: int, trees: int = 100, seed: int = 345, **kw) -> RandomForestClassifier:
-    """``rand_forest(mtry, min_n, trees)``: ``min_n`` bounds the node size through minInstancesPerNode."""
-    return RandomForestClassifier(numTrees=trees, featureSubsetStrategy=str(mtry),
-                                  minInstancesPerNode=max(1, min_n // 2), maxDepth=12, maxBins=64, seed=seed, **kw)
+def rand_forest(mtry: int, min_n: int, trees: int = 1000, seed: int = 345, depth: int = 30, bins: int = 64, **kw) -> RandomForestClassifier:
+    """``rand_forest(mtry, min_n, trees)`` on native factors.
 
-
-def decision_tree(min_split: int = 5, **kw) -> DecisionTreeClassifier:
-    """``rpart(method = "class", minsplit)``: CART with Gini impurity (no cost-complexity pruning)."""
-    return DecisionTreeClassifier(impurity="gini", minInstancesPerNode=max(1, min_split // 3), maxDepth=10, **kw)
+    ``min_n`` is the smallest node that is split; Spark bounds the children
+    instead, so a child may hold one row at least of a node of ``min_n``: the bound
+    is ``min_n / 2`` rounded up, its nearest match.  Depth is bounded by Spark's
+    limit of 30.
+    """
+    return RandomForestClassifier(numTrees=trees, featureSubsetStrategy=str(mtry), minInstancesPerNode=max(1, -(-min_n // 2)),
+                                  maxDepth=depth, maxBins=bins, seed=seed, maxMemoryInMB=1024, **kw)
 
 
-def mlp(n_features: int, hidden_units: int = 1, step: float = 0.03, max_iter: int = 200, seed: int = 1,
-        **kw) -> MultilayerPerceptronClassifier:
-    """``mlp(hidden_units)``: one hidden layer.  Spark's perceptron has no weight decay, so the
-    tuned parameter is the step size (documented departure from ``penalty``)."""
-    return MultilayerPerceptronClassifier(layers=[n_features, hidden_units, 2], stepSize=step, maxIter=max_iter,
-                                          seed=seed, solver="l-bfgs", **kw)
+def decision_tree(min_split: int = 5, depth: int = 30, **kw) -> DecisionTreeClassifier:
+    """``rpart(method = "class", minsplit)``: CART with Gini impurity (no cost-complexity pruning)."""
+    return DecisionTreeClassifier(impurity="gini", minInstancesPerNode=max(1, min_split // 3), maxDepth=depth, **kw)
 
 
 def event_probability(df: DataFrame, col: str = "probability", name: str = "pred_event") -> DataFrame:
@@ -109,36 +108,25 @@ def tidy_coefficients(spark: SparkSession, model, names: Sequence[str]) -> DataF
     return spark.createDataFrame(rows, "term string, estimate double")
 
 
-def importance_table(spark: SparkSession, model, names: Sequence[str], top: int = 20) -> DataFrame:
-    """``vip``: impurity importances (Spark normalises them to sum 1), top ``top`` terms."""
+def importance_table(spark: SparkSession, model, names: Sequence[str], top: int | None = None) -> DataFrame:
+    """``vip``: impurity importances (Spark normalises them to sum 1), all terms or the ``top`` first."""
     imp = model.featureImportances.toArray()
     rows = sorted(((n, float(v)) for n, v in zip(names, imp)), key=lambda r: -r[1])[:top]
     return spark.createDataFrame(rows, "variable string, importance double")
 
 
-def mlp_importance(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
-    """Weight-product importance of a one-hidden-unit network: |w_in * w_out| per input, scaled to 1."""
-    w = list(model.weights)
-    p = len(names)
-    hidden = model.getLayers()[1]
-    w_in = [w[i * hidden] for i in range(p)]  # weights from input i to hidden unit 1
-    w_out = w[p * hidden + hidden: p * hidden + hidden + 2 * hidden]
-    scale = abs(w_out[1] - w_out[0]) if len(w_out) >= 2 else 1.0
-    vals = [float(abs(a) * scale) for a in w_in]
-    tot = sum(vals) or 1.0
-    rows = sorted(((n, float(v / tot)) for n, v in zip(names, vals)), key=lambda r: -r[1])
-    return spark.createDataFrame(rows, "variable string, importance double")
-
-
 def fit_summary(spark: SparkSession, lm_model, n: int, p: int) -> DataFrame:
-    """``summary(lm)``: R^2, adjusted R^2, F statistic, residual sigma."""
+    """``summary(lm)``: R^2, adjusted R^2, F statistic, residual sigma and the residuals' five numbers."""
     s = lm_model.summary
     r2 = s.r2
     adj = 1 - (1 - r2) * (n - 1) / (n - p - 1)
     f = (r2 / p) / ((1 - r2) / (n - p - 1)) if r2 < 1 else float("inf")
     sigma = (s.meanSquaredError * n / (n - p - 1)) ** 0.5
-    return spark.createDataFrame([(float(r2), float(adj), float(f), float(sigma), int(n))],
-                                 "r_squared double, adj_r_squared double, f_statistic double, sigma double, n bigint")
+    q = exact_quantiles(s.residuals, "residuals", [0, 0.25, 0.5, 0.75, 1]).first()
+    return spark.createDataFrame(
+        [(float(r2), float(adj), float(f), float(sigma), int(n), *[float(q[f"q{i}"]) for i in range(5)])],
+        "r_squared double, adj_r_squared double, f_statistic double, sigma double, n bigint, "
+        "resid_min double, resid_q1 double, resid_median double, resid_q3 double, resid_max double")
 
 
 def coef_intervals(tidy: DataFrame, df_resid: float, level: float = 0.95) -> DataFrame:
@@ -148,6 +136,3 @@ def coef_intervals(tidy: DataFrame, df_resid: float, level: float = 0.95) -> Dat
     return tidy.select("term", "estimate", (F.col("estimate") - q * F.col("std_error")).alias("conf_low"),
                        (F.col("estimate") + q * F.col("std_error")).alias("conf_high"))
 
-
-def p_value_t(t: float, df: float) -> float:
-    return t_sf2(t, df)

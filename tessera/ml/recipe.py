@@ -12,27 +12,17 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tessera.functions.dates import FEASTS, date_parts, with_holiday_flags
 from tessera.operators.verbs import NUMERIC
 
 
-# Whole-stage codegen is switched off for an operator with more than
-# spark.sql.codegen.maxFields (default 100) fields; wide aggregates are split
-# into chunks below that bound.
-AGG_CHUNK = 40
-
-
-def _chunked_agg(df: DataFrame, cols: Sequence[str], make) -> dict:
-    """Run ``make(col) -> [aggregate columns]`` over ``cols`` in codegen-sized chunks; merge the rows."""
-    out: dict = {}
-    for i in range(0, len(cols), AGG_CHUNK):
-        aggs = [a for c in cols[i:i + AGG_CHUNK] for a in make(c)]
-        if aggs:
-            out.update(df.agg(*aggs).first().asDict())
-    return out
+def _one_pass(df: DataFrame, cols: Sequence[str], make) -> dict:
+    """Aggregate all ``cols`` in one pass over the data: ``make(col)`` gives a column's aggregates."""
+    aggs = [a for c in cols for a in make(c)]
+    return df.agg(*aggs).first().asDict() if aggs else {}
 
 
 class StepDate(Transformer):
@@ -68,22 +58,46 @@ class StepRm(Transformer):
         return df.drop(*self.cols)
 
 
-def _safe(level: str) -> str:
-    return "".join(ch if ch.isalnum() else "_" for ch in str(level))
+def level_names(col: str, levels: Sequence[str]) -> dict[str, str]:
+    """Column name of each level: letters and digits kept, anything else ``_``; names that clash get a number."""
+    out, used = {}, set()
+    for v in levels:
+        base = name = col + "_" + "".join(ch if ch.isalnum() else "_" for ch in str(v))
+        k = 2
+        while name in used:
+            name, k = f"{base}_{k}", k + 1
+        used.add(name)
+        out[v] = name
+    return out
+
+
+def nominal_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted levels of each column: distinct (column, level) pairs, found by Spark; they become model columns, so the driver holds them."""
+    long = df.select(*cols).unpivot([], list(cols), "c", "level").where("level is not null").distinct()
+    out: dict[str, list[str]] = {c: [] for c in cols}
+    for r in long.orderBy("c", "level").toLocalIterator():
+        out[r["c"]].append(r["level"])
+    return out
 
 
 class StepDummyModel(Model):
     def __init__(self, levels: dict[str, list[str]]):
         super().__init__()
         self.levels = levels
+        self.names = {c: level_names(c, lv) for c, lv in levels.items()}
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        """k-1 indicator columns; the first level is the reference.  An unseen level is all zeros."""
+        """k-1 indicator columns; the first level is the reference.  An unseen level is all zeros (see :meth:`unseen`)."""
         out = []
         for c, lv in self.levels.items():
-            out += [(F.col(c) == F.lit(v)).cast("double").alias(f"{c}_{_safe(v)}") for v in lv[1:]]
+            out += [(F.col(c) == F.lit(v)).cast("double").alias(self.names[c][v]) for v in lv[1:]]
         return df.select(*[x for x in df.columns if x not in self.levels], *out)
 
+    def unseen(self, df: DataFrame) -> DataFrame:
+        """Rows of new data whose level was not in the training data, per column."""
+        aggs = [F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(lv)).alias(c) for c, lv in self.levels.items()]
+        return df.agg(*aggs).unpivot([], list(self.levels), "variable", "n_unseen")
+
 
 class StepDummy(Estimator):
     """``step_dummy(all_nominal_predictors())``: levels fixed on the training data, sorted."""
@@ -95,11 +109,21 @@ class StepDummy(Estimator):
     def _fit(self, df: DataFrame) -> StepDummyModel:
         cols = self.cols or [f.name for f in df.schema.fields
                              if isinstance(f.dataType, T.StringType) and f.name not in self.exclude]
+        return StepDummyModel(nominal_levels(df, cols) if cols else {})
+
+
+class StepIndex(Estimator):
+    """Native factors for tree models: every nominal column as level numbers with their names in the metadata."""
+
+    def __init__(self, exclude: Sequence[str] = ()):
+        super().__init__()
+        self.exclude = tuple(exclude)
+
+    def _fit(self, df: DataFrame):
+        cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in self.exclude]
         if not cols:
-            return StepDummyModel({})
-        # one aggregate: the sorted level list of every nominal column (bounded by its levels)
-        row = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in cols]).first()
-        return StepDummyModel({c: list(row[c]) for c in cols})
+            return StepRm(())
+        return StringIndexer(inputCols=cols, outputCols=[f"{c}_ix" for c in cols], handleInvalid="keep", stringOrderType="alphabetAsc").fit(df)
 
 
 class StepZv(Estimator):
@@ -113,7 +137,7 @@ class StepZv(Estimator):
         cols = [f.name for f in df.schema.fields if f.name not in self.exclude
                 and isinstance(f.dataType, (*NUMERIC, T.StringType, T.BooleanType))]
         # min == max (or all NA) means a single value: one pass of plain min/max, no distinct counting
-        row = _chunked_agg(df, cols, lambda c: [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")])
+        row = _one_pass(df, cols, lambda c: [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")])
         return StepRm([c for c in cols if row[f"lo_{c}"] is None or row[f"lo_{c}"] == row[f"hi_{c}"]])
 
 
@@ -137,7 +161,7 @@ class StepNormalize(Estimator):
     def _fit(self, df: DataFrame) -> StepNormalizeModel:
         cols = self.cols or [f.name for f in df.schema.fields
                              if isinstance(f.dataType, NUMERIC) and f.name not in self.exclude]
-        row = _chunked_agg(df, cols, lambda c: [F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}")])
+        row = _one_pass(df, cols, lambda c: [F.avg(c).alias(f"m_{c}"), F.stddev_samp(c).alias(f"s_{c}")])
         return StepNormalizeModel({c: (row[f"m_{c}"], row[f"s_{c}"]) for c in cols if row[f"s_{c}"]})
 
 
@@ -164,9 +188,9 @@ class AssemblePredictors(Transformer):
         cols = [f.name for f in df.schema.fields if f.name not in self.exclude
                 and isinstance(f.dataType, (*NUMERIC, T.BooleanType))]
         self.columns = cols
-        va = VectorAssembler(inputCols=cols, outputCol=self.features, handleInvalid="keep")
-        return va.transform(df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c)
-                                        for c in df.columns]))
+        va = VectorAssembler(inputCols=cols, outputCol=self.features, handleInvalid="error")
+        return va.transform(df.select(*[F.col(c) if c not in cols or isinstance(df.schema[c].dataType, T.DoubleType)
+                                        else F.col(c).cast("double").alias(c) for c in df.columns]))
 
 
 def recipe(outcome: str, event: str, ids: Sequence[str] = (), date_col: str | None = None,

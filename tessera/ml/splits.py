@@ -1,12 +1,11 @@
 """Reproducible train / test / validation splits.
 
-Default: a row goes to the first part when the md5 hash of (seed, key),
-read as a uniform number, is below ``prop``.  That is a projection: no
-shuffle, no sort, the same assignment on every run, partitioning and task
-retry, and each stratum keeps its share up to sampling noise (the hash is
-independent of the stratum).  ``exact=True`` ranks rows by the hash within
-each stratum with the distributed positions and cuts at
-``floor(n_stratum * prop)``, for exact counts at the cost of a range shuffle.
+Without strata a row goes to the first part when the md5 hash of (seed, key),
+read as a uniform number, is below ``prop``: a projection, the same on every run,
+partitioning and task retry.  With strata (or ``exact=True``) rows are ranked by
+that hash inside each stratum, by the distributed scan, and the first
+``floor(n_stratum * prop)`` form the first part, so every stratum keeps its
+share to the row.
 """
 
 from __future__ import annotations
@@ -23,18 +22,26 @@ from tessera.plans.ordered import group_positions
 
 def split_column(df: DataFrame, keys: Sequence[str], prop: float, seed: int, strata: Sequence[str] = (),
                  names: tuple[str, str] = ("train", "test"), name: str = "split", exact: bool = False) -> DataFrame:
-    if not exact:
+    strata = list(strata)
+    if not exact and not strata:
         first = hash_uniform(seed, *keys) < prop
         return df.withColumn(name, F.when(first, F.lit(names[0])).otherwise(F.lit(names[1])))
-    strata = list(strata)
     h = df.withColumn("_h", hash_key(seed, keys))
-    pos = group_positions(h, strata, ["_h"], name="_pos")
+    pos = group_positions(h, strata, ["_h", *keys], name="_pos")
     n = h.groupBy(*strata).agg(F.count(F.lit(1)).alias("_ns"))
     pos = keep_on_rows(pos, strata, n) if strata else pos.withColumn("_ns", F.lit(h.count()))
     first = F.col("_pos") <= F.floor(F.col("_ns") * prop)
     return pos.withColumn(name, F.when(first, F.lit(names[0])).otherwise(F.lit(names[1]))).drop("_h", "_pos", "_ns")
 
 
+def split_sql(table: str, columns: str, keys: Sequence[str], prop: float, seed: int, strata: str,
+              names: tuple[str, str] = ("train", "test"), name: str = "split") -> str:
+    """The DuckDB twin of a stratified split."""
+    order = f"md5(concat_ws('|', '{seed}', {', '.join(keys)})), {', '.join(keys)}"
+    return f"""SELECT {columns}, CASE WHEN row_number() OVER (PARTITION BY {strata} ORDER BY {order})
+  <= floor(count(*) OVER (PARTITION BY {strata}) * {prop}) THEN '{names[0]}' ELSE '{names[1]}' END AS {name} FROM {table}"""
+
+
 def initial_split(df: DataFrame, keys: Sequence[str], prop: float = 0.75, seed: int = 222,
                   strata: Sequence[str] = (), exact: bool = False) -> DataFrame:
     """``initial_split(prop, strata)``: adds ``split`` in {train, test}."""

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions.dates import FEASTS, US_HOLIDAYS, holiday_flags
 from tessera.functions.random import hash_uniform, hash_uniform_sql
-from tessera.ml import diagnostics, metrics, models, recipe, splits, tune
+from tessera.ml import diagnostics, metrics, models, network, recipe, splits, tune
 from tessera.operators import verbs
 from tessera.operators.sorting import hash_key_sql
 from tessera.sources.inline import expand_values
+from tessera.sources.views import CUT_LEVELS
 from tessera.workloads import query
 from tessera.workloads.scalars_q import _holiday_sql
 
@@ -145,13 +146,19 @@ def recipe_spec(t):
     return t.spark.createDataFrame(rows, "variable string, role string")
 
 
-@query("update_role", section="2.15")
+@query("update_role", section="2.15", sql=f"""
+WITH d AS (SELECT {LK_SQL}, dep_time, flight, origin, dest, air_time, distance, carrier, date, time_hour FROM deliveries
+           WHERE arr_delay IS NOT NULL AND dep_time IS NOT NULL AND air_time IS NOT NULL)
+SELECT 'ID' AS role, count(DISTINCT (flight, time_hour, {LK_SQL})) AS n_distinct, count(*) AS n_rows FROM d
+UNION ALL SELECT 'predictor', count(DISTINCT (air_time, carrier, date, dep_time, dest, distance, origin)), count(*) FROM d""")
 def update_role(t):
-    # update_role(flight, time_hour, new_role = "ID"): carried through, not a predictor
+    # update_role(flight, time_hour, new_role = "ID"): the columns of a role, carried through every row
     data = _flight_data(t)
     ids = ["flight", "time_hour", *LK]
-    rows = [(c, "ID" if c in ids else ("outcome" if c == "arr_delay" else "predictor")) for c in data.columns]
-    return t.spark.createDataFrame(rows, "variable string, role string")
+    roles = {"ID": ids, "predictor": sorted(c for c in data.columns if c not in (*ids, "arr_delay"))}
+    long = data.select(F.explode(F.array(*[
+        F.struct(F.lit(r).alias("role"), F.md5(F.to_json(F.struct(*cols))).alias("value")) for r, cols in roles.items()])).alias("x"))
+    return long.groupBy("x.role").agg(F.count_distinct("x.value").alias("n_distinct"), F.count(F.lit(1)).alias("n_rows"))
 
 
 # ------------------------------------------------------------------ §2.16 splits
@@ -162,8 +169,7 @@ def initial_split(t):
     return splits.initial_split(t.deliveries.select(*LK), LK, 0.75, seed=222)
 
 
-STRATA_SQL = f"""SELECT doc_id, label, CASE WHEN {hash_uniform_sql(123, 'doc_id')} < 0.75 THEN 'train' ELSE 'test' END AS split
-FROM doc_quality"""
+STRATA_SQL = splits.split_sql("doc_quality", "doc_id, label", ["doc_id"], 0.75, 123, "label")
 
 
 @query("initial_split_strata", section="2.16", sql=STRATA_SQL)
@@ -172,9 +178,8 @@ def initial_split_strata(t):
 
 
 @query("validation_split", section="2.16", sql=f"""
-WITH s AS ({STRATA_SQL})
-SELECT doc_id, label, CASE WHEN {hash_uniform_sql(234, 'doc_id')} < 0.8 THEN 'train' ELSE 'validation' END AS val_split
-FROM s WHERE split = 'train'""")
+WITH s AS ({STRATA_SQL}), tr AS (SELECT doc_id, label FROM s WHERE split = 'train')
+{splits.split_sql("tr", "doc_id, label", ["doc_id"], 0.8, 234, "label", ("train", "validation"), "val_split")}""")
 def validation_split(t):
     s = splits.initial_split(t.doc_quality.select("doc_id", "label"), ["doc_id"], 0.75, seed=123, strata=["label"])
     tr = s.filter(F.col("split") == "train").drop("split")
@@ -330,36 +335,33 @@ def _flight_data(t):
     return verbs.na_omit(d)
 
 
-_MEMO: dict = {}
-
-
-def _late_fit(t, extra=None, with_recipe=True):
-    """Fitted glm workflow on 3/4 of the flights, and the scored test rows."""
-    key = ("late", t.sf_dir, id(t.spark), extra is not None, with_recipe)
-    if key in _MEMO:
-        return _MEMO[key]
+def _late_fit(t, extra=None, with_recipe=True, score=True):
+    """Glm workflow fitted on 3/4 of the flights, the scored test rows (stored), and the term names."""
     data = _flight_data(t)
     if extra is not None:
         data = extra(data)
-    # the model table is read by every recipe pass, the fit and the scoring: persist it once
+    # the model table is read by every recipe pass, the fit and the scoring: keep it while they run
     s = splits.initial_split(data, LK, 0.75, seed=222).persist(StorageLevel.MEMORY_AND_DISK)
-    tr, te = s.filter(F.col("split") == "train").drop("split"), s.filter(F.col("split") == "test").drop("split")
-    ids = ["flight", "time_hour", *LK]
-    if with_recipe:
-        stages = recipe.recipe("arr_delay", EVENT, ids=ids, date_col="date", holidays=US_HOLIDAYS)
-    else:
-        stages = [recipe.StepLabel("arr_delay", EVENT), recipe.StepRm(["date", "origin", "dest", "carrier"]),
-                  recipe.AssemblePredictors(exclude=["arr_delay", "label", *ids])]
-    pm = recipe.fit_workflow(stages, models.logistic_glm(), tr)
-    scored = models.augment(pm, te, EVENT, OTHER).select(*LK, "arr_delay", "pred_class", f"pred_{EVENT}")
-    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-    _MEMO[key] = (pm, scored, recipe.feature_names(pm))
-    return _MEMO[key]
+    try:
+        tr, te = s.filter(F.col("split") == "train").drop("split"), s.filter(F.col("split") == "test").drop("split")
+        ids = ["flight", "time_hour", *LK]
+        if with_recipe:
+            stages = recipe.recipe("arr_delay", EVENT, ids=ids, date_col="date", holidays=US_HOLIDAYS)
+        else:
+            stages = [recipe.StepLabel("arr_delay", EVENT), recipe.StepRm(["date", "origin", "dest", "carrier"]),
+                      recipe.AssemblePredictors(exclude=["arr_delay", "label", *ids])]
+        pm = recipe.fit_workflow(stages, models.logistic_glm(), tr)
+        scored = None
+        if score:
+            scored = models.augment(pm, te, EVENT, OTHER).select(*LK, "arr_delay", "pred_class", f"pred_{EVENT}").checkpoint(eager=True)
+    finally:
+        s.unpersist()
+    return pm, scored, recipe.feature_names(pm)
 
 
 @query("fit_glm_logit", section="2.16")
 def fit_glm_logit(t):
-    pm, _, names = _late_fit(t)
+    pm, _, names = _late_fit(t, score=False)
     return models.tidy_glm(t.spark, pm.stages[-1], names)
 
 
@@ -368,7 +370,7 @@ def workflow_q(t):
     pm, scored, _ = _late_fit(t)
     auc = metrics.roc_auc(scored, "arr_delay", f"pred_{EVENT}", EVENT)
     acc = scored.agg(F.avg((F.col("pred_class") == F.col("arr_delay")).cast("double")).alias("accuracy"))
-    return auc.crossJoin(acc) if False else auc.withColumn("accuracy", F.lit(acc.first()[0]))
+    return auc.withColumn("accuracy", F.lit(acc.first()[0]))
 
 
 @query("predict_augment", section="2.16")
@@ -379,14 +381,14 @@ def predict_augment(t):
 
 @query("tidy_terms", section="2.18")
 def tidy_terms(t):
-    pm, _, names = _late_fit(t)
+    pm, _, names = _late_fit(t, score=False)
     return models.tidy_glm(t.spark, pm.stages[-1], names, exponentiate=True)
 
 
 @query("term_importance", section="2.18")
 def term_importance(t):
     # rank terms by |statistic|, intercept dropped, top 20 (a top-k report)
-    pm, _, names = _late_fit(t)
+    pm, _, names = _late_fit(t, score=False)
     td = models.tidy_glm(t.spark, pm.stages[-1], names).filter(F.col("term") != "(Intercept)")
     return td.orderBy(F.desc(F.abs("statistic")), "term").limit(20)
 
@@ -424,9 +426,6 @@ def late_flights_weather(t):
 # ------------------------------------------------------------------ lm on gems: price model
 
 def _lm_price(t):
-    key = ("lm_price", t.sf_dir, id(t.spark))
-    if key in _MEMO:
-        return _MEMO[key]
     from pyspark.ml import Pipeline
     d = _gems_log(t)
     stages = [recipe.StepDummy(["cut"]), recipe.AssemblePredictors(exclude=["log_price", *LK])]
@@ -434,8 +433,26 @@ def _lm_price(t):
     x = prep.transform(d)
     names = recipe.feature_names(prep)
     m = models.linear_reg(labelCol="log_price").fit(x)
-    _MEMO[key] = (d, prep, x, names, m)
-    return _MEMO[key]
+    return d, prep, x, names, m
+
+
+# the same fit in closed form: one slope pooled within the cuts, one level per cut
+LM_SQL = """d AS (SELECT cut, ln(price) AS y, ln(carat) AS x FROM gems),
+g AS (SELECT cut, count(*) AS n, avg(x) AS mx, avg(y) AS my, sum(x * x) - count(*) * avg(x) * avg(x) AS sxx,
+             sum(x * y) - count(*) * avg(x) * avg(y) AS sxy FROM d GROUP BY cut),
+b AS (SELECT sum(sxy) / sum(sxx) AS b, sum(sxx) AS sxx, sum(n) AS n, count(*) AS k FROM g),
+lv AS (SELECT cut, g.n, mx, my - b.b * mx AS level, row_number() OVER (ORDER BY cut) AS i FROM g, b),
+ref AS (SELECT level, n, mx FROM lv WHERE i = 1),
+f AS (SELECT d.cut, d.x, d.y, lv.level + b.b * d.x AS pred, d.y - lv.level - b.b * d.x AS resid FROM d JOIN lv USING (cut), b),
+s AS (SELECT sum(resid * resid) / (any_value(b.n) - any_value(b.k) - 1) AS s2, any_value(b.n) - any_value(b.k) - 1 AS df FROM f, b),
+terms AS (SELECT '(Intercept)' AS term, ref.level AS estimate, 1.0 / ref.n + ref.mx * ref.mx / b.sxx AS v FROM ref, b
+  UNION ALL SELECT 'log_carat', b.b, 1 / b.sxx FROM b
+  UNION ALL SELECT 'cut_' || lv.cut, lv.level - ref.level, 1.0 / lv.n + 1.0 / ref.n + pow(lv.mx - ref.mx, 2) / b.sxx FROM lv, ref, b WHERE lv.i > 1)"""
+
+
+def _t_sql(z: float) -> str:
+    """Student quantile from the normal one, by its expansion in 1 / degrees of freedom."""
+    return (f"({z} + ({z ** 3 + z}) / (4 * s.df) + ({5 * z ** 5 + 16 * z ** 3 + 3 * z}) / (96 * s.df * s.df))")
 
 
 def _fitted_col(m, names):
@@ -445,7 +462,9 @@ def _fitted_col(m, names):
     return e
 
 
-@query("lm_price", section="2.21")
+@query("lm_price", section="2.21", sql=f"""WITH {LM_SQL}
+SELECT term, round(estimate, 6) AS estimate FROM terms UNION ALL SELECT 'rsq', round(corr(y, pred) ^ 2, 6) FROM f
+UNION ALL SELECT 'rmse', round(sqrt(avg(resid * resid)), 6) FROM f""")
 def lm_price(t):
     d, prep, x, names, m = _lm_price(t)
     td = models.tidy_linear(t.spark, m, names).select("term", "estimate")
@@ -453,7 +472,7 @@ def lm_price(t):
     r2 = metrics.rsq(f, "log_price", "pred").first()[0]
     e = metrics.rmse(f, "log_price", "pred").first()[0]
     extra = t.spark.createDataFrame([("rsq", float(r2)), ("rmse", float(e))], "term string, estimate double")
-    return td.unionByName(extra)
+    return _r6(td.unionByName(extra))
 
 
 def _grid(t, d, names):
@@ -462,21 +481,27 @@ def _grid(t, d, names):
     return g.withColumn("cut_level", F.col("cut"))
 
 
-@query("predict_points", section="2.16")
+@query("predict_points", section="2.16", sql=f"""WITH {LM_SQL}
+SELECT cut, round(x0, 6) AS log_carat, round(level + b.b * x0, 6) AS pred, round(exp(level + b.b * x0), 6) AS price
+FROM lv, b, (VALUES (ln(1.0)), (ln(2.0)), (ln(3.0))) p(x0)""")
 def predict_points(t):
     d, prep, x, names, m = _lm_price(t)
     g = prep.transform(_grid(t, d, names).withColumn("log_price", F.lit(0.0)).withColumn("l_orderkey", F.lit(0)))
     p = g.withColumn("pred", _fitted_col(m, names))
-    return p.select(F.col("cut_level").alias("cut"), "log_carat", "pred", F.exp("pred").alias("price"))
+    return _r6(p.select(F.col("cut_level").alias("cut"), "log_carat", "pred", F.exp("pred").alias("price")))
 
 
-@query("predict_conf_int", section="2.16")
+@query("predict_conf_int", section="2.16", sql=f"""WITH {LM_SQL}
+SELECT cut, round(x0, 6) AS log_carat, round(level + b.b * x0, 6) AS pred,
+  round(level + b.b * x0 - {_t_sql(1.6448536269514722)} * sqrt(s.s2 * (1.0 / lv.n + pow(x0 - lv.mx, 2) / b.sxx)), 6) AS pred_lower,
+  round(level + b.b * x0 + {_t_sql(1.6448536269514722)} * sqrt(s.s2 * (1.0 / lv.n + pow(x0 - lv.mx, 2) / b.sxx)), 6) AS pred_upper
+FROM lv, b, s, (VALUES (ln(1.0)), (ln(2.0)), (ln(3.0))) p(x0)""")
 def predict_conf_int(t):
     d, prep, x, names, m = _lm_price(t)
     g = prep.transform(_grid(t, d, names).withColumn("log_price", F.lit(0.0)))
     coefs = [float(m.intercept)] + [float(b) for b in m.coefficients]
     ci = diagnostics.mean_conf_int(x, names, "log_price", coefs, g, level=0.90)
-    return ci.select(F.col("cut_level").alias("cut"), "log_carat", "pred", "pred_lower", "pred_upper")
+    return _r6(ci.select(F.col("cut_level").alias("cut"), "log_carat", "pred", "pred_lower", "pred_upper"))
 
 
 @query("fit_summary", section="2.18")
@@ -485,25 +510,34 @@ def fit_summary(t):
     return models.fit_summary(t.spark, m, x.count(), len(names))
 
 
-@query("coef_intervals", section="2.18")
+@query("coef_intervals", section="2.18", sql=f"""WITH {LM_SQL}
+SELECT term, round(estimate, 6) AS estimate, round(estimate - {_t_sql(1.959963984540054)} * sqrt(s.s2 * v), 6) AS conf_low,
+  round(estimate + {_t_sql(1.959963984540054)} * sqrt(s.s2 * v), 6) AS conf_high FROM terms, s""")
 def coef_intervals(t):
     d, prep, x, names, m = _lm_price(t)
     n = x.count()
-    return models.coef_intervals(models.tidy_linear(t.spark, m, names), n - len(names) - 1)
+    return _r6(models.coef_intervals(models.tidy_linear(t.spark, m, names), n - len(names) - 1))
+
 
+BINS_SQL = """r AS (SELECT min(pred) AS lo, (max(pred) - min(pred)) / 20 AS w FROM f)"""
 
-@query("check_linearity", section="2.18")
+
+@query("check_linearity", section="2.18", sql=f"""WITH {LM_SQL}, {BINS_SQL}
+SELECT CAST(least(floor((pred - lo) / w), 19) AS BIGINT) AS bin, round(avg(pred), 6) AS fitted, round(avg(resid), 6) AS mean_resid, count(*) AS n
+FROM f, r GROUP BY 1""")
 def check_linearity(t):
     d, prep, x, names, m = _lm_price(t)
     f = x.withColumn("pred", _fitted_col(m, names)).withColumn("resid", F.col("log_price") - F.col("pred"))
-    return diagnostics.residual_bins(f, "pred", "resid")
+    return _r6(diagnostics.residual_bins(f, "pred", "resid").withColumn("bin", F.col("bin").cast("bigint")))
 
 
-@query("check_homogeneity", section="2.18")
+@query("check_homogeneity", section="2.18", sql=f"""WITH {LM_SQL}, {BINS_SQL}
+SELECT CAST(least(floor((pred - lo) / w), 19) AS BIGINT) AS bin, round(avg(pred), 6) AS fitted,
+       round(avg(sqrt(abs(resid / (SELECT stddev_samp(resid) FROM f)))), 6) AS sqrt_abs_std_resid, count(*) AS n FROM f, r GROUP BY 1""")
 def check_homogeneity(t):
     d, prep, x, names, m = _lm_price(t)
     f = x.withColumn("pred", _fitted_col(m, names)).withColumn("resid", F.col("log_price") - F.col("pred"))
-    return diagnostics.homogeneity_bins(f, "pred", "resid")
+    return _r6(diagnostics.homogeneity_bins(f, "pred", "resid").withColumn("bin", F.col("bin").cast("bigint")))
 
 
 @query("check_qq", section="2.18")
@@ -521,7 +555,10 @@ def check_influence(t):
     return inf.select(*LK, "leverage", "cooks_d")
 
 
-@query("train_vs_new", section="2.18")
+@query("train_vs_new", section="2.18", sql=f"""
+SELECT split, round(corr(ly, lx) ^ 2, 6) AS rsq, count(*) AS n FROM (
+  SELECT ln(price) AS ly, ln(carat) AS lx, CASE WHEN {hash_uniform_sql(1984, *LK)} < 0.5 THEN 'train' ELSE 'test' END AS split FROM gems)
+GROUP BY split""")
 def train_vs_new(t):
     # the same model scored on its own rows and on rows it has not seen
     from pyspark.ml.feature import VectorAssembler
@@ -531,7 +568,7 @@ def train_vs_new(t):
     tr = va.transform(s.filter(F.col("split") == "train"))
     m = models.linear_reg(labelCol="log_price").fit(tr)
     sc = m.transform(va.transform(s))
-    return sc.groupBy("split").agg(F.pow(F.corr("log_price", "prediction"), 2).alias("rsq"),
+    return sc.groupBy("split").agg(F.round(F.pow(F.corr("log_price", "prediction"), 2), 6).alias("rsq"),
                                    F.count(F.lit(1)).alias("n"))
 
 
@@ -546,77 +583,75 @@ def bind_cols(t):
                      F.exp("pred_upper").alias("conf_upper"))
 
 
-@query("fct_unordered", section="2.11")
-def fct_unordered(t):
-    # ordered factor -> orthogonal polynomial contrasts; unordered -> first-level dummies
+def _poly(k: int) -> list[list[float]]:
+    """Orthogonal polynomial contrasts of an ordered factor with ``k`` levels, a row per level."""
     import numpy as np
-    levels = ["ECONOMY", "SMALL", "MEDIUM", "STANDARD", "LARGE", "PROMO"]
-    k = len(levels)
     v = np.vander(np.arange(1, k + 1, dtype=float), k, increasing=True)
     q, _ = np.linalg.qr(v)
-    poly = q[:, 1:] * np.sign(q[-1, 1:])
-    names = [".L", ".Q", ".C", "^4", "^5"]
-    rows = []
-    for i, lv in enumerate(levels):
-        for j, nm in enumerate(names):
-            rows.append((lv, "ordered", f"cut{nm}", float(poly[i, j])))
-        for j, other in enumerate(sorted(levels)[1:]):
-            rows.append((lv, "unordered", f"cut_{other}", 1.0 if lv == other else 0.0))
-    coding = t.spark.createDataFrame(rows, "cut string, scheme string, term string, value double")
-    counts = t.gems.groupBy("cut").agg(F.count(F.lit(1)).alias("n"))
-    return coding.join(counts, "cut", "left")
+    return (q[:, 1:] * np.sign(q[-1, 1:])).tolist()
+
+
+@query("fct_unordered", section="2.11", sql=" UNION ALL ".join([f"""
+SELECT 'ordered' AS scheme, 'cut{name}' AS term, round(sum(CASE cut {" ".join(f"WHEN '{c}' THEN CAST({row[j]!r} AS DOUBLE)" for c, row in zip(CUT_LEVELS, _poly(6)))} END), 6) AS total,
+  count(*) AS n FROM gems""" for j, name in enumerate([".L", ".Q", ".C", "^4", "^5"])] + [f"""
+SELECT 'unordered', 'cut_{c}', round(sum(CASE WHEN cut = '{c}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6), count(*) FROM gems""" for c in sorted(CUT_LEVELS)[1:]]))
+def fct_unordered(t):
+    # the model matrix of every row: an ordered factor gives polynomial columns, an unordered one dummies
+    poly = _poly(len(CUT_LEVELS))
+    cols = [("ordered", f"cut{name}", F.create_map(*[F.lit(x) for c, row in zip(CUT_LEVELS, poly) for x in (c, row[j])])[F.col("cut")])
+            for j, name in enumerate([".L", ".Q", ".C", "^4", "^5"])]
+    cols += [("unordered", f"cut_{c}", (F.col("cut") == c).cast("double")) for c in sorted(CUT_LEVELS)[1:]]
+    rows = t.gems.select(F.explode(F.array(*[F.struct(F.lit(a).alias("scheme"), F.lit(b).alias("term"), c.alias("value"))
+                                             for a, b, c in cols])).alias("x"))
+    return rows.groupBy("x.scheme", "x.term").agg(F.round(F.sum("x.value"), 6).alias("total"), F.count(F.lit(1)).alias("n"))
 
 
 # ------------------------------------------------------------------ doc quality: lasso, forest, network
 
-def _doc_sets(t, normalize=True):
-    key = ("doc", t.sf_dir, id(t.spark), normalize)
-    if key in _MEMO:
-        return _MEMO[key]
+def _doc_sets(t, forest=False):
+    """Prepared features of the stratified splits: ``names, train, validation, train + validation, test``."""
     from pyspark.ml import Pipeline
     d = t.doc_quality
+    roles = ["label", "doc_id"]
     s = splits.initial_split(d, ["doc_id"], 0.75, seed=123, strata=["label"])
     other = s.filter(F.col("split") == "train").drop("split")
     test = s.filter(F.col("split") == "test").drop("split")
     v = splits.validation_split(other, ["doc_id"], 0.8, seed=234, strata=["label"])
     tr, va = v.filter(F.col("val_split") == "train").drop("val_split"), v.filter(F.col("val_split") == "validation").drop("val_split")
     stages = [recipe.StepLabel("label", "good"), recipe.StepDate("arrival_date", ("dow", "month", "year")),
-              recipe.StepHoliday("arrival_date", FEASTS), recipe.StepRm(["arrival_date"]),
-              recipe.StepDummy(exclude=["label", "doc_id"]), recipe.StepZv(exclude=["label", "doc_id"])]
-    if normalize:
-        stages.append(recipe.StepNormalize(exclude=["label", "doc_id"]))
-    stages.append(recipe.AssemblePredictors(exclude=["label", "doc_id"]))
+              recipe.StepHoliday("arrival_date", FEASTS), recipe.StepRm(["arrival_date"])]
+    # a forest takes factors as they are; the others take dummies, normalised
+    stages += [recipe.StepIndex(exclude=roles)] if forest else [
+        recipe.StepDummy(exclude=roles), recipe.StepZv(exclude=roles), recipe.StepNormalize(exclude=roles)]
+    stages.append(recipe.AssemblePredictors(exclude=roles))
     prep = Pipeline(stages=stages).fit(tr)
     keep = ["doc_id", "label", "features"]
-    out = (prep, prep.transform(tr).select(*keep), prep.transform(va).select(*keep), prep.transform(other).select(*keep),
-           prep.transform(test).select(*keep),
-           recipe.feature_names(prep), Pipeline(stages=stages))
-    _MEMO[key] = out
-    return out
+    sets = [prep.transform(x).select(*keep) for x in (tr, va, other, test)]
+    return (recipe.feature_names(prep), *sets)
 
 
 def _lasso_tuning(t):
-    key = ("lasso_tune", t.sf_dir, id(t.spark))
-    if key not in _MEMO:
-        prep, tr, va, other, te, names, _ = _doc_sets(t)
-        grid = [{"penalty": p} for p in tune.penalty_grid()]
-        _MEMO[key] = tune.tune_grid(t.spark, tr, va, lambda g: models.logistic_lasso(g["penalty"]), grid)
-    return _MEMO[key]
+    names, tr, va, other, te = _doc_sets(t)
+    grid = [{"penalty": p} for p in tune.penalty_grid()]
+    return tune.tune_grid(t.spark, tr, va, lambda g: models.logistic_lasso(g["penalty"]), grid)
+
 
+def _rf_grid(names):
+    return tune.latin_hypercube({"mtry": (1, max(2, len(names))), "min_n": (2, 40)}, 10, seed=345, integer=["mtry", "min_n"])
 
-def _rf_tuning(t):
-    key = ("rf_tune", t.sf_dir, id(t.spark))
-    if key not in _MEMO:
-        prep, tr, va, other, te, names, _ = _doc_sets(t, normalize=False)
-        grid = tune.latin_hypercube({"mtry": (1, max(2, len(names))), "min_n": (2, 40)}, 10, seed=345,
-                                    integer=["mtry", "min_n"])
-        _MEMO[key] = tune.tune_grid(t.spark, tr, va, lambda g: models.rand_forest(int(g["mtry"]), int(g["min_n"]), 50), grid)
-    return _MEMO[key]
+
+def _rf_tuning(t, sets):
+    names, tr, va, *_ = sets
+    return tune.tune_grid(t.spark, tr, va, lambda g: models.rand_forest(int(g["mtry"]), int(g["min_n"]), TREES), _rf_grid(names))
+
+
+#: trees of every forest, as in the analyses re-expressed here
+TREES = 1000
 
 
 @query("fit_lasso_logit", section="2.16")
 def fit_lasso_logit(t):
-    prep, tr, va, other, te, names, _ = _doc_sets(t)
+    names, tr, *_ = _doc_sets(t)
     m = recipe.fit_prepared(models.logistic_lasso(0.001), tr)
     return models.tidy_coefficients(t.spark, m, names)
 
@@ -643,36 +678,37 @@ def select_best(t):
 
 @query("collect_predictions", section="2.17")
 def collect_predictions(t):
-    metrics_df, scored = _lasso_tuning(t)
+    metrics_df, predictions = _lasso_tuning(t)
     best = tune.select_best(metrics_df).first()["candidate"]
-    return scored[best]
+    return predictions.filter(F.col("candidate") == best).drop("candidate")
 
 
 @query("tune_grid_auto", section="2.17")
 def tune_grid_auto(t):
-    return _rf_tuning(t)[0]
+    return _rf_tuning(t, _doc_sets(t, forest=True))[0]
 
 
 @query("fit_rf", section="2.16")
 def fit_rf(t):
-    prep, tr, va, other, te, names, _ = _doc_sets(t, normalize=False)
-    m = recipe.fit_prepared(models.rand_forest(3, 5, 100), tr)
-    return models.importance_table(t.spark, m, names, top=1000)
+    names, tr, *_ = _doc_sets(t, forest=True)
+    m = recipe.fit_prepared(models.rand_forest(3, 5, TREES), tr)
+    return models.importance_table(t.spark, m, names)
 
 
 @query("vip_forest", section="2.18")
 def vip_forest(t):
-    prep, tr, va, other, te, names, _ = _doc_sets(t, normalize=False)
-    m = recipe.fit_prepared(models.rand_forest(3, 5, 100), tr)
+    names, tr, *_ = _doc_sets(t, forest=True)
+    m = recipe.fit_prepared(models.rand_forest(3, 5, TREES), tr)
     return models.importance_table(t.spark, m, names, top=20)
 
 
 @query("last_fit", section="2.17")
 def last_fit(t):
     # best forest refit on train + validation, scored once on the test rows
-    prep, tr, va, other, te, names, wf = _doc_sets(t, normalize=False)
-    best = tune.select_best(_rf_tuning(t)[0]).first()
-    m = recipe.fit_prepared(models.rand_forest(int(best["mtry"]), int(best["min_n"]), 100), other)
+    sets = _doc_sets(t, forest=True)
+    names, tr, va, other, te = sets
+    best = tune.select_best(_rf_tuning(t, sets)[0]).first()
+    m = recipe.fit_prepared(models.rand_forest(int(best["mtry"]), int(best["min_n"]), TREES), other)
     p = models.event_probability(m.transform(te)).withColumn(
         "_truth", F.when(F.col("label") == 1.0, "good").otherwise("poor"))
     return metrics.roc_auc(p, "_truth", "pred_event", "good").withColumn("n_test", F.lit(te.count()).cast("bigint"))
@@ -681,35 +717,36 @@ def last_fit(t):
 @query("children_lasso_rf", section="2.21")
 def children_lasso_rf(t):
     rows = []
-    for name, (mt, scored) in (("lasso", _lasso_tuning(t)), ("forest", _rf_tuning(t))):
+    for name, mt in (("lasso", _lasso_tuning(t)[0]), ("forest", _rf_tuning(t, _doc_sets(t, forest=True))[0])):
         best = tune.select_best(mt).first()
         rows.append((name, int(best["candidate"]), float(best["mean"]) if best["mean"] is not None else None))
     return t.spark.createDataFrame(rows, "model string, candidate int, roc_auc double")
 
 
-def _mlp_fit(t, step):
-    prep, tr, va, other, te, names, _ = _doc_sets(t)
-    return recipe.fit_prepared(models.mlp(len(names), 1, step=step), tr), names
-
-
 @query("fit_mlp", section="2.16")
 def fit_mlp(t):
-    m, names = _mlp_fit(t, 0.03)
-    return t.spark.createDataFrame([(i, float(w)) for i, w in enumerate(m.weights)], "index int, weight double")
+    # one hidden unit with weight decay: weights in the order out, out bias, hidden bias, inputs
+    names, tr, *_ = _doc_sets(t)
+    w = network.fit_candidates(tr, [0.01])[0]
+    terms = ["hidden -> out", "bias -> out", "bias -> hidden", *names]
+    return t.spark.createDataFrame([(n, float(x)) for n, x in zip(terms, w)], "term string, weight double")
 
 
 @query("vip_mlp", section="2.18")
 def vip_mlp(t):
-    m, names = _mlp_fit(t, 0.03)
-    return models.mlp_importance(t.spark, m, names)
+    names, tr, *_ = _doc_sets(t)
+    return network.importance(t.spark, network.fit_candidates(tr, [0.01])[0], names)
 
 
 @query("children_mlp", section="2.21")
 def children_mlp(t):
-    prep, tr, va, other, te, names, _ = _doc_sets(t)
-    grid = [{"step": s} for s in (0.001, 0.003, 0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0, 30.0)]
-    mt, _ = tune.tune_grid(t.spark, tr, va, lambda g: models.mlp(len(names), 1, step=g["step"]), grid)
-    return mt
+    # ten penalties fitted side by side, scored on the validation rows
+    names, tr, va, *_ = _doc_sets(t)
+    grid = [{"penalty": 10 ** (k / 3 - 3)} for k in range(10)]
+    weights = network.fit_candidates(tr, [g["penalty"] for g in grid])
+    scores = F.array(*[F.struct(F.lit(k).alias("candidate"), network.probability(w).alias("pred_event")) for k, w in enumerate(weights)])
+    predictions = va.select("label", F.explode(scores).alias("s")).select("s.candidate", "label", "s.pred_event").checkpoint(eager=True)
+    return tune.tuning_table(t.spark, predictions, grid)
 
 
 # ------------------------------------------------------------------ planted trees and curves
