@@ -15,6 +15,7 @@ documents at once, one character of each per step, over one transition table.
 from __future__ import annotations
 
 import math
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -74,7 +75,9 @@ class Automata:
     """One transition table over the suffix automata of all languages.
 
     ``table[state, letter]`` is the next state, or the complement of the state
-    after a new phrase has begun with that letter.
+    after a new phrase has begun with that letter.  One more state for each
+    language stands before every phrase: any letter begins a new one there; a letter
+    that the language does not have is a phrase that ends in it.
     """
 
     def __init__(self, sample: tuple[tuple[str, str], ...]):
@@ -91,7 +94,7 @@ class Automata:
         self.roots, tables, self.bits, base = [], [], [], 0
         for t in texts:
             made = self._table(self._automaton(t), base)
-            self.roots.append(base)
+            self.roots.append(base + len(made) - 1)
             tables.append(made)
             self.bits.append(math.log2(max(2, len(t))))
             base += len(made)
@@ -142,10 +145,10 @@ class Automata:
         return new
 
     def _table(self, nxt: list[dict[int, int]], base: int) -> np.ndarray:
-        again = np.full(self.width, base, np.int32)
+        again = np.full(self.width, base + len(nxt), np.int32)
         for c, s in nxt[0].items():
             again[c] = base + s
-        out = np.tile(~again, (len(nxt), 1))
+        out = np.tile(~again, (len(nxt) + 1, 1))
         for s, row in enumerate(nxt):
             for c, t in row.items():
                 out[s, c] = base + t
@@ -156,7 +159,7 @@ class Automata:
         order = np.argsort(-length, kind="stable")
         start, length = start[order], length[order]
         n = len(start)
-        out = np.ones((len(self.roots), n), np.int32)
+        out = np.zeros((len(self.roots), n), np.int32)
         state = np.repeat(np.array(self.roots, np.int64)[:, None], n, axis=1)
         active = np.searchsorted(-length, -np.arange(int(length[0]) if n else 0), "left")
         for t, k in enumerate(active.tolist()):
@@ -205,9 +208,8 @@ class Automata:
 
 
 def _letters_only(text: str) -> str:
-    out = "".join(c if c.isalpha() or c == SEPARATOR else " " for c in text.lower())
-    return SEPARATOR.join(" ".join(p.split(" ")) if "  " not in p else " ".join(x for x in p.split(" ") if x)
-                          for p in out.split(SEPARATOR))
+    """Lower case, every run of anything but letters one space; separators stay."""
+    return re.sub(" +", " ", "".join(c if c.isalpha() or c == SEPARATOR else " " for c in text.lower()))
 
 
 @lru_cache(maxsize=2)

@@ -9,8 +9,7 @@ def test_phrases_equal_a_plain_greedy_parse():
     for _ in range(60):
         sample = "".join(rng.choices("ab c", k=rng.randint(1, 40))) + SEPARATOR + "".join(rng.choices("abd", k=10))
         model = Automata((("x", sample),))
-        parts = [" ".join(p.split()) if False else p for p in sample.split(SEPARATOR)]
-        parts = [_one_space(p) for p in parts]
+        parts = [_one_space(p) for p in sample.split(SEPARATOR)]
         text = _one_space("".join(rng.choices("abcd ", k=rng.randint(1, 60))))
         if not any(c.isalpha() for c in text):
             continue
