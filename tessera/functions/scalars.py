@@ -97,14 +97,16 @@ def cut_breaks(x: Col, breaks: Sequence[float], labels: Sequence[str] | None = N
     return expr
 
 
-def cut_width_bin(x: Col, width: float, boundary: float | None = None) -> Column:
-    """Bin index of ``cut_width(x, width, boundary)``: right-closed bins of equal width.
+def cut_width_bin(x: Col, width: float, boundary: float | None = None, lowest: Col | None = None) -> Column:
+    """Bin centre of ``cut_width(x, width, boundary)``: right-closed bins of equal width.
 
     Bins are ``(boundary + (k-1) w, boundary + k w]``; the default boundary is
-    ``w / 2`` so bins are centred on multiples of ``w``.  Returns the bin centre.
-    The first bin is also closed on the left, which the centre formula covers
-    except exactly at the lowest edge (an edge value belongs to the bin below).
+    ``w / 2`` so bins are centred on multiples of ``w``.  ``lowest`` is the smallest
+    value of the data: the bin it opens is closed on the left too, so a value on
+    that edge does not fall into a bin below the first.
     """
     b = width / 2 if boundary is None else boundary
     k = F.ceil((_c(x) - b) / width)
+    if lowest is not None:
+        k = F.greatest(k, F.floor((_c(lowest) - b) / width) + 1)
     return b + (k - 0.5) * width

@@ -10,6 +10,7 @@ from __future__ import annotations
 from typing import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.ml.distributions import norm_quantile
@@ -17,16 +18,27 @@ from tessera.plans.ordered import exact_quantiles
 
 
 def gram(df: DataFrame, xs: Sequence[str], intercept: bool = True) -> np.ndarray:
-    cols = (["_one"] if intercept else []) + list(xs)
-    d = df.withColumn("_one", F.lit(1.0)) if intercept else df
-    aggs = [F.sum(F.col(a) * F.col(b)).alias(f"{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
-    row = d.agg(*aggs).first()
+    """X'X: every partition returns its p x p sums as one row, which are added in Spark."""
+    cols = ([F.lit(1.0)] if intercept else []) + [F.col(x).cast("double") for x in xs]
     p = len(cols)
-    g = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            g[i, j] = g[j, i] = row[f"{i}_{j}"]
-    return g
+
+    def local(batches):
+        total = np.zeros((p, p))
+        for b in batches:
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
+            total += x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    def add(t: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.float64) for x in t.column("sums").to_pylist())
+        return pa.table({"sums": pa.array([total.tobytes()], pa.binary())})
+
+    parts = df.select(F.array(*cols).alias("x")).mapInArrow(local, "sums binary")
+    # partitions' sums are added in two rounds, so that no task sees more than the root of their number
+    groups = max(1, int(parts.rdd.getNumPartitions() ** 0.5))
+    for n in (groups, 1):
+        parts = parts.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(n))).groupBy("g").applyInArrow(add, "sums binary")
+    return np.frombuffer(parts.first()["sums"], np.float64).reshape(p, p)
 
 
 def quad_form(xs: Sequence[str], m: np.ndarray, intercept: bool = True) -> Column:
@@ -79,6 +91,27 @@ def vif(df: DataFrame, xs: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame([(x, float(inv[i, i])) for i, x in enumerate(xs)], "term string, vif double")
 
 
+def gvif(df: DataFrame, terms: dict[str, Sequence[str]]) -> DataFrame:
+    """Generalised VIF of each term (a factor's dummies are one term): det(R_term) det(R_rest) / det(R).
+
+    Returns ``term, gvif, df, gvif_adj`` with the adjusted value gvif^(1 / (2 df)).
+    """
+    cols = [c for cs in terms.values() for c in cs]
+    g = gram(df, cols)
+    n, mean = g[0, 0], g[0, 1:] / g[0, 0]
+    cov = g[1:, 1:] / n - np.outer(mean, mean)
+    r = cov / np.sqrt(np.outer(np.diag(cov), np.diag(cov)))
+    whole = np.linalg.det(r)
+    rows, at = [], 0
+    for term, cs in terms.items():
+        own = np.arange(at, at + len(cs))
+        rest = np.setdiff1d(np.arange(len(cols)), own)
+        v = np.linalg.det(r[np.ix_(own, own)]) * np.linalg.det(r[np.ix_(rest, rest)]) / whole
+        rows.append((term, float(v), len(cs), float(v ** (1 / (2 * len(cs))))))
+        at += len(cs)
+    return df.sparkSession.createDataFrame(rows, "term string, gvif double, df bigint, gvif_adj double")
+
+
 def influence(df: DataFrame, xs: Sequence[str], y: str, coefs: Sequence[float]) -> DataFrame:
     """Leverage h = x'(X'X)^-1 x and Cook's distance D = e^2 h / (p s^2 (1 - h)^2) per row."""
     g = gram(df, xs)

@@ -11,6 +11,8 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tessera.operators.agg import keep_on_rows
+from tessera.operators.sorting import top_k_per_group
 from tessera.operators.verbs import NUMERIC
 from tessera.plans.ordered import exact_quantiles
 
@@ -54,9 +56,47 @@ def skim_character(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
         F.count_if(v.rlike(r"^\s+$")).alias("whitespace")).withColumn("skim_type", F.lit("character"))
 
 
+def skim_histogram(df: DataFrame, cols: Sequence[str] | None = None, bins: int = 5) -> DataFrame:
+    """The small histogram of ``skim``: counts in ``bins`` equal bins of each numeric column, joined by commas."""
+    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
+    long = _long(df, cols, "double").where("value is not null and not isnan(value)")
+    ends = long.groupBy("skim_variable").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    width = (F.col("hi") - F.col("lo")) / bins
+    at = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(0).cast("int")
+    counted = keep_on_rows(long, ["skim_variable"], ends).groupBy("skim_variable", at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("skim_variable").agg(F.concat_ws(",", *[
+        F.coalesce(F.max(F.when(F.col("bin") == k, F.col("n"))), F.lit(0)).cast("string") for k in range(bins)]).alias("hist"))
+
+
+def skim_top_counts(df: DataFrame, cols: Sequence[str] | None = None, top: int = 4) -> DataFrame:
+    """The most frequent values of each text column, ``value: n`` joined by commas (a top-k report)."""
+    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    counts = _long(df, cols, "string").where("value is not null").groupBy("skim_variable", "value").agg(F.count(F.lit(1)).alias("n"))
+    first = top_k_per_group(counts, top, ["skim_variable"], [F.desc("n"), F.asc("value")])
+    shown = F.transform(F.array_sort(F.collect_list(F.struct("_rn", F.concat("value", F.lit(": "), F.col("n").cast("string")).alias("s")))),
+                        lambda x: x["s"])
+    return first.groupBy("skim_variable").agg(F.concat_ws(", ", shown).alias("top_counts"))
+
+
+def skim_date(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """``skim`` for date columns: missing, complete rate, min, max, median, unique."""
+    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
+    long = _long(df, cols, "date") if cols else df.select(F.lit("").alias("skim_variable"), F.lit(None).cast("date").alias("value")).limit(0)
+    base = long.groupBy("skim_variable").agg(
+        F.count_if(F.col("value").isNull()).alias("n_missing"), (F.count("value") / F.count(F.lit(1))).alias("complete_rate"),
+        F.min("value").cast("string").alias("date_min"), F.max("value").cast("string").alias("date_max"),
+        F.count_distinct("value").alias("n_unique"))
+    days = long.select("skim_variable", F.unix_date("value").alias("value"))
+    q = exact_quantiles(days, "value", [0.5], by=["skim_variable"]).select(
+        "skim_variable", F.date_from_unix_date(F.floor("q0").cast("int")).cast("string").alias("date_median"))
+    return base.join(q, "skim_variable", "left").withColumn("skim_type", F.lit("Date"))
+
+
 def skim(df: DataFrame) -> DataFrame:
-    """``skim``: numeric and character summaries in one long table (NA where a statistic does not apply)."""
-    return skim_numeric(df).unionByName(skim_character(df), allowMissingColumns=True)
+    """``skim``: numeric, character and date summaries in one long table (NA where a statistic does not apply)."""
+    numeric = skim_numeric(df).join(skim_histogram(df), "skim_variable", "left")
+    text = skim_character(df).join(skim_top_counts(df), "skim_variable", "left")
+    return numeric.unionByName(text, allowMissingColumns=True).unionByName(skim_date(df), allowMissingColumns=True)
 
 
 def summary_cols(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -220,6 +220,25 @@ def smooth_line(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFr
                               F.count(F.lit(1)).alias("n"))
 
 
+def smooth_band(df: DataFrame, x: str, y: str, by: Sequence[str] = (), points: int = 80, z: float = 1.959963984540054) -> DataFrame:
+    """The line of :func:`smooth_line` with its confidence band at ``points`` places over each group's range.
+
+    ``z`` is the normal quantile (95 % by default); Student's follows from it by the
+    first term of its expansion in the residual degrees of freedom.
+    """
+    d = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    g = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.avg(x).alias("_mx"), F.regr_slope(y, x).alias("_b"),
+                           F.regr_intercept(y, x).alias("_a"), F.regr_sxx(y, x).alias("_sxx"), F.regr_syy(y, x).alias("_syy"),
+                           F.regr_sxy(y, x).alias("_sxy"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+    p = g.withColumn("point", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(points - 1).cast("bigint"))))
+    at = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("point") / (points - 1)
+    t = F.lit(z) + (z ** 3 + z) / (4 * (F.col("_n") - 2))
+    s2 = (F.col("_syy") - F.col("_b") * F.col("_sxy")) / (F.col("_n") - 2)
+    half = t * F.sqrt(s2 * (1 / F.col("_n") + F.pow(F.col("x") - F.col("_mx"), 2) / F.col("_sxx")))
+    return (p.withColumn("x", at).withColumn("fit", F.col("_a") + F.col("_b") * F.col("x")).withColumn("_h", half)
+            .select(*by, "point", "x", "fit", (F.col("fit") - F.col("_h")).alias("low"), (F.col("fit") + F.col("_h")).alias("high")))
+
+
 def smooth_poly(df: DataFrame, x: str, y: str, degree: int = 3, by: Sequence[str] = ()) -> DataFrame:
     """``stat_smooth(method = "lm", y ~ x + I(x^2) + I(x^3))`` per group.
 

@@ -531,6 +531,18 @@ def check_linearity(t):
     return _r6(diagnostics.residual_bins(f, "pred", "resid").withColumn("bin", F.col("bin").cast("bigint")))
 
 
+@query("check_gvif", section="2.18", sql=f"""WITH {LM_SQL},
+v AS (SELECT 1 / (1 - (SELECT sum(g.n * pow(g.mx - m.mx, 2)) FROM g, (SELECT avg(x) AS mx FROM d) m) / (SELECT regr_sxx(y, x) FROM d)) AS gvif,
+             (SELECT count(*) FROM g) - 1 AS k)
+SELECT 'log_carat' AS term, round(gvif, 6) AS gvif, 1::BIGINT AS df, round(sqrt(gvif), 6) AS gvif_adj FROM v
+UNION ALL SELECT 'cut', round(gvif, 6), k, round(pow(gvif, 1.0 / (2 * k)), 6) FROM v""")
+def check_gvif(t):
+    # VIF of the price model's terms: the factor's dummies count as one term
+    d, prep, x, names, m = _lm_price(t)
+    terms = {"log_carat": ["log_carat"], "cut": [n for n in names if n.startswith("cut_")]}
+    return _r6(diagnostics.gvif(x, terms), skip=("df",))
+
+
 @query("check_homogeneity", section="2.18", sql=f"""WITH {LM_SQL}, {BINS_SQL}
 SELECT CAST(least(floor((pred - lo) / w), 19) AS BIGINT) AS bin, round(avg(pred), 6) AS fitted,
        round(avg(sqrt(abs(resid / (SELECT stddev_samp(resid) FROM f)))), 6) AS sqrt_abs_std_resid, count(*) AS n FROM f, r GROUP BY 1""")

@@ -152,9 +152,13 @@ def cut_breaks(t):
 
 
 @query("cut_width", section="2.9", sql="""
-SELECT round(0.25 + (ceil((carat - 0.25) / 0.5) - 0.5) * 0.5, 6) AS bin, count(*) AS n FROM gems GROUP BY 1""")
+SELECT round(y0 + (greatest(ceil((y - y0) / 2), floor(((SELECT min(y) FROM gems) - y0) / 2) + 1) - 0.5) * 2, 6) AS bin, count(*) AS n
+FROM gems, (SELECT CAST(0 AS DOUBLE) AS y0) GROUP BY 1""")
 def cut_width(t):
-    return t.gems.groupBy(F.round(scalars.cut_width_bin("carat", 0.5), 6).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # y = 0 lies on the lowest edge: it belongs to the first bin, not to one below it
+    low = t.gems.agg(F.min("y")).scalar()
+    bins = F.round(scalars.cut_width_bin("y", 2.0, boundary=0.0, lowest=low), 6)
+    return t.gems.groupBy(bins.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("cut_number", section="2.9", sql="""

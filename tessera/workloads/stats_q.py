@@ -227,6 +227,20 @@ def stat_smooth_lm(t):
     return s.select("cut", F.round("intercept", 6).alias("intercept"), F.round("slope", 6).alias("slope"), "n")
 
 
+@query("stat_smooth_band", section="2.13", sql="""
+WITH d AS (SELECT cut, log10(carat) AS x, log10(price) AS y FROM gems),
+g AS (SELECT cut, count(*) AS n, avg(x) AS mx, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx,
+             (regr_syy(y, x) - regr_slope(y, x) * regr_sxy(y, x)) / (count(*) - 2) AS s2, min(x) AS lo, max(x) AS hi FROM d GROUP BY cut),
+p AS (SELECT g.*, i.k AS point, lo + (hi - lo) * i.k / 4 AS x0, 1.959963984540054 + 9.489237 / (4 * (n - 2)) AS t FROM g, range(5) i(k))
+SELECT cut, point, round(x0, 6) AS x, round(a + b * x0, 6) AS fit, round(a + b * x0 - t * sqrt(s2 * (1.0 / n + pow(x0 - mx, 2) / sxx)), 6) AS low,
+       round(a + b * x0 + t * sqrt(s2 * (1.0 / n + pow(x0 - mx, 2) / sxx)), 6) AS high FROM p""")
+def stat_smooth_band(t):
+    # the 95 % band that stat_smooth draws around its line
+    g = t.gems.select("cut", F.log10("carat").alias("lx"), F.log10("price").alias("ly"))
+    b = stats.smooth_band(g, "lx", "ly", by=["cut"], points=5)
+    return b.select("cut", "point", *[F.round(c, 6).alias(c) for c in ("x", "fit", "low", "high")])
+
+
 @query("stat_smooth_cubic", section="2.13")
 def stat_smooth_cubic(t):
     # y ~ x + I(x^2) + I(x^3) per colour on log10 axes
@@ -296,3 +310,24 @@ def boxplot_outliers(t):
     g = t.gems.select("cut", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "price")
     o = stats.boxplot_outliers(g, "price", ["cut"], 0.5)
     return o.withColumn("price", F.round("price", 6))
+
+
+@query("pairs_by_level", section="2.13", sql=" UNION ALL ".join(
+    f"SELECT cut, '{a}' AS var1, '{b}' AS var2, round(corr({a}, {b}), 6) AS r FROM gems GROUP BY cut"
+    for i, a in enumerate(PAIR_COLS) for b in PAIR_COLS[i + 1:]))
+def pairs_by_level(t):
+    # the upper panels of a pairs plot coloured by a factor: one correlation per pair and level
+    pairs = [(a, b) for i, a in enumerate(PAIR_COLS) for b in PAIR_COLS[i + 1:]]
+    wide = t.gems.groupBy("cut").agg(*[F.round(F.corr(a, b), 6).alias(f"{a}__{b}") for a, b in pairs])
+    stack = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs)
+    return wide.selectExpr("cut", f"stack({len(pairs)}, {stack}) AS (var1, var2, r)")
+
+
+@query("pairs_box", section="2.13", sql=" UNION ALL ".join(
+    f"SELECT '{c}' AS variable, * FROM ({_box_sql('gems', c, 'cut', 1.5)})" for c in ("carat", "x", "price")))
+def pairs_box(t):
+    # numeric against factor in a pairs plot: the box statistics of every numeric column, in one scan
+    long = t.gems.select("cut", "carat", "x", "price").unpivot(["cut"], ["carat", "x", "price"], "variable", "value")
+    b = stats.boxplot_stats(long, "value", ["variable", "cut"], 1.5)
+    return b.select("variable", "cut", *[F.round(c, 6).alias(c) for c in ("lower", "middle", "upper")], "n",
+                    *[F.round(c, 6).alias(c) for c in ("ymin", "ymax")], "n_out", F.round("relvarwidth", 6).alias("relvarwidth"))
