@@ -73,3 +73,63 @@ def test_penalty_grid_and_design():
     pts = tune.latin_hypercube({"a": (0, 10), "b": (2, 40)}, 10, seed=1, integer=["b"])
     assert len(pts) == 10
     assert sorted(int(p["a"]) for p in pts) == list(range(10))  # one point per stratum
+
+
+def test_strata_are_cut_to_the_row(spark):
+    d = spark.range(1003).withColumn("g", F.when(F.col("id") % 10 == 0, "rare").otherwise("common"))
+    s = splits.initial_split(d, ["id"], 0.75, seed=3, strata=["g"])
+    n = {(r["g"], r["split"]): r["count"] for r in s.groupBy("g", "split").count().collect()}
+    assert n[("rare", "train")] == int(101 * 0.75) and n[("common", "train")] == int(902 * 0.75)
+    again = splits.initial_split(d.repartition(7), ["id"], 0.75, seed=3, strata=["g"])
+    assert s.where("split = 'train'").select("id").exceptAll(again.where("split = 'train'").select("id")).count() == 0
+
+
+def test_planted_network(spark):
+    from tessera.ml import network
+    d = spark.range(8000).select(hash_normal(1, "id").alias("a"), hash_normal(2, "id").alias("b"), "id")
+    z = -2 + 5 / (1 + F.exp(-(0.3 + 1.5 * F.col("a") - 0.8 * F.col("b"))))
+    d = d.withColumn("label", (hash_uniform(5, "id") < 1 / (1 + F.exp(-z))).cast("double"))
+    x = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(d)
+    free, tied = network.fit_candidates(x, [0.001, 1000])
+    if free[0] < 0:  # the mirrored unit is the same function
+        free = np.array([-free[0], free[1] + free[0], *(-free[2:])])
+    assert np.allclose(free, [5, -2, 0.3, 1.5, -0.8], atol=0.5)
+    assert np.abs(tied).max() < 0.5  # a large penalty holds all weights near zero
+    p = x.select(F.avg(network.probability(free)).alias("p"), F.avg("label").alias("y")).first()
+    assert p["p"] == pytest.approx(p["y"], abs=0.01)
+
+
+def test_level_names_do_not_clash():
+    from tessera.ml.recipe import level_names
+    assert level_names("x", ["b c", "b-c", "d"]) == {"b c": "x_b_c", "b-c": "x_b_c_2", "d": "x_d"}
+
+
+def test_dummies_report_unseen_levels(spark):
+    from tessera.ml.recipe import StepDummy
+    m = StepDummy(["c"]).fit(spark.createDataFrame([("a",), ("b",)], "c string"))
+    new = spark.createDataFrame([("a",), ("z",), (None,)], "c string")
+    assert [tuple(r) for r in m.unseen(new).collect()] == [("c", 1)]
+    assert [r["c_b"] for r in m.transform(new).collect()][:2] == [0.0, 0.0]
+
+
+def test_generalised_vif_of_one_column_terms(spark):
+    from tessera.ml import diagnostics
+    d = spark.range(2000).select(hash_normal(1, "id").alias("a"), hash_normal(2, "id").alias("e")).withColumn("b", F.col("a") + F.col("e"))
+    v = {r["term"]: r["vif"] for r in diagnostics.vif(d, ["a", "b"]).collect()}
+    g = {r["term"]: r["gvif"] for r in diagnostics.gvif(d, {"a": ["a"], "b": ["b"]}).collect()}
+    assert g["a"] == pytest.approx(v["a"]) and g["b"] == pytest.approx(v["b"])
+
+
+def test_several_csv_sentinels(spark):
+    from tessera.sources.csv import read_csv, stage_csv
+    src = spark.createDataFrame([("1", "x", "1.5"), ("-1", "NA", "NA"), ("3", "", "-1")], "a string, b string, c string")
+    got = read_csv(spark, stage_csv(src, "na"), na=["-1", "NA"])
+    assert dict(got.dtypes) == {"a": "int", "b": "string", "c": "double"}
+    assert sorted((r["a"] or 0, r["b"] or "", r["c"] or 0) for r in got.collect()) == [(0, "", 0), (1, "x", 1.5), (3, "", 0)]
+
+
+def test_cut_width_lowest_edge(spark):
+    from tessera.functions.scalars import cut_width_bin
+    d = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (3.0,)], "x double")
+    got = [r[0] for r in d.orderBy("x").select(cut_width_bin("x", 2.0, 0.0, F.lit(0.0))).collect()]
+    assert got == [1.0, 1.0, 1.0, 3.0]
