@@ -100,17 +100,26 @@ KNOWN = (
 _VARIANTS = r"\b(?:" + "|".join(a for a, _ in SPELLINGS) + r")\b"
 
 
-def canonical_lines(text: Column) -> Column:
-    """Canonical form with its line breaks: words separated by one space, or by one line feed where a line ended."""
+def plain_lines(text: Column) -> Column:
+    """Canonical form but for spellings: words separated by one space, or by one line feed where a line ended."""
     rest = F.regexp_replace(text, COPYRIGHT_LINE, "")
     words = F.regexp_replace(F.lower(rest), r"[^\p{L}\p{N}\n]+", " ")
-    lines = F.trim(F.regexp_replace(words, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
+    return F.trim(F.regexp_replace(words, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
+
+
+def one_spelling(lines: Column) -> Column:
+    """Equivalent spellings made one; only texts that hold any are gone through."""
     same = lines
     for a, b in SPELLINGS:
         same = F.regexp_replace(same, rf"\b{a}\b".replace(" ", "[ \n]"), b)
     return F.when(lines.rlike(_VARIANTS.replace(" ", "[ \n]")), same).otherwise(lines)
 
 
+def canonical_lines(text: Column) -> Column:
+    """Canonical form of a text, with its line breaks."""
+    return one_spelling(plain_lines(text))
+
+
 def digest(canonical: Column) -> Column:
     """Digest of a canonical text, its lines joined by spaces."""
     return F.sha2(F.translate(canonical, "\n", " "), 256)
@@ -146,14 +155,22 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     table = F.broadcast(known_licenses(docs.sparkSession)) if known is None else known
     table = table.select(F.col("digest").alias("_known"), "license")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    forms = docs.select("doc_id", canonical_lines(text).alias("_form")).withColumn("digest", digest(F.col("_form")))
-    lines = (forms.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_whole"), F.explode(F.split("_form", "\n")).alias("line"))
-             .withColumn("_line", F.sha2("line", 256)))
-    stated = (lines.join(table, lines["_line"] == table["_known"]).groupBy("_id", "_whole")
-              .agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices")))
-    whole = forms.drop("_form").join(table, F.col("digest") == F.col("_known"), "left").drop("_known")
-    return whole.join(stated, whole["doc_id"].eqNullSafe(stated["_id"]) & (whole["digest"] == stated["_whole"]), "left").select(
-        "doc_id", "digest", "license", F.coalesce("notices", F.lit("")).alias("notices"))
+    # one projection a step, so that no step's regular expressions run more than once a text
+    forms = (docs.select("doc_id", plain_lines(text).alias("_plain"))
+             .select("doc_id", one_spelling(F.col("_plain")).alias("_form"))
+             .select("doc_id", digest(F.col("_form")).alias("digest"),
+                     F.array_distinct(F.transform(F.split("_form", "\n"), lambda x: F.sha2(x, 256))).alias("_lines")))
+    # the entire text and every line are looked up in one join; a text without a match keeps its own row
+    keys = F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.col("digest").alias("key"))),
+                    F.transform("_lines", lambda x: F.struct(F.lit(False).alias("whole"), x.alias("key"))))
+    found = forms.select("doc_id", "digest", F.explode(keys).alias("k")).select("doc_id", "digest", "k.whole", "k.key")
+    found = found.join(table, F.col("key") == F.col("_known"), "left").where(F.col("whole") | F.col("license").isNotNull())
+    rows = found.groupBy("doc_id", "digest").agg(
+        F.count_if("whole").alias("_copies"), F.max(F.when(F.col("whole"), F.col("license"))).alias("license"),
+        F.array_join(F.array_sort(F.collect_set(F.when(~F.col("whole"), F.col("license")))), ",").alias("notices"))
+    # rows of one id and one canonical text were counted as one
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(
+        "doc_id", "digest", "license", "notices")
 
 
 def oracle() -> str:
