@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import materialize, trimmed
 
 CAPACITY = 2048
 #: pieces of one length that are ranked together; commoner lengths are salted
@@ -110,12 +110,13 @@ def tokenizer(path: str):
     which gives the same ids faster; any other model, and very long texts, use
     tokenizers itself.
     """
-    from tokenizers import Tokenizer
-
-    lib = Tokenizer.from_file(path)
+    @lru_cache(maxsize=1)
+    def library():
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(path)
 
     def plain(text: str) -> np.ndarray:
-        return np.array(lib.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(library().encode(text, add_special_tokens=False).ids, np.uint32)
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
@@ -178,7 +179,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
 
     src = docs.select(docs["doc_id"], docs["text"].cast("string").alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return src.mapInArrow(trimmed(run), f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -56,6 +59,38 @@ def text_chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES):
         at = end
 
 
+def trim() -> None:
+    """Give memory that a worker no longer uses back to the system: workers outlive tasks and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def trimmed(run):
+    """A batch function that trims the worker's memory when its partition is done."""
+    def wrapped(batches):
+        yield from run(batches)
+        trim()
+    return wrapped
+
+
+def trimmed_group(run):
+    """A group function (one or two tables in, one out) that trims the worker's memory after each group."""
+    if len(inspect.signature(run).parameters) == 1:
+        def wrapped(t):
+            out = run(t)
+            trim()
+            return out
+    else:
+        def wrapped(left, right):
+            out = run(left, right)
+            trim()
+            return out
+    return wrapped
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: spreads every input bit over the whole word."""
     x = x.astype(np.uint64, copy=True)
@@ -194,9 +229,16 @@ def components(edges: DataFrame, nodes_of: tuple[str, str] = ("a", "b")) -> Data
         e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
+#: bytes of rows that a Python worker is handed at once, where the session says nothing else
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application, as ``--py-files`` would."""
+    """Give the executors this package, once per application, as ``--py-files`` would, and bound their batches of text."""
     sc = spark.sparkContext
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if sc.getConf().get(size, None) is None:
+        spark.conf.set(size, str(BATCH_BYTES))
     if getattr(sc, "_tessera_shipped", False):
         return
     import pathlib

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import text_chunks
+from tessera.llm.common import text_chunks, trimmed
 
 UNDETERMINED = "und"
 EXCERPTS = 80
@@ -33,7 +33,7 @@ EXCERPT_CHARS = 400
 MAX_LABELS = 1000
 #: a document is parsed in segments of this many letters, so that long ones run side by side
 SEGMENT = 2048
-WORK_BYTES = 6 << 20
+WORK_BYTES = 2 << 20
 SEPARATOR = "\x00"
 
 
@@ -177,9 +177,9 @@ class Automata:
         n = len(texts)
         joined = SEPARATOR.join([t.lower().replace(SEPARATOR, " ") for t in texts])
         points = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)
-        owner = np.zeros(len(points), np.int64)
         mark = points == 0
-        owner[1:] = np.cumsum(mark[:-1])
+        owner = np.zeros(len(points), np.int32)
+        np.cumsum(mark[:-1], out=owner[1:])
         classes = self.class_of[points]
         keep = ~mark
         keep[1:] &= (classes[1:] != 0) | (classes[:-1] != 0)  # runs of anything but letters count as one space
@@ -239,7 +239,7 @@ def predict(docs: DataFrame, sample: tuple[tuple[str, str], ...], text_col: str
                 made = [pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, *names])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(trimmed(run), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:

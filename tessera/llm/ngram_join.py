@@ -22,13 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import SpanHash, components, materialize, mix64, shingle_spans, text_chunks
+from tessera.llm.common import SpanHash, components, materialize, mix64, shingle_spans, text_chunks, trimmed, trimmed_group
 
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 #: n-grams of a family that one block holds; larger families are cut into blocks
 BLOCK_GRAMS = 200_000
+#: text that is hashed at once: arrays of this length stay in the processor's cache
+STEP_BYTES = 1 << 17
 #: columns of a comparison that are dense at once
 DENSE_COLUMNS = 1 << 14
 
@@ -37,8 +39,10 @@ def banding(threshold: float, recall: float, most_hashes: int = 128) -> tuple[in
     """Bands and rows: the most rows (fewest chance candidates) whose bands reach the recall within the hashes."""
     best = (most_hashes, 1)
     for rows in range(1, most_hashes + 1):
-        miss = 1 - threshold ** rows
-        bands = math.ceil(math.log(1 - recall) / math.log(miss)) if miss > 0 else 1
+        hit = threshold ** rows  # chance that a pair at the threshold agrees in one band
+        if hit < 1e-9:
+            break
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-hit)) if hit < 1 else 1
         if bands * rows <= most_hashes:
             best = (max(bands, 1), rows)
     return best
@@ -89,7 +93,7 @@ def _sketch(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """``doc_id, node, n, keys`` per row; node (the set's digest) is null for a text without words."""
     def run(batches):
         for b in batches:
-            for part, buf, offsets in text_chunks(b, "text"):
+            for part, buf, offsets in text_chunks(b, "text", STEP_BYTES):
                 values, bounds = gram_sets(buf, offsets)
                 size = np.diff(bounds)
                 keys = np.zeros((len(size), bands), np.uint64)
@@ -103,7 +107,7 @@ def _sketch(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                      pa.ListArray.from_arrays(at, flat)], ["doc_id", "node", "n", "keys"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, node string, n bigint, keys array<bigint>")
+    return docs.mapInArrow(trimmed(run), f"doc_id {kind}, node string, n bigint, keys array<bigint>")
 
 
 def _cut(values: np.ndarray, bounds: np.ndarray):
@@ -245,7 +249,7 @@ def link_counts(docs: DataFrame, threshold: float = THRESHOLD, recall: float = R
                          "b": pa.array([None] * len(some) + [*node[j[tree]]], pa.string()),
                          "links": pa.array([*links[some].astype(np.int64).tolist(), *[None] * len(tree)], pa.int64())})
 
-    verified = materialize(work.groupBy("comp", "p", "q").applyInArrow(verify, "a string, b string, links bigint"))
+    verified = materialize(work.groupBy("comp", "p", "q").applyInArrow(trimmed_group(verify), "a string, b string, links bigint"))
     joined = components(verified.where("b is not null").select("a", "b"))
     counts = verified.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     named = classes.select("node", "copies", "low").join(joined, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -260,7 +264,7 @@ def _sets(texts: DataFrame) -> DataFrame:
     """The full n-gram set of each class's text, where the text has that class's digest."""
     def run(batches):
         for b in batches:
-            for part, buf, offsets in text_chunks(b, "text"):
+            for part, buf, offsets in text_chunks(b, "text", STEP_BYTES):
                 values, bounds = gram_sets(buf, offsets)
                 same = np.array([x == y for x, y in zip(_digests(values, bounds), part.column(0).to_pylist())], bool)
                 grams = pa.array([s.tobytes() for s in _cut(values, bounds)], pa.binary())
@@ -268,4 +272,4 @@ def _sets(texts: DataFrame) -> DataFrame:
                 yield out.filter(pa.array(same))
 
     schema = T.StructType([*texts.drop("text").schema.fields, T.StructField("grams", T.BinaryType())])
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(trimmed(run), schema)

@@ -31,14 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import SpanHash, materialize, shuffle_partitions, text_chunks
+from tessera.llm.common import SpanHash, materialize, shuffle_partitions, text_chunks, trimmed, trimmed_group
 
 LENGTH = 200
 ANCHOR = 50
 #: depth of the multikey sorting; blind tries take over below it
 SHALLOW = 32
-BIN_BYTES = 6 << 20
-BLOCK_BYTES = 16 << 20
+BIN_BYTES = 2 << 20
+BLOCK_BYTES = 8 << 20
 #: different runs of one anchor that are sorted together at most
 HOT_RUNS = 20_000
 #: text in which runs are looked for at once: arrays of this length stay in the processor's cache
@@ -107,7 +107,7 @@ def _runs(src: DataFrame, length: int, anchor: int) -> DataFrame:
                         [pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(key[own]), pa.array(digest[own]), pa.array(place)],
                         ["h", "c", "key", "digest", "place"])
 
-    return src.mapInArrow(run, "h bigint, c bigint, key bigint, digest bigint, place bigint")
+    return src.mapInArrow(trimmed(run), "h bigint, c bigint, key bigint, digest bigint, place bigint")
 
 
 def sort_equal(buf: np.ndarray, pos: np.ndarray, length: int = LENGTH, shallow: int = SHALLOW) -> np.ndarray:
@@ -206,7 +206,7 @@ def _squeeze(src: DataFrame) -> DataFrame:
                 names = [x for i, x in enumerate(part.schema.names) if i != at_text]
                 yield pa.RecordBatch.from_arrays([*cols, z], [*names, "_z"])
 
-    return src.mapInArrow(run, T.StructType([*fields, T.StructField("_z", T.BinaryType())]))
+    return src.mapInArrow(trimmed(run), T.StructType([*fields, T.StructField("_z", T.BinaryType())]))
 
 
 def _expand(t: pa.Table):
@@ -291,13 +291,13 @@ def repeated_places(src: DataFrame, blocks: DataFrame, n_blocks: int, length: in
 
     by_block = blocks.groupBy("_block")
     strings = by_block.cogroup(asked.where("not hot").groupBy("_block")).applyInArrow(
-        cut, "h bigint, key bigint, digest bigint, place bigint, raw binary")
+        trimmed_group(cut), "h bigint, key bigint, digest bigint, place bigint, raw binary")
     equal = (strings.withColumn("bin", F.pmod(F.xxhash64("h"), F.lit(bins)))
-             .groupBy("bin").applyInArrow(_sort_bin(length), "key bigint, digest bigint, place bigint"))
+             .groupBy("bin").applyInArrow(trimmed_group(_sort_bin(length)), "key bigint, digest bigint, place bigint"))
     out = whole.union(equal)
     if edges.where("hot").limit(1).count():
         single = by_block.cogroup(asked.where("hot").groupBy("_block")).applyInArrow(
-            digest_windows, "h bigint, w bigint, key bigint, digest bigint, place bigint")
+            trimmed_group(digest_windows), "h bigint, w bigint, key bigint, digest bigint, place bigint")
         twice = single.groupBy("h", "w").agg(F.count("*").alias("m")).where("m > 1").select("h", "w")
         out = out.union(single.join(twice, ["h", "w"]).select("key", "digest", "place"))
     return out
@@ -357,4 +357,4 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, dig
         span = T.StructType([T.StructField("start", long), T.StructField("stop", long)])
         tail = [("text", string), *tail, ("kept_sha256", string), ("spans", T.ArrayType(span))]
     schema = T.StructType([*fields, *[T.StructField(a, b) for a, b in tail]])
-    return blocks.groupBy("_block").cogroup(places.groupBy("_block")).applyInArrow(finish, schema)
+    return blocks.groupBy("_block").cogroup(places.groupBy("_block")).applyInArrow(trimmed_group(finish), schema)
