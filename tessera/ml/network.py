@@ -19,6 +19,8 @@ from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tessera.ml.recipe import in_few_parts
+
 MAX_PASSES = 40
 TOLERANCE = 1e-7
 
@@ -56,6 +58,8 @@ def fit_candidates(df: DataFrame, penalties: Sequence[float], label: str = "labe
     """Weights ``[v, c, b, w...]`` for every penalty, all fitted side by side."""
     rows = df.select(F.col(label).cast("double").alias("y"), vector_to_array(F.col(features)).alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
 
+    few = in_few_parts(rows)
+
     def add(t: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x, np.float64) for x in t.column("sums").to_pylist())
         return pa.table({"candidate": t.column("candidate").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
@@ -67,7 +71,7 @@ def fit_candidates(df: DataFrame, penalties: Sequence[float], label: str = "labe
         best, best_loss, known = at.copy(), np.full(len(at), np.inf), [None] * len(at)
         damping, settled = np.full(len(at), 1.0), np.zeros(len(at), bool)
         for _ in range(max_passes):
-            per = rows.mapInArrow(_sums(at.copy()), "candidate int, sums binary").groupBy("candidate").applyInArrow(
+            per = few.mapInArrow(_sums(at.copy()), "candidate int, sums binary").groupBy("candidate").applyInArrow(
                 add, "candidate int, sums binary").collect()
             for r in per:
                 k, sums = r["candidate"], np.frombuffer(r["sums"], np.float64)

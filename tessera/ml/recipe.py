@@ -224,6 +224,15 @@ def feature_names(pipeline_model) -> list[str]:
     return []
 
 
+#: rows that one task of an iterative fit goes through per pass; fewer cost more in scheduling than in work
+ROWS_PER_TASK = 20_000
+
+
+def in_few_parts(stored: DataFrame) -> DataFrame:
+    """A persisted frame in as many partitions as its rows are worth, read from storage without a shuffle."""
+    return stored.coalesce(max(1, -(-stored.count() // ROWS_PER_TASK)))
+
+
 def fit_workflow(stages: list, estimator, train: DataFrame, label: str = "label", features: str = "features"):
     """Fit the recipe, then the model on persisted (label, features) rows only.
 
@@ -237,7 +246,7 @@ def fit_workflow(stages: list, estimator, train: DataFrame, label: str = "label"
     prep = Pipeline(stages=stages).fit(train)
     x = prep.transform(train).select(label, features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = estimator.fit(x)
+        model = estimator.fit(in_few_parts(x))
     finally:
         x.unpersist()
     return PipelineModel(stages=[*prep.stages, model])
@@ -248,6 +257,6 @@ def fit_prepared(estimator, df: DataFrame, label: str = "label", features: str =
     from pyspark import StorageLevel
     x = df.select(label, features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return estimator.fit(x)
+        return estimator.fit(in_few_parts(x))
     finally:
         x.unpersist()
