@@ -218,10 +218,8 @@ def residuals(t):
 
 
 @query("rsq", section="2.18", sql="""
-SELECT round(pow(corr(ln(price), regr_intercept(ln(price), ln(carat)) OVER () + regr_slope(ln(price), ln(carat)) OVER () * ln(carat)), 2), 6) AS rsq
-FROM gems""".replace("SELECT round(pow(corr(", "SELECT round(pow(corr(lp, fit), 2), 6) AS rsq FROM (SELECT ln(price) AS lp, ").replace(
-    "ln(price), regr_intercept(ln(price), ln(carat)) OVER () + regr_slope(ln(price), ln(carat)) OVER () * ln(carat)), 2), 6) AS rsq\nFROM gems",
-    "regr_intercept(ln(price), ln(carat)) OVER () + regr_slope(ln(price), ln(carat)) OVER () * ln(carat) AS fit FROM gems)"))
+SELECT round(pow(corr(lp, fit), 2), 6) AS rsq FROM (SELECT ln(price) AS lp,
+  regr_intercept(ln(price), ln(carat)) OVER () + regr_slope(ln(price), ln(carat)) OVER () * ln(carat) AS fit FROM gems)""")
 def rsq(t):
     d, m = _lm_one(t)
     fitted = F.lit(float(m.intercept)) + F.col("log_carat") * float(m.coefficients[0])
@@ -328,10 +326,18 @@ def roc_compare(t):
 
 # ------------------------------------------------------------------ late flights (glm workflow)
 
+#: planted log-odds of a late arrival: intercept, per unit of departure time (hhmm), in December
+LATE_ODDS = (-2.0, 0.0015, 0.8)
+
+
 def _flight_data(t):
+    """Complete flights with a late / on_time label of a known relation: later in the day and in December more are late."""
     d = t.deliveries.filter(F.col("arr_delay").isNotNull())
+    a, per_time, december = LATE_ODDS
+    odds = a + per_time * F.col("dep_time") + F.when(F.col("month") == 12, december).otherwise(0.0)
+    late = hash_uniform(17, *LK) < 1 / (1 + F.exp(-odds))
     d = d.select(*LK, "dep_time", "flight", "origin", "dest", "air_time", "distance", "carrier", "date",
-                 F.when(F.col("arr_delay") >= 30, EVENT).otherwise(OTHER).alias("arr_delay"), "time_hour")
+                 F.when(late, EVENT).otherwise(OTHER).alias("arr_delay"), "time_hour")
     return verbs.na_omit(d)
 
 

@@ -133,3 +133,14 @@ def test_cut_width_lowest_edge(spark):
     d = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (3.0,)], "x double")
     got = [r[0] for r in d.orderBy("x").select(cut_width_bin("x", 2.0, 0.0, F.lit(0.0))).collect()]
     assert got == [1.0, 1.0, 1.0, 3.0]
+
+
+def test_late_flights_recover_the_planted_relation(spark):
+    from tessera.sources.tables import Tables
+    from tessera.workloads import ml_q
+    pm, scored, names = ml_q._late_fit(Tables(spark, "/root/testdata/sf0.001"))
+    td = {r["term"]: r for r in models.tidy_glm(spark, pm.stages[-1], names).collect()}
+    _, per_time, _ = ml_q.LATE_ODDS
+    assert abs(td["dep_time"]["estimate"] - per_time) < 3 * td["dep_time"]["std_error"]
+    auc = metrics.roc_auc(scored, "arr_delay", "pred_late", "late").first()[0]
+    assert auc > 0.65
