@@ -26,10 +26,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, mix64, shuffle_partitions
+from tessera.llm.common import materialize, mix64, shuffle_partitions, trimmed, trimmed_group
 
 ORDER = 5
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SHARDS = 32
 #: blocks whose questions meet one copy of the model
 BLOCKS_TOGETHER = 256
@@ -38,7 +38,7 @@ QUANTILE = 0.99
 SLACK = 1.5
 #: one trusted document in so many is kept from the counts and sets the thresholds
 FOLDS = 5
-STEP = 1 << 21
+STEP = 1 << 19
 _CONTEXT = 8  # tag of back-off weights; tags 1..5 are probabilities
 
 
@@ -78,10 +78,8 @@ def _steps(texts: list[bytes]):
 
 
 def _distinct(texts: list[bytes]) -> np.ndarray:
-    out = np.zeros(0, np.int64)
-    for lo, hi in _steps(texts):
-        out = np.union1d(out, np.unique(_grams(texts[lo:hi])[0]))
-    return out
+    parts = [np.unique(_grams(texts[lo:hi])[0]) for lo, hi in _steps(texts)]
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
 
 
 def _questions(five: np.ndarray) -> dict[int, np.ndarray]:
@@ -140,7 +138,7 @@ def _blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
                 z = [c.compress((t or "").encode("utf-8", "replace")) for t in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(z, pa.binary())], ["doc_id", "lang", "z"])
 
-    packed = src.mapInArrow(squeeze, f"doc_id {kind}, lang string, z binary")
+    packed = src.mapInArrow(trimmed(squeeze), f"doc_id {kind}, lang string, z binary")
     trusted = (labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0))
                .select(F.col("doc_id").cast(kind).alias("doc_id"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("binary").alias("z")))
     both = packed.union(trusted)
@@ -169,15 +167,12 @@ def _count(blocks: DataFrame) -> DataFrame:
     def count(t: pa.Table) -> pa.Table:
         rows, texts = _open(t)
         texts = [x for r, x in zip(rows, texts) if r[2] and not _apart(x)]
-        keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for lo, hi in _steps(texts):
-            k, n = np.unique(_grams(texts[lo:hi])[0], return_counts=True)
-            both = np.concatenate([keys, k])
-            keys, inverse = np.unique(both, return_inverse=True)
-            sums = np.bincount(inverse, weights=np.concatenate([sums, n]), minlength=len(keys)).astype(np.int64)
+        # counts of a step are summed by Spark before they are shuffled
+        parts = [np.unique(_grams(texts[lo:hi])[0], return_counts=True) for lo, hi in _steps(texts)]
+        keys, sums = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         return pa.table({"gram": keys, "n": sums})
 
-    return (blocks.groupBy("block").applyInArrow(count, "gram bigint, n bigint")
+    return (blocks.groupBy("block").applyInArrow(trimmed_group(count), "gram bigint, n bigint")
             .groupBy("gram").agg(F.sum("n").alias("n")))
 
 
@@ -244,7 +239,7 @@ def _ask(blocks: DataFrame) -> DataFrame:
         return pa.table({"block": pa.array([block] * len(parts), pa.int32()), "shard": pa.array([s for s, _ in parts], pa.int32()),
                          "asked": pa.array([_squeeze(np.diff(k, prepend=0)) for _, k in parts], pa.binary())})
 
-    return blocks.groupBy("block").applyInArrow(ask, "block int, shard int, asked binary")
+    return blocks.groupBy("block").applyInArrow(trimmed_group(ask), "block int, shard int, asked binary")
 
 
 def _answer(asked: DataFrame, model: DataFrame, n_blocks: int) -> DataFrame:
@@ -255,7 +250,7 @@ def _answer(asked: DataFrame, model: DataFrame, n_blocks: int) -> DataFrame:
         for b in batches:
             yield b.append_column("shard", pa.array(_shard(b.column(0).to_numpy()).astype(np.int32)))
 
-    rows = (model.mapInArrow(shard_of, "key bigint, value double, shard int")
+    rows = (model.mapInArrow(trimmed(shard_of), "key bigint, value double, shard int")
             .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(together - 1)))))
     asked = asked.withColumn("part", F.floor(F.col("block") / BLOCKS_TOGETHER).cast("int"))
 
@@ -271,7 +266,7 @@ def _answer(asked: DataFrame, model: DataFrame, n_blocks: int) -> DataFrame:
         return pa.table({"block": left.column("block"), "shard": left.column("shard"), "answer": pa.array(made, pa.binary())})
 
     return (asked.groupBy("shard", "part").cogroup(rows.groupBy("shard", "part"))
-            .applyInArrow(answer, "block int, shard int, answer binary"))
+            .applyInArrow(trimmed_group(answer), "block int, shard int, answer binary"))
 
 
 def _score(blocks: DataFrame, answers: DataFrame) -> DataFrame:
@@ -308,7 +303,7 @@ def _score(blocks: DataFrame, answers: DataFrame) -> DataFrame:
                          "n_bytes": size, "perplexity": pa.array(ppl, pa.float64())})
 
     return (blocks.groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInArrow(score, f"doc_id {kind}, lang string, trusted boolean, apart boolean, n_bytes bigint, perplexity double"))
+            .applyInArrow(trimmed_group(score), f"doc_id {kind}, lang string, trusted boolean, apart boolean, n_bytes bigint, perplexity double"))
 
 
 def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
