@@ -35,16 +35,16 @@ def logistic_lasso(penalty: float, mixture: float = 1.0, **kw) -> LogisticRegres
                               tol=1e-6, **kw)
 
 
-def rand_forest(mtry: int, min_n: int, trees: int = 1000, seed: int = 345, depth: int = 30, bins: int = 64, **kw) -> RandomForestClassifier:
+def rand_forest(mtry: int, min_n: int, trees: int = 1000, seed: int = 345, depth: int = 20, bins: int = 64, **kw) -> RandomForestClassifier:
     """``rand_forest(mtry, min_n, trees)`` on native factors.
 
     ``min_n`` is the smallest node that is split; Spark bounds the children
     instead, so a child may hold one row at least of a node of ``min_n``: the bound
-    is ``min_n / 2`` rounded up, its nearest match.  Depth is bounded by Spark's
-    limit of 30.
+    is ``min_n / 2`` rounded up, its nearest match.  ``depth`` bounds the levels (ranger has
+    no bound, Spark at most 30).
     """
     return RandomForestClassifier(numTrees=trees, featureSubsetStrategy=str(mtry), minInstancesPerNode=max(1, -(-min_n // 2)),
-                                  maxDepth=depth, maxBins=bins, seed=seed, maxMemoryInMB=1024, **kw)
+                                  maxDepth=depth, maxBins=bins, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True, **kw)
 
 
 def decision_tree(min_split: int = 5, depth: int = 30, **kw) -> DecisionTreeClassifier:
