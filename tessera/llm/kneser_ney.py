@@ -33,9 +33,8 @@ BLOCK_BYTES = 8 << 20
 SHARDS = 32
 #: blocks whose questions meet one copy of the model
 BLOCKS_TOGETHER = 256
+#: a document goes when its perplexity exceeds this quantile of its language's trusted text
 QUANTILE = 0.99
-#: a document goes when its perplexity exceeds the quantile times this
-SLACK = 1.5
 #: one trusted document in so many is kept from the counts and sets the thresholds
 FOLDS = 5
 STEP = 1 << 19
@@ -317,17 +316,16 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return _score(blocks, _answer(_ask(blocks), fit(counts), n))
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """``doc_id, lang, trusted, n_bytes, perplexity, threshold, keep`` of every row.
 
     ``threshold`` is the given quantile of the perplexities of trusted documents
-    kept from the counts, in the row's language, times ``slack``; of all
-    languages where it has none.  A document above it goes, and so does one
-    without text.
+    kept from the counts, in the row's language; of all languages where it has
+    none.  A document above it goes, and so does one without text.
     """
     scores = materialize(perplexities(docs, labels))
     sure = scores.where("apart and perplexity is not null")
-    cut = F.percentile_approx("perplexity", quantile, 10_000) * slack
+    cut = F.percentile_approx("perplexity", quantile, 10_000)
     by_lang = sure.groupBy("lang").agg(cut.alias("own"))
     overall = sure.agg(cut.alias("any")).first()["any"]
     joined = scores.join(by_lang.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l")), "left")

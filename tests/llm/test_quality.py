@@ -100,3 +100,19 @@ def test_junk_goes_and_clean_text_stays(spark, sf_dir):
 def test_copies_of_a_text_are_on_one_side():
     assert K._apart(b"abc") == (zlib.crc32(b"abc") % K.FOLDS == 0)
     assert 100 < sum(K._apart(bytes([random.Random(i).randrange(256) for _ in range(8)])) for i in range(1000)) < 300
+
+
+def test_threshold_is_the_quantile_alone(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
+    held = {r.doc_id for r in labels.collect() if zlib.crc32(f"h{r.doc_id}".encode()) % 5 == 0}
+    rest = labels.where(~labels["doc_id"].isin(held))
+    apart, cut = {}, {}
+    for r in K.perplexities(docs, rest).where("apart and perplexity is not null").collect():
+        apart.setdefault(r.lang, []).append(r.perplexity)
+    got = {r.doc_id: r for r in K.classify(docs, rest).collect()}
+    for r in got.values():
+        cut[r.lang] = r.threshold
+    assert all(cut[x] <= max(v) + 1e-9 for x, v in apart.items())
+    truth = [(r.quality, got[r.doc_id].keep) for r in labels.where("toxic = 0").collect() if r.doc_id in got and r.doc_id in held]
+    good, bad = [k for q, k in truth if q == 1], [k for q, k in truth if q == 0]
+    assert good and bad and sum(good) >= 0.95 * len(good) and sum(bad) <= 0.25 * len(bad)
