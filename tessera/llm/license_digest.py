@@ -1,6 +1,6 @@
 """Licence scan by canonical digests, built from DataFrame functions alone.
 
-A text is brought into a canonical form: copyright lines dropped, lower case,
+A text is brought into a canonical form: copyright notices dropped, lower case,
 anything but letters and digits read as one space, equivalent spellings made
 one.  The digest of that form is joined to the digests of known licences, for
 the entire text and for each of its lines (a licence notice is a line).
@@ -14,7 +14,11 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-COPYRIGHT_LINE = r"(?im)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+# a name after "Copyright", but for the terms Holder, Owner, Notice, Licence, Law, before which licence text may wrap (RE2 has no look-ahead)
+_NAME = r"(?-i:Copyright) +(?-i:[A-GI-KMP-ZÀ-ÖØ-Þ]|H[^o\n]|Ho[^l\n]|O[^w\n]|Ow[^n\n]|N[^o\n]|No[^t\n]|L[^ia\n]|Li[^c\n]|La[^w\n])"
+#: a notice: a line that begins with a sign, or with "copyright" and a sign, a blank to fill in, a year, "by" or a name, or only reserves all rights
+COPYRIGHT_LINE = (r"(?im)^[^\p{L}\p{N}\n]*(?:(?:copyright[ \t:,.;*-]*(?:\(c\)|©|&copy;|[\[<{]|\d{4}|by\b)|" + _NAME
+                  + r"|\(c\)|©)[^\n]*|all rights reserved[^\p{L}\p{N}\n]*)$")
 
 # fixed values: spellings that licence matching guidelines hold equivalent
 SPELLINGS = (
@@ -127,7 +131,7 @@ def digest(canonical: Column) -> Column:
 
 def canonical_text(text: str) -> str:
     """The canonical form, lines joined by spaces, of one text on the driver (for the table of known licences)."""
-    rest = re.sub(r"(?im)^[\W_]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$", "", text)
+    rest = re.sub(COPYRIGHT_LINE.replace(r"[^\p{L}\p{N}\n]", r"(?:[^\w\n]|_)"), "", text)
     out = " ".join(re.findall(r"[^\W_]+", rest.lower()))
     for a, b in SPELLINGS:
         out = re.sub(rf"\b{a}\b", b, out)

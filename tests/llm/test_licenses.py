@@ -1,3 +1,5 @@
+import textwrap
+
 from tessera.llm import license_digest as L
 
 
@@ -39,3 +41,24 @@ def test_given_table_is_joined_and_clashing_columns_are_ignored(spark, docs, row
     got = L.scan(docs.withColumnsRenamed({"key": "license", "node": "digest"}), known).collect()
     assert len(got) == len(rows)
     assert {r.doc_id for r in got if r.license == "X"} == {r[0] for r in rows if r[1] == "one"}
+
+
+NOTICES = ("Copyright (c) 2020 Somebody", "  * COPYRIGHT 1999-2021, Other", "© 2020 X", "Copyright © X", "Copyright by Y", "Copyright The Foo Authors",
+           "Copyright [yyyy] [name of copyright owner]", "(C) Other", "All rights reserved.")
+
+
+def test_line_breaks_and_notices_do_not_matter(spark):
+    rows, want = [], {}
+    for name, t in L.KNOWN:
+        for width in (60, 72, 78, 80, 1 << 20):
+            wrapped = textwrap.fill(t, width, break_long_words=False)
+            for text in (wrapped, "\n".join(NOTICES) + "\n\n" + wrapped):
+                want[len(rows)] = name
+                rows.append((len(rows), text))
+    # every word at a line start
+    for name, t in L.KNOWN:
+        want[len(rows)] = name
+        rows.append((len(rows), "\n".join(t.split())))
+    got = L.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert [(rows[r.doc_id][1], r.license) for r in got if r.license != want[r.doc_id]] == []
+    assert all(L.canonical_text(t) == L.canonical_text(textwrap.fill(t, 1 << 20)) for _, t in L.KNOWN)
