@@ -50,13 +50,14 @@ def learn(docs: DataFrame, excerpts: int = EXCERPTS, excerpt_chars: int = EXCERP
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LABELS + 1).collect()
+    # distinct texts (within some 5 percent): copies share one draw and give one excerpt
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).limit(MAX_LABELS + 1).collect()
     if len(counts) > MAX_LABELS:
         raise ValueError(f"more than {MAX_LABELS} labels")
     if not counts:
         return ()
     # a hash of the text thins each label to a few times the excerpts needed before anything is compared
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 6 * excerpts / r["n"]))])
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 6 * excerpts / max(1, r["n"])))])
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
     size = F.char_length("text")
     begin = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(size - excerpt_chars, F.lit(0)) + 1)

@@ -69,3 +69,12 @@ def test_held_out_rows_teach_nothing(docs):
     from tessera.llm.cross_parsing import held_out
     changed = docs.withColumn("lang", F.when(F.coalesce(held_out(), F.lit(True)), F.lit("zz")).otherwise(F.col("lang")))
     assert learn(changed) == learn(docs)
+
+
+def test_copies_do_not_thin_the_sample(spark):
+    from pyspark.sql import functions as F
+    n, m = 40_000, 200
+    text = F.concat_ws(" ", *[F.md5((F.col("id") % m * 100 + k).cast("string").cast("binary")) for k in range(4)])
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"))
+    (label, parts), = learn(docs)
+    assert label == "en" and len(parts.split(SEPARATOR)) == 80
