@@ -7,8 +7,9 @@ and packing places the rest into training sequences.  Each stage's rows are
 written as Parquet and read again as the next stage's input.
 
 Stages handle null ids, repeated rows, null and empty texts, empty tables and
-further columns as their operators state; a document of a null id stands for
-itself.  All stages but the last return the columns they were given.
+further columns as their operators state.  Rows are kept or dropped by id and
+text, so a row does not share the fate of another text of its id, or of all null
+ids.  All stages but the last return the columns they were given.
 """
 
 from __future__ import annotations
@@ -42,30 +43,39 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def keep_usual_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is not above their language's threshold."""
     from tessera.llm.kneser_ney import classify
+    from tessera.llm.ngram_join import text_digest
     ship(spark)
-    scores = classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    # an id is rejected as a whole if any of its rows is
-    gone = materialize(scores.where("not keep").select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    scores = classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), by_text=True)
+    # rows of one language and text are decided alike; the id only spreads copies
+    gone = materialize(scores.where("not keep").select(
+        F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("digest").alias("_digest")).distinct())
+    same = (docs["doc_id"].eqNullSafe(gone["_id"]) & docs["lang"].cast("string").eqNullSafe(gone["_lang"])
+            & (text_digest() == gone["_digest"]))
+    return docs.join(gone, same, "left_anti")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of every class of near copies, once."""
-    from tessera.llm.ngram_join import link_counts
+    """One row of every class of near copies: the one of the smallest id, null ids last; texts without words all stay."""
+    from tessera.llm.ngram_join import link_counts, text_digest
     ship(spark)
-    classes = link_counts(docs)
-    first = classes.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("class_id").alias("_class"))
-    gone = materialize(first.where("doc_id <> _class").select(F.col("doc_id").alias("_gone")))
-    rest = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    # repeated rows of one id: one of them stays
-    again = materialize(rest.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-                        .select(F.col("doc_id").alias("_again")))
-    if not again.limit(1).count():
-        return rest
-    marked = rest.join(again, rest["doc_id"] == again["_again"], "left")
-    number = F.row_number().over(Window.partitionBy("_again").orderBy(F.xxhash64("text"), "text"))
-    single = marked.where("_again is not null").withColumn("_k", number).where("_k = 1")
-    return single.select(*docs.columns).union(marked.where("_again is null").select(*docs.columns))
+    members = link_counts(docs, by_text=True).where("comp is not null")
+    kinds = materialize(members.groupBy("comp", "doc_id", "digest").agg(F.count("*").alias("n")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("first")
+    chosen = kinds.groupBy("comp").agg(first, F.sum("n").alias("rows")).where("rows > 1").drop("rows")
+    marked = kinds.join(chosen, "comp")
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))
+    # of the others every row goes, of the first's repeated rows one stays
+    marked = materialize(marked.withColumn("_first", is_first).where("not _first or n > 1").select(
+        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "_first"))
+    keyed = docs.withColumn("_text", text_digest())
+    same = keyed["doc_id"].eqNullSafe(marked["_id"]) & (keyed["_text"] == marked["_digest"])
+    rest = keyed.join(marked, same, "left").where(F.coalesce("_first", F.lit(True)))
+    if not marked.where("_first").limit(1).count():
+        return rest.select(*docs.columns)
+    hashed = [c for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()]
+    number = F.row_number().over(Window.partitionBy("_id", "_digest").orderBy(F.xxhash64(*hashed)))
+    single = rest.where("_first").withColumn("_k", number).where("_k = 1")
+    return single.select(*docs.columns).union(rest.where("_first is null").select(*docs.columns))
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

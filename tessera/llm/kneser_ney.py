@@ -18,6 +18,7 @@ Nothing of the model passes the driver but the counts of counts (four per order)
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -299,14 +300,15 @@ def _score(blocks: DataFrame, answers: DataFrame) -> DataFrame:
         return pa.table({"doc_id": pa.array([r[0] for r in rows], left.schema.field("doc_id").type),
                          "lang": pa.array([r[1] for r in rows], pa.string()), "trusted": pa.array([r[2] for r in rows], pa.bool_()),
                          "apart": pa.array([r[2] and _apart(x) for r, x in zip(rows, texts)], pa.bool_()),
-                         "n_bytes": size, "perplexity": pa.array(ppl, pa.float64())})
+                         "n_bytes": size, "perplexity": pa.array(ppl, pa.float64()),
+                         "digest": pa.array([hashlib.md5(x).hexdigest() for x in texts], pa.string())})
 
     return (blocks.groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInArrow(trimmed_group(score), f"doc_id {kind}, lang string, trusted boolean, apart boolean, n_bytes bigint, perplexity double"))
+            .applyInArrow(trimmed_group(score), f"doc_id {kind}, lang string, trusted boolean, apart boolean, n_bytes bigint, perplexity double, digest string"))
 
 
 def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, lang, trusted, apart, n_bytes, perplexity`` (per byte) of every row.
+    """``doc_id, lang, trusted, apart, n_bytes, perplexity`` (per byte) ``, digest`` (md5 of the text) of every row.
 
     The perplexity of a null or empty text is null, and so is every one where no
     trusted text exists.  Rows of one id share its label.
@@ -316,12 +318,14 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return _score(blocks, _answer(_ask(blocks), fit(counts), n))
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, by_text: bool = False) -> DataFrame:
     """``doc_id, lang, trusted, n_bytes, perplexity, threshold, keep`` of every row.
 
     ``threshold`` is the given quantile of the perplexities of trusted documents
     kept from the counts, in the row's language; of all languages where it has
-    none.  A document above it goes, and so does one without text.
+    none.  A document above it goes, and so does one without text.  ``by_text``
+    adds ``digest``, the md5 of the text; rows of one language and text are
+    decided alike.
     """
     scores = materialize(perplexities(docs, labels))
     sure = scores.where("apart and perplexity is not null")
@@ -331,4 +335,5 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     joined = scores.join(by_lang.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l")), "left")
     threshold = F.coalesce("own", F.lit(overall).cast("double"))
     keep = (F.col("n_bytes") > 0) & F.coalesce(F.col("perplexity") <= threshold, F.lit(True))
-    return joined.select("doc_id", "lang", "trusted", "n_bytes", "perplexity", threshold.alias("threshold"), keep.alias("keep"))
+    return joined.select("doc_id", "lang", "trusted", "n_bytes", "perplexity", threshold.alias("threshold"), keep.alias("keep"),
+                         *(["digest"] if by_text else []))

@@ -18,7 +18,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,7 +90,9 @@ def _digests(values: np.ndarray, bounds: np.ndarray) -> list[str | None]:
 
 
 def _sketch(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``doc_id, node, n, keys`` per row; node (the set's digest) is null for a text without words."""
+    """``doc_id, node, n, keys`` per row, and columns after the text; node (the set's digest) is null for a text without words."""
+    more = docs.columns[2:]
+
     def run(batches):
         for b in batches:
             for part, buf, offsets in text_chunks(b, "text", STEP_BYTES):
@@ -104,10 +106,11 @@ def _sketch(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 at = pa.array(np.arange(0, (len(size) + 1) * bands, bands), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(_digests(values, bounds), pa.string()), pa.array(size, pa.int64()),
-                     pa.ListArray.from_arrays(at, flat)], ["doc_id", "node", "n", "keys"])
+                     pa.ListArray.from_arrays(at, flat), *part.columns[2:]], ["doc_id", "node", "n", "keys", *more])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(trimmed(run), f"doc_id {kind}, node string, n bigint, keys array<bigint>")
+    schema = ", ".join([f"doc_id {kind}, node string, n bigint, keys array<bigint>", *(f"{c} string" for c in more)])
+    return docs.mapInArrow(trimmed(run), schema)
 
 
 def _cut(values: np.ndarray, bounds: np.ndarray):
@@ -181,7 +184,12 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[int]:
     return keep
 
 
-def link_counts(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+def text_digest(text_col: str = "text") -> Column:
+    """Digest of a row's text; a null text counts as empty."""
+    return F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+
+
+def link_counts(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, by_text: bool = False) -> DataFrame:
     """One row per input row: ``doc_id, n_links, class_id``.
 
     ``n_links`` counts the other rows whose n-gram set has a Jaccard similarity
@@ -190,11 +198,14 @@ def link_counts(docs: DataFrame, threshold: float = THRESHOLD, recall: float = R
     words (null, empty, white space) has no links; a text of fewer than five
     words is one n-gram of all its words.  Repeated rows link to each other;
     a null id counts as a row but never names a class.
+
+    ``by_text`` adds ``digest`` (of the row's text) and ``comp``, a key of the
+    class that does not depend on ids; null for a text without words.
     """
     spark = docs.sparkSession
     bands, rows = banding(threshold, recall)
     src = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    sketch = materialize(_sketch(src, bands, rows))
+    sketch = materialize(_sketch(src.withColumn("digest", text_digest()) if by_text else src, bands, rows))
     classes = (sketch.where("node is not null").groupBy("node")
                .agg(F.count("*").alias("copies"), F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("keys").alias("keys")))
     classes = materialize(classes)
@@ -255,9 +266,10 @@ def link_counts(docs: DataFrame, threshold: float = THRESHOLD, recall: float = R
     named = classes.select("node", "copies", "low").join(joined, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     low = named.groupBy("comp").agg(F.min("low").alias("class_id"))
     facts = named.join(low, "comp").join(counts, "node", "left").select(
-        "node", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return sketch.select("doc_id", "node").join(facts, "node", "left").select(
-        "doc_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class_id", "doc_id").alias("class_id"))
+        "node", "comp", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return sketch.drop("n", "keys").join(facts, "node", "left").select(
+        "doc_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class_id", "doc_id").alias("class_id"),
+        *(["digest", "comp"] if by_text else []))
 
 
 def _sets(texts: DataFrame) -> DataFrame:

@@ -72,3 +72,25 @@ def test_empty_table(spark, nothing, tmp_path):
         stage(spark, now, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
         now = spark.read.parquet(f"{tmp_path}/{k}")
     assert now.count() == 0
+
+
+def test_rows_are_judged_by_text_and_not_by_id(spark, tmp_path):
+    import random
+
+    from conftest import words
+    rng = random.Random(8)
+    t = [words(rng, 80) for _ in range(8)]
+    near = t[0].replace(t[0].split(" ")[40], "changed", 1)
+    kept = [(None, t[1]), (None, t[2]), (5, t[3]), (6, t[4]), (6, t[5]), (7, t[0])]
+    gone = [(None, ""), (None, None), (5, ""), (8, near), (None, near), (None, t[0]), (None, t[1]), (5, t[3])]
+    docs = spark.createDataFrame([(i, x, "en", k) for k, (i, x) in enumerate(kept + gone)], "doc_id bigint, text string, lang string, k int")
+    spark.createDataFrame([(i, 1, 0) for i in range(9)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    usual = P.keep_usual_text(spark, docs, str(tmp_path))
+    # without a trusted text kept apart nothing but empty texts goes for certain
+    assert {(None, ""), (None, None), (5, "")}.isdisjoint({(r.doc_id, r.text) for r in usual.collect()})
+    full = docs.where("length(text) > 0")
+    single = [(r.doc_id, r.text) for r in P.keep_one_of_each_group(spark, full, str(tmp_path)).collect()]
+    assert sorted(single, key=str) == sorted(kept, key=str)
+    one = spark.createDataFrame([(None, t[1], "en"), (None, "", "en"), (5, t[3], "en"), (5, "", "en")], "doc_id bigint, text string, lang string")
+    assert sorted([(r.doc_id, r.text) for r in P.keep_usual_text(spark, one.unionByName(one.limit(0)), str(tmp_path)).collect()], key=str) == sorted(
+        [(None, t[1]), (5, t[3])], key=str)
