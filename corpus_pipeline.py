@@ -16,28 +16,58 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize, ship
 from tessera.llm.queries import tokenizer_file
 from tessera.session import ensure_checkpoint_dir
 
-#: phrases a letter above which no learned language explains a text (two letters a phrase)
+#: phrases a letter above which no learned language explains a text (two letters a phrase), where nothing better is known
 MOST_PHRASES = 0.5
+#: held-out documents that a label's own cut needs; with fewer, those of all labels give one
+REFERENCES = 20
+#: where the cut lies between what a label's own texts need (0.99 quantile) and what texts need in the next best
+#: language (median; of the two nearest languages, as one that was not learned can lie as near)
+BETWEEN = 2 / 3
+#: the first and the last phrase of a text are cut short by its ends
+END_PHRASES = 2
+
+
+def _inner_rate(rate: str) -> Column:
+    """Phrases a letter without the first and the last phrase."""
+    letters = F.length(F.regexp_replace(F.col("text").cast("string"), r"[^\p{L}]+", " "))
+    return F.greatest(F.col(rate) - F.lit(float(END_PHRASES)) / letters, F.lit(0.0))
+
+
+def language_cuts(found: DataFrame, names: tuple[str, str, str]) -> tuple[dict[str, float], float]:
+    """Highest phrase rate of each label, and of labels with too few references, from held-out documents of known label."""
+    label, score, rate = names
+    own = found.where((F.col(label) == F.col("lang")) & (F.col(score) < 1)).select(
+        label, _inner_rate(rate).alias("own"), (F.col(rate) / (1 - F.col(score))).alias("other"))
+    facts = [F.count("*").alias("n"), F.percentile_approx("own", 0.99, 10_000).alias("own"), F.percentile_approx("other", 0.5, 10_000).alias("other")]
+    rows = own.rollup(label).agg(*facts).where(F.col("n") >= REFERENCES).collect()
+    other = min((r["other"] for r in rows), default=0.0)
+    cuts = {r[label]: min(MOST_PHRASES, r["own"] + BETWEEN * max(0.0, other - r["own"])) for r in rows}
+    every = cuts.pop(None, MOST_PHRASES)
+    return cuts, every
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters that the best language parses in phrases of more than two letters on average."""
-    from tessera.llm.cross_parsing import UNDETERMINED, learn, predict
+    """Documents with letters that the best language parses in no more phrases than its own held-out documents need."""
+    from tessera.llm.cross_parsing import UNDETERMINED, held_out, learn, predict
     ship(spark)
     names = ("_lang_pred", "_score", "_phrase_rate")
     # with nothing to learn from, no document can be judged
     sample = learn(docs)
     if not sample:
         return docs
+    cuts, every = language_cuts(predict(docs.where(held_out()).select("text", "lang"), sample, names=names), names)
+    cut = F.lit(every)
+    if cuts:
+        cut = F.coalesce(F.create_map(*[F.lit(x) for pair in sorted(cuts.items()) for x in pair])[F.col(names[0])], cut)
     found = predict(docs, sample, names=names)
-    return found.where((F.col(names[0]) != UNDETERMINED) & (F.col(names[2]) <= MOST_PHRASES)).select(*docs.columns)
+    return found.where((F.col(names[0]) != UNDETERMINED) & (_inner_rate(names[2]) <= cut)).select(*docs.columns)
 
 
 def keep_usual_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

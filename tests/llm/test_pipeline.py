@@ -94,3 +94,25 @@ def test_rows_are_judged_by_text_and_not_by_id(spark, tmp_path):
     one = spark.createDataFrame([(None, t[1], "en"), (None, "", "en"), (5, t[3], "en"), (5, "", "en")], "doc_id bigint, text string, lang string")
     assert sorted([(r.doc_id, r.text) for r in P.keep_usual_text(spark, one.unionByName(one.limit(0)), str(tmp_path)).collect()], key=str) == sorted(
         [(None, t[1]), (5, t[3])], key=str)
+
+
+STRANGE = ("Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Quanto a dir qual era e cosa dura "
+           "questa selva selvaggia e aspra e forte che nel pensier rinova la paura",
+           "Kaikki ihmiset syntyvat vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu jarki ja omatunto, ja heidan on toimittava "
+           "toisiaan kohtaan veljeyden hengessa.",
+           "Wszyscy ludzie rodza sie wolni i rowni w swojej godnosci i prawach. Sa oni obdarzeni rozumem i sumieniem i powinni postepowac wobec innych "
+           "w duchu braterstwa.",
+           " ".join(hashlib.sha256(str(k).encode()).hexdigest() for k in range(8)))
+
+
+def test_unlearned_languages_go_and_clean_held_out_texts_stay(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tessera.llm.cross_parsing import held_out
+    folder = sf_dir.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    strange = spark.createDataFrame([(-1 - k, t) for k, t in enumerate(STRANGE)], "doc_id bigint, text string")
+    got = {r.doc_id for r in P.keep_known_languages(spark, docs.unionByName(strange, allowMissingColumns=True), folder).collect()}
+    assert not {i for i in got if i < 0}
+    clean = docs.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi").where(held_out() & (F.length("text") > 0))
+    assert {r.doc_id for r in clean.collect()} <= got
