@@ -8,8 +8,9 @@ else, in another text or the same one.  Matches never cross texts.
    windows of one anchor need comparing.  Neighbouring windows of one anchor are
    a run: one row for some 75 windows.
 2. Runs whose anchor occurs once are unique and go no further.  Runs that occur
-   again byte for byte are repeated as a whole.  Of the others, one copy of each
-   is kept for comparison: they lie at the edges of repeated passages.
+   again as a whole are decided by two 64-bit polynomial hashes (of the anchor and
+   of the run), not by their bytes.  Of the others, one copy of each is kept for
+   comparison: they lie at the edges of repeated passages.
 3. Only those edge runs travel as bytes, dealt into bins by their anchor.  A
    bin's windows are suffixes to be sorted: multikey sorting on eight bytes a
    round down to a shallow depth, and below it blind tries, which branch on the
