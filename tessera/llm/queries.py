@@ -91,9 +91,16 @@ def op8_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+@_register
+def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document, the common lines it loses and whether it stays."""
+    from tessera.llm.line_rules import judged
+    return judged(table(spark, sf_dir, "documents"))
+
+
 def _oracles() -> dict[str, str]:
-    from tessera.llm.license_digest import oracle
-    return {"op8_license_digest": oracle()}
+    from tessera.llm import license_digest, line_rules
+    return {"op8_license_digest": license_digest.oracle(), "op13_line_rules": line_rules.oracle()}
 
 
 ORACLES |= _oracles()
