@@ -98,6 +98,13 @@ def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
 
+@_register
+def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two public vocabularies line up in every document."""
+    from tessera.llm.token_align import summaries
+    return summaries(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def _oracles() -> dict[str, str]:
     from tessera.llm import license_digest, line_rules
     return {"op8_license_digest": license_digest.oracle(), "op13_line_rules": line_rules.oracle()}
