@@ -98,6 +98,13 @@ def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
 
+@_register
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, the lightest repair and the digest of the repaired text of every damaged conversation."""
+    from tessera.llm.turn_repair import repaired_digests
+    return repaired_digests(table(spark, sf_dir, "conversations"))
+
+
 @_register
 def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the tokens of two public vocabularies line up in every document."""
