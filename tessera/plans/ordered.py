@@ -59,8 +59,24 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
 
 
-def _pass(sums, lags, fills, names):
+def _pass(by, sums, lags, fills, names):
     """The pass over one partition; all it needs is inside, so that it travels to executors by value."""
+    def differs(before, col) -> np.ndarray:
+        """Where a key is not that of the row before; NA equals NA and NaN equals NaN, as in a grouping."""
+        kind = col.type
+        both = pa.concat_arrays([before, col])
+        n = len(col)
+        if pa.types.is_nested(kind):
+            v = both.to_pylist()
+            return np.array([v[i] != v[i + 1] for i in range(n)], bool)
+        if pa.types.is_dictionary(kind):
+            both = both.dictionary_decode()
+        a, b = both.slice(0, n), both.slice(1, n)
+        out = pc.not_equal(a, b)
+        if pa.types.is_floating(kind):
+            out = pc.and_(out, pc.invert(pc.and_(pc.is_nan(a), pc.is_nan(b))))
+        return pc.if_else(pc.and_(a.is_valid(), b.is_valid()), out, pc.xor(a.is_valid(), b.is_valid())).to_numpy(zero_copy_only=False)
+
     class _Local:
         """The state of one partition's pass: what the next batch needs from those before."""
 
@@ -69,26 +85,26 @@ def _pass(sums, lags, fills, names):
             self.back = max([n for _, n, _ in lags if n > 0], default=0)
             self.ahead = max([-n for _, n, _ in lags if n < 0], default=0)
             self.at = 0  # rows of the partition before the batch
-            self.group = None  # group of the last row seen
-            self.first = None  # group of the partition's first row
+            self.keys = None  # key values of the last row seen
+            self.groups = 0  # groups that have begun before the batch, less one
             self.pos = 0
             self.total = [0 for _ in sums]
             self.nulls = [0 for _ in sums]
             self.seen = [None for _ in fills]
 
         def columns(self, t: pa.RecordBatch) -> list[pa.Array]:
-            """Index, whether in the first group, position, sums with null counts, last-seen values."""
-            g = t.column("_g").to_numpy()
-            n = len(g)
-            if self.first is None:
-                self.first = g[0]
-            new = np.ones(n, bool)
-            new[1:] = g[1:] != g[:-1]
-            new[0] = self.group is None or g[0] != self.group
+            """Index, number of the group in the partition, position, sums with null counts, last-seen values."""
+            n = t.num_rows
+            keys = [t.column(c) for c in by]
+            new = np.zeros(n, bool)
+            for k, col in enumerate(keys):
+                new |= differs(self.keys[k] if self.keys else col.slice(0, 1), col)
+            g = self.groups + np.cumsum(new)
+            new[0] |= self.at == 0
             i = np.arange(n)
             start = np.maximum.accumulate(np.where(new, i, -1))  # -1: the group began before
             pos = np.where(start >= 0, i - start + 1, self.pos + i + 1)
-            out = [pa.array(self.at + i), pa.array(g == self.first), pa.array(pos)]
+            out = [pa.array(self.at + i), pa.array(g.astype(np.int64)), pa.array(pos)]
             for k, (col, _) in enumerate(self.sums):
                 v = t.column(col)
                 null = v.is_null().to_numpy(zero_copy_only=False)
@@ -109,12 +125,13 @@ def _pass(sums, lags, fills, names):
                 got = both.take(pa.array(np.maximum(take, 0), mask=take < 0))
                 self.seen[k] = got.slice(n - 1, 1)
                 out.append(got)
-            self.at, self.group, self.pos = self.at + n, g[-1], int(pos[-1])
+            self.at, self.groups, self.pos = self.at + n, int(g[-1]), int(pos[-1])
+            self.keys = [col.slice(n - 1, 1) for col in keys]
             return out
 
         def offsets(self, t: pa.RecordBatch, lo: int, hi: int) -> list[pa.Array]:
             """Values ``n`` rows back (ahead, where negative) of rows lo..hi; null outside the batch or the group."""
-            g = t.column("_g").to_numpy()
+            g = t.column("_gid").to_numpy()
             i = np.arange(lo, hi)
             out = []
             for col, n, _ in self.lags:
@@ -162,7 +179,6 @@ def scan(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], *, pos
     """
     ensure_checkpoint_dir(df.sparkSession)
     spark = df.sparkSession
-    group = F.xxhash64(*by) if by else F.lit(0).cast("bigint")
     # sums: whole numbers and decimals exactly, as long; anything else as double
     prep, undo, plan = df, {}, []
     for k, (col, name) in enumerate(sums):
@@ -175,23 +191,23 @@ def scan(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], *, pos
         else:
             prep = prep.withColumn(f"_v{k}", F.col(col).cast("double"))
         plan.append((f"_v{k}", name))
-    prep = prep.withColumn("_g", group).withColumn("_tie", F.monotonically_increasing_id())
+    prep = prep.withColumn("_tie", F.monotonically_increasing_id())
     keys = [F.col(b).asc_nulls_last() for b in by] + _order_cols(order) + [F.col("_tie")]
     rows = prep.repartitionByRange(num_partitions or n_partitions(df), *keys).sortWithinPartitions(*keys).drop("_tie")
 
-    extra = [("_rid", T.LongType()), ("_head", T.BooleanType()), ("_pos", T.LongType())]
+    extra = [("_rid", T.LongType()), ("_gid", T.LongType()), ("_pos", T.LongType())]
     for k, (col, _) in enumerate(plan):
         extra += [(f"_s{k}", prep.schema[col].dataType), (f"_z{k}", T.LongType())]
     extra += [(f"_f{k}", df.schema[col].dataType) for k, (col, _) in enumerate(fills)]
     offset = [(f"_l{k}", df.schema[col].dataType) for k, (col, *_) in enumerate(lags)]
     inner = [(col, n, f"_l{k}") for k, (col, n, _) in enumerate(lags)]
     schema = T.StructType([*rows.schema.fields, *[T.StructField(a, b) for a, b in extra + offset]])
-    local = rows.mapInArrow(_pass(plan, inner, fills, [a for a, _ in extra]), schema)
+    local = rows.mapInArrow(_pass(list(by), plan, inner, fills, [a for a, _ in extra]), schema)
     local = local.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
 
-    out = _add_carries(local, plan, fills) if pos or sums or fills else local
+    out = _add_carries(local, by, plan, fills) if pos or sums or fills else local
     if lags:
-        out = _add_offsets(local, out, inner)
+        out = _add_offsets(local, out, by, inner)
     new = [F.col("_pos").alias(pos)] if pos else []
     for k, (_, name) in enumerate(sums):
         value = F.when(F.col(f"_z{k}") == 0, F.col(f"_s{k}"))
@@ -202,40 +218,49 @@ def scan(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], *, pos
     return out.select(*[c for c in df.columns if c not in made], *new)
 
 
-def _add_carries(local: DataFrame, sums, fills) -> DataFrame:
+def _key(by) -> Column:
+    return F.struct(F.lit(0).alias("_none"), *by).alias("_key")
+
+
+def _values(key) -> tuple:
+    """The key of a group, comparable by value: NaN equals NaN."""
+    return tuple("NaN" if isinstance(v, float) and v != v else v for v in key)
+
+
+def _add_carries(local: DataFrame, by, sums, fills) -> DataFrame:
     """Add to each partition's first group what it has in earlier partitions (one row per partition)."""
-    names = ["_g", "_head", "_pos", *[f"_s{k}" for k in range(len(sums))], *[f"_z{k}" for k in range(len(sums))],
+    names = ["_pos", *[f"_s{k}" for k in range(len(sums))], *[f"_z{k}" for k in range(len(sums))],
              *[f"_f{k}" for k in range(len(fills))]]
-    ends = (local.groupBy("_pid").agg(F.min_by("_g", "_rid").alias("first"), F.max_by(F.struct(*names), "_rid").alias("last"))
+    ends = (local.groupBy("_pid").agg(F.min_by(_key(by), "_rid").alias("first"), F.max_by(F.struct(_key(by), "_gid", *names), "_rid").alias("last"))
             .orderBy("_pid").collect())
     n_add = 1 + 2 * len(sums)
     carry, group, held = [], None, None
     for r in ends:
-        last = list(r["last"])
-        if group is not None and r["first"] == group:
+        end, number, *last = r["last"]
+        if group is not None and _values(r["first"]) == group:
             carry.append((r["_pid"], *held))
-            if last[1]:  # the whole partition is this group: the carry goes on
-                last[2:2 + n_add] = [a + b for a, b in zip(last[2:2 + n_add], held[:n_add])]
-                last[2 + n_add:] = [a if a is not None else b for a, b in zip(last[2 + n_add:], held[n_add:])]
-        group, held = last[0], last[2:]
+            if number == 0:  # the whole partition is this group: the carry goes on
+                last[:n_add] = [a + b for a, b in zip(last[:n_add], held[:n_add])]
+                last[n_add:] = [a if a is not None else b for a, b in zip(last[n_add:], held[n_add:])]
+        group, held = _values(end), last
     if not carry:
         return local
-    fields = [T.StructField("_cp", T.IntegerType())] + [T.StructField("_c" + c, local.schema[c].dataType) for c in names[2:]]
+    fields = [T.StructField("_cp", T.IntegerType())] + [T.StructField("_c" + c, local.schema[c].dataType) for c in names]
     table = F.broadcast(local.sparkSession.createDataFrame(carry, T.StructType(fields)))
-    out = local.join(table, (local["_pid"] == table["_cp"]) & local["_head"], "left")
-    values = {c: F.col(c) + F.coalesce(F.col("_c" + c), F.lit(0)) for c in names[2:2 + n_add]}
-    values |= {c: F.coalesce(c, "_c" + c) for c in names[2 + n_add:]}
-    return out.withColumns(values).drop("_cp", *["_c" + c for c in names[2:]])
+    out = local.join(table, (local["_pid"] == table["_cp"]) & (local["_gid"] == 0), "left")
+    values = {c: F.col(c) + F.coalesce(F.col("_c" + c), F.lit(0)) for c in names[:n_add]}
+    values |= {c: F.coalesce(c, "_c" + c) for c in names[n_add:]}
+    return out.withColumns(values).drop("_cp", *["_c" + c for c in names])
 
 
-def _add_offsets(local: DataFrame, out: DataFrame, lags) -> DataFrame:
+def _add_offsets(local: DataFrame, out: DataFrame, by, lags) -> DataFrame:
     """Fill offsets that reach into neighbouring partitions (n rows at each end of a partition)."""
     most = max(abs(n) for _, n, _ in lags)
     size = F.broadcast(local.groupBy("_pid").agg(F.count("*").alias("_size")).withColumnRenamed("_pid", "_sp"))
     cols = list(dict.fromkeys(c for c, *_ in lags))
     edge = (local.join(size, local["_pid"] == F.col("_sp"))
             .where((F.col("_rid") < most) | (F.col("_rid") >= F.col("_size") - most))
-            .select("_pid", "_rid", "_g", "_size", *cols).orderBy("_pid", "_rid").collect())
+            .select("_pid", "_rid", _key(by), "_size", *[F.col(c).alias(f"_v{k}") for k, c in enumerate(cols)]).orderBy("_pid", "_rid").collect())
     # edges in order; between the two edges of a larger partition lie rows that no offset across can reach
     line: list = []
     for k, r in enumerate(edge):
@@ -250,7 +275,8 @@ def _add_offsets(local: DataFrame, out: DataFrame, lags) -> DataFrame:
         for col, n, _ in lags:
             j = i - n
             other = line[j] if 0 <= j < len(line) else None
-            values.append(other[col] if other is not None and other["_pid"] != r["_pid"] and other["_g"] == r["_g"] else None)
+            near = other is not None and other["_pid"] != r["_pid"] and _values(other["_key"]) == _values(r["_key"])
+            values.append(other[f"_v{cols.index(col)}"] if near else None)
         if any(v is not None for v in values):
             found.append((r["_pid"], r["_rid"], *values))
     if not found:

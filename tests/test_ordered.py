@@ -95,3 +95,42 @@ def test_density_has_every_grid_point(spark):
     assert k.groupBy("g").count().collect() and all(r["count"] == 512 for r in k.groupBy("g").count().collect())
     area = k.groupBy("g").agg(F.sum("density") * (10 / 511)).collect()
     assert all(0.4 < r[1] < 1.1 for r in area)
+
+
+def keyed(spark, n=400):
+    """Rows with two nullable keys and a key that may be NaN: hashes that skip NA would take ("b", NA) and (NA, "b") for one."""
+    rng = random.Random(6)
+    nan = float("nan")
+    data = [(i, rng.choice(["a", "b", None]), rng.choice(["a", "b", None]), rng.choice([0.0, nan, None]), rng.choice([None, 1, 2, 5]),
+             rng.choice([None, 0.5, 1.5, 7.0, 11.5])) for i in range(n)]
+    return spark.createDataFrame(data, "i int, g string, h string, f double, v int, x double").repartition(4)
+
+
+@pytest.mark.parametrize("parts", [1, 7, 60])
+@pytest.mark.parametrize("by", [["g", "h"], ["g", "h", "f"]])
+def test_groups_are_told_apart_by_their_values(spark, parts, by):
+    d = keyed(spark)
+    w = Window.partitionBy(*by).orderBy("i")
+    want = (d.withColumn("p", F.row_number().over(w)).withColumn("s", F.when(F.count_if(F.col("v").isNull()).over(w) == 0, F.sum("v").over(w)))
+            .withColumn("l", F.lag("x", 1).over(w)).withColumn("a", F.lead("v", 2).over(w)).withColumn("fl", F.last("v", True).over(w)))
+    got = scan(d, by, ["i"], pos="p", sums=[("v", "s")], lags=[("x", 1, "l"), ("v", -2, "a")], fills=[("v", "fl")], num_partitions=parts)
+    cols = ["i", "p", "s", "l", "a", "fl"]
+    assert sorted(want.select(*cols).collect()) == sorted(got.select(*cols).collect())
+
+
+def test_the_four_row_probe(spark):
+    d = spark.createDataFrame([(1, "b", None, 1.0), (2, "b", None, 2.0), (3, None, "b", 11.0), (4, None, "b", 12.0)], "i int, x string, y string, v double")
+    got = {r["i"]: (r["p"], r["s"], r["l"]) for r in scan(d, ["x", "y"], ["i"], pos="p", sums=[("v", "s")], lags=[("v", 1, "l")]).collect()}
+    assert got == {1: (1, 1.0, None), 2: (2, 3.0, 1.0), 3: (1, 11.0, None), 4: (2, 23.0, 11.0)}
+    assert {(r["x"], r["y"]): r["q0"] for r in exact_quantiles(d, "v", [0.5], by=["x", "y"]).collect()} == {("b", None): 1.5, (None, "b"): 11.5}
+
+
+def test_ranks_and_quantiles_with_two_nullable_keys(spark):
+    d = keyed(spark)
+    w = Window.partitionBy("g", "h").orderBy("x")
+    known = F.col("x").isNotNull()
+    want = d.where(known).withColumn("r", F.rank().over(w)).select("i", "r").collect()
+    got = windows.min_rank(d, ["g", "h"], "x", "r").where(known).select("i", F.col("r").cast("int").alias("r")).collect()
+    assert sorted(want) == sorted(got)
+    want = {(r["g"], r["h"]): r["q"] for r in d.groupBy("g", "h").agg(F.percentile("x", 0.3).alias("q")).collect()}
+    assert want == pytest.approx({(r["g"], r["h"]): r["q0"] for r in exact_quantiles(d, "x", [0.3], by=["g", "h"]).collect()})
