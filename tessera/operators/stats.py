@@ -15,7 +15,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.operators.agg import keep_on_rows
-from tessera.plans.ordered import exact_quantiles, match_groups, quantiles_of, value_scan
+from tessera.plans.ordered import exact_quantiles, match_groups
+from tessera.plans.select import settled, thin_scan
 
 
 def _n():
@@ -111,23 +112,26 @@ def boxplot_stats(df: DataFrame, x: str, by: Sequence[str], coef: float = 1.5) -
     """``geom_boxplot``: Q1 / median / Q3 (type 7), whiskers at the extreme values
     within ``coef`` * IQR of the box, number of outliers, and sqrt(n) width.
 
-    All from one table of distinct values with their counts.  A group of NA only
-    keeps its row, with n = 0.
+    The quartiles are selected between brackets; one more aggregate of the rows
+    takes what lies within and beyond the whiskers.  A group of NA only keeps its
+    row, with n = 0.
     """
     by = list(by)
-    values = value_scan(df.select(*by, F.col(x).cast("double").alias("_v")), by, "_v")
-    q = quantiles_of(values, "_v", [0.25, 0.5, 0.75], by, with_n=True).withColumnsRenamed({"q0": "lower", "q1": "middle", "q2": "upper"})
+    v = F.col(x).cast("double")
+    values = df.select(*by, F.when(~F.isnan(v), v).alias("_v"))
+    q = settled(exact_quantiles(values, "_v", [0.25, 0.5, 0.75], by, with_n=True)
+                .withColumnsRenamed({"q0": "lower", "q1": "middle", "q2": "upper"}))
     iqr = F.col("upper") - F.col("lower")
     inside = (F.col("_v") >= F.col("lower") - coef * iqr) & (F.col("_v") <= F.col("upper") + coef * iqr)
     w = keep_on_rows(values, by, q.drop("n")).groupBy(*by).agg(
         F.min(F.when(inside, F.col("_v"))).alias("ymin"), F.max(F.when(inside, F.col("_v"))).alias("ymax"),
-        F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("n_out"))
+        F.count_if(~inside).alias("n_out"))
     return keep_on_rows(q, by, w).withColumn("relvarwidth", F.sqrt("n"))
 
 
 def boxplot_outliers(df: DataFrame, x: str, by: Sequence[str], coef: float = 1.5) -> DataFrame:
     """The rows that ``geom_boxplot`` draws as points: beyond ``coef`` * IQR of their group's box."""
-    q = exact_quantiles(df, x, [0.25, 0.75], by=by)
+    q = settled(exact_quantiles(df, x, [0.25, 0.75], by=by))
     j = keep_on_rows(df, list(by), q)
     iqr = F.col("q1") - F.col("q0")
     return j.filter((F.col(x) < F.col("q0") - coef * iqr) | (F.col(x) > F.col("q1") + coef * iqr)).drop("q0", "q1")
@@ -135,8 +139,7 @@ def boxplot_outliers(df: DataFrame, x: str, by: Sequence[str], coef: float = 1.5
 
 def outlier_na(df: DataFrame, x: str, by: Sequence[str], coef: float = 2.0) -> DataFrame:
     """Grouped ``if_else(x < q25 - coef*IQR | x > q75 + coef*IQR, NA, x)``: keep the row, blank the value."""
-    q = exact_quantiles(df.select(*by, x), x, [0.25, 0.75], by=by).withColumnRenamed("q0", "_q25") \
-        .withColumnRenamed("q1", "_q75")
+    q = settled(exact_quantiles(df.select(*by, x), x, [0.25, 0.75], by=by).withColumnsRenamed({"q0": "_q25", "q1": "_q75"}))
     j = keep_on_rows(df, list(by), q)
     iqr = F.col("_q75") - F.col("_q25")
     out = (F.col(x) < F.col("_q25") - coef * iqr) | (F.col(x) > F.col("_q75") + coef * iqr)
@@ -157,11 +160,16 @@ def letter_values(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
     """Letter values (letter-value plot): each averages the order statistics at floor(d)
     and ceil(d) of its depth ``d``, from below and from above.
 
-    The order statistics come from the table of distinct values with running
-    counts; the letters follow from the group's size, without a limit.
+    The order statistics are selected between brackets; the letters follow from the
+    group's size, without a limit.
     """
     by = list(by)
-    values = value_scan(df, by, x).filter(F.col(x).isNotNull())
+
+    def positions(n: Column) -> Column:
+        return F.array_distinct(F.flatten(F.transform(letter_depths(n), lambda d: F.array(
+            F.floor(d), F.ceil(d), n + 1 - F.floor(d), n + 1 - F.ceil(d)).cast("array<bigint>"))))
+
+    values = thin_scan(df, by, x, positions).filter(F.col(x).isNotNull())
     n = F.col("_total")
     wanted = F.flatten(F.transform(letter_depths(n), lambda d, i: F.array(*[
         F.struct((i + 1).cast("bigint").alias("k"), d.alias("depth"), F.lit(side).alias("side"), pos.cast("bigint").alias("p"))

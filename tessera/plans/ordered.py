@@ -16,8 +16,9 @@ range shuffle:
    offset by ``n``); these are combined in partition order and broadcast, bounded
    by the number of partitions.
 
-Ranks and quantiles scan the table of distinct values with their counts
-(:func:`value_scan`), so ties are one row and rows themselves are not ordered.
+Ranks scan the table of distinct values with their counts (:func:`value_scan`), so
+ties are one row and rows themselves are not ordered.  Quantiles are selected
+between the brackets of a sketch (``tessera.plans.select``).
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tessera.plans.select import quantile_positions, thin_scan
 from tessera.session import ensure_checkpoint_dir
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
@@ -329,8 +331,7 @@ def value_scan(df: DataFrame, by: Sequence[str], x: str, num_partitions: int | N
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    prefix: str = "q", num_partitions: int | None = None,
-                    with_n: bool = False) -> DataFrame:
+                    prefix: str = "q", with_n: bool = False) -> DataFrame:
     """Exact type-7 quantiles of ``value`` per group (NA and NaN dropped).
 
     Returns ``by..., q0, q1, ...`` (one column per probability, in order),
@@ -339,13 +340,12 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     """
     by = list(by)
     v = df.select(*by, F.col(value).cast("double").alias("_v"))
-    scanned = value_scan(v, by, "_v", num_partitions)
-    return quantiles_of(scanned, "_v", probs, by, prefix, with_n)
+    return quantiles_of(thin_scan(v, by, "_v", quantile_positions(probs)), "_v", probs, by, prefix, with_n)
 
 
 def quantiles_of(scanned: DataFrame, x: str, probs: Sequence[float], by: Sequence[str], prefix: str = "q",
                  with_n: bool = False) -> DataFrame:
-    """Type-7 quantiles from the result of :func:`value_scan`: one aggregate, a pair of order statistics a probability."""
+    """Type-7 quantiles from the result of :func:`value_scan` or ``thin_scan``: one aggregate, a pair of order statistics a probability."""
     def at(p: Column) -> Column:
         return F.max(F.when((F.col("_cum") - F.col("_n") < p) & (p <= F.col("_cum")), F.col(x).cast("double")))
 
