@@ -6,16 +6,16 @@ partitions); only coefficient vectors and p x p summaries reach the driver.
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, LogisticRegression, RandomForestClassifier,
+    DecisionTreeClassifier, RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.ml.distributions import norm_cdf
 from tessera.plans.ordered import exact_quantiles
 
 
@@ -29,12 +29,6 @@ def logistic_glm(**kw) -> GeneralizedLinearRegression:
     return GeneralizedLinearRegression(family="binomial", link="logit", **kw)
 
 
-def logistic_lasso(penalty: float, mixture: float = 1.0, **kw) -> LogisticRegression:
-    """``logistic_reg(penalty, mixture) |> set_engine("glmnet")``: features standardised by the recipe."""
-    return LogisticRegression(regParam=penalty, elasticNetParam=mixture, standardization=False, maxIter=100,
-                              tol=1e-6, **kw)
-
-
 def rand_forest(mtry: int, min_n: int, trees: int = 1000, seed: int = 345, depth: int = 20, bins: int = 64, **kw) -> RandomForestClassifier:
     """``rand_forest(mtry, min_n, trees)`` on native factors.
 
@@ -95,19 +89,12 @@ def tidy_glm(spark: SparkSession, glm_model, names: Sequence[str], exponentiate:
     rows = []
     for i, term in enumerate(terms):
         z = coefs[i] / se[i] if se[i] else float("nan")
-        rows.append((term, float(coefs[i]), float(se[i]), float(z), float(2 * (1 - norm_cdf(abs(z))))))
+        rows.append((term, float(coefs[i]), float(se[i]), float(z), math.erfc(abs(z) / math.sqrt(2))))
     rows = rows[-1:] + rows[:-1]
     df = spark.createDataFrame(rows, "term string, estimate double, std_error double, statistic double, p_value double")
     return df.withColumn("estimate", F.exp("estimate")) if exponentiate else df
 
 
-def tidy_coefficients(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
-    """Coefficient table of a penalised fit (no standard errors)."""
-    coefs = list(model.coefficients.toArray()) if hasattr(model.coefficients, "toArray") else list(model.coefficients)
-    rows = [("(Intercept)", float(model.intercept))] + [(n, float(c)) for n, c in zip(names, coefs)]
-    return spark.createDataFrame(rows, "term string, estimate double")
-
-
 def importance_table(spark: SparkSession, model, names: Sequence[str], top: int | None = None) -> DataFrame:
     """``vip``: impurity importances (Spark normalises them to sum 1), all terms or the ``top`` first."""
     imp = model.featureImportances.toArray()

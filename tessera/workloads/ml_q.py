@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.dates import FEASTS, US_HOLIDAYS, holiday_flags
 from tessera.functions.random import hash_uniform, hash_uniform_sql
-from tessera.ml import diagnostics, metrics, models, network, recipe, splits, tune
+from tessera.ml import diagnostics, metrics, models, network, penalty, recipe, splits, tune
 from tessera.operators import verbs
 from tessera.operators.sorting import hash_key_sql
 from tessera.sources.inline import expand_values
@@ -650,8 +650,7 @@ def _doc_sets(t, forest=False):
 
 def _lasso_tuning(t):
     names, tr, va, other, te = _doc_sets(t)
-    grid = [{"penalty": p} for p in tune.penalty_grid()]
-    return tune.tune_grid(t.spark, tr, va, lambda g: models.logistic_lasso(g["penalty"]), grid)
+    return tune.tune_penalties(t.spark, tr, va, tune.penalty_grid())
 
 
 def _rf_grid(names):
@@ -672,8 +671,7 @@ TUNING_TREES = 200
 @query("fit_lasso_logit", section="2.16")
 def fit_lasso_logit(t):
     names, tr, *_ = _doc_sets(t)
-    m = recipe.fit_prepared(models.logistic_lasso(0.001), tr)
-    return models.tidy_coefficients(t.spark, m, names)
+    return penalty.tidy(t.spark, penalty.fit_path(tr, [0.001])[0], names)
 
 
 @query("tune_grid_list", section="2.17")
