@@ -9,9 +9,7 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -29,28 +27,11 @@ def logistic_glm(**kw) -> GeneralizedLinearRegression:
     return GeneralizedLinearRegression(family="binomial", link="logit", **kw)
 
 
-def rand_forest(mtry: int, min_n: int, trees: int = 1000, seed: int = 345, depth: int = 20, bins: int = 64, **kw) -> RandomForestClassifier:
-    """``rand_forest(mtry, min_n, trees)`` on native factors.
-
-    ``min_n`` is the smallest node that is split; Spark bounds the children
-    instead, so a child may hold one row at least of a node of ``min_n``: the bound
-    is ``min_n / 2`` rounded up, its nearest match.  ``depth`` bounds the levels (ranger has
-    no bound, Spark at most 30).
-    """
-    return RandomForestClassifier(numTrees=trees, featureSubsetStrategy=str(mtry), minInstancesPerNode=max(1, -(-min_n // 2)),
-                                  maxDepth=depth, maxBins=bins, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True, **kw)
-
-
 def decision_tree(min_split: int = 5, depth: int = 30, **kw) -> DecisionTreeClassifier:
     """``rpart(method = "class", minsplit)``: CART with Gini impurity (no cost-complexity pruning)."""
     return DecisionTreeClassifier(impurity="gini", minInstancesPerNode=max(1, min_split // 3), maxDepth=depth, **kw)
 
 
-def event_probability(df: DataFrame, col: str = "probability", name: str = "pred_event") -> DataFrame:
-    """Probability of the event class (label 1.0) as a plain column."""
-    return df.withColumn(name, vector_to_array(F.col(col))[1])
-
-
 def augment(model, df: DataFrame, event: str, other: str, threshold: float = 0.5) -> DataFrame:
     """``augment(fit, new_data)``: original columns + ``pred_class`` and ``pred_<event>``.
 
@@ -97,8 +78,12 @@ def tidy_glm(spark: SparkSession, glm_model, names: Sequence[str], exponentiate:
 
 def importance_table(spark: SparkSession, model, names: Sequence[str], top: int | None = None) -> DataFrame:
     """``vip``: impurity importances (Spark normalises them to sum 1), all terms or the ``top`` first."""
-    imp = model.featureImportances.toArray()
-    rows = sorted(((n, float(v)) for n, v in zip(names, imp)), key=lambda r: -r[1])[:top]
+    return importance_rows(spark, names, model.featureImportances.toArray(), top)
+
+
+def importance_rows(spark: SparkSession, names: Sequence[str], shares: Sequence[float], top: int | None = None) -> DataFrame:
+    """``variable, importance`` in falling order, all or the ``top`` first."""
+    rows = sorted(((n, float(v)) for n, v in zip(names, shares)), key=lambda r: -r[1])[:top]
     return spark.createDataFrame(rows, "variable string, importance double")
 
 

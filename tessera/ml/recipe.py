@@ -233,19 +233,12 @@ def in_few_parts(stored: DataFrame) -> DataFrame:
     return stored.coalesce(max(1, -(-stored.count() // ROWS_PER_TASK)))
 
 
-def for_forest(df: DataFrame, estimator) -> DataFrame:
-    """Rows dealt evenly over all cores for a forest, which goes through each row once per tree and level; other estimators' as they are."""
-    if not hasattr(estimator, "getNumTrees"):
-        return df
-    return df.repartition(max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism))
-
-
 def fit_stored(estimator, df: DataFrame):
     """Fit on rows kept in storage while the fit runs."""
     from pyspark import StorageLevel
-    x = for_forest(df, estimator).persist(StorageLevel.MEMORY_AND_DISK)
+    x = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return estimator.fit(x if hasattr(estimator, "getNumTrees") else in_few_parts(x))
+        return estimator.fit(in_few_parts(x))
     finally:
         x.unpersist()
 
@@ -262,8 +255,3 @@ def fit_workflow(stages: list, estimator, train: DataFrame, label: str = "label"
     prep = Pipeline(stages=stages).fit(train)
     model = fit_stored(estimator, prep.transform(train).select(label, features))
     return PipelineModel(stages=[*prep.stages, model])
-
-
-def fit_prepared(estimator, df: DataFrame, label: str = "label", features: str = "features"):
-    """Fit an estimator on already-prepared rows, keeping only the model columns."""
-    return fit_stored(estimator, df.select(label, features))

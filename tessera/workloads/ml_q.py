@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.dates import FEASTS, US_HOLIDAYS, holiday_flags
 from tessera.functions.random import hash_uniform, hash_uniform_sql
-from tessera.ml import diagnostics, metrics, models, network, penalty, recipe, splits, tune
+from tessera.ml import diagnostics, forest, metrics, models, network, penalty, recipe, splits, tune
 from tessera.operators import verbs
 from tessera.operators.sorting import hash_key_sql
 from tessera.sources.inline import expand_values
@@ -659,13 +659,11 @@ def _rf_grid(names):
 
 def _rf_tuning(t, sets):
     names, tr, va, *_ = sets
-    return tune.tune_grid(t.spark, tr, va, lambda g: models.rand_forest(int(g["mtry"]), int(g["min_n"]), TUNING_TREES), _rf_grid(names))
+    return tune.tune_forests(t.spark, tr, va, _rf_grid(names), TREES)
 
 
-#: trees of every reported forest, as in the analyses re-expressed here
+#: trees of every forest, tuning candidates too, as in the analyses re-expressed here
 TREES = 1000
-#: trees of a tuning candidate: enough to rank the candidates by AUC, a fifth of the work
-TUNING_TREES = 200
 
 
 @query("fit_lasso_logit", section="2.16")
@@ -709,15 +707,13 @@ def tune_grid_auto(t):
 @query("fit_rf", section="2.16")
 def fit_rf(t):
     names, tr, *_ = _doc_sets(t, forest=True)
-    m = recipe.fit_prepared(models.rand_forest(3, 5, TREES), tr)
-    return models.importance_table(t.spark, m, names)
+    return models.importance_rows(t.spark, names, forest.fit(tr, [forest.Spec(3, 5, TREES)]).importance())
 
 
 @query("vip_forest", section="2.18")
 def vip_forest(t):
     names, tr, *_ = _doc_sets(t, forest=True)
-    m = recipe.fit_prepared(models.rand_forest(3, 5, TREES), tr)
-    return models.importance_table(t.spark, m, names, top=20)
+    return models.importance_rows(t.spark, names, forest.fit(tr, [forest.Spec(3, 5, TREES)]).importance(), top=20)
 
 
 @query("last_fit", section="2.17")
@@ -726,10 +722,9 @@ def last_fit(t):
     sets = _doc_sets(t, forest=True)
     names, tr, va, other, te = sets
     best = tune.select_best(_rf_tuning(t, sets)[0]).first()
-    m = recipe.fit_prepared(models.rand_forest(int(best["mtry"]), int(best["min_n"]), TREES), other)
-    p = models.event_probability(m.transform(te)).withColumn(
-        "_truth", F.when(F.col("label") == 1.0, "good").otherwise("poor"))
-    return metrics.roc_auc(p, "_truth", "pred_event", "good").withColumn("n_test", F.lit(te.count()).cast("bigint"))
+    final = forest.fit(other, [forest.Spec(int(best["mtry"]), int(best["min_n"]), TREES)])
+    p = final.score(te).withColumn("_truth", F.when(F.col("label") == 1.0, "good").otherwise("poor")).checkpoint(eager=True)
+    return metrics.roc_auc(p, "_truth", "pred_event", "good").withColumn("n_test", F.lit(p.count()).cast("bigint"))
 
 
 @query("children_lasso_rf", section="2.21")
