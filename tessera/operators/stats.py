@@ -148,12 +148,9 @@ def outlier_na(df: DataFrame, x: str, by: Sequence[str], coef: float = 2.0) -> D
 
 def letter_depths(n: Column) -> Column:
     """Depths of all letter values of ``n`` observations: d1 = (1 + n) / 2, d(k+1) = (1 + floor(d(k))) / 2,
-    for k = 1 .. floor(log2 n) - 3 (Tukey's rule, at least 1)."""
-    first = F.array(((n + 1) / F.lit(2.0)).cast("double"))
-    more = F.greatest(F.floor(F.log2(n)).cast("int") - 4, F.lit(0))
-    return F.aggregate(F.sequence(F.lit(0), more), F.slice(first, 1, 0),
-                       lambda acc, k: F.concat(acc, F.when(k == 0, first).otherwise(
-                           F.array((F.floor(F.element_at(acc, -1)) + 1) / F.lit(2.0)))))
+    for k = 1 .. floor(log2 n) - 3 (Tukey's rule, at least 1).  Since floor(d(k)) is n / 2^k rounded up, d(k) is known at once."""
+    letters = F.greatest(F.floor(F.log2(n)).cast("int") - 3, F.lit(1))
+    return F.transform(F.sequence(F.lit(1), letters), lambda k: (F.ceil(n / F.pow(F.lit(2.0), k - 1)) + 1) / F.lit(2.0))
 
 
 def letter_values(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tessera.session import ensure_checkpoint_dir
 
 SKETCH = 2048
-GRID = 1000
+GRID = 400
 #: on either side of a position, as a share of the group: four times the error of a sketch at 99 %, and a step of the grid
 MARGIN = 4 * 2.296 / SKETCH ** 0.9021 + 1 / GRID
 SMALL = 4096
@@ -42,24 +42,30 @@ FEW = 10_000
 UNROLL = 24
 
 
-def few_rows(df: DataFrame, most: int = FEW) -> DataFrame | None:
-    """The rows as a local table to broadcast if there are at most ``most`` of them, else nothing."""
+def few_rows(df: DataFrame, most: int = FEW) -> list | None:
+    """The rows if there are at most ``most`` of them, else nothing."""
     rows = df.limit(most + 1).collect()
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= most else None
+    return rows if len(rows) <= most else None
+
+
+def _local(df: DataFrame, rows: list) -> DataFrame:
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def settled(df: DataFrame, most: int = FEW) -> DataFrame:
     """The result of an aggregation for a join with rows: computed and broadcast if it has few rows, else left to the planner."""
-    small = few_rows(df, most)
-    return df if small is None else small
+    rows = few_rows(df, most)
+    return df if rows is None else _local(df, rows)
 
 
-def _fixed(df: DataFrame, most: int) -> DataFrame:
-    small = few_rows(df, most)
-    if small is not None:
-        return small
+def _fixed(df: DataFrame, most: int) -> tuple[DataFrame, int, int]:
+    """Brackets that no longer change, rows in the fullest one (-1: no brackets), and the most brackets of a group."""
+    rows = few_rows(df, most)
+    if rows is not None:
+        return _local(df, rows), max((r["widest"] for r in rows), default=-1), max((len(r["los"]) for r in rows), default=0)
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.checkpoint(eager=True)
+    return df, *df.agg(F.max("widest"), F.max(F.size("los"))).first()
 
 
 def _known(df: DataFrame, x: str) -> Column:
@@ -68,17 +74,20 @@ def _known(df: DataFrame, x: str) -> Column:
 
 
 def _quantiles(sketch: str) -> Column:
-    return F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(i / GRID) for i in range(GRID + 1)]))
+    steps = ",".join(str(i / GRID) for i in range(GRID + 1))
+    return F.kll_sketch_get_quantile_double(sketch, F.split(F.lit(steps), ",").cast("array<double>"))
 
 
 def _brackets(cells: DataFrame, keys: list[str], wanted: Callable[[Column], Column], limit: int) -> DataFrame:
-    """From counted and sketched cells (``c``, ``gap``, ``lo``, ``hi``, ``cnt``, ``grid``) the next brackets of each group.
+    """From counted and sketched cells (``lo``, ``hi``, ``cnt``, ``grid``; after the first pass ``c``, ``gap``) the next brackets of each group.
 
     ``keys, los, his, widest``: bounds in rising order, and the rows that the fullest bracket may hold.
     """
-    w = Window.partitionBy(*keys)
-    run = w.orderBy("c", "gap")
-    t = cells.withColumn("below", F.sum("cnt").over(run) - F.col("cnt")).withColumn("total", F.sum("cnt").over(w))
+    if "c" in cells.columns:
+        w = Window.partitionBy(*keys)
+        t = cells.withColumn("below", F.sum("cnt").over(w.orderBy("c", "gap")) - F.col("cnt")).withColumn("total", F.sum("cnt").over(w))
+    else:  # one cell a group
+        t = cells.withColumns({"below": F.lit(0), "total": F.col("cnt"), "gap": F.lit(0)})
     here = F.filter(wanted(F.col("total")), lambda p: (p > F.col("below")) & (p <= F.col("below") + F.col("cnt")))
     share = (F.col("cnt") * F.lit(2 * MARGIN)).cast("bigint") + 1
     narrow = F.col("cnt") > F.lit(limit)
@@ -127,21 +136,18 @@ def thin_scan(df: DataFrame, by: Sequence[str], x: str, wanted: Callable[[Column
     d = d.withColumn("_d", F.col("_x").cast("double"))
     sketched = d.where(F.col("_d").isNotNull()).groupBy(*keys).agg(F.count("_d").alias("cnt"), F.kll_sketch_agg_double("_d", F.lit(SKETCH)).alias("_sk"))
     cells = sketched.where(F.col("cnt") > small).select(
-        *keys, "cnt", F.lit(1).alias("c"), F.lit(0).alias("gap"), F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"), _quantiles("_sk").alias("grid"))
-    brackets = _fixed(_brackets(cells, keys, wanted, small), few)
-    while True:
-        size = brackets.agg(F.count(F.lit(1)).alias("groups"), F.max("widest").alias("widest"), F.max(F.size("los")).alias("most")).first()
-        if not size["groups"] or size["widest"] <= limit:
-            break
-        placed = _placed(d.where(F.col("_d").isNotNull()), brackets, keys, size["most"]).where(F.col("los").isNotNull())
+        *keys, "cnt", F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"), _quantiles("_sk").alias("grid"))
+    brackets, widest, most = _fixed(_brackets(cells, keys, wanted, small), few)
+    while widest > limit:
+        placed = _placed(d.where(F.col("_d").isNotNull()), brackets, keys, most).where(F.col("los").isNotNull())
         inside = F.when(F.col("gap") == 0, F.col("_d"))
         counted = placed.groupBy(*keys, "c", "gap").agg(
             F.count(F.lit(1)).alias("cnt"), F.kll_sketch_agg_double(inside, F.lit(SKETCH)).alias("_sk"),
             F.first(F.get("los", F.col("c") - 1)).alias("lo"), F.first(F.get("his", F.col("c") - 1)).alias("hi"))
         cells = counted.select(*keys, "c", "gap", "cnt", "lo", "hi", F.when(F.col("gap") == 0, _quantiles("_sk")).alias("grid"))
-        brackets = _fixed(_brackets(cells, keys, wanted, limit), few)
-    if size["groups"]:
-        placed = _placed(d, brackets, keys, size["most"])
+        brackets, widest, most = _fixed(_brackets(cells, keys, wanted, limit), few)
+    if widest >= 0:
+        placed = _placed(d, brackets, keys, most)
     else:
         placed = d.withColumn("c", F.lit(1)).withColumn("gap", F.lit(0))
     na = F.col("_x").isNull()

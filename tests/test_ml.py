@@ -144,3 +144,15 @@ def test_late_flights_recover_the_planted_relation(spark):
     assert abs(td["dep_time"]["estimate"] - per_time) < 3 * td["dep_time"]["std_error"]
     auc = metrics.roc_auc(scored, "arr_delay", "pred_late", "late").first()[0]
     assert auc > 0.65
+
+
+@pytest.mark.parametrize("strata", [["g", "h"], []])
+def test_split_by_selection_equals_ranks(spark, strata, monkeypatch):
+    d = spark.range(6000).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 3).alias("g"), F.when(F.col("id") % 5 > 1, "x").alias("h"))
+    d = d.unionByName(spark.createDataFrame([(9999, 77, "only")], d.schema))  # a stratum of one row: none of it is in the first part
+    a = splits.split_column(d, ["id"], 0.75, 3, strata, exact=True)
+    assert "rangepartitioning" not in a._jdf.queryExecution().executedPlan().toString()
+    a = a.select("id", "split").collect()
+    monkeypatch.setattr(splits, "_cuts", lambda *_: None)
+    b = splits.split_column(d, ["id"], 0.75, 3, strata, exact=True).select("id", "split").collect()
+    assert sorted(a) == sorted(b) and len({r["split"] for r in a}) == 2
