@@ -9,7 +9,6 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,11 +26,6 @@ def logistic_glm(**kw) -> GeneralizedLinearRegression:
     return GeneralizedLinearRegression(family="binomial", link="logit", **kw)
 
 
-def decision_tree(min_split: int = 5, depth: int = 30, **kw) -> DecisionTreeClassifier:
-    """``rpart(method = "class", minsplit)``: CART with Gini impurity (no cost-complexity pruning)."""
-    return DecisionTreeClassifier(impurity="gini", minInstancesPerNode=max(1, min_split // 3), maxDepth=depth, **kw)
-
-
 def augment(model, df: DataFrame, event: str, other: str, threshold: float = 0.5) -> DataFrame:
     """``augment(fit, new_data)``: original columns + ``pred_class`` and ``pred_<event>``.
 
@@ -76,11 +70,6 @@ def tidy_glm(spark: SparkSession, glm_model, names: Sequence[str], exponentiate:
     return df.withColumn("estimate", F.exp("estimate")) if exponentiate else df
 
 
-def importance_table(spark: SparkSession, model, names: Sequence[str], top: int | None = None) -> DataFrame:
-    """``vip``: impurity importances (Spark normalises them to sum 1), all terms or the ``top`` first."""
-    return importance_rows(spark, names, model.featureImportances.toArray(), top)
-
-
 def importance_rows(spark: SparkSession, names: Sequence[str], shares: Sequence[float], top: int | None = None) -> DataFrame:
     """``variable, importance`` in falling order, all or the ``top`` first."""
     rows = sorted(((n, float(v)) for n, v in zip(names, shares)), key=lambda r: -r[1])[:top]

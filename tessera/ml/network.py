@@ -11,7 +11,8 @@ Fisher scoring (Levenberg-Marquardt), so a dozen passes are enough.
 
 from __future__ import annotations
 
-from typing import Sequence
+import warnings
+from typing import NamedTuple, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.ml.recipe import in_few_parts
 
-MAX_PASSES = 40
+MAX_PASSES = 200
 TOLERANCE = 1e-7
 
 
@@ -53,9 +54,22 @@ def _sums(weights: np.ndarray):
     return run
 
 
-def fit_candidates(df: DataFrame, penalties: Sequence[float], label: str = "label", features: str = "features",
-                   seed: int = 1, max_passes: int = MAX_PASSES) -> list[np.ndarray]:
-    """Weights ``[v, c, b, w...]`` for every penalty, all fitted side by side."""
+class Fit(NamedTuple):
+    """Weights ``[v, c, b, w...]`` of one penalty, and whether the loss had stopped falling."""
+
+    weights: np.ndarray
+    converged: bool
+    passes: int
+
+
+def fit_candidates(df: DataFrame, penalties: Sequence[float], **kw) -> list[np.ndarray]:
+    """Weights ``[v, c, b, w...]`` for every penalty (see :func:`fit_all`)."""
+    return [f.weights for f in fit_all(df, penalties, **kw)]
+
+
+def fit_all(df: DataFrame, penalties: Sequence[float], label: str = "label", features: str = "features",
+            seed: int = 1, max_passes: int = MAX_PASSES) -> list[Fit]:
+    """A fit for every penalty, all side by side.  One that did not settle within ``max_passes`` says so and warns."""
     rows = df.select(F.col(label).cast("double").alias("y"), vector_to_array(F.col(features)).alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
 
     few = in_few_parts(rows)
@@ -69,14 +83,15 @@ def fit_candidates(df: DataFrame, penalties: Sequence[float], label: str = "labe
         decay = np.array(penalties, float)
         at = np.tile(start_weights(q - 3, seed), (len(penalties), 1))
         best, best_loss, known = at.copy(), np.full(len(at), np.inf), [None] * len(at)
-        damping, settled = np.full(len(at), 1.0), np.zeros(len(at), bool)
-        for _ in range(max_passes):
+        damping, settled, passes = np.full(len(at), 1.0), np.zeros(len(at), bool), np.zeros(len(at), int)
+        for step in range(max_passes):
             per = few.mapInArrow(_sums(at.copy()), "candidate int, sums binary").groupBy("candidate").applyInArrow(
                 add, "candidate int, sums binary").collect()
             for r in per:
                 k, sums = r["candidate"], np.frombuffer(r["sums"], np.float64)
                 if settled[k]:
                     continue
+                passes[k] = step + 1
                 loss = sums[0] + decay[k] * (at[k] ** 2).sum()
                 if loss < best_loss[k]:
                     settled[k] = best_loss[k] - loss <= TOLERANCE * abs(loss)
@@ -89,7 +104,9 @@ def fit_candidates(df: DataFrame, penalties: Sequence[float], label: str = "labe
                 at[k] = best[k] - np.linalg.solve(information + damping[k] * np.eye(q), gradient)
             if settled.all():
                 break
-        return list(best)
+        if not settled.all():
+            warnings.warn(f"{int((~settled).sum())} of {len(at)} penalties did not settle in {max_passes} passes", stacklevel=2)
+        return [Fit(w, bool(s), int(n)) for w, s, n in zip(best, settled, passes)]
     finally:
         rows.unpersist()
 

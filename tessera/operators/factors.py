@@ -153,5 +153,6 @@ def lump_n_table(counts: DataFrame, n: int, other: str = "Other") -> DataFrame:
 
 
 def fct_interaction(*cols: str) -> Column:
-    """``interaction(a, b)``: crossed factor ``a.b``."""
-    return F.concat_ws(".", *[F.col(c).cast("string") for c in cols])
+    """``interaction(a, b)``: crossed factor ``a.b``; NA if any part is."""
+    parts = [p for c in cols for p in (F.lit("."), F.col(c).cast("string"))][1:]
+    return F.concat(*parts)

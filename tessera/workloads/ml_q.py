@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.dates import FEASTS, US_HOLIDAYS, holiday_flags
 from tessera.functions.random import hash_uniform, hash_uniform_sql
-from tessera.ml import diagnostics, forest, metrics, models, network, penalty, recipe, splits, tune
+from tessera.ml import cart, diagnostics, forest, metrics, models, network, penalty, recipe, splits, tune
 from tessera.operators import verbs
 from tessera.operators.sorting import hash_key_sql
 from tessera.sources.inline import expand_values
@@ -740,9 +740,9 @@ def children_lasso_rf(t):
 def fit_mlp(t):
     # one hidden unit with weight decay: weights in the order out, out bias, hidden bias, inputs
     names, tr, *_ = _doc_sets(t)
-    w = network.fit_candidates(tr, [0.01])[0]
+    fit = network.fit_all(tr, [0.01])[0]
     terms = ["hidden -> out", "bias -> out", "bias -> hidden", *names]
-    return t.spark.createDataFrame([(n, float(x)) for n, x in zip(terms, w)], "term string, weight double")
+    return t.spark.createDataFrame([(n, float(x), fit.converged) for n, x in zip(terms, fit.weights)], "term string, weight double, converged boolean")
 
 
 @query("vip_mlp", section="2.18")
@@ -756,38 +756,48 @@ def children_mlp(t):
     # ten penalties fitted side by side, scored on the validation rows
     names, tr, va, *_ = _doc_sets(t)
     grid = [{"penalty": 10 ** (k / 3 - 3)} for k in range(10)]
-    weights = network.fit_candidates(tr, [g["penalty"] for g in grid])
-    scores = F.array(*[F.struct(F.lit(k).alias("candidate"), network.probability(w).alias("pred_event")) for k, w in enumerate(weights)])
+    fits = network.fit_all(tr, [g["penalty"] for g in grid])
+    scores = F.array(*[F.struct(F.lit(k).alias("candidate"), network.probability(f.weights).alias("pred_event")) for k, f in enumerate(fits)])
     predictions = va.select("label", F.explode(scores).alias("s")).select("s.candidate", "label", "s.pred_event").checkpoint(eager=True)
-    return tune.tuning_table(t.spark, predictions, grid)
+    flags = t.spark.createDataFrame([(k, f.converged) for k, f in enumerate(fits)], "candidate int, converged boolean")
+    return tune.tuning_table(t.spark, predictions, grid).join(flags, "candidate")
 
 
 # ------------------------------------------------------------------ planted trees and curves
 
 def _sim_tree(t):
+    """Three factors and a class with planted odds x1 - x2 - x3, one row a line item."""
     li = t.lineitem
-    x1 = (F.pmod("l_linenumber", F.lit(4)) + 1).cast("double")
-    x2 = (F.pmod("l_partkey", F.lit(2)) + 1).cast("double")
-    x3 = (F.pmod("l_suppkey", F.lit(2)) + 1).cast("double")
-    p = 1 / (1 + F.exp(-(x1 - x2 - x3)))
-    y = (hash_uniform(11, "l_orderkey", "l_linenumber") < p).cast("double")
-    return li.select(x1.alias("x1"), x2.alias("x2"), x3.alias("x3"), y.alias("label"))
+    x1 = F.pmod("l_linenumber", F.lit(4)) + 1
+    x2 = F.pmod("l_partkey", F.lit(2)) + 1
+    x3 = F.pmod("l_suppkey", F.lit(2)) + 1
+    p = 1 / (1 + F.exp(-(x1 - x2 - x3).cast("double")))
+    y = (hash_uniform(11, "l_orderkey", "l_linenumber") < p).cast("int")
+    return li.select("l_orderkey", "l_linenumber", *[x.cast("string").alias(f"x{i}") for i, x in enumerate((x1, x2, x3), 1)], y.alias("y"))
+
+
+def _tree(t):
+    return cart.fit(_sim_tree(t), ["x1", "x2", "x3"], "y", ["l_orderkey", "l_linenumber"], min_split=5)
 
 
 @query("fit_tree", section="2.16")
 def fit_tree(t):
-    from pyspark.ml.feature import VectorAssembler
-    d = VectorAssembler(inputCols=["x1", "x2", "x3"], outputCol="features").transform(_sim_tree(t))
-    m = models.decision_tree(5).fit(d)
-    return models.importance_table(t.spark, m, ["x1", "x2", "x3"])
+    # the pruned tree, node by node
+    return _tree(t).frame(t.spark)
 
 
 @query("tree_leaf_table", section="2.16")
 def tree_leaf_table(t):
-    from pyspark.ml.feature import VectorAssembler
-    d = VectorAssembler(inputCols=["x1", "x2", "x3"], outputCol="features").transform(_sim_tree(t))
-    m = models.decision_tree(5).setLeafCol("leaf").fit(d)
-    return m.transform(d).groupBy("leaf", "label").agg(F.count(F.lit(1)).alias("n"))
+    # class counts of each leaf
+    leaves = _tree(t).frame(t.spark).where("leaf")
+    return leaves.select(F.col("node").alias("leaf"), F.explode(F.array(*[
+        F.struct(F.lit(k).alias("label"), F.col(f"n{k}").alias("n")) for k in (0, 1)])).alias("x")).select("leaf", "x.label", "x.n")
+
+
+@query("tree_cp_table", section="2.16")
+def tree_cp_table(t):
+    # every pruning of the tree with its cross-validated error
+    return _tree(t).cp_table(t.spark)
 
 
 @query("stat_smooth_glm", section="2.13")

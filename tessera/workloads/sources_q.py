@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F, types as T
 
 from tessera.functions.random import hash_normal, hash_normal_sql, hash_uniform, hash_uniform_sql
-from tessera.sources.csv import read_csv, scratch_path, stage_csv
+from tessera.sources.csv import csv_problems, read_csv, scratch_path, stage_csv
 from tessera.sources.inline import expand_values
 from tessera.workloads import query
 
@@ -32,13 +32,29 @@ def scan_parquet_q(t):
 
 
 @query("read_csv_infer", section="2.1", sql="""
-SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, CAST(s_nationkey AS INTEGER) AS s_nationkey, s_acctbal FROM supplier""")
+SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, CAST(CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE s_nationkey END AS INTEGER) AS s_nationkey,
+       CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE s_acctbal END AS s_acctbal FROM supplier""")
 def read_csv_infer(t):
-    # hand-typed-looking CSV (padded fields) derived from the supplier table
-    path = stage_csv(t.supplier, "supplier", pad=True)
+    # hand-typed-looking CSV (padded fields, "NA" and empty fields) derived from the supplier table
+    s = t.supplier.select("s_suppkey", "s_name", F.when(F.col("s_suppkey") % 7 == 0, "NA").otherwise(F.col("s_nationkey").cast("string")).alias("s_nationkey"),
+                          F.when(F.col("s_suppkey") % 5 == 0, "").otherwise(F.col("s_acctbal").cast("string")).alias("s_acctbal"))
+    path = stage_csv(s, "supplier", pad=True)
     return read_csv(t.spark, path)
 
 
+@query("read_csv_problems", section="2.1", sql="""
+SELECT 'c_custkey' AS col, 'int' AS expected, 'no. ' || c_custkey AS actual, count(*) AS n FROM customer WHERE c_custkey % 50 = 0 GROUP BY 3
+UNION ALL SELECT 'day', 'date', 'soon', count(*) FROM customer WHERE c_custkey % 3 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'digit', 'value in level set', CAST(c_custkey % 10 AS VARCHAR), count(*) FROM customer WHERE c_custkey % 10 > 7 GROUP BY 3""")
+def read_csv_problems(t):
+    # typed columns: what is neither missing nor of its type is NA and becomes a row of problems
+    k = F.col("c_custkey")
+    src = t.customer.select(F.when(k % 50 == 0, F.concat(F.lit("no. "), k.cast("string"))).otherwise(k.cast("string")).alias("c_custkey"),
+                            F.when(k % 3 == 0, "soon").when(k % 3 == 1, "NA").otherwise("2024-02-29").alias("day"), (k % 10).cast("string").alias("digit"))
+    found = csv_problems(t.spark, stage_csv(src, "problems"), "c_custkey int, day date, digit string", levels={"digit": [str(i) for i in range(8)]})
+    return found.groupBy("col", "expected", "actual").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("read_csv_na", section="2.1", sql="""
 SELECT CAST(CASE WHEN c_custkey = 99 THEN NULL ELSE c_custkey END AS INTEGER) AS c_custkey, CAST(CASE WHEN c_nationkey = 9 THEN NULL ELSE c_nationkey END AS INTEGER) AS nation,
        CAST(CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey % 10 END AS INTEGER) AS digit,

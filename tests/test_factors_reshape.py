@@ -85,3 +85,9 @@ def test_count_with_empty_level(spark):
     out = {r["smoker"]: (r["n"], r["mean_age"]) for r in
            count_with_levels(health, "smoker", levels, F.avg("age").alias("mean_age")).collect()}
     assert out["no"] == (5, 60.0) and out["yes"] == (0, None)
+
+
+def test_interaction_of_na_is_na(spark):
+    from tessera.operators.factors import fct_interaction
+    d = spark.createDataFrame([("1", None), (None, "b"), ("1", "b")], "x string, y string")
+    assert [r[0] for r in d.select(fct_interaction("x", "y")).collect()] == [None, None, "1.b"]
