@@ -119,16 +119,7 @@ def stat_freqpoly_density(t):
 KDE_BW = 0.05
 
 
-@query("stat_density", section="2.13", sql=f"""
-WITH d AS (SELECT cut, log10(price) AS v FROM gems),
-r AS (SELECT min(v) AS lo, (max(v) - min(v)) / 511 AS step FROM d),
-b AS (SELECT cut, floor((v - r.lo) / {KDE_BW / 8}) AS bi, count(*) AS c FROM d, r GROUP BY cut, bi),
-e AS (SELECT cut, c, r.lo + (bi + 0.5) * {KDE_BW / 8} AS ctr, r.lo, r.step FROM b, r),
-g AS (SELECT cut, CAST(s.g AS INTEGER) AS g, sum(c * exp(-0.5 * pow(((e.lo + s.g * e.step) - ctr) / {KDE_BW}, 2)) / sqrt(2 * pi())) AS s
-      FROM e, range(0, 512) s(g) GROUP BY cut, s.g),
-n AS (SELECT cut, count(*) AS n FROM d GROUP BY cut)
-SELECT g.cut, CAST(g.g AS INTEGER) AS _g, round((SELECT lo FROM r) + g.g * (SELECT step FROM r), 6) AS x,
-       round(s / (n.n * {KDE_BW}), 6) AS density FROM g JOIN n ON g.cut = n.cut""")
+@query("stat_density", section="2.13", sql=stats.kde_sql("SELECT cut AS g, log10(price) AS v FROM gems", "cut", f"CAST({KDE_BW} AS DOUBLE)"))
 def stat_density(t):
     g = t.gems.select("cut", F.log10("price").alias("v"))
     k = stats.kde(g, "v", KDE_BW, by=["cut"])
@@ -287,18 +278,11 @@ def stat_histogram_default(t):
     return stats.histogram_bins(t.gems, "carat").select(F.round("x", 6).alias("x"), "n")
 
 
-@query("stat_density_default", section="2.13", sql="""
-WITH d AS (SELECT log10(price) AS v FROM gems),
-p AS (SELECT 0.9 * least(stddev_samp(v), (quantile_cont(v, 0.75) - quantile_cont(v, 0.25)) / 1.34) * count(*) ^ (-0.2) AS bw,
-             min(v) AS lo, (max(v) - min(v)) / 511 AS step, count(*) AS n FROM d),
-b AS (SELECT floor((v - p.lo) / (p.bw / 8)) AS bi, count(*) AS c FROM d, p GROUP BY bi)
-SELECT round(p.lo + s.g * p.step, 6) AS x,
-       round(sum(c * exp(-0.5 * pow((p.lo + s.g * p.step - (p.lo + (bi + 0.5) * p.bw / 8)) / p.bw, 2)) / sqrt(2 * pi())) / (any_value(p.n) * any_value(p.bw)), 5) AS density
-FROM b, p, range(0, 512) s(g) GROUP BY p.lo, p.step, s.g""")
+@query("stat_density_default", section="2.13", sql=stats.kde_sql("SELECT cut AS g, log10(price) AS v FROM gems", "cut"))
 def stat_density_default(t):
-    # geom_density() with the default bandwidth
-    k = stats.kde(t.gems.select(F.log10("price").alias("v")), "v")
-    return k.select(F.round("x", 6).alias("x"), F.round("density", 5).alias("density"))
+    # geom_density() and geom_violin(): each group has its own default bandwidth
+    k = stats.kde(t.gems.select("cut", F.log10("price").alias("v")), "v", by=["cut"])
+    return k.select("cut", "_g", F.round("x", 6).alias("x"), F.round("density", 6).alias("density"))
 
 
 @query("boxplot_outliers", section="2.13", sql="""

@@ -65,3 +65,25 @@ def test_smooth_line_and_cubic(spark):
     # back-transform the centred/scaled fit at x = 1
     z = (1.0 - cub["center"]) / cub["scale"]
     assert cub["b0"] + cub["b1"] * z + cub["b2"] * z ** 2 + cub["b3"] * z ** 3 == pytest.approx(2.6, abs=1e-8)
+
+
+def test_density_has_a_bandwidth_for_each_group(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    groups = {"wide": rng.normal(100, 50, 1500), "narrow": rng.normal(0, 0.5, 900), "one": np.array([7.0]), "same": np.full(20, 3.0)}
+    d = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs] + [("wide", None), (None, 5.0)], "g string, x double")
+    bw = {r["g"]: r["bw"] for r in stats.bandwidths(d, "x", ["g"]).collect()}
+    for g in ("wide", "narrow"):
+        v = groups[g]
+        want = 0.9 * min(v.std(ddof=1), (np.quantile(v, .75) - np.quantile(v, .25)) / 1.34) * len(v) ** -0.2
+        assert abs(bw[g] - want) < 1e-9 * want
+    assert bw["same"] == 0.9 * 3 * 20 ** -0.2 and bw["one"] == 0.9 * 7
+    k = stats.kde(d.where("g in ('wide', 'narrow')"), "x", by=["g"]).collect()
+    for g in ("wide", "narrow"):  # against the plain sum of kernels
+        rows = sorted((r["x"], r["density"]) for r in k if r["g"] == g)
+        x, got = np.array(rows).T
+        z = (x[:, None] - groups[g][None, :]) / bw[g]
+        plain = np.exp(-0.5 * z * z).sum(1) / (len(groups[g]) * bw[g] * np.sqrt(2 * np.pi))
+        wide_cells = (x[-1] - x[0] + 8 * bw[g]) / stats.CELLS / bw[g]
+        assert np.abs(got - plain).max() < max(2e-3, wide_cells ** 2) * plain.max()
+    assert stats.kde(d, "x", by=["g"]).count() == 5 * 512
