@@ -1,8 +1,8 @@
-"""Regression diagnostics from column arithmetic and small Gram summaries.
+"""Regression diagnostics from column arithmetic and small summaries.
 
-Leverage and Cook's distance need (X'X)^-1: the p x p Gram matrix comes from
-one aggregate of cross products, is inverted on the driver, and enters the
-per-row expressions as literals; rows never leave the executors.
+Leverage and Cook's distance need the triangular factor of the design
+(``tessera.ml.qr``): its p x p inverse enters the per-row expressions as literals;
+rows never leave the executors.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.ml.distributions import norm_quantile
+from tessera.ml.qr import design, inverse_factor, leverage, triangular
 from tessera.plans.ordered import exact_quantiles
 
 
@@ -41,17 +42,6 @@ def gram(df: DataFrame, xs: Sequence[str], intercept: bool = True) -> np.ndarray
     return np.frombuffer(parts.first()["sums"], np.float64).reshape(p, p)
 
 
-def quad_form(xs: Sequence[str], m: np.ndarray, intercept: bool = True) -> Column:
-    """x' M x for each row, with M a small literal matrix."""
-    cols = ([F.lit(1.0)] if intercept else []) + [F.col(x) for x in xs]
-    expr = None
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            term = a * b * float(m[i, j])
-            expr = term if expr is None else expr + term
-    return expr
-
-
 def residual_bins(df: DataFrame, fitted: str, resid: str, bins: int = 20) -> DataFrame:
     """``check_model(check = "linearity")``: mean residual per equal-width bin of fitted values."""
     r = df.agg(F.min(fitted), F.max(fitted)).first()
@@ -114,8 +104,7 @@ def gvif(df: DataFrame, terms: dict[str, Sequence[str]]) -> DataFrame:
 
 def influence(df: DataFrame, xs: Sequence[str], y: str, coefs: Sequence[float]) -> DataFrame:
     """Leverage h = x'(X'X)^-1 x and Cook's distance D = e^2 h / (p s^2 (1 - h)^2) per row."""
-    g = gram(df, xs)
-    inv = np.linalg.inv(g)
+    w = inverse_factor(triangular(df.select(design(xs)), len(xs) + 1))
     p = len(xs) + 1
     fitted = F.lit(float(coefs[0]))
     for b, x in zip(coefs[1:], xs):
@@ -123,8 +112,7 @@ def influence(df: DataFrame, xs: Sequence[str], y: str, coefs: Sequence[float])
     d = df.withColumn("_fit", fitted).withColumn("_e", F.col(y) - F.col("_fit"))
     n = d.count()
     s2 = d.agg(F.sum(F.col("_e") * F.col("_e"))).first()[0] / (n - p)
-    h = quad_form(xs, inv)
-    return (d.withColumn("leverage", h)
+    return (d.withColumn("leverage", leverage(xs, w))
             .withColumn("cooks_d", F.col("_e") * F.col("_e") * F.col("leverage")
                         / (p * s2 * F.pow(1 - F.col("leverage"), 2)))
             .drop("_fit"))
@@ -134,8 +122,7 @@ def mean_conf_int(df: DataFrame, xs: Sequence[str], y: str, coefs: Sequence[floa
                   level: float = 0.95) -> DataFrame:
     """``predict(type = "conf_int")``: y-hat +- t s sqrt(x0'(X'X)^-1 x0) at new points."""
     from tessera.ml.distributions import t_quantile
-    g = gram(df, xs)
-    inv = np.linalg.inv(g)
+    w = inverse_factor(triangular(df.select(design(xs)), len(xs) + 1))
     p = len(xs) + 1
     fitted = F.lit(float(coefs[0]))
     for b, x in zip(coefs[1:], xs):
@@ -143,6 +130,6 @@ def mean_conf_int(df: DataFrame, xs: Sequence[str], y: str, coefs: Sequence[floa
     n = df.count()
     s2 = df.agg(F.sum(F.pow(F.col(y) - fitted, 2))).first()[0] / (n - p)
     t = t_quantile(1 - (1 - level) / 2, n - p)
-    half = t * F.sqrt(quad_form(xs, inv) * s2)
+    half = t * F.sqrt(leverage(xs, w) * s2)
     return new.withColumn("pred", fitted).withColumn("pred_lower", F.col("pred") - half) \
         .withColumn("pred_upper", F.col("pred") + half)

@@ -10,15 +10,16 @@ import math
 from typing import Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tessera.ml.qr import LeastSquares
 from tessera.plans.ordered import exact_quantiles
 
 
-def linear_reg(**kw) -> LinearRegression:
-    """``linear_reg() |> set_engine("lm")``: OLS by the normal equations (with std errors)."""
-    return LinearRegression(solver="normal", regParam=0.0, **kw)
+def linear_reg(**kw) -> LeastSquares:
+    """``linear_reg() |> set_engine("lm")``: OLS by a distributed QR decomposition (with std errors)."""
+    return LeastSquares(**kw)
 
 
 def logistic_glm(**kw) -> GeneralizedLinearRegression:

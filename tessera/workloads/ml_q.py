@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.dates import FEASTS, US_HOLIDAYS, holiday_flags
 from tessera.functions.random import hash_uniform, hash_uniform_sql
+from tessera.ml.distributions import norm_quantile
 from tessera.ml import cart, diagnostics, forest, metrics, models, network, penalty, recipe, splits, tune
 from tessera.operators import verbs
 from tessera.operators.sorting import hash_key_sql
@@ -510,10 +511,14 @@ def predict_conf_int(t):
     return _r6(ci.select(F.col("cut_level").alias("cut"), "log_carat", "pred", "pred_lower", "pred_upper"))
 
 
-@query("fit_summary", section="2.18")
+@query("fit_summary", section="2.18", sql=f"""WITH {LM_SQL},
+v AS (SELECT 1 - sum(resid * resid) / (SELECT regr_syy(y, x) FROM d) AS r2, sum(resid * resid) AS rss, count(*) AS n FROM f)
+SELECT round(r2, 6) AS r_squared, round(1 - (1 - r2) * (v.n - 1) / s.df, 6) AS adj_r_squared, round((r2 / (v.n - 1 - s.df)) / ((1 - r2) / s.df), 2) AS f_statistic,
+  round(sqrt(s.s2), 6) AS sigma, v.n AS n, round(q[1], 6) AS resid_min, round(q[2], 6) AS resid_q1, round(q[3], 6) AS resid_median,
+  round(q[4], 6) AS resid_q3, round(q[5], 6) AS resid_max FROM v, s, (SELECT quantile_cont(resid, [0, 0.25, 0.5, 0.75, 1]) AS q FROM f)""")
 def fit_summary(t):
     d, prep, x, names, m = _lm_price(t)
-    return models.fit_summary(t.spark, m, x.count(), len(names))
+    return _r6(models.fit_summary(t.spark, m, x.count(), len(names)).withColumn("f_statistic", F.round("f_statistic", 2)))
 
 
 @query("coef_intervals", section="2.18", sql=f"""WITH {LM_SQL}
@@ -558,19 +563,25 @@ def check_homogeneity(t):
     return _r6(diagnostics.homogeneity_bins(f, "pred", "resid").withColumn("bin", F.col("bin").cast("bigint")))
 
 
-@query("check_qq", section="2.18")
+@query("check_qq", section="2.18", sql=f"""WITH {LM_SQL}, z AS (SELECT avg(resid) AS m, stddev_samp(resid) AS sd FROM f),
+p(i, theoretical) AS (VALUES {", ".join(f"({i}, {norm_quantile((i - 0.5) / 99)!r})" for i in range(1, 100))})
+SELECT round((i - 0.5) / 99, 6) AS p, round(CAST(theoretical AS DOUBLE), 6) AS theoretical, round((q[i] - z.m) / z.sd, 6) AS sample
+FROM p, z, (SELECT quantile_cont(resid, [{", ".join(repr((i - 0.5) / 99) for i in range(1, 100))}]) AS q FROM f)""")
 def check_qq(t):
     d, prep, x, names, m = _lm_price(t)
     f = x.withColumn("resid", F.col("log_price") - _fitted_col(m, names))
-    return diagnostics.qq_points(f, "resid")
+    return _r6(diagnostics.qq_points(f, "resid"))
 
 
-@query("check_influence", section="2.18")
+@query("check_influence", section="2.18", sql=f"""WITH {LM_SQL},
+d2 AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, cut, ln(price) AS y, ln(carat) AS x FROM gems),
+h AS (SELECT d2.*, d2.y - lv.level - b.b * d2.x AS e, 1.0 / lv.n + pow(d2.x - lv.mx, 2) / b.sxx AS h FROM d2 JOIN lv ON d2.cut = lv.cut, b)
+SELECT {", ".join(LK)}, round(h, 9) AS leverage, round(e * e * h / ((b.k + 1) * s.s2 * (1 - h) * (1 - h)), 9) AS cooks_d FROM h, b, s""")
 def check_influence(t):
     d, prep, x, names, m = _lm_price(t)
     coefs = [float(m.intercept)] + [float(b) for b in m.coefficients]
     inf = diagnostics.influence(x.drop("features"), names, "log_price", coefs)
-    return inf.select(*LK, "leverage", "cooks_d")
+    return inf.select(*LK, F.round("leverage", 9).alias("leverage"), F.round("cooks_d", 9).alias("cooks_d"))
 
 
 @query("train_vs_new", section="2.18", sql=f"""
@@ -590,15 +601,18 @@ def train_vs_new(t):
                                    F.count(F.lit(1)).alias("n"))
 
 
-@query("bind_cols", section="2.3")
+@query("bind_cols", section="2.3", sql=f"""WITH {LM_SQL}, p AS (
+  SELECT cut, x0, level + b.b * x0 AS pred, {_t_sql(1.959963984540054)} * sqrt(s.s2 * (1.0 / lv.n + pow(x0 - lv.mx, 2) / b.sxx)) AS half
+  FROM lv, b, s, (VALUES (ln(1.0)), (ln(2.0)), (ln(3.0))) p(x0))
+SELECT cut, round(x0, 6) AS log_carat, round(exp(pred), 6) AS mean_pred, round(exp(pred - half), 6) AS conf_lower, round(exp(pred + half), 6) AS conf_upper FROM p""")
 def bind_cols(t):
     # never paste columns by position: the mean and the band are computed in one pass, born together
     d, prep, x, names, m = _lm_price(t)
     g = prep.transform(_grid(t, d, names).withColumn("log_price", F.lit(0.0)))
     coefs = [float(m.intercept)] + [float(b) for b in m.coefficients]
     ci = diagnostics.mean_conf_int(x, names, "log_price", coefs, g, level=0.95)
-    return ci.select(F.col("cut_level").alias("cut"), "log_carat", F.exp("pred").alias("mean_pred"), F.exp("pred_lower").alias("conf_lower"),
-                     F.exp("pred_upper").alias("conf_upper"))
+    return _r6(ci.select(F.col("cut_level").alias("cut"), "log_carat", F.exp("pred").alias("mean_pred"), F.exp("pred_lower").alias("conf_lower"),
+                         F.exp("pred_upper").alias("conf_upper")))
 
 
 def _poly(k: int) -> list[list[float]]:

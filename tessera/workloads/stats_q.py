@@ -232,11 +232,24 @@ def stat_smooth_band(t):
     return b.select("cut", "point", *[F.round(c, 6).alias(c) for c in ("x", "fit", "low", "high")])
 
 
-@query("stat_smooth_cubic", section="2.13")
+# the cubic in closed form: orthogonal polynomials of z, one coefficient each, multiplied out
+@query("stat_smooth_cubic", section="2.13", sql="""
+WITH d AS (SELECT color, log10(carat) AS x, log10(price) AS y FROM gems WHERE carat < 3),
+m AS (SELECT color, avg(x) AS mx, stddev_pop(x) AS sx FROM d GROUP BY color),
+z AS (SELECT d.color, (x - mx) / sx AS z, y, mx, sx FROM d JOIN m ON d.color = m.color),
+a AS (SELECT color, avg(z * z * z) AS m3, avg(z * z * z * z) AS m4 FROM z GROUP BY color),
+p AS (SELECT z.*, m3, m4, z * z - 1 - m3 * z AS p2 FROM z JOIN a ON z.color = a.color),
+c AS (SELECT color, avg(z * z * z * p2) / avg(p2 * p2) AS c2 FROM p GROUP BY color),
+q AS (SELECT p.*, c2, z * z * z - m3 - m4 * z - c2 * p2 AS p3 FROM p JOIN c ON p.color = c.color),
+f AS (SELECT color, any_value(mx) AS center, any_value(sx) AS scale, any_value(m3) AS m3, any_value(m4) AS m4, any_value(c2) AS c2, avg(y) AS d0,
+             avg(y * z) AS d1, avg(y * p2) / avg(p2 * p2) AS d2, avg(y * p3) / avg(p3 * p3) AS d3 FROM q GROUP BY color)
+SELECT color, round(center, 6) AS center, round(scale, 6) AS scale, round(d0 - d2 - d3 * m3 + d3 * c2, 6) AS b0, round(d1 - d2 * m3 - d3 * m4 + d3 * c2 * m3, 6) AS b1,
+       round(d2 - d3 * c2, 6) AS b2, round(d3, 6) AS b3 FROM f""")
 def stat_smooth_cubic(t):
     # y ~ x + I(x^2) + I(x^3) per colour on log10 axes
     g = t.gems.filter(F.col("carat") < 3).select("color", F.log10("carat").alias("lx"), F.log10("price").alias("ly"))
-    return stats.smooth_poly(g, "lx", "ly", 3, by=["color"])
+    s = stats.smooth_poly(g, "lx", "ly", 3, by=["color"])
+    return s.select("color", *[F.round(c, 6).alias(c) for c in ("center", "scale", "b0", "b1", "b2", "b3")])
 
 
 @query("scale_log10", section="2.13", sql=_hist_sql("(SELECT log10(price) AS lp FROM gems)", "lp", 0.1))
