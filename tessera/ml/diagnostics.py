@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.ml.distributions import norm_quantile
 from tessera.ml.qr import design, inverse_factor, leverage, triangular
+from tessera.operators.stats import loess
 from tessera.plans.ordered import exact_quantiles
 
 
@@ -51,6 +52,15 @@ def residual_bins(df: DataFrame, fitted: str, resid: str, bins: int = 20) -> Dat
                                           F.count(F.lit(1)).alias("n"))
 
 
+def residual_smooth(df: DataFrame, fitted: str, resid: str, scale: bool = False) -> DataFrame:
+    """The smooth reference line of a residual plot: local regression of the residuals, or with ``scale`` of the square root of
+    their standardised size, on the fitted values."""
+    if not scale:
+        return loess(df, fitted, resid)
+    sd = df.agg(F.stddev_samp(resid)).first()[0]
+    return loess(df.withColumn("_s", F.sqrt(F.abs(F.col(resid) / sd))), fitted, "_s")
+
+
 def homogeneity_bins(df: DataFrame, fitted: str, resid: str, bins: int = 20) -> DataFrame:
     """``check = "homogeneity"``: sqrt(|standardised residual|) per fitted-value bin."""
     sd = df.agg(F.stddev_samp(resid)).first()[0]

@@ -333,3 +333,82 @@ def smooth_poly(df: DataFrame, x: str, y: str, degree: int = 3, by: Sequence[str
         return g.groupBy(*names).applyInPandas(solve, schema)
     return g.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(
         lambda pdf: solve(pdf), schema)
+
+
+# ---------------------------------------------------------------- local regression
+
+#: bins of a group's range whose moments stand for its rows, and places at which a local fit is made
+LOESS_BINS = 4096
+LOESS_VERTICES = 257
+
+
+def _moments(shift: np.ndarray, m: list[np.ndarray], power: int) -> np.ndarray:
+    """Sum of (d + shift)^power over a bin's rows, from its sums of d^0 .. d^power."""
+    return sum(math.comb(power, i) * shift ** (power - i) * m[i] for i in range(power + 1))
+
+
+def _local_fits(at: np.ndarray, centre: np.ndarray, m: list[np.ndarray], my: list[np.ndarray], span: float) -> tuple[np.ndarray, np.ndarray]:
+    """Value and slope at each place of the quadratic fitted to its neighbourhood with tricube weights."""
+    n = m[0]
+    total = n.sum()
+    need = max(1.0, np.floor(min(span, 1.0) * total + 1e-9))
+    value, slope = np.empty(len(at)), np.empty(len(at))
+    for k, v in enumerate(at):
+        shift = centre - v
+        far = np.abs(shift)
+        order = np.argsort(far, kind="stable")
+        reach = far[order][np.searchsorted(np.cumsum(n[order]), need)] * max(1.0, span)
+        reach = max(reach, 2.0 / LOESS_BINS)
+        near = far < reach
+        w = (1 - (far[near] / reach) ** 3) ** 3
+        part, party = [x[near] for x in m], [x[near] for x in my]
+        s = [float((w * _moments(shift[near], part, p)).sum()) / reach ** p for p in range(5)]
+        t = [float((w * _moments(shift[near], party, p)).sum()) / reach ** p for p in range(3)]
+        b = np.linalg.lstsq(np.array([[s[i + j] for j in range(3)] for i in range(3)]), np.array(t), rcond=1e-10)[0]
+        value[k], slope[k] = b[0], b[1] / reach
+    return value, slope
+
+
+def loess(df: DataFrame, x: str, y: str, span: float = 0.75, by: Sequence[str] = (), points: int = 80) -> DataFrame:
+    """Local quadratic regression of each group at ``points`` places over its range: ``by..., point, x, fit``.
+
+    Rows are summed to moments of ``LOESS_BINS`` fine bins of the group's range.  A group's bins then give weighted quadratic fits, each
+    over the nearest ``span`` of the rows, at ``LOESS_VERTICES`` places, whose values and slopes are joined by cubics.  A row with NA
+    in ``x`` or ``y`` is left out.
+    """
+    by = list(by)
+    names = [f"k{i}" for i in range(len(by))]
+    d = df.select(*[F.col(c).alias(k) for c, k in zip(by, names)], F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    d = d.where(F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~F.isnan("_x") & ~F.isnan("_y"))
+    ends = settled(d.groupBy(*names).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi")))
+    d = keep_on_rows(d, names, ends) if names else d.crossJoin(ends)  # without keys: one row
+    place = F.when(F.col("hi") > F.col("lo"), (F.col("_x") - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(0.5)
+    d = d.withColumn("_t", place).withColumn("_b", F.least(F.floor(F.col("_t") * LOESS_BINS), F.lit(LOESS_BINS - 1)).cast("int"))
+    off = F.col("_t") - (F.col("_b") + 0.5) / LOESS_BINS
+    d = d.withColumn("_d", off)
+    sums = [F.sum(F.pow("_d", F.lit(p))).alias(f"m{p}") for p in range(5)] + [F.sum(F.pow("_d", F.lit(p)) * F.col("_y")).alias(f"y{p}") for p in range(3)]
+    bins = d.groupBy(*names, "lo", "hi", "_b").agg(*sums)
+    kinds = "".join(f"{k} {bins.schema[k].dataType.simpleString()}, " for k in names)
+
+    def fit(t: pa.Table) -> pa.Table:
+        t = t.sort_by("_b")
+        lo, hi = t.column("lo")[0].as_py(), t.column("hi")[0].as_py()
+        centre = (t.column("_b").to_numpy() + 0.5) / LOESS_BINS
+        m, my = [t.column(f"m{p}").to_numpy() for p in range(5)], [t.column(f"y{p}").to_numpy() for p in range(3)]
+        at = np.linspace(0, 1, LOESS_VERTICES)
+        if hi > lo:
+            value, slope = _local_fits(at, centre, m, my, span)
+        else:  # one place: the mean
+            value, slope = np.full(LOESS_VERTICES, my[0].sum() / m[0].sum()), np.zeros(LOESS_VERTICES)
+        where = np.linspace(0, 1, points)
+        i = np.minimum((where * (LOESS_VERTICES - 1)).astype(int), LOESS_VERTICES - 2)
+        h = at[1] - at[0]
+        u = (where - at[i]) / h
+        got = ((1 + 2 * u) * (1 - u) ** 2 * value[i] + u * (1 - u) ** 2 * h * slope[i]
+               + u * u * (3 - 2 * u) * value[i + 1] + u * u * (u - 1) * h * slope[i + 1])
+        keys = [t.column(c).combine_chunks().take(pa.array(np.zeros(points, np.int64))) for c in names]
+        return pa.Table.from_arrays([*keys, pa.array(np.arange(points)), pa.array(lo + (hi - lo) * where), pa.array(got)], [*names, "point", "x", "fit"])
+
+    grouped = bins.groupBy(*names) if names else bins.withColumn("k", F.lit(0)).groupBy("k")
+    out = grouped.applyInArrow(fit, kinds + "point bigint, x double, fit double")
+    return out.select(*[F.col(k).alias(c) for c, k in zip(by, names)], "point", "x", "fit")

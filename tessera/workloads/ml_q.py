@@ -542,6 +542,23 @@ def check_linearity(t):
     return _r6(diagnostics.residual_bins(f, "pred", "resid").withColumn("bin", F.col("bin").cast("bigint")))
 
 
+def _residuals(t):
+    d, prep, x, names, m = _lm_price(t)
+    return x.withColumn("pred", _fitted_col(m, names)).withColumn("resid", F.col("log_price") - F.col("pred"))
+
+
+@query("check_linearity_smooth", section="2.18")
+def check_linearity_smooth(t):
+    # the smooth line through the residuals that shows a bend the model lacks
+    return diagnostics.residual_smooth(_residuals(t), "pred", "resid")
+
+
+@query("check_homogeneity_smooth", section="2.18")
+def check_homogeneity_smooth(t):
+    # the smooth line through the size of the residuals
+    return diagnostics.residual_smooth(_residuals(t), "pred", "resid", scale=True)
+
+
 @query("check_gvif", section="2.18", sql=f"""WITH {LM_SQL},
 v AS (SELECT 1 / (1 - (SELECT sum(g.n * pow(g.mx - m.mx, 2)) FROM g, (SELECT avg(x) AS mx FROM d) m) / (SELECT regr_sxx(y, x) FROM d)) AS gvif,
              (SELECT count(*) FROM g) - 1 AS k)

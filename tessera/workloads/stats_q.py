@@ -232,6 +232,13 @@ def stat_smooth_band(t):
     return b.select("cut", "point", *[F.round(c, 6).alias(c) for c in ("x", "fit", "low", "high")])
 
 
+@query("stat_smooth_loess", section="2.13")
+def stat_smooth_loess(t):
+    # geom_smooth() with local regression, per cut on log10 axes
+    g = t.gems.select("cut", F.log10("carat").alias("lx"), F.log10("price").alias("ly"))
+    return stats.loess(g, "lx", "ly", by=["cut"])
+
+
 # the cubic in closed form: orthogonal polynomials of z, one coefficient each, multiplied out
 @query("stat_smooth_cubic", section="2.13", sql="""
 WITH d AS (SELECT color, log10(carat) AS x, log10(price) AS y FROM gems WHERE carat < 3),

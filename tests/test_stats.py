@@ -87,3 +87,30 @@ def test_density_has_a_bandwidth_for_each_group(spark):
         wide_cells = (x[-1] - x[0] + 8 * bw[g]) / stats.CELLS / bw[g]
         assert np.abs(got - plain).max() < max(2e-3, wide_cells ** 2) * plain.max()
     assert stats.kde(d, "x", by=["g"]).count() == 5 * 512
+
+
+def test_loess_equals_a_plain_local_fit(spark):
+    import numpy as np
+    rng = np.random.default_rng(8)
+    groups = {"a": np.sort(rng.uniform(-2, 5, 1200)), "b": np.concatenate([rng.normal(100, 1, 700), rng.normal(110, 4, 500)]), None: np.linspace(0, 1, 300)}
+    data = {g: (x, np.sin(x if g == "a" else x / 3) + 0.3 * rng.normal(size=len(x))) for g, x in groups.items()}
+    rows = [(g, float(a), float(b)) for g, (x, y) in data.items() for a, b in zip(x, y)] + [("a", None, 1.0), ("a", 1.0, float("nan"))]
+    got = stats.loess(spark.createDataFrame(rows, "g string, x double, y double").repartition(5), "x", "y", 0.4, ["g"]).collect()
+    for g, (x, y) in data.items():
+        line = sorted((r["x"], r["fit"]) for r in got if r["g"] == g)
+        assert len(line) == 80 and np.allclose([line[0][0], line[-1][0]], [x.min(), x.max()])
+        for at, fit in line[::6]:
+            far = np.abs(x - at)
+            reach = np.sort(far)[int(np.floor(0.4 * len(x))) - 1]
+            w = np.sqrt(np.clip(1 - (far / reach) ** 3, 0, None) ** 3)
+            a = np.stack([np.ones_like(x), x - at, (x - at) ** 2], 1)
+            plain = np.linalg.lstsq(a * w[:, None], y * w, rcond=None)[0][0]
+            assert abs(fit - plain) < 1e-3 * max(1.0, y.std()), (g, at, fit, plain)
+
+
+def test_loess_of_a_line_is_the_line(spark):
+    d = spark.range(500).selectExpr("cast(id as double) as x", "3.0 - 0.25 * id as y")
+    got = stats.loess(d, "x", "y").collect()
+    assert all(abs(r["fit"] - (3 - 0.25 * r["x"])) < 1e-6 for r in got) and [r["point"] for r in sorted(got)] == list(range(80))
+    one = stats.loess(d.limit(1), "x", "y").collect()
+    assert all(abs(r["fit"] - 3) < 1e-9 for r in one)
