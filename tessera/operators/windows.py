@@ -1,7 +1,6 @@
 """Ranks, offsets and running values within groups, with R's NA rules.
 
-Ranks come from the table of distinct values with running counts, joined back
-on (group, value); offsets and running sums from one distributed ordered scan
+Ranks, offsets and running sums come from one distributed ordered scan
 (``tessera.plans.ordered``), so a group that holds a third of the rows is still
 spread over many tasks.  Window functions are used only on aggregated, bounded
 tables (shares within a group).
@@ -11,9 +10,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tessera.operators.agg import keep_on_rows
 from tessera.plans.ordered import group_positions, match_groups, running_sum, scan, value_scan  # noqa: F401
+from tessera.plans.select import settled
 
 
 def _attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -22,12 +23,27 @@ def _attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(s, match_groups(df, s, [(k, f"_w_{k}") for k in keys]), "left").drop(*[f"_w_{k}" for k in keys])
 
 
+def _known(df: DataFrame, x: str) -> Column:
+    """Whether the value takes part in ranks: neither NA nor NaN."""
+    ok = F.col(x).isNotNull()
+    return ok & ~F.isnan(x) if isinstance(df.schema[x].dataType, (T.DoubleType, T.FloatType)) else ok
+
+
+def _ranked(df: DataFrame, by: list[str], x: str, name: str, desc: bool, kind: str, value=None) -> DataFrame:
+    """Ranks of the known values by one ordered scan; ``value`` turns a rank and the group's size into the result.  NA gets NA."""
+    known = _known(df, x)
+    r = scan(df.where(known), by, [F.col(x).desc() if desc else F.col(x).asc()], rank=("_rank", [x]))
+    if value is not None:
+        n = df.where(known).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+        r = keep_on_rows(r, by, settled(n)) if by else r.crossJoin(F.broadcast(n))  # without keys: one row
+        r = r.withColumn("_rank", value(F.col("_rank"), F.col("_n"))).drop("_n")
+    cols = [c for c in df.columns if c != name]
+    return r.select(*cols, F.col("_rank").cast(kind).alias(name)).unionByName(df.where(~known).select(*cols, F.lit(None).cast(kind).alias(name)))
+
+
 def min_rank(df: DataFrame, by: Sequence[str], x: str, name: str = "min_rank", desc: bool = False) -> DataFrame:
     """``min_rank(x)``: ties share the lowest rank; NA gets NA and is not counted."""
-    by = list(by)
-    first = F.col("_total") - F.col("_cum") + 1 if desc else F.col("_cum") - F.col("_n") + 1
-    r = value_scan(df, by, x).filter(F.col(x).isNotNull()).select(*by, x, first.cast("bigint").alias(name))
-    return _attach(df, r, by + [x])
+    return _ranked(df, list(by), x, name, desc, "bigint")
 
 
 def dense_rank(df: DataFrame, by: Sequence[str], x: str, name: str = "dense_rank", desc: bool = False) -> DataFrame:
@@ -50,17 +66,12 @@ def row_number(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
 
 def percent_rank(df: DataFrame, by: Sequence[str], x: str, name: str = "percent_rank") -> DataFrame:
     """``percent_rank(x)`` = (min_rank - 1) / (number of non-NA - 1)."""
-    by = list(by)
-    rank0 = F.try_divide(F.col("_cum") - F.col("_n"), (F.col("_total") - 1).cast("double"))
-    r = value_scan(df, by, x).filter(F.col(x).isNotNull()).select(*by, x, rank0.alias(name))
-    return _attach(df, r, by + [x])
+    return _ranked(df, list(by), x, name, False, "double", lambda r, n: F.try_divide(r - 1, (n - 1).cast("double")))
 
 
 def cume_dist(df: DataFrame, by: Sequence[str], x: str, name: str = "cume_dist") -> DataFrame:
-    """``cume_dist(x)``: share of non-NA values <= x."""
-    by = list(by)
-    r = value_scan(df, by, x).filter(F.col(x).isNotNull()).select(*by, x, (F.col("_cum") / F.col("_total")).alias(name))
-    return _attach(df, r, by + [x])
+    """``cume_dist(x)``: share of non-NA values <= x, from the rank in falling order."""
+    return _ranked(df, list(by), x, name, True, "double", lambda r, n: (n - r + 1) / n)
 
 
 def lag(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], x: str, n: int = 1,

@@ -16,8 +16,9 @@ range shuffle:
    offset by ``n``); these are combined in partition order and broadcast, bounded
    by the number of partitions.
 
-Ranks scan the table of distinct values with their counts (:func:`value_scan`), so
-ties are one row and rows themselves are not ordered.  Quantiles are selected
+Ranks come from the same pass: a row's position less its place in its run of equal
+values.  Tables of distinct values with their counts are scanned by
+:func:`value_scan`.  Quantiles are selected
 between the brackets of a sketch (``tessera.plans.select``).
 """
 
@@ -61,7 +62,7 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
 
 
-def _pass(by, sums, lags, fills, names):
+def _pass(by, sums, lags, fills, names, ties=()):
     """The pass over one partition; all it needs is inside, so that it travels to executors by value."""
     def differs(before, col) -> np.ndarray:
         """Where a key is not that of the row before; NA equals NA and NaN equals NaN, as in a grouping."""
@@ -90,6 +91,7 @@ def _pass(by, sums, lags, fills, names):
             self.keys = None  # key values of the last row seen
             self.groups = 0  # groups that have begun before the batch, less one
             self.pos = 0
+            self.tie_keys, self.runs, self.tie_pos = None, 0, 0  # the same for runs of equal ordered values
             self.total = [0 for _ in sums]
             self.nulls = [0 for _ in sums]
             self.seen = [None for _ in fills]
@@ -102,11 +104,23 @@ def _pass(by, sums, lags, fills, names):
             for k, col in enumerate(keys):
                 new |= differs(self.keys[k] if self.keys else col.slice(0, 1), col)
             g = self.groups + np.cumsum(new)
-            new[0] |= self.at == 0
             i = np.arange(n)
+            if ties:
+                values = [t.column(c) for c in ties]
+                turn = new.copy()
+                for k, col in enumerate(values):
+                    turn |= differs(self.tie_keys[k] if self.tie_keys else col.slice(0, 1), col)
+                run = self.runs + np.cumsum(turn)
+                turn[0] |= self.at == 0
+                begin = np.maximum.accumulate(np.where(turn, i, -1))
+                in_run = np.where(begin >= 0, i - begin + 1, self.tie_pos + i + 1)
+                self.tie_keys, self.runs, self.tie_pos = [col.slice(n - 1, 1) for col in values], int(run[-1]), int(in_run[-1])
+            new[0] |= self.at == 0
             start = np.maximum.accumulate(np.where(new, i, -1))  # -1: the group began before
             pos = np.where(start >= 0, i - start + 1, self.pos + i + 1)
             out = [pa.array(self.at + i), pa.array(g.astype(np.int64)), pa.array(pos)]
+            if ties:
+                out += [pa.array(run.astype(np.int64)), pa.array(in_run)]
             for k, (col, _) in enumerate(self.sums):
                 v = t.column(col)
                 null = v.is_null().to_numpy(zero_copy_only=False)
@@ -167,12 +181,13 @@ def _pass(by, sums, lags, fills, names):
     return run
 
 
-def scan(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], *, pos: str | None = None,
+def scan(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], *, pos: str | None = None, rank: tuple[str, Sequence[str]] | None = None,
          sums: Sequence[tuple[str, str]] = (), lags: Sequence[tuple[str, int, str]] = (),
          fills: Sequence[tuple[str, str]] = (), num_partitions: int | None = None) -> DataFrame:
     """Add, along ``order`` inside each group of ``by``:
 
     * ``pos``: the row's number from 1;
+    * ``rank`` ``(name, columns)``: the number of the first row with the same values of the ordering columns;
     * ``sums`` ``(column, name)``: the running sum, NA from the first NA on;
     * ``lags`` ``(column, n, name)``: the value ``n`` rows before (after, if negative);
     * ``fills`` ``(column, name)``: the last value that is not NA, up to this row.
@@ -197,26 +212,31 @@ def scan(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], *, pos
     keys = [F.col(b).asc_nulls_last() for b in by] + _order_cols(order) + [F.col("_tie")]
     rows = prep.repartitionByRange(num_partitions or n_partitions(df), *keys).sortWithinPartitions(*keys).drop("_tie")
 
+    ties = list(rank[1]) if rank else []
     extra = [("_rid", T.LongType()), ("_gid", T.LongType()), ("_pos", T.LongType())]
+    extra += [("_run", T.LongType()), ("_in_run", T.LongType())] if rank else []
     for k, (col, _) in enumerate(plan):
         extra += [(f"_s{k}", prep.schema[col].dataType), (f"_z{k}", T.LongType())]
     extra += [(f"_f{k}", df.schema[col].dataType) for k, (col, _) in enumerate(fills)]
     offset = [(f"_l{k}", df.schema[col].dataType) for k, (col, *_) in enumerate(lags)]
     inner = [(col, n, f"_l{k}") for k, (col, n, _) in enumerate(lags)]
     schema = T.StructType([*rows.schema.fields, *[T.StructField(a, b) for a, b in extra + offset]])
-    local = rows.mapInArrow(_pass(list(by), plan, inner, fills, [a for a, _ in extra]), schema)
+    local = rows.mapInArrow(_pass(list(by), plan, inner, fills, [a for a, _ in extra], ties), schema)
     local = local.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
 
-    out = _add_carries(local, by, plan, fills) if pos or sums or fills else local
+    out = _add_carries(local, by, plan, fills) if pos or rank or sums or fills else local
+    if rank:
+        out = _add_run_carries(local, out, [*by, *ties])
     if lags:
         out = _add_offsets(local, out, by, inner)
     new = [F.col("_pos").alias(pos)] if pos else []
+    new += [(F.col("_pos") - F.col("_in_run") + 1).alias(rank[0])] if rank else []
     for k, (_, name) in enumerate(sums):
         value = F.when(F.col(f"_z{k}") == 0, F.col(f"_s{k}"))
         new.append((undo[name](value) if name in undo else value).alias(name))
     new += [F.col(f"_l{k}").alias(name) for k, (*_, name) in enumerate(lags)]
     new += [F.col(f"_f{k}").alias(name) for k, (_, name) in enumerate(fills)]
-    made = {*([pos] if pos else []), *[x[-1] for x in (*sums, *lags, *fills)]}
+    made = {*([pos] if pos else []), *([rank[0]] if rank else []), *[x[-1] for x in (*sums, *lags, *fills)]}
     return out.select(*[c for c in df.columns if c not in made], *new)
 
 
@@ -255,6 +275,25 @@ def _add_carries(local: DataFrame, by, sums, fills) -> DataFrame:
     return out.withColumns(values).drop("_cp", *["_c" + c for c in names])
 
 
+def _add_run_carries(local: DataFrame, out: DataFrame, keys) -> DataFrame:
+    """Add to each partition's first run of equal values what the run has in earlier partitions (one row per partition)."""
+    ends = (local.groupBy("_pid").agg(F.min_by(_key(keys), "_rid").alias("first"), F.max_by(F.struct(_key(keys), "_run", "_in_run"), "_rid").alias("last"))
+            .orderBy("_pid").collect())
+    carry, before, held = [], None, 0
+    for r in ends:
+        end, run, size = r["last"]
+        goes_on = before is not None and _values(r["first"]) == before
+        if goes_on:
+            carry.append((r["_pid"], held))
+        held = size + (held if goes_on and run == 0 else 0)
+        before = _values(end)
+    if not carry:
+        return out
+    table = F.broadcast(local.sparkSession.createDataFrame(carry, "_rp int, _rc bigint"))
+    joined = out.join(table, (out["_pid"] == table["_rp"]) & (out["_run"] == 0), "left")
+    return joined.withColumn("_in_run", F.col("_in_run") + F.coalesce("_rc", F.lit(0))).drop("_rp", "_rc")
+
+
 def _add_offsets(local: DataFrame, out: DataFrame, by, lags) -> DataFrame:
     """Fill offsets that reach into neighbouring partitions (n rows at each end of a partition)."""
     most = max(abs(n) for _, n, _ in lags)

@@ -134,3 +134,28 @@ def test_ranks_and_quantiles_with_two_nullable_keys(spark):
     assert sorted(want) == sorted(got)
     want = {(r["g"], r["h"]): r["q"] for r in d.groupBy("g", "h").agg(F.percentile("x", 0.3).alias("q")).collect()}
     assert want == pytest.approx({(r["g"], r["h"]): r["q0"] for r in exact_quantiles(d, "x", [0.3], by=["g", "h"]).collect()})
+
+
+@pytest.mark.parametrize("parts", [1, 5, 40])
+@pytest.mark.parametrize("desc", [False, True])
+def test_ranks_in_one_scan(spark, parts, desc):
+    """Runs of equal values that fill whole partitions, two nullable keys, both directions."""
+    d = keyed(spark, 300).withColumn("x", F.when(F.col("i") % 3 > 0, F.lit(1.5)).otherwise(F.col("x"))).where("x is not null")
+    w = Window.partitionBy("g", "h").orderBy(F.desc("x") if desc else F.asc("x"))
+    want = d.withColumn("r", F.rank().over(w)).select("i", "r").collect()
+    got = scan(d, ["g", "h"], [F.desc("x") if desc else F.asc("x")], rank=("r", ["x"]), num_partitions=parts).select("i", F.col("r").cast("int").alias("r")).collect()
+    assert sorted(want) == sorted(got)
+    one = scan(d, [], [F.asc("x")], rank=("r", ["x"]), num_partitions=parts).groupBy("x").agg(F.countDistinct("r").alias("n"), F.min("r").alias("r")).collect()
+    below = {r["x"]: d.where(F.col("x") < r["x"]).count() + 1 for r in one}
+    assert all(r["n"] == 1 and r["r"] == below[r["x"]] for r in one)
+
+
+def test_shares_of_ranks_equal_windows(spark):
+    d = keyed(spark).withColumn("x", F.when(F.col("i") % 11 == 0, float("nan")).otherwise(F.col("x")))
+    known = d.where("x is not null and not isnan(x)")
+    w = Window.partitionBy("g").orderBy("x")
+    for fn, name in ((windows.percent_rank, F.percent_rank), (windows.cume_dist, F.cume_dist)):
+        want = {r["i"]: r["v"] for r in known.withColumn("v", name().over(w)).collect()}
+        got = {r["i"]: r["v"] for r in fn(d, ["g"], "x", "v").collect()}
+        assert len(got) == 400 and {k for k, v in got.items() if v is None} == set(range(400)) - set(want)
+        assert {k: v for k, v in got.items() if v is not None} == pytest.approx(want)
