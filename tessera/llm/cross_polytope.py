@@ -113,6 +113,7 @@ def tables_for(dim: int, k: int, probes: int, cosine: float, recall: float) -> i
 
 def _unit(table: pa.Table | pa.RecordBatch, column: str) -> np.ndarray:
     x = np.array(table.column(column).to_pylist(), np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small components would overflow or vanish
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 

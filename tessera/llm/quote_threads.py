@@ -8,6 +8,10 @@ Built from DataFrame functions alone.
 * Passages, their lines, and every message's own lines and whole own text are
   normalised (case, punctuation, spacing) and hashed.  The original of a passage
   is the earliest message of the conversation that holds it as its own words.
+* A passage that is linked by neither itself nor a line is looked for in pieces,
+  so that a part of a line or a passage with other line breaks is found: its
+  sentences, and its runs of ``RUN`` words, among those of the own texts.  A part
+  of a sentence that is shorter than that has no original.
 * A message replies to the earlier message that most of its outermost linked
   quotation (by normalised characters, then the later one) comes from; one
   without a linked quotation continues the message before it.
@@ -28,6 +32,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import materialize
 from tessera.llm.native_scan import positions, running_total
 
+#: words of a run by which parts of passages are found
+RUN = 6
 MARKS = r"^(?:[ \t]*>)+"
 # fixed values: how mail programs introduce a quotation
 NAMING = r"^\s*(?:On .{1,200} wrote|Am .{1,200} schrieb.{0,100}|Le .{1,200} a écrit|El .{1,200} escribió)\s*:\s*$"
@@ -66,6 +72,16 @@ def _units(df: DataFrame, text: Column, *keep) -> DataFrame:
             .select(*keep, F.md5("_n").alias("unit"), F.length("_n").alias("size")))
 
 
+def _pieces(df: DataFrame, text: str, *keep) -> DataFrame:
+    """Units of the sentences and of the word runs of a text."""
+    sentences = F.transform(F.split(text, r"[.!?]+(?:\s|$)|\n"), normalised)
+    words = F.split(normalised(F.col(text)), " ")
+    runs = F.when(F.size(words) >= RUN, F.transform(F.sequence(F.lit(1), F.size(words) - RUN + 1), lambda i: F.array_join(F.slice(words, i, F.lit(RUN)), " ")))
+    each = F.filter(F.concat(sentences, F.coalesce(runs, F.array().cast("array<string>"))), lambda x: x != "")
+    return (df.select(*keep, F.explode(F.array_distinct(each)).alias("_n"))
+            .select(*keep, F.md5("_n").alias("unit"), F.length("_n").alias("size")))
+
+
 def passages(parsed: DataFrame) -> DataFrame:
     """Quoted passages: ``_conv, _pos, passage, level, body`` with the body's lines joined by spaces."""
     quoted = parsed.where(F.exists("_lines", lambda x: _level(x) > 0))
@@ -77,6 +93,16 @@ def passages(parsed: DataFrame) -> DataFrame:
     return rows.withColumn("passage", F.sum(F.when(F.col("level") != F.col("before"), 1).otherwise(0)).over(inside)).drop("before")
 
 
+def _originals(asked: DataFrame, said: DataFrame, keys) -> DataFrame:
+    """Stored ``keys, size, origin``: the earliest message of the conversation that says each unit, where it is an earlier one."""
+    wanted = asked.select(F.col("_conv").alias("c"), F.col("unit").alias("u")).distinct()
+    same = said["_conv"].eqNullSafe(wanted["c"]) & (said["unit"] == wanted["u"])
+    first = said.join(wanted, same, "left_semi").groupBy("_conv", "unit").agg(F.min("_pos").alias("origin"))
+    first = first.select(F.col("_conv").alias("c"), F.col("unit").alias("u"), "origin")
+    return materialize(asked.join(first, asked["_conv"].eqNullSafe(first["c"]) & (asked["unit"] == first["u"])
+                                  & (first["origin"] < asked["_pos"])).select(*keys, "size", "origin"))
+
+
 def link(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(parents, counts)``: per message the position it replies to by quotation, and its passages and linked passages."""
     lines = materialize(passages(parsed))
@@ -84,14 +110,15 @@ def link(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
              .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "body"))), lambda x: x["body"]), " ").alias("body")))
     keys = ("_conv", "_pos", "passage", "level")
     asked = _units(lines, F.col("body"), *keys).union(_units(whole, F.col("body"), *keys)).distinct()
-    wanted = asked.select(F.col("_conv").alias("c"), F.col("unit").alias("u")).distinct()
     said = (_units(parsed.select("_conv", "_pos", F.explode("_own").alias("line")), F.col("line"), "_conv", "_pos")
             .union(_units(parsed, F.col("clean"), "_conv", "_pos")))
-    same = said["_conv"].eqNullSafe(wanted["c"]) & (said["unit"] == wanted["u"])
-    first = said.join(wanted, same, "left_semi").groupBy("_conv", "unit").agg(F.min("_pos").alias("origin"))
-    first = first.select(F.col("_conv").alias("c"), F.col("unit").alias("u"), "origin")
-    found = materialize(asked.join(first, asked["_conv"].eqNullSafe(first["c"]) & (asked["unit"] == first["u"])
-                                   & (first["origin"] < asked["_pos"])).select(*keys, "size", "origin"))
+    found = _originals(asked, said, keys)
+    # what is left is looked for in pieces, in the conversations that need it
+    done = found.select(*[F.col(k).alias(f"d{k}") for k in keys[:3]]).distinct()
+    left = materialize(whole.join(done, F.col("_conv").eqNullSafe(F.col("d_conv")) & (F.col("_pos") == F.col("d_pos")) & (F.col("passage") == F.col("dpassage")), "left_anti"))
+    some = left.select(F.col("_conv").alias("c")).distinct()
+    texts = parsed.select("_conv", "_pos", "clean").join(some, F.col("_conv").eqNullSafe(F.col("c")), "left_semi")
+    found = found.union(_originals(_pieces(left, "body", *keys), _pieces(texts, "clean", "_conv", "_pos"), keys))
     votes = found.groupBy("_conv", "_pos", "level", "origin").agg(F.sum("size").alias("size"))
     parents = votes.groupBy("_conv", "_pos").agg(F.max(F.struct(-F.col("level"), "size", "origin"))["origin"].alias("parent"))
     n = whole.groupBy("_conv", "_pos").agg(F.count("*").alias("n_quoted"))

@@ -52,3 +52,10 @@ def test_against_brute_force(spark, monkeypatch):
         want.append((vid is None, vid or 0, len(links.get(i, ())), low, vid == low))
     assert sorted((r.vec_id is None, r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in got) == sorted(want)
     assert near_duplicates(df.limit(0)).count() == 0
+
+
+def test_very_long_and_very_short_vectors(spark):
+    from tessera.llm.cross_polytope import near_duplicates
+    rows = [(0, [1e200, 1e200]), (1, [2e200, 2e200]), (2, [1e-200, 1e-200]), (3, [0.1, 0.2]), (4, [1e-310, 2e-310])]
+    got = {r.vec_id: (r.component_id, r.n_links) for r in near_duplicates(spark.createDataFrame(rows, "vec_id int, embedding array<double>")).collect()}
+    assert got == {0: (0, 2), 1: (0, 2), 2: (0, 2), 3: (3, 1), 4: (3, 1)}
