@@ -315,8 +315,16 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, dig
     no longer form a whole character are left out of the new ``text``, not of
     the digest.  A null text counts as empty and stays null.  Repeated rows are
     copies like any others.  ``digests_only`` leaves ``text`` and ``spans`` out and
-    counts the spans in ``n_spans``.
+    counts the spans in ``n_spans``.  Columns already called like the results are replaced.
     """
+    results = ("n_bytes", "n_removed", "n_spans", "spans", "kept_sha256")
+    given = [c for c in docs.columns if c not in ("doc_id", "text", *results)]
+    names = {f"given_{i}": c for i, c in enumerate(given)}  # none of these clashes with a column of the steps below
+    apart = docs.select("doc_id", *[F.col(f"`{c}`").alias(k) for k, c in names.items()], "text")
+    return _deduplicate(apart, length, anchor, digests_only).withColumnsRenamed(names)
+
+
+def _deduplicate(docs: DataFrame, length: int, anchor: int, digests_only: bool) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     n_blocks = max(shuffle_partitions(docs.sparkSession), -(-size // BLOCK_BYTES))
     kind = docs.schema["doc_id"].dataType

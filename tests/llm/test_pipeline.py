@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 
@@ -8,7 +9,7 @@ import corpus_pipeline as P
 def test_stages_and_contract():
     assert [n for n, _ in P.STAGES] == ["language ID", "quality classifier", "n-gram Jaccard join", "suffix-array dedup", "best-fit packing"]
     import __spark_entry__ as e
-    assert "pipeline" in e.queries() and {k.split("_")[0] for k in e.queries() if k.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in e.queries() and {k.split("_")[0] for k in e.queries() if k.startswith("op")} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.fixture(scope="module")
@@ -116,3 +117,58 @@ def test_unlearned_languages_go_and_clean_held_out_texts_stay(spark, sf_dir):
     assert not {i for i in got if i < 0}
     clean = docs.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi").where(held_out() & (F.length("text") > 0))
     assert {r.doc_id for r in clean.collect()} <= got
+
+
+CLASHING = ["n_bytes", "n_removed", "spans", "kept_sha256", "_key", "_z", "_block", "_null", "_first", "_id", "_digest", "_text", "_k", "_score", "_lang_pred",
+            "_phrase_rate", "comp", "digest", "h", "key", "a.b"]
+
+
+def test_columns_of_any_name_come_back(spark, docs, tmp_path):
+    import corpus_pipeline
+    spark.createDataFrame([(i, 1, 0) for i in range(14)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    base = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    d = base.select("*", *[F.lit(f"v{i}").alias(c) for i, c in enumerate(CLASHING)])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, d, str(tmp_path))
+        assert out.columns == d.columns
+        rows = out.select(*[f"`{c}`" for c in CLASHING]).distinct().collect()
+        assert [tuple(r) for r in rows] == [tuple(f"v{i}" for i in range(len(CLASHING)))]
+        assert out.count() == stage(spark, base, str(tmp_path)).count()
+    assert corpus_pipeline.STAGES[-1][1](spark, d, str(tmp_path)).count()
+
+
+def test_deduplicate_takes_any_column_name(spark, docs):
+    from tessera.llm.suffix_dedup import deduplicate
+    d = docs.select("doc_id", "text").select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASHING)])
+    out = deduplicate(d)
+    made = {"n_bytes", "n_removed", "spans", "kept_sha256"}
+    assert set(out.columns) == set(d.columns) and out.count() == d.count()
+    others = [c for c in CLASHING if c not in made]
+    assert {tuple(r) for r in out.select(*[f"`{c}`" for c in others]).collect()} == {tuple(CLASHING.index(c) for c in others)}
+    plain = {(r.doc_id, r.n_bytes, r.kept_sha256) for r in deduplicate(docs.select("doc_id", "text")).collect()}
+    assert {(r.doc_id, r.n_bytes, r.kept_sha256) for r in out.collect()} == plain
+
+
+def test_run_applies_all_stages(spark, sf_dir):
+    import corpus_pipeline
+    got = corpus_pipeline.run(spark, sf_dir).collect()
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        d = stage(spark, d, sf_dir)
+    kept = {r.doc_id: r.text for r in d.collect()}
+    assert {r.doc_id for r in got} == set(kept) and 0 < len(kept) < spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    from tokenizers import Tokenizer
+
+    from tessera.llm.queries import tokenizer_file
+    t = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
+    length, places = {}, {}
+    for r in got:
+        length[r.doc_id] = length.get(r.doc_id, 0) + r.length
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert length == {i: len(t.encode(x or "", add_special_tokens=False).ids) + 1 for i, x in kept.items()}
+    for pieces in places.values():
+        at = 0
+        for offset, n in sorted(pieces):
+            assert offset == at
+            at += n
+        assert at <= 2048
