@@ -7,13 +7,14 @@ and packing places the rest into training sequences.  Each stage's rows are
 written as Parquet and read again as the next stage's input.
 
 Stages handle null ids, repeated rows, null and empty texts, empty tables and
-further columns as their operators state.  Rows are kept or dropped by id and
+further columns of any name as their operators state.  Rows are kept or dropped by id and
 text, so a row does not share the fate of another text of its id, or of all null
 ids.  All stages but the last return the columns they were given.
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,6 +24,8 @@ from tessera.llm.common import materialize, ship
 from tessera.llm.queries import tokenizer_file
 from tessera.session import ensure_checkpoint_dir
 
+#: columns of ``documents``; any other is carried along
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: phrases a letter above which no learned language explains a text (two letters a phrase), where nothing better is known
 MOST_PHRASES = 0.5
 #: held-out documents that a label's own cut needs; with fewer, those of all labels give one
@@ -34,6 +37,18 @@ BETWEEN = 2 / 3
 END_PHRASES = 2
 
 
+def _apart(stage):
+    """A stage that sees further columns under numbered names, so that no name clashes with one of its own; they come back as they were."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        further = [c for c in docs.columns if c not in COLUMNS]
+        names = {f"further_{i}": c for i, c in enumerate(further)}
+        inside = docs.select(*[c for c in docs.columns if c in COLUMNS], *[F.col(f"`{c}`").alias(k) for k, c in names.items()])
+        out = stage(spark, inside, sf_dir).withColumnsRenamed(names)
+        return out.select(*[f"`{c}`" for c in docs.columns])
+    return run_stage
+
+
 def _inner_rate(rate: str) -> Column:
     """Phrases a letter without the first and the last phrase."""
     letters = F.length(F.regexp_replace(F.col("text").cast("string"), r"[^\p{L}]+", " "))
@@ -53,6 +68,7 @@ def language_cuts(found: DataFrame, names: tuple[str, str, str]) -> tuple[dict[s
     return cuts, every
 
 
+@_apart
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters that the best language parses in no more phrases than its own held-out documents need."""
     from tessera.llm.cross_parsing import UNDETERMINED, held_out, learn, predict
@@ -70,6 +86,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return found.where((F.col(names[0]) != UNDETERMINED) & (_inner_rate(names[2]) <= cut)).select(*docs.columns)
 
 
+@_apart
 def keep_usual_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is not above their language's threshold."""
     from tessera.llm.kneser_ney import classify
@@ -84,6 +101,7 @@ def keep_usual_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(gone, same, "left_anti")
 
 
+@_apart
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every class of near copies: the one of the smallest id, null ids last; texts without words all stay."""
     from tessera.llm.ngram_join import link_counts, text_digest
@@ -108,6 +126,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return single.select(*docs.columns).union(rest.where("_first is null").select(*docs.columns))
 
 
+@_apart
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the passages of 200 bytes that occur again; ``n_chars`` counts what is left."""
     from tessera.llm.suffix_dedup import deduplicate
@@ -133,7 +152,7 @@ STAGES = [
     ("best-fit packing", pack),
 ]
 
-#: suffix deduplication and model fitting have no SQL form; tests hold run() against a brute-force version
+#: suffix deduplication and model fitting have no SQL form; tests hold the stages against brute-force versions
 ORACLE_SQL = None
 
 
