@@ -31,7 +31,9 @@ from tessera.llm.common import materialize, mix64, shuffle_partitions, trimmed,
 
 ORDER = 5
 BLOCK_BYTES = 8 << 20
-SHARDS = 32
+#: shards of the n-gram space: as many as hold this many 5-grams each (some 16 MB of model rows), and a few at least
+SHARD_GRAMS = 1 << 19
+LEAST_SHARDS = 32
 #: blocks whose questions meet one copy of the model
 BLOCKS_TOGETHER = 256
 #: a document goes when its perplexity exceeds this quantile of its language's trusted text
@@ -97,8 +99,8 @@ def _all_keys(questions: dict[int, np.ndarray]) -> np.ndarray:
     return np.concatenate([keys | (tag << 48) for tag, keys in sorted(questions.items())]) if questions else np.zeros(0, np.int64)
 
 
-def _shard(keys: np.ndarray) -> np.ndarray:
-    return (mix64(keys.view(np.uint64)) % np.uint64(SHARDS)).astype(np.int64)
+def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
+    return (mix64(keys.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
 
 
 def _squeeze(a: np.ndarray) -> bytes:
@@ -226,13 +228,13 @@ def fit(counts: DataFrame) -> DataFrame:
     return out
 
 
-def _ask(blocks: DataFrame) -> DataFrame:
+def _ask(blocks: DataFrame, shards: int) -> DataFrame:
     def ask(t: pa.Table) -> pa.Table:
         _, texts = _open(t)
         keys = _all_keys(_questions(_distinct(texts)))
-        shard = _shard(keys)
+        shard = _shard(keys, shards)
         order = np.argsort(shard, kind="stable")
-        bounds = np.searchsorted(shard[order], np.arange(SHARDS + 1))
+        bounds = np.searchsorted(shard[order], np.arange(shards + 1))
         block = t.column("block")[0].as_py()
         parts = [(s, keys[order[a:b]]) for s, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
         # keys ascend inside a shard: their differences compress well
@@ -242,13 +244,13 @@ def _ask(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("block").applyInArrow(trimmed_group(ask), "block int, shard int, asked binary")
 
 
-def _answer(asked: DataFrame, model: DataFrame, n_blocks: int) -> DataFrame:
+def _answer(asked: DataFrame, model: DataFrame, n_blocks: int, shards: int) -> DataFrame:
     """Join questions and model inside shards of the n-gram space: ``block, shard, values``."""
     together = -(-n_blocks // BLOCKS_TOGETHER)
 
     def shard_of(batches):
         for b in batches:
-            yield b.append_column("shard", pa.array(_shard(b.column(0).to_numpy()).astype(np.int32)))
+            yield b.append_column("shard", pa.array(_shard(b.column(0).to_numpy(), shards).astype(np.int32)))
 
     rows = (model.mapInArrow(trimmed(shard_of), "key bigint, value double, shard int")
             .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(together - 1)))))
@@ -269,7 +271,7 @@ def _answer(asked: DataFrame, model: DataFrame, n_blocks: int) -> DataFrame:
             .applyInArrow(trimmed_group(answer), "block int, shard int, answer binary"))
 
 
-def _score(blocks: DataFrame, answers: DataFrame) -> DataFrame:
+def _score(blocks: DataFrame, answers: DataFrame, shards: int) -> DataFrame:
     kind = blocks.schema["doc_id"].dataType.simpleString()
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -277,9 +279,9 @@ def _score(blocks: DataFrame, answers: DataFrame) -> DataFrame:
         questions = _questions(_distinct(texts))
         keys = _all_keys(questions)
         value = np.full(len(keys), np.nan, np.float32)
-        shard = _shard(keys)
+        shard = _shard(keys, shards)
         order = np.argsort(shard, kind="stable")
-        bounds = np.searchsorted(shard[order], np.arange(SHARDS + 1))
+        bounds = np.searchsorted(shard[order], np.arange(shards + 1))
         for s, blob in zip(right.column("shard").to_pylist(), right.column("answer").to_pylist()):
             value[order[bounds[s]:bounds[s + 1]]] = _unpack(blob, np.float32)
         answers, at = {}, 0
@@ -315,7 +317,8 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     blocks, n = _blocks(docs, labels)
     counts = materialize(_count(blocks))
-    return _score(blocks, _answer(_ask(blocks), fit(counts), n))
+    shards = max(LEAST_SHARDS, -(-counts.count() // SHARD_GRAMS))
+    return _score(blocks, _answer(_ask(blocks, shards), fit(counts), n, shards), shards)
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, by_text: bool = False) -> DataFrame:

@@ -82,6 +82,7 @@ def test_decisions(docs, rows, labels, nothing):
 def test_scoring_in_many_steps_and_shards(docs, labels, monkeypatch):
     a = {(r.doc_id, r.n_bytes): r.perplexity for r in K.perplexities(docs, labels).collect()}
     monkeypatch.setattr(K, "STEP", 100)
+    monkeypatch.setattr(K, "SHARD_GRAMS", 10)
     _, texts = None, [b"abcabc", b"", b"xyz" * 50]
     assert [list(x) for x in (K._distinct(texts),)] == [sorted({int.from_bytes(g, "big") for t in texts for g in grams(t)})]
     b = {(r.doc_id, r.n_bytes): r.perplexity for r in K.perplexities(docs, labels).collect()}
