@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import factors
+from tessera.operators import factors, leveled
 from tessera.workloads import query
 
 TYPO_MONTHS = ["Jam"] + factors.MONTH_ABB[1:]
@@ -140,3 +140,15 @@ def num_to_factor(t):
     y = t.survey.select("year").distinct()
     return y.select(F.col("year").cast("string").alias("level"),
                     F.row_number().over(Window.orderBy("year")).cast("bigint").alias("ord"))
+
+
+@query("fct_carried", section="2.11", sql="""
+WITH lv AS (SELECT level, row_number() OVER (ORDER BY level) AS ord
+            FROM (SELECT DISTINCT rincome AS level FROM survey WHERE rincome IS NOT NULL)),
+c AS (SELECT rincome AS level, count(*) AS n FROM survey WHERE relig = 'R0' AND age > 60 GROUP BY rincome)
+SELECT lv.level AS rincome, CAST(lv.ord AS BIGINT) AS ord, CAST(coalesce(c.n, 0) AS BIGINT) AS n FROM lv LEFT JOIN c ON lv.level = c.level
+UNION ALL SELECT NULL, NULL, n FROM c WHERE level IS NULL""")
+def fct_carried(t):
+    # the levels are those of the whole table, and stay with the column through the filter
+    kept = leveled.as_factor(t.survey, "rincome").where("relig = 'R0' AND age > 60")
+    return leveled.count_levels(kept, "rincome")
