@@ -11,8 +11,10 @@ lie:
    between two brackets as one number.  Running sums over these few rows give the
    exact position of each value in a bracket.  Groups of at most ``SMALL`` rows
    have no bracket; all their values count.
-3. Where a bracket still holds more than ``LIMIT`` rows, it is sketched in turn
-   before step 2; every such pass makes it about fifty times smaller.
+3. Where a bracket may still hold more than ``LIMIT`` rows, it is sketched in turn
+   before step 2; every such pass makes it about fifty times smaller.  The values at
+   its two ends are counted apart: common values, which no sketch splits, end up
+   there, so the rest shrinks whatever the ties.
 
 Rows are never shuffled, sorted or stored, and one hot group costs what many small
 ones do.  A position that falls outside its bracket is found out by the counts and
@@ -79,18 +81,18 @@ def _quantiles(sketch: str) -> Column:
 
 
 def _brackets(cells: DataFrame, keys: list[str], wanted: Callable[[Column], Column], limit: int) -> DataFrame:
-    """From counted and sketched cells (``lo``, ``hi``, ``cnt``, ``grid``; after the first pass ``c``, ``gap``) the next brackets of each group.
+    """From counted and sketched cells (``lo``, ``hi``, ``cnt``, ``grid``; after the first pass ``c``, ``gap``, ``edge``) the next brackets of each group.
 
     ``keys, los, his, widest``: bounds in rising order, and the rows that the fullest bracket may hold.
     """
     if "c" in cells.columns:
         w = Window.partitionBy(*keys)
-        t = cells.withColumn("below", F.sum("cnt").over(w.orderBy("c", "gap")) - F.col("cnt")).withColumn("total", F.sum("cnt").over(w))
+        t = cells.withColumn("below", F.sum("cnt").over(w.orderBy("c", "gap", "edge")) - F.col("cnt")).withColumn("total", F.sum("cnt").over(w))
     else:  # one cell a group
-        t = cells.withColumns({"below": F.lit(0), "total": F.col("cnt"), "gap": F.lit(0)})
+        t = cells.withColumns({"below": F.lit(0), "total": F.col("cnt"), "gap": F.lit(0), "edge": F.lit(0)})
     here = F.filter(wanted(F.col("total")), lambda p: (p > F.col("below")) & (p <= F.col("below") + F.col("cnt")))
     share = (F.col("cnt") * F.lit(2 * MARGIN)).cast("bigint") + 1
-    narrow = F.col("cnt") > F.lit(limit)
+    narrow = (F.col("cnt") > F.lit(limit)) & (F.col("edge") == 0)  # an end of a bracket is a single value
 
     def bracket(p: Column) -> Column:
         low = F.greatest(F.floor(((p - 1 - F.col("below")) / F.col("cnt") - MARGIN) * GRID), F.lit(0))
@@ -140,11 +142,14 @@ def thin_scan(df: DataFrame, by: Sequence[str], x: str, wanted: Callable[[Column
     brackets, widest, most = _fixed(_brackets(cells, keys, wanted, small), few)
     while widest > limit:
         placed = _placed(d.where(F.col("_d").isNotNull()), brackets, keys, most).where(F.col("los").isNotNull())
-        inside = F.when(F.col("gap") == 0, F.col("_d"))
-        counted = placed.groupBy(*keys, "c", "gap").agg(
-            F.count(F.lit(1)).alias("cnt"), F.kll_sketch_agg_double(inside, F.lit(SKETCH)).alias("_sk"),
-            F.first(F.get("los", F.col("c") - 1)).alias("lo"), F.first(F.get("his", F.col("c") - 1)).alias("hi"))
-        cells = counted.select(*keys, "c", "gap", "cnt", "lo", "hi", F.when(F.col("gap") == 0, _quantiles("_sk")).alias("grid"))
+        lo, hi = F.get("los", F.col("c") - 1), F.get("his", F.col("c") - 1)
+        edge = F.when(F.col("gap") == 1, 0).when(F.col("_d") == lo, -1).when(F.col("_d") == hi, 1).otherwise(0)
+        placed = placed.withColumn("edge", edge)
+        between = (F.col("gap") == 0) & (F.col("edge") == 0)
+        counted = placed.groupBy(*keys, "c", "gap", "edge").agg(
+            F.count(F.lit(1)).alias("cnt"), F.kll_sketch_agg_double(F.when(between, F.col("_d")), F.lit(SKETCH)).alias("_sk"),
+            F.first(F.when(F.col("edge") > 0, hi).otherwise(lo)).alias("lo"), F.first(F.when(F.col("edge") < 0, lo).otherwise(hi)).alias("hi"))
+        cells = counted.select(*keys, "c", "gap", "edge", "cnt", "lo", "hi", F.when(between, _quantiles("_sk")).alias("grid"))
         brackets, widest, most = _fixed(_brackets(cells, keys, wanted, limit), few)
     if widest >= 0:
         placed = _placed(d, brackets, keys, most)

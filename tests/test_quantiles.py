@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.plans.ordered import exact_quantiles, quantiles_of, value_scan
+from tessera.plans import select
 from tessera.plans.select import quantile_positions, thin_scan
 
 
@@ -90,3 +91,22 @@ def test_no_keys_integers_and_nothing(spark):
     assert thin_scan(big, [], "x", quantile_positions([0.5]), small=1).where("_cum - _n < 51 and 51 <= _cum").first()["x"] == 2 ** 60 + 50
     assert exact_quantiles(d.limit(0), "x", [0.5], by=[]).count() in (0, 1)
     assert exact_quantiles(d.limit(0).withColumn("g", F.lit(1)), "x", [0.5], by=["g"]).count() == 0
+
+
+def test_common_values_beside_a_quantile_do_not_hold_up_the_selection(spark, monkeypatch):
+    # the quartiles lie where one common value meets the next: no sketch splits such a bracket by rows
+    passes, fixed = [], select._fixed
+
+    def counting(df, most):
+        passes.append(1)
+        if len(passes) > 6:
+            raise AssertionError("the brackets do not get smaller")
+        return fixed(df, most)
+
+    monkeypatch.setattr(select, "_fixed", counting)
+    d = spark.range(40000).select(F.round(F.col("id") / 4000).alias("x"))
+    d = d.unionByName(spark.range(30000).select((F.col("id") / 1000 + 20).alias("x")))
+    probs = [0.25, 0.5, 10000.5 / 70000, 0.9]
+    got = quantiles_of(thin_scan(d, [], "x", quantile_positions(probs), small=100, limit=150), "x", probs, []).first()
+    want = np.quantile(np.concatenate([np.floor(np.arange(40000) / 4000 + 0.5), np.arange(30000) / 1000 + 20]), probs)
+    assert np.allclose(list(got), want)
