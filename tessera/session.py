@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job relies on. They only fill gaps: a cluster's own values win.
 DEFAULTS = {
@@ -51,3 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written once to the checkpoint folder, for steps that would each compute them anew."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

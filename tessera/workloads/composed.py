@@ -9,6 +9,7 @@ from tessera.operators import factors, reshape, verbs, windows
 from tessera.operators.agg import keep_on_rows, n_distinct
 from tessera.operators.joins import membership_flag
 from tessera.plans.ordered import exact_quantiles
+from tessera.session import stored
 from tessera.workloads import query
 
 
@@ -193,6 +194,7 @@ def month_dest_heat(t):
     # suppress small cells -> complete(month, dest) -> drop destinations with a gap -> reorder by mean
     s = (t.deliveries.groupBy("month", "dest")
          .agg(F.when(F.count(F.lit(1)) > 5, F.round(F.avg("dep_delay"), 6)).alias("dep_delay")))
+    s = stored(s)  # one row a cell; the steps below read it often
     c = reshape.complete(s, "dest", {"month": reshape.domain(s, "month")})
     gap = c.groupBy("dest").agg(F.bool_or(F.col("dep_delay").isNull()).alias("_gap"))
     k = keep_on_rows(c, ["dest"], gap).filter(~F.col("_gap")).drop("_gap")
