@@ -30,15 +30,17 @@ def _known(df: DataFrame, x: str) -> Column:
 
 
 def _ranked(df: DataFrame, by: list[str], x: str, name: str, desc: bool, kind: str, value=None) -> DataFrame:
-    """Ranks of the known values by one ordered scan; ``value`` turns a rank and the group's size into the result.  NA gets NA."""
-    known = _known(df, x)
-    r = scan(df.where(known), by, [F.col(x).desc() if desc else F.col(x).asc()], rank=("_rank", [x]))
+    """Ranks of the known values by one ordered scan; ``value`` turns a rank and the group's size into the result.  NA gets NA.
+
+    ``df`` is read once: rows without a known value go through the scan behind the others of their group, and sizes are counted on its stored rows.
+    """
+    r = scan(df.withColumn("_na", ~_known(df, x)), by, [F.col("_na").asc(), F.col(x).desc() if desc else F.col(x).asc()], rank=("_rank", ["_na", x]))
+    rank = F.col("_rank")
     if value is not None:
-        n = df.where(known).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+        n = r.where(~F.col("_na")).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
         r = keep_on_rows(r, by, settled(n)) if by else r.crossJoin(F.broadcast(n))  # without keys: one row
-        r = r.withColumn("_rank", value(F.col("_rank"), F.col("_n"))).drop("_n")
-    cols = [c for c in df.columns if c != name]
-    return r.select(*cols, F.col("_rank").cast(kind).alias(name)).unionByName(df.where(~known).select(*cols, F.lit(None).cast(kind).alias(name)))
+        rank = value(rank, F.col("_n"))
+    return r.select(*[c for c in df.columns if c != name], F.when(~F.col("_na"), rank).cast(kind).alias(name))
 
 
 def min_rank(df: DataFrame, by: Sequence[str], x: str, name: str = "min_rank", desc: bool = False) -> DataFrame:
