@@ -8,6 +8,8 @@ from tessera.functions.random import hash_uniform, hash_uniform_sql
 from tessera.operators import sorting, windows
 from tessera.operators.agg import keep_on_rows, n_distinct
 from tessera.plans.ordered import exact_quantiles, scan
+from tessera.plans.select import settled
+from tessera.session import stored
 from tessera.workloads import query
 
 KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"]
@@ -146,10 +148,10 @@ SELECT {KEY_SQL}, dest, distance, round(quantile_cont(distance, 0.9) OVER (PARTI
   min(distance) OVER (PARTITION BY dest) AS min_dist, nd AS n_carriers
 FROM deliveries JOIN (SELECT dest AS d2, count(DISTINCT carrier) AS nd FROM deliveries GROUP BY dest) ON dest = d2""")
 def group_stat_mutate(t):
-    d = _d(t, "dest", "distance", "carrier")
+    d = stored(_d(t, "dest", "distance", "carrier"))  # read by the sketch, the selection, the summary and the join
     q = exact_quantiles(d, "distance", [0.9], by=["dest"]).select("dest", F.round("q0", 6).alias("q90"))
     s = d.groupBy("dest").agg(F.min("distance").alias("min_dist"), n_distinct("carrier").alias("n_carriers"))
-    return keep_on_rows(d, ["dest"], keep_on_rows(s, ["dest"], q)).drop("carrier")
+    return keep_on_rows(d, ["dest"], settled(keep_on_rows(s, ["dest"], q))).drop("carrier")
 
 
 @query("rel_to_group_min", section="2.5", sql=f"""
