@@ -24,6 +24,7 @@ from typing import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -40,6 +41,8 @@ TOP_BINS = 256
 #: bytes of histograms that a partition holds at once while tops grow
 TOP_BYTES = 256 << 20
 SCORE_ROWS = 20_000
+#: cells of the tables, or rows, that the search for a level's splits holds at once
+CELLS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -65,23 +68,59 @@ class Rows:
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
         self.x, self.y = x, y
-        self.values, codes = [], []
+        self.values, self.codes = [], []
         for f in range(x.shape[1]):
             v, c = np.unique(x[:, f], return_inverse=True)
             self.values.append(v)
-            codes.append(c.astype(np.int64))
-        self.codes = codes
+            self.codes.append(c.astype(np.int32))
         self.narrow = [f for f, v in enumerate(self.values) if 1 < len(v) <= NARROW]
         self.wide = [f for f, v in enumerate(self.values) if len(v) > NARROW]
-        sizes = [len(self.values[f]) for f in self.narrow]
-        self.begin = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        self.bins = int(self.begin[-1])
-        self.owner = np.repeat(np.arange(len(sizes)), sizes)
-        last = np.zeros(self.bins, bool)
-        last[self.begin[1:] - 1] = True
-        self.last = last  # the last value of a feature has nothing to its right
-        self.base = self.begin[self.owner]
-        self.narrow_codes = (np.stack([codes[f] for f in self.narrow], 1) + self.begin[:-1]) if self.narrow else np.zeros((len(y), 0), np.int64)
+        # rows in the order of the first wide feature, which nodes keep: it is never sorted again
+        self.lead = self.wide[0] if self.wide else None
+        self.sorted = (np.argsort(self.codes[self.lead], kind="stable") if self.wide else np.arange(len(y))).astype(np.int32)
+
+
+def _narrow_splits(values, at, code, w, hit, n, e):
+    """Best split of each node along one feature of few values, from histograms of so many nodes at a time as ``CELLS`` allows."""
+    size, k = len(values), len(n)
+    top, cut = np.empty(k), np.empty(k)
+    step = max(1, CELLS // size)
+    for lo in range(0, k, step):
+        hi = min(k, lo + step)
+        a, b = np.searchsorted(at, [lo, hi])
+        key = (at[a:b] - lo).astype(np.int64) * size + code[a:b]
+        ln = np.cumsum(np.bincount(key, w[a:b], (hi - lo) * size).reshape(-1, size), 1)
+        le = np.cumsum(np.bincount(key, hit[a:b], (hi - lo) * size).reshape(-1, size), 1)
+        score = _improvement(le, ln, e[lo:hi, None], n[lo:hi, None])
+        score[:, -1] = -np.inf  # the last value has nothing to its right
+        pick = score.argmax(1)
+        top[lo:hi] = score[np.arange(hi - lo), pick]
+        cut[lo:hi] = (values[pick] + values[np.minimum(pick + 1, size - 1)]) / 2
+    return top, cut
+
+
+def _wide_splits(values, at, code, w, hit, n, e):
+    """The same along a feature of many values, from rows in the order of node and value; whole nodes, about ``CELLS`` rows at a time."""
+    top, cut = np.full(len(n), -np.inf), np.zeros(len(n))
+    node_begins = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    first = np.unique(np.searchsorted(node_begins, np.arange(0, len(at), CELLS), "right") - 1)
+    bounds = [*node_begins[first], len(at)]
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        g, c, ws, hs = at[a:b], code[a:b], w[a:b], hit[a:b]
+        begins = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        own = np.repeat(np.arange(len(begins)), np.diff(np.concatenate([begins, [len(g)]])))
+        ln, le = np.cumsum(ws, dtype=float), np.cumsum(hs, dtype=float)
+        ln -= (ln - ws)[begins][own]
+        le -= (le - hs)[begins][own]
+        score = _improvement(le, ln, e[g], n[g])
+        score[np.concatenate([(g[1:] != g[:-1]) | (c[1:] == c[:-1]), [True]])] = -np.inf
+        best = np.maximum.reduceat(score, begins)
+        # the first position of each node that has its best score
+        is_top = np.flatnonzero(score == best[own])
+        chosen = is_top[np.concatenate([[True], own[is_top][1:] != own[is_top][:-1]])]
+        top[g[chosen]] = score[chosen]
+        cut[g[chosen]] = (values[c[chosen]] + values[c[np.minimum(chosen + 1, len(c) - 1)]]) / 2
+    return top, cut
 
 
 def grow(rows: Rows, row: np.ndarray, weight: np.ndarray, node: np.ndarray, roots: int, mtry: int, min_n: int, rng) -> dict:
@@ -94,69 +133,49 @@ def grow(rows: Rows, row: np.ndarray, weight: np.ndarray, node: np.ndarray, root
     feature, threshold, left, right, value = [], [], [], [], []
     importance = np.zeros(p)
     first, m = 0, roots
-    y = rows.y
+    row, node = row.astype(np.int32, copy=False), node.astype(np.int32, copy=False)
+    # rows stay in the order of their nodes, those of a node in that of the first wide feature
+    key = node.astype(np.int64) * len(rows.y) + (rows.codes[rows.lead][row] if rows.wide else 0)
+    if (key[1:] < key[:-1]).any():
+        order = np.argsort(key, kind="stable")
+        row, weight, node = row[order], weight[order], node[order]
+    del key
+    hit = weight * rows.y.astype(weight.dtype)[row]
     while m:
-        w, hit = weight, weight * y[row]
-        n, e = np.bincount(node, w, m), np.bincount(node, hit, m)
+        n, e = np.bincount(node, weight, m), np.bincount(node, hit, m)
         best = np.full(m, -np.inf)
         best_f, best_t = np.full(m, -1, np.int64), np.zeros(m)
         open_ = (n > min_n) & (e > 0) & (e < n)
         if open_.any():
             if not open_.all():
                 keep = open_[node]
-                row, weight, node = row[keep], weight[keep], node[keep]
-                w, hit = weight, weight * y[row]
-            dense = np.cumsum(open_) - 1
-            at, k = dense[node], int(open_.sum())
+                row, weight, hit, node = row[keep], weight[keep], hit[keep], node[keep]
+            at, k = (np.cumsum(open_, dtype=np.int32) - 1)[node], int(open_.sum())
             nn, ee = n[open_], e[open_]
             draw = rng.random((k, p))
             tried = draw <= np.partition(draw, min(mtry, p) - 1, axis=1)[:, min(mtry, p) - 1:min(mtry, p)]
+            del draw
             got = np.full(k, -np.inf)
             got_f, got_t = np.full(k, -1, np.int64), np.zeros(k)
-            if rows.narrow:
-                key = (rows.narrow_codes[row] + (at * rows.bins)[:, None]).ravel()
-                reps = len(rows.narrow)
-                hn = np.bincount(key, np.repeat(w, reps), k * rows.bins).reshape(k, -1)
-                he = np.bincount(key, np.repeat(hit, reps), k * rows.bins).reshape(k, -1)
-                ln, le = np.cumsum(hn, 1), np.cumsum(he, 1)
-                ln -= (ln - hn)[:, rows.base]
-                le -= (le - he)[:, rows.base]
-                score = _improvement(le, ln, ee[:, None], nn[:, None])
-                score[:, rows.last] = -np.inf
-                score[~tried[:, rows.narrow][:, rows.owner]] = -np.inf
-                pick = score.argmax(1)
-                got = score[np.arange(k), pick]
-                got_f = np.array(rows.narrow)[rows.owner[pick]]
-                code = pick - rows.base[pick]
-                flat = np.concatenate([rows.values[f] for f in rows.narrow])
-                nxt = np.minimum(pick + 1, rows.bins - 1)
-                got_t = (flat[pick] + flat[nxt]) / 2
-                del code
-            for f in rows.wide:
-                some = tried[at, f]
-                if not some.any():
+            for f in [*rows.narrow, *rows.wide]:  # only rows of nodes that try the feature
+                nodes = np.flatnonzero(tried[:, f])
+                if not len(nodes):
                     continue
-                c = rows.codes[f][row[some]]
-                order = np.argsort(at[some] * len(rows.values[f]) + c, kind="stable")
-                g, c, ws, hs = at[some][order], c[order], w[some][order], hit[some][order]
-                begins = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-                own = np.repeat(np.arange(len(begins)), np.diff(np.concatenate([begins, [len(g)]])))
-                ln, le = np.cumsum(ws), np.cumsum(hs)
-                ln -= (ln - ws)[begins][own]
-                le -= (le - hs)[begins][own]
-                score = _improvement(le, ln, ee[g], nn[g])
-                ends = np.concatenate([(g[1:] != g[:-1]) | (c[1:] == c[:-1]), [True]])
-                score[ends] = -np.inf
-                top = np.maximum.reduceat(score, begins)
-                # the first position of each node that has its best score
-                is_top = np.flatnonzero(score == top[own])
-                chosen = is_top[np.concatenate([[True], own[is_top][1:] != own[is_top][:-1]])]
-                gi = g[chosen]
-                better = score[chosen] > got[gi]
-                chosen, gi = chosen[better], gi[better]
-                v = rows.values[f]
-                got[gi], got_f[gi] = score[chosen], f
-                got_t[gi] = (v[c[chosen]] + v[c[np.minimum(chosen + 1, len(c) - 1)]]) / 2
+                if len(nodes) == k:
+                    g, r, w, h = at, row, weight, hit
+                else:
+                    some = np.flatnonzero(tried[:, f][at])
+                    g = (np.cumsum(tried[:, f], dtype=np.int32) - 1)[at[some]]
+                    r, w, h = row[some], weight[some], hit[some]
+                c = rows.codes[f][r]
+                if f in rows.wide and f != rows.lead:
+                    order = np.argsort(g.astype(np.int64) * len(rows.values[f]) + c, kind="stable")
+                    g, c, w, h = g[order], c[order], w[order], h[order]
+                splits = _narrow_splits if f in rows.narrow else _wide_splits
+                top, cut = splits(rows.values[f], g, c, w, h, nn[nodes], ee[nodes])
+                better = top > got[nodes]
+                to = nodes[better]
+                got[to], got_f[to], got_t[to] = top[better], f, cut[better]
             best[open_], best_f[open_], best_t[open_] = got, got_f, got_t
         parent = np.zeros(m)
         full = n > 0
@@ -164,22 +183,41 @@ def grow(rows: Rows, row: np.ndarray, weight: np.ndarray, node: np.ndarray, root
         split = best > parent * (1 + 1e-12)
         np.add.at(importance, best_f[split], (best - parent)[split])
         child = first + m + 2 * (np.cumsum(split) - 1)
-        feature.append(np.where(split, best_f, -1))
+        feature.append(np.where(split, best_f, -1).astype(np.int32))
         threshold.append(np.where(split, best_t, 0.0))
-        left.append(np.where(split, child, -1))
-        right.append(np.where(split, child + 1, -1))
+        left.append(np.where(split, child, -1).astype(np.int32))
+        right.append(np.where(split, child + 1, -1).astype(np.int32))
         value.append(np.divide(e, n, out=np.zeros(m), where=full))
         keep = split[node]
-        row, weight, node = row[keep], weight[keep], node[keep]
+        row, weight, hit, node = row[keep], weight[keep], hit[keep], node[keep]
         go_right = rows.x[row, best_f[node]] > best_t[node]
-        node = (2 * (np.cumsum(split) - 1))[node] + go_right
+        parents = (np.cumsum(split, dtype=np.int32) - 1)[node]
         first, m = first + m, 2 * int(split.sum())
+        node = 2 * parents + go_right.astype(np.int32)
+        # children take their rows in the order they had: left ones close up, right ones follow behind them
+        size = np.bincount(node, minlength=m)
+        ahead = np.cumsum(size[1::2]) - size[1::2]  # right rows of the parents before
+        behind = (np.cumsum(size) - size)[1::2] - ahead
+        rights = np.cumsum(go_right, dtype=np.int32) - go_right
+        place = np.where(go_right, behind.astype(np.int32)[parents] + rights,
+                         np.arange(len(node), dtype=np.int32) - rights + ahead.astype(np.int32)[parents])
+        del rights, parents, go_right
+        moved = []
+        for v in (row, weight, hit, node):
+            to = np.empty_like(v)
+            to[place] = v
+            moved.append(to)
+        row, weight, hit, node = moved
     return {"feature": np.concatenate(feature).astype(np.int32), "threshold": np.concatenate(threshold), "left": np.concatenate(left).astype(np.int32),
             "right": np.concatenate(right).astype(np.int32), "value": np.concatenate(value), "importance": importance}
 
 
 def walk(tree: dict, x: np.ndarray, roots: int) -> np.ndarray:
     """Sum over the trees of the event share in the leaf that each row falls into."""
+    return np.concatenate([np.zeros(0), *[_walk(tree, x[i:i + SCORE_ROWS], roots) for i in range(0, len(x), SCORE_ROWS)]])
+
+
+def _walk(tree: dict, x: np.ndarray, roots: int) -> np.ndarray:
     n = len(x)
     at = np.tile(np.arange(roots), n)
     row = np.repeat(np.arange(n), roots)
@@ -194,16 +232,21 @@ def walk(tree: dict, x: np.ndarray, roots: int) -> np.ndarray:
     return total
 
 
-_PARTS = (("feature", "<i4"), ("threshold", "<f8"), ("left", "<i4"), ("right", "<i4"), ("value", "<f8"), ("importance", "<f8"))
+#: a split has a threshold, a leaf its event share; a right child follows the left one
+_PARTS = (("feature", "<i4"), ("number", "<f8"), ("left", "<i4"), ("importance", "<f8"))
 _TREES = "candidate int, first_tree int, trees int, " + ", ".join(f"{c} binary" for c, _ in _PARTS)
+_TOTALS = "candidate int, row bigint, total double"
 
 
 def _tree_row(candidate: int, first: int, trees: int, tree: dict) -> dict:
+    tree = tree | {"number": np.where(tree["feature"] < 0, tree["value"], tree["threshold"])}
     return {"candidate": candidate, "first_tree": first, "trees": trees} | {c: tree[c].astype(t).tobytes() for c, t in _PARTS}
 
 
 def _tree_of(r: dict) -> dict:
-    return {c: np.frombuffer(r[c], t) for c, t in _PARTS}
+    t = {c: np.frombuffer(r[c], k) for c, k in _PARTS}
+    leaf = t["feature"] < 0
+    return t | {"threshold": np.where(leaf, 0.0, t["number"]), "value": np.where(leaf, t["number"], 0.0), "right": np.where(leaf, -1, t["left"] + 1)}
 
 
 def _arrow(schema: str, spark: SparkSession) -> pa.Schema:
@@ -254,28 +297,65 @@ class FactorOrder:
         return df.select(*keep, F.col(self.label).cast("double").alias(self.label), x.alias("x"))
 
 
-def _local(train: DataFrame, specs: Sequence[Spec], label: str) -> DataFrame:
-    """All trees of all forests from rows that one task can hold: a task for every block of trees."""
+def _local(train: DataFrame, specs: Sequence[Spec], label: str, scored: DataFrame | None = None) -> DataFrame:
+    """All trees of all forests from rows that one task can hold: a task for every block of trees, which leave it ``TOGETHER`` at a time.
+
+    With ``scored`` (``row, x``) no tree leaves its task, only the sums of the shares that its block gives each of these rows.
+    """
     spark = train.sparkSession
     jobs = [(c, first, min(BLOCK_TREES, s.trees - first)) for c, s in enumerate(specs) for first in range(0, s.trees, BLOCK_TREES)]
-    arrow, specs = _arrow(_TREES, spark), list(specs)
-
-    def run(t: pa.Table) -> pa.Table:
-        job = jobs[t.column("job")[0].as_py()]
-        x, y = _matrix(t, "x"), t.column(label).to_numpy()
+    kind, specs = _TREES if scored is None else _TOTALS, list(specs)
+    arrow = _arrow(kind, spark)
+
+    def block(job, held: list):
+        t = pa.Table.from_batches(held)
+        held.clear()
+        number = t.column("row").combine_chunks()
+        mine = number.is_null()
+        known = t.filter(mine)
+        x, y = _matrix(known, "x"), known.column(label).to_numpy()
         order = _in_order(x, y)
-        rows, spec, out = Rows(x[order], y[order]), specs[job[0]], []
-        n = len(y)
+        rows, spec = Rows(x[order], y[order]), specs[job[0]]
+        del known, x, y, order
+        if scored is not None:
+            number = number.filter(number.is_valid())
+            seen = _matrix(t.filter(pc.invert(mine)), "x") if len(number) else np.zeros((0, 1))
+            total = np.zeros(len(number))
+        del t
+        n = len(rows.y)
         for first in range(job[1], job[1] + job[2], TOGETHER):
             count = min(TOGETHER, job[1] + job[2] - first)
             rng = np.random.default_rng([spec.seed, first, 1])
-            drawn = np.stack([np.bincount(rng.integers(0, n, n), minlength=n) for _ in range(count)])
-            tree, row = np.nonzero(drawn)
-            out.append(_tree_row(job[0], first, count, grow(rows, row, drawn[tree, row].astype(float), tree, count, spec.mtry, spec.min_n, rng)))
-        return pa.Table.from_pylist(out, arrow)
-
-    dealt = train.withColumn("job", F.explode(F.sequence(F.lit(0), F.lit(len(jobs) - 1))))
-    return dealt.repartition(min(len(jobs), 4 * spark.sparkContext.defaultParallelism), "job").groupBy("job").applyInArrow(run, _TREES)
+            drawn = np.stack([np.bincount(rng.integers(0, n, n), minlength=n)[rows.sorted].astype(np.float32) for _ in range(count)])
+            tree, at = (v.astype(np.int32) for v in np.nonzero(drawn))
+            weight = drawn[tree, at]
+            del drawn
+            grown = grow(rows, rows.sorted[at], weight, tree, count, spec.mtry, spec.min_n, rng)
+            if scored is None:
+                yield pa.RecordBatch.from_pylist([_tree_row(job[0], first, count, grown)], arrow)
+            else:
+                total += walk(grown, seen, count)
+        if scored is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(number), job[0], np.int32)), number, pa.array(total)], schema=arrow)
+
+    def run(batches):
+        held, job = [], None
+        for b in batches:
+            ids = b.column(0).to_numpy()
+            ends = [*(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)] if len(ids) else []
+            for lo, hi in zip([0, *ends], ends):
+                if held and ids[lo] != job:
+                    yield from block(jobs[job], held)
+                job = int(ids[lo])
+                held.append(b.slice(lo, hi - lo))
+        if held:
+            yield from block(jobs[job], held)
+
+    all_rows = train.select(F.lit(None).cast("bigint").alias("row"), label, "x")
+    if scored is not None:
+        all_rows = all_rows.unionByName(scored.select("row", F.lit(None).cast("double").alias(label), "x"))
+    dealt = all_rows.select(F.explode(F.sequence(F.lit(0), F.lit(len(jobs) - 1))).alias("job"), "row", label, "x")
+    return dealt.repartition(len(jobs), "job").sortWithinPartitions("job").mapInArrow(run, kind)
 
 
 def _draws(spec: Spec, tree: int, uid: np.ndarray) -> np.ndarray:
@@ -472,8 +552,8 @@ class Forests:
         spark, label = df.sparkSession, self.order.label
         ensure_checkpoint_dir(spark)
         rows = self.order.coded(df).withColumn("row", F.monotonically_increasing_id()).checkpoint(eager=True)
-        n = rows.count()
-        blocks = max(1, -(-n // SCORE_ROWS))
+        # rows are sent to the trees, which are the larger part: in few blocks, each of what a task holds
+        blocks = max(1, -(-8 * self.p * rows.count() // LOCAL_BYTES))
         keyed = self.trees.select("candidate", F.floor(F.col("first_tree") / BLOCK_TREES).alias("part")).distinct()
         part = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
         # every block of trees is sent every block of rows: the numbers of blocks are small, the rows are dealt by an explicit list
@@ -493,15 +573,19 @@ class Forests:
         on = ["candidate", "part", "block"]
         summed = (left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(run, "candidate int, row bigint, total double")
                   .groupBy("candidate", "row").agg(F.sum("total").alias("total")))
-        sizes = F.array(*[F.lit(float(s.trees)) for s in self.specs])
-        return (summed.join(rows.select(F.col("row").alias("_row"), label), F.col("row") == F.col("_row"))
-                .select("candidate", "row", label, (F.col("total") / F.get(sizes, F.col("candidate"))).alias(event_col)))
+        return _shares(summed, rows, self.specs, label, event_col)
 
 
-def fit(train: DataFrame, specs: Sequence[Spec], label: str = "label", features: str = "features", local_bytes: int | None = None) -> Forests:
-    """Fit one forest for each spec on rows of ``label`` (0 or 1) and a vector of features, whose factors are marked in its metadata."""
-    spark = train.sparkSession
-    ensure_checkpoint_dir(spark)
+def _shares(summed: DataFrame, rows: DataFrame, specs: Sequence[Spec], label: str, event_col: str) -> DataFrame:
+    """The mean over a forest's trees of what they give each row, beside its label."""
+    sizes = F.array(*[F.lit(float(s.trees)) for s in specs])
+    return (summed.join(rows.select(F.col("row").alias("_row"), label), F.col("row") == F.col("_row"))
+            .select("candidate", "row", label, (F.col("total") / F.get(sizes, F.col("candidate"))).alias(event_col)))
+
+
+def _prepared(train: DataFrame, label: str, features: str, local_bytes: int | None):
+    """Factor order, stored coded rows, features, rows that a task may hold, and whether all fit one."""
+    ensure_checkpoint_dir(train.sparkSession)
     train = train.select(label, features)
     order = FactorOrder(train, label, features)
     rows = order.coded(train).withColumn("uid", F.monotonically_increasing_id()).checkpoint(eager=True)
@@ -510,7 +594,12 @@ def fit(train: DataFrame, specs: Sequence[Spec], label: str = "label", features:
         raise ValueError("a forest needs rows")
     p = size["p"]
     local_rows = max(1, (LOCAL_BYTES if local_bytes is None else local_bytes) // (8 * p))
-    if size["n"] <= local_rows:
+    return order, rows, p, local_rows, size["n"] <= local_rows
+
+
+def _fitted(prepared, specs: Sequence[Spec], label: str) -> Forests:
+    order, rows, p, local_rows, fits = prepared
+    if fits:
         trees = _local(rows.drop("uid"), specs, label).checkpoint(eager=True)
     else:
         trees = None
@@ -518,3 +607,20 @@ def fit(train: DataFrame, specs: Sequence[Spec], label: str = "label", features:
             one = _spread(rows, c, spec, label, p, local_rows)
             trees = one if trees is None else trees.unionByName(one)
     return Forests(trees, order, specs, p)
+
+
+def fit(train: DataFrame, specs: Sequence[Spec], label: str = "label", features: str = "features", local_bytes: int | None = None) -> Forests:
+    """Fit one forest for each spec on rows of ``label`` (0 or 1) and a vector of features, whose factors are marked in its metadata."""
+    return _fitted(_prepared(train, label, features, local_bytes), specs, label)
+
+
+def fit_score(train: DataFrame, specs: Sequence[Spec], df: DataFrame, label: str = "label", features: str = "features",
+              event_col: str = "pred_event", local_bytes: int | None = None) -> DataFrame:
+    """``fit(train, specs).score(df)`` where the forests themselves are not wanted: trees that tasks grow whole score there and are not stored."""
+    prepared = _prepared(train, label, features, local_bytes)
+    order, stored, p, local_rows, fits = prepared
+    if not fits or 8 * p * df.count() > LOCAL_BYTES:
+        return _fitted(prepared, specs, label).score(df, event_col)
+    rows = order.coded(df).withColumn("row", F.monotonically_increasing_id()).checkpoint(eager=True)
+    totals = _local(stored.drop("uid"), specs, label, rows.select("row", "x"))
+    return _shares(totals.groupBy("candidate", "row").agg(F.sum("total").alias("total")), rows, specs, label, event_col)
