@@ -118,3 +118,30 @@ def test_depth_has_no_bound(spark):
     assert depth > 20 or len(tree["feature"]) > 150
     with pytest.raises(ValueError, match="needs rows"):
         forest.fit(d.limit(0), [forest.Spec(1, 1, 3)])
+
+
+def test_scores_of_forests_that_are_not_kept(rows, monkeypatch):
+    train, test = rows.where("id % 4 <> 0").limit(900), rows.where("id % 4 = 0").limit(300).cache()
+    train = train.cache()
+    specs = [forest.Spec(2, 5, 60), forest.Spec(3, 40, 12)]
+    want = forest.fit(train, specs).score(test).select("candidate", "label", F.round("pred_event", 9)).collect()
+    with monkeypatch.context() as m:
+        m.setattr(forest.Forests, "score", lambda *a, **k: pytest.fail("the trees were stored"))
+        got = forest.fit_score(train, specs, test).select("candidate", "label", F.round("pred_event", 9)).collect()
+    assert sorted(got) == sorted(want) and len(got) == 600
+    large = forest.fit_score(train, specs, test, local_bytes=400 * 3 * 8)  # tops over partitions
+    assert large.count() == 600 and auc(large.where("candidate = 0")) > 0.6
+
+
+def test_growth_holds_a_bounded_table(monkeypatch):
+    # 20 features of 40 values each: small nodes must not each hold a histogram of all of them
+    import tracemalloc
+    rng = np.random.default_rng(8)
+    n = 20_000
+    rows = forest.Rows(rng.integers(0, 40, (n, 20)).astype(float), (rng.random(n) < 0.5).astype(float))
+    monkeypatch.setattr(forest, "CELLS", 1 << 16, raising=False)
+    tracemalloc.start()
+    forest.grow(rows, np.arange(n), np.ones(n), np.zeros(n, np.int64), 1, 3, 2, np.random.default_rng(1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * 20 * 8 * n / 10
