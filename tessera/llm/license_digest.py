@@ -153,17 +153,22 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     ``license`` is the known licence whose entire text the document is (null if
     none), ``notices`` the known licences that single lines of it state, sorted and
     joined by commas (empty if none).  A null text counts as empty.  ``known``
-    (``digest, license``, one row per digest) replaces the built-in table, which
-    is a constant of a few rows and so is broadcast; a given table is not.
+    (``digest, license``, one row per digest) replaces the built-in table.  The
+    built-in one is a constant of a few rows, so each digest is looked up where its
+    text is read and no row moves; a given table may be large and is joined.
     """
-    table = F.broadcast(known_licenses(docs.sparkSession)) if known is None else known
-    table = table.select(F.col("digest").alias("_known"), "license")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # one projection a step, so that no step's regular expressions run more than once a text
     forms = (docs.select("doc_id", plain_lines(text).alias("_plain"))
              .select("doc_id", one_spelling(F.col("_plain")).alias("_form"))
              .select("doc_id", digest(F.col("_form")).alias("digest"),
                      F.array_distinct(F.transform(F.split("_form", "\n"), lambda x: F.sha2(x, 256))).alias("_lines")))
+    if known is None:
+        names = F.create_map(*[F.lit(x) for pair in known_digests() for x in pair])
+        stated = F.array_compact(F.transform("_lines", lambda x: F.element_at(names, x)))
+        return forms.select("doc_id", "digest", F.element_at(names, F.col("digest")).alias("license"),
+                            F.array_join(F.array_sort(F.array_distinct(stated)), ",").alias("notices"))
+    table = known.select(F.col("digest").alias("_known"), "license")
     # the entire text and every line are looked up in one join; a text without a match keeps its own row
     keys = F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.col("digest").alias("key"))),
                     F.transform("_lines", lambda x: F.struct(F.lit(False).alias("whole"), x.alias("key"))))

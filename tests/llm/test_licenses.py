@@ -62,3 +62,14 @@ def test_line_breaks_and_notices_do_not_matter(spark):
     got = L.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert [(rows[r.doc_id][1], r.license) for r in got if r.license != want[r.doc_id]] == []
     assert all(L.canonical_text(t) == L.canonical_text(textwrap.fill(t, 1 << 20)) for _, t in L.KNOWN)
+
+
+def test_built_in_table_moves_no_rows(spark, docs):
+    """Digests are looked up where a text is read: no shuffle, no Python; the rows are those of the join with the same table."""
+    notice = "prose\nReleased under the MIT License.\nLicensed under CC BY 4.0.\nReleased under the MIT Licence!"
+    extra = spark.createDataFrame([(70, notice), (70, notice), (None, notice), (71, L.KNOWN[0][1]), (72, "")], "doc_id bigint, text string")
+    every = docs.select("doc_id", "text").union(extra)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(L.scan(every)) == key(L.scan(every, L.known_licenses(spark)))
+    plan = L.scan(spark.range(100).selectExpr("id AS doc_id", "string(id) AS text"))._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in ("Exchange", "Aggregate", "Join", "Generate", "Python", "ExistingRDD") if x in plan]
