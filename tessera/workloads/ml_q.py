@@ -18,6 +18,7 @@ from tessera.ml.distributions import norm_quantile
 from tessera.ml import cart, diagnostics, forest, metrics, models, network, penalty, recipe, splits, tune
 from tessera.operators import verbs
 from tessera.operators.sorting import hash_key_sql
+from tessera.session import stored
 from tessera.sources.inline import expand_values
 from tessera.sources.views import CUT_LEVELS
 from tessera.workloads import query
@@ -659,7 +660,8 @@ def fct_unordered(t):
 
 def _doc_splits(t):
     """Rows of the stratified splits: ``train, validation, train + validation, test``."""
-    s = splits.initial_split(t.doc_quality, ["doc_id"], 0.75, seed=123, strata=["label"])
+    # the view's few columns are stored: every step of the splits, recipes and fits reads them again
+    s = splits.initial_split(stored(t.doc_quality), ["doc_id"], 0.75, seed=123, strata=["label"])
     other = s.filter(F.col("split") == "train").drop("split")
     test = s.filter(F.col("split") == "test").drop("split")
     v = splits.validation_split(other, ["doc_id"], 0.8, seed=234, strata=["label"])
@@ -758,8 +760,8 @@ def vip_forest(t):
 def _rf_last_fit(best, other, test):
     """The best forest's workflow, recipe and trees, refitted on train + validation: the test rows it scores once."""
     names, other, test = _doc_prepared(other, test, forest=True)
-    final = forest.fit(other, [forest.Spec(int(best["mtry"]), int(best["min_n"]), TREES)])
-    return final.score(test).withColumn("_truth", F.when(F.col("label") == 1.0, "good").otherwise("poor")).checkpoint(eager=True)
+    final = forest.fit_score(other, [forest.Spec(int(best["mtry"]), int(best["min_n"]), TREES)], test)
+    return final.withColumn("_truth", F.when(F.col("label") == 1.0, "good").otherwise("poor")).checkpoint(eager=True)
 
 
 @query("last_fit", section="2.17")

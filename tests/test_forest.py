@@ -145,3 +145,64 @@ def test_growth_holds_a_bounded_table(monkeypatch):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 16 * 20 * 8 * n / 10
+
+
+def mixed(n, seed=2):
+    """Two numbers, a factor, and flags that few rows have."""
+    rng = np.random.default_rng(seed)
+    x = np.stack([rng.normal(size=n), rng.integers(0, 7, n), rng.random(n) < 0.02, rng.integers(0, 900, n), np.where(rng.random(n) < 0.03, rng.integers(1, 5, n), 0)], 1)
+    return x.astype(float), (rng.random(n) < 0.85 - 0.2 * x[:, 2]).astype(float)
+
+
+@pytest.mark.parametrize("name, value", [("USUAL", 2.0), ("SHARE", 2.0), ("SHARE", 0.0), ("LEVEL_ROWS", 50), ("CELLS", 40)])
+def test_the_same_trees_however_splits_are_searched(monkeypatch, name, value):
+    x, y = mixed(3000)
+    w = np.random.default_rng(5).integers(1, 4, 6000).astype(float)
+
+    def trees():
+        rows = forest.Rows(x, y)
+        return forest.grow(rows, np.tile(np.arange(3000), 2), w, np.repeat([0, 1], 3000), 2, 3, 4, np.random.default_rng(1))
+
+    want = trees()
+    monkeypatch.setattr(forest, name, value)
+    got = trees()
+    assert len(want["feature"]) > 200 and set(want["feature"]) >= {-1, 0, 1, 2, 3, 4}
+    for k, v in want.items():
+        assert np.array_equal(got[k], v) if k != "importance" else got[k] == pytest.approx(v), k
+
+
+def test_children_hold_the_rows_that_go_there():
+    x, y = mixed(2000)
+    tree = forest.grow(forest.Rows(x, y), np.arange(2000), np.ones(2000), np.zeros(2000, np.int64), 1, 2, 5, np.random.default_rng(1))
+    leaf = np.array([_leaf(tree, r) for r in x])
+    share = np.bincount(leaf, y, len(tree["value"])) / np.maximum(np.bincount(leaf, minlength=len(tree["value"])), 1)
+    assert (tree["feature"][leaf] == -1).all() and share[leaf] == pytest.approx(tree["value"][leaf])
+
+
+def test_only_borders_between_classes_are_scored(monkeypatch):
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(4000, 1)), (rng.random(4000) < 0.85).astype(float)
+    scored, plain = [], forest._improvement
+    monkeypatch.setattr(forest, "_improvement", lambda le, *a: (scored.append(np.size(le)), plain(le, *a))[1])
+    tree = forest.grow(forest.Rows(x, y), np.arange(4000), np.ones(4000), np.zeros(4000, np.int64), 1, 1, 3999, rng)
+    assert len(tree["feature"]) == 3 and sum(scored) < 0.3 * 4000
+    order = np.argsort(x[:, 0])
+    n, e = np.arange(1, 4000), np.cumsum(y[order])[:-1]
+    best = int(plain(e, n, y.sum(), 4000).argmax())
+    assert x[order[best], 0] <= tree["threshold"][0] < x[order[best + 1], 0]
+
+
+def test_a_task_for_every_block_of_trees(rows, monkeypatch):
+    monkeypatch.setattr(forest, "BLOCK_TREES", 10)
+    coded = forest.FactorOrder(rows, "label", "features").coded(rows.limit(300))
+    trees = forest._local(coded, [forest.Spec(1, 5, 45), forest.Spec(3, 5, 40)], "label").withColumn("task", F.spark_partition_id()).cache()
+    per = trees.groupBy("task").agg(F.sum("trees").alias("n"), F.first("candidate").alias("candidate")).orderBy("task").collect()
+    assert [r["n"] for r in per] == [10, 10, 10, 10, 10, 10, 10, 10, 5] and [r["candidate"] for r in per] == [1] * 4 + [0] * 5
+    monkeypatch.setattr(forest, "GROWN_ROWS", 700)  # two trees of 300 rows at a time
+    assert forest._local(coded, [forest.Spec(1, 5, 7)], "label").agg(F.max("trees")).first()[0] == 2
+
+
+def test_scores_do_not_depend_on_the_order_of_the_sums(rows):
+    train, test = rows.where("id % 4 <> 0").limit(500).cache(), rows.where("id % 4 = 0").limit(200).cache()
+    scored = forest.fit_score(train, [forest.Spec(2, 5, 64)], test).collect()  # 64 trees: the mean is exact too
+    assert len(scored) == 200 and all((r["pred_event"] * 2 ** 46).is_integer() for r in scored)
