@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tessera.session import ensure_checkpoint_dir
 
 #: bytes of feature values of a node that one task may hold
-LOCAL_BYTES = 64 << 20
+LOCAL_BYTES = 128 << 20
 #: trees of one task's block (fewer if there would be under ``TASKS`` tasks), and of those the ones that grow side by side,
 #: as long as they have no more than ``GROWN_ROWS`` rows
 BLOCK_TREES = 50
